@@ -41,14 +41,14 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
         out = df.withColumn("_nx", F.lead(rec).over(w))
     else:
         keys = [*by, "_tb"]
-        x = df.withColumn("_tb", _bucket(time_col, bucket_seconds))
+        x = df.withColumn("_tb", _bucket(time_col, bucket_seconds)).withColumn("_rec", rec)
         w = Window.partitionBy(*keys).orderBy(*order)
-        x = x.withColumn("_in", F.lead(rec).over(w))
-        # first row of each bucket from a fresh aggregate of the input, so the window above
-        # is not evaluated twice
-        firsts = (df.withColumn("_tb", _bucket(time_col, bucket_seconds))
-                    .groupBy(*keys).agg(F.min(rec).alias("_first")))
+        x = x.withColumn("_in", F.lead("_rec").over(w)).withColumn("_pos", F.row_number().over(w))
+        # first row of each bucket, read off the same window (its shuffle is reused); a
+        # min(struct) aggregate would plan as a sort-based aggregate over every input row
+        firsts = x.where(F.col("_pos") == 1).select(*keys, F.col("_rec").alias("_first"))
         link = firsts.select(*keys, F.lead("_first").over(Window.partitionBy(*by).orderBy("_tb")).alias("_nb"))
+        x = x.drop("_rec", "_pos")
         out = (x.join(link, on=keys, how="left")
                 .withColumn("_nx", F.coalesce(F.col("_in"), F.col("_nb")))
                 .drop("_in", "_nb", "_tb"))
