@@ -90,3 +90,116 @@ def batch_queries() -> dict[str, Query]:
     q["fn_split_ids"] = lambda s, d: _va(s, d).select(
         "event_id", F.explode(split_ids("order_category_ids")).alias("value"))
     return q
+
+
+def _stream_lines(spark: SparkSession, sf_dir: str, plant_errors: bool = False) -> DataFrame:
+    S.prepare(spark)
+    return src.ad_log_lines(spark, sf_dir, plant_errors=plant_errors)
+
+
+def _replay(spark, sf_dir, name, build, plant_errors=False):
+    """Replay the ad log of ``sf_dir`` through the stream queries ``build(root)`` returns."""
+    from ..streaming.replay import replay
+
+    root = S.work_dir(spark, name)
+    queries = build(root)
+    replay(_stream_lines(spark, sf_dir, plant_errors), f"{root}/landing", queries, slices=P.REPLAY_SLICES)
+    return root
+
+
+def io_queries() -> dict[str, Query]:
+    """Sinks and streams: each writes through the real sink, then reads back what it wrote."""
+    from ..sources import sinks
+    from ..streaming import ads as SA
+    from ..streaming.keyed import KeyedTable
+
+    q: dict[str, Query] = {}
+
+    def table_roundtrip(s, d):
+        root = S.work_dir(s, "sink_table")
+        name = "category_top10_" + root.rsplit("-", 1)[-1]
+        sinks.replace_table(C.category_top10(_va(s, d), k=P.TOP_CATEGORIES), name, f"{root}/{name}")
+        return s.table(name)
+
+    def keyed_upsert(s, d):
+        # counts written in two batches that overlap on keys; the read-back keeps the last
+        counts = A.ad_click_counts(_ad(s, d))
+        t = KeyedTable(S.work_dir(s, "sink_keyed") + "/t", ["date", "adid", "userid"], counts.schema)
+        t.write(counts.withColumn("n", F.lit(-1).cast("bigint")), 0)
+        t.write(counts, 1)
+        return t.current(s)
+
+    q["sink_table_roundtrip"] = table_roundtrip
+    q["sink_keyed_upsert"] = keyed_upsert
+
+    def log_scan(s, d):
+        root = _replay(s, d, "stream_scan", lambda r: [
+            (lambda st: SA.decoded_to_files(st, f"{r}/decoded"), f"{r}/ckpt")], plant_errors=True)
+        out = s.read.parquet(f"{root}/decoded")
+        return out.where(F.col("reject_reason").isNull()).select(
+            "event_id", "ts_ms", "date", "area", "city", "userid", "adid")
+
+    def counts_stream(grain, name):
+        def run(s, d):
+            holder = {}
+
+            def build(r):
+                holder["t"] = KeyedTable(f"{r}/counts", ["date", *grain], SA.counts_schema(grain), ["date"])
+                return [(lambda st: SA.counts_to_table(SA.parse_stream(st), holder["t"], grain,
+                                                       P.WATERMARK_DELAY), f"{r}/ckpt")]
+            _replay(s, d, name, build)
+            return holder["t"].current(s).select("date", *grain, "n")
+        return run
+
+    def top3_stream(s, d):
+        holder = {}
+
+        def build(r):
+            holder["c"] = KeyedTable(f"{r}/counts", ["date", "area", "adid"],
+                                     SA.counts_schema(("area", "adid")), ["date"])
+            holder["t"] = KeyedTable(f"{r}/top", ["date", "area"], SA.TOP_SCHEMA)
+            return [(lambda st: SA.top_ads_to_tables(SA.parse_stream(st), holder["c"], holder["t"],
+                                                     P.TOP_ADS, P.WATERMARK_DELAY), f"{r}/ckpt")]
+        _replay(s, d, "stream_top3", build)
+        return SA.top_ads_rows(holder["t"], s)
+
+    def blacklist_stream(s, d):
+        holder = {}
+
+        def build(r):
+            holder["b"] = KeyedTable(f"{r}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
+            return [(lambda st: SA.blacklist_to_table(SA.parse_stream(st), holder["b"], P.BLACKLIST_THRESHOLD,
+                                                      P.WATERMARK_DELAY), f"{r}/ckpt")]
+        _replay(s, d, "stream_blacklist", build)
+        return holder["b"].history(s).select("userid").distinct()
+
+    def blacklist_filter_stream(s, d):
+        holder = {}
+
+        def build(r):
+            holder["b"] = KeyedTable(f"{r}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
+            holder["a"] = f"{r}/admitted"
+            return [
+                # filter first, with the list as of the end of the previous batch
+                (lambda st: SA.admitted_to_folder(SA.parse_stream(st), holder["b"], holder["a"]), f"{r}/ckpt_filter"),
+                (lambda st: SA.blacklist_to_table(SA.parse_stream(st), holder["b"], P.BLACKLIST_THRESHOLD,
+                                                  P.WATERMARK_DELAY), f"{r}/ckpt_list"),
+            ]
+        _replay(s, d, "stream_blacklist_filter", build)
+        return s.read.parquet(holder["a"]).select("event_id")
+
+    def trend_stream(s, d):
+        root = _replay(s, d, "stream_trend", lambda r: [
+            (lambda st: SA.to_files(SA.trend_stream(SA.parse_stream(st), P.TREND_WINDOW_SECONDS,
+                                                    P.TREND_SLIDE_SECONDS, P.WATERMARK_DELAY), f"{r}/trend"),
+             f"{r}/ckpt")])
+        return s.read.parquet(f"{root}/trend")
+
+    q["ad_log_stream_scan"] = log_scan
+    q["ad_click_counts_stream"] = counts_stream(("adid", "userid"), "stream_counts")
+    q["ad_area_counts_stream"] = counts_stream(("area", "adid"), "stream_area_counts")
+    q["ad_top3_stream"] = top3_stream
+    q["ad_blacklist_stream"] = blacklist_stream
+    q["ad_blacklist_filter_stream"] = blacklist_filter_stream
+    q["ad_click_trend_stream"] = trend_stream
+    return q

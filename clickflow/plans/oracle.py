@@ -124,6 +124,13 @@ def _floor10(c: str, seconds: int = P.TREND_SLIDE_SECONDS) -> str:
     return f"make_timestamp((epoch_us({c}) // {step}) * {step})"
 
 
+def _interval_us(text: str) -> int:
+    """'10 minutes' -> microseconds."""
+    n, unit = text.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * mult * 1_000_000
+
+
 def _with(*ctes: str) -> str:
     return "with " + ",".join(ctes) + "\n"
 
@@ -229,6 +236,16 @@ select event_id, value from (
   where order_category_ids is not null)
 where trim(value) <> ''"""
 
+    # the trend stream emits a window once the watermark (latest event, in whole ms, minus
+    # the delay) has reached the window's end
+    delay_us = _interval_us(P.WATERMARK_DELAY)
+    q["ad_click_trend_stream"] = ad + f"""
+, wm as (select (epoch_us(max(ts)) // 1000) * 1000 - {delay_us} as w from ad_log)
+select {_ts_text(f'b - to_seconds(i * {P.TREND_SLIDE_SECONDS})')} as window_start, {_ts_text('b')} as bucket, count(*) as n
+from (select {_floor10('ts')} as b from ad_log) t, range({per}) r(i), wm
+where epoch_us(b - to_seconds(i * {P.TREND_SLIDE_SECONDS})) + {P.TREND_WINDOW_SECONDS * 1_000_000} <= wm.w
+group by 1, 2"""
+
     # sinks: what was written, read back, must equal the source query
     q["sink_table_roundtrip"] = q["category_top10"]
     q["sink_keyed_upsert"] = q["ad_click_counts"]
