@@ -11,6 +11,7 @@ from .conftest import SF_SMALL
 
 SQL = E.oracle_sql()
 BATCH = [k for k in SQL if not k.endswith("_stream") and not k.startswith("sink_")]
+IO = [k for k in SQL if k not in BATCH]
 
 
 def _norm(rows, cols):
@@ -31,7 +32,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", BATCH)
+@pytest.mark.parametrize("name", BATCH + IO)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     res = con.execute(SQL[name])
