@@ -198,7 +198,9 @@ def io_queries() -> dict[str, Query]:
     q["ad_log_stream_scan"] = log_scan
     q["ad_click_counts_stream"] = counts_stream(("adid", "userid"), "stream_counts")
     q["ad_area_counts_stream"] = counts_stream(("area", "adid"), "stream_area_counts")
+    q["ad_click_counts_by_city_stream"] = counts_stream(("area", "city", "adid"), "stream_city_counts")
     q["ad_top3_stream"] = top3_stream
+    q["ad_top3_json_stream"] = lambda s, d: A.top_ads_json(top3_stream(s, d))
     q["ad_blacklist_stream"] = blacklist_stream
     q["ad_blacklist_filter_stream"] = blacklist_filter_stream
     q["ad_click_trend_stream"] = trend_stream

@@ -255,5 +255,7 @@ group by 1, 2"""
     q["ad_click_counts_stream"] = q["ad_click_counts"]
     q["ad_area_counts_stream"] = q["ad_area_counts"]
     q["ad_top3_stream"] = q["ad_top3_by_area"]
+    q["ad_top3_json_stream"] = q["ad_top3_json"]
+    q["ad_click_counts_by_city_stream"] = q["ad_click_counts_by_city"]
     q["ad_blacklist_stream"] = q["ad_blacklist"]
     return q
