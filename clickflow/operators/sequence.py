@@ -5,8 +5,9 @@ one task; if one session held a third of all rows, one task would sort a third o
 Both operators below split each group into fixed time buckets ``(group, floor(t / B))``:
 
 1. a window over ``(group, bucket)`` does the per-row work inside each bucket;
-2. a hash aggregate (partial + final, so a hot bucket is combined map-side) gives one row per
-   bucket (its first row, or its row count);
+2. one row per bucket is reduced map-side before any shuffle: its first row through a
+   partial ``WindowGroupLimit`` (``row_number() = 1``), or its size through a partial hash
+   aggregate;
 3. a window over ``group`` runs on those per-bucket rows only (a hot group now costs one task
    ``span / B`` rows, not its row count) to link each bucket to the next non-empty one, or to
    the running count of earlier buckets;
@@ -26,33 +27,38 @@ DEFAULT_BUCKET_SECONDS = 300
 
 
 def _bucket(time_col: str, bucket_seconds: int):
-    return F.floor(F.unix_micros(F.col(time_col)) / F.lit(int(bucket_seconds) * 1_000_000)).cast("bigint")
+    """Start of the row's time bucket, in epoch micros (exact integer floor)."""
+    m = F.unix_micros(F.col(time_col))
+    return m - F.pmod(m, F.lit(int(bucket_seconds) * 1_000_000))
 
 
 def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry: list[str],
               prefix: str = "next_", bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Add ``<prefix><c>`` for each ``c`` in ``carry``: the value of the following row of the
-    same ``by`` group in ``(time_col, tie_col)`` order; null on a group's last row."""
-    fields = list(dict.fromkeys([time_col, tie_col, *carry]))
-    rec = F.struct(*[F.col(c) for c in fields])
+    same ``by`` group in ``(time_col, tie_col)`` order; null on a group's last row.
+    ``tie_col`` must be non-null (it marks whether a next row exists)."""
     order = [F.col(time_col), F.col(tie_col)]
     if bucket_seconds is None:
         w = Window.partitionBy(*by).orderBy(*order)
-        out = df.withColumn("_nx", F.lead(rec).over(w))
-    else:
-        keys = [*by, "_tb"]
-        x = df.withColumn("_tb", _bucket(time_col, bucket_seconds)).withColumn("_rec", rec)
-        w = Window.partitionBy(*keys).orderBy(*order)
-        x = x.withColumn("_in", F.lead("_rec").over(w)).withColumn("_pos", F.row_number().over(w))
-        # first row of each bucket, read off the same window (its shuffle is reused); a
-        # min(struct) aggregate would plan as a sort-based aggregate over every input row
-        firsts = x.where(F.col("_pos") == 1).select(*keys, F.col("_rec").alias("_first"))
-        link = firsts.select(*keys, F.lead("_first").over(Window.partitionBy(*by).orderBy("_tb")).alias("_nb"))
-        x = x.drop("_rec", "_pos")
-        out = (x.join(link, on=keys, how="left")
-                .withColumn("_nx", F.coalesce(F.col("_in"), F.col("_nb")))
-                .drop("_in", "_nb", "_tb"))
-    return out.select(*df.columns, *[F.col("_nx").getField(c).alias(prefix + c) for c in carry])
+        return df.select(*df.columns, *[F.lead(c).over(w).alias(prefix + c) for c in carry])
+    keys = [*by, "_tb"]
+    cols = list(dict.fromkeys([tie_col, *carry]))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    # per-column leads inside each bucket; no struct is built before the shuffle
+    x = df.withColumn("_tb", _bucket(time_col, bucket_seconds)).select(
+        *df.columns, "_tb",
+        *[F.lead(c).over(w).alias("_in_" + c) for c in cols],
+        F.row_number().over(w).alias("_pos"))
+    # first row of each bucket (a partial group limit keeps one row per bucket per map task),
+    # linked to the first row of the session's next non-empty bucket by a window over buckets
+    nb = Window.partitionBy(*by).orderBy("_tb")
+    link = (x.where(F.col("_pos") == 1)
+             .select(*keys, *[F.lead(c).over(nb).alias("_nb_" + c) for c in cols]))
+    has_in = F.col("_in_" + tie_col).isNotNull()
+    return (x.join(link, on=keys, how="left")
+             .select(*df.columns,
+                     *[F.when(has_in, F.col("_in_" + c)).otherwise(F.col("_nb_" + c)).alias(prefix + c)
+                       for c in carry]))
 
 
 def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, name: str = "step",
