@@ -6,7 +6,7 @@ action, ordered by ``(action_time, event_id)`` (:func:`clickflow.operators.seque
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .sequence import DEFAULT_BUCKET_SECONDS, with_next, with_position
@@ -86,15 +86,19 @@ def page_conversion_rate(actions: DataFrame, flow, include_zero: bool = False,
     are left out unless ``include_zero``."""
     spark = actions.sparkSession
     t = _source_hop_table(actions, flow, bucket_seconds)
-    visits = t.groupBy("page_id").agg(F.sum("n").alias("visits"))
-    hops = t.where(F.col("next_page_id").isNotNull()).select("page_id", "next_page_id", F.col("n").alias("hops"))
+    # visits of the source page = all its rows in the small hop table, read with a window so
+    # the session pass is not run a second time for the denominator
+    t = t.withColumn("visits", F.sum("n").over(Window.partitionBy("page_id")))
     pairs = F.broadcast(flow_pairs(spark, flow))
     if include_zero:
+        visits = t.select("page_id", "visits").distinct()
+        hops = t.select("page_id", "next_page_id", F.col("n").alias("hops"))
         j = pairs.join(hops, ["page_id", "next_page_id"], "left").join(visits, "page_id", "left")
         j = j.select("page_id", "next_page_id", F.coalesce("hops", F.lit(0)).cast("bigint").alias("hops"),
                      F.coalesce("visits", F.lit(0)).cast("bigint").alias("visits"))
     else:
-        j = hops.join(pairs, ["page_id", "next_page_id"]).join(visits, "page_id")
+        j = t.join(pairs, ["page_id", "next_page_id"]).select("page_id", "next_page_id",
+                                                             F.col("n").alias("hops"), "visits")
     return j.select("page_id", "next_page_id", F.col("hops").cast("bigint").alias("hops"),
                     F.col("visits").cast("bigint").alias("visits"),
                     (F.col("hops") / F.col("visits")).cast("double").alias("rate"))
