@@ -58,8 +58,8 @@ def string_to_epoch_ms(c, fmt: str = DEFAULT_TIME_FORMAT) -> Column:
 
 def floor_time(c, seconds: int) -> Column:
     """Floor a timestamp to a multiple of ``seconds`` since the epoch (10 s: 15:11:09.999 -> 15:11:00)."""
-    step = int(seconds) * 1_000_000
-    return F.timestamp_micros(F.floor(F.unix_micros(_c(c)) / F.lit(step)).cast("bigint") * F.lit(step))
+    m = F.unix_micros(_c(c))
+    return F.timestamp_micros(m - F.pmod(m, F.lit(int(seconds) * 1_000_000)))
 
 
 def day_of(c) -> Column:

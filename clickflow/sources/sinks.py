@@ -27,3 +27,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     if num_partitions:
         df = df.coalesce(int(num_partitions))
     df.write.jdbc(url, table, mode=mode, properties=props)
+
+
+def with_task_id(df: DataFrame, task_id: str | None = None, name: str = "task_id") -> DataFrame:
+    """Prefix result records with the run id they were produced by (a fresh UUID by default),
+    the shape the reference's relational sinks insert."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    tid = task_id or str(uuid.uuid4())
+    return df.select(F.lit(tid).alias(name), *df.columns)

@@ -144,6 +144,26 @@ def trend_stream(parsed: DataFrame, window_seconds: int = 60, slide_seconds: int
     return agg.select(time_text(F.col("w.start")).alias("window_start"), time_text("_b").alias("bucket"), "n")
 
 
+def to_console_sorted(df: DataFrame, order: list[str], rows: int = 20, mode: str = "append") -> DataStreamWriter:
+    """Print each micro-batch's result sorted by ``order`` (at most ``rows`` rows reach the
+    driver per batch): the reference's sorted per-batch print of the trend."""
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch.orderBy(*order).show(rows, truncate=False)
+
+    return df.writeStream.outputMode(mode).foreachBatch(on_batch)
+
+
+def start(writer: DataStreamWriter, checkpoint: str, interval: str = "5 seconds",
+          name: str | None = None):
+    """Start a long-running query: micro-batches every ``interval`` (the reference's 5 s batch
+    interval), offsets and state in ``checkpoint`` (a shared, durable folder)."""
+    w = writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval)
+    if name:
+        w = w.queryName(name)
+    return w.start()
+
+
 def to_files(df: DataFrame, folder: str, mode: str = "append") -> DataStreamWriter:
     """Exactly-once parquet file sink (the sink's own log records committed files)."""
     return df.writeStream.outputMode(mode).format("parquet").option("path", folder)

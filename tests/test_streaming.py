@@ -81,3 +81,20 @@ def test_blacklist_stream_feedback(spark):
     assert per_event <= admitted
     extra = log.where(F.col("event_id").isin(sorted(admitted - per_event))).select("userid").distinct().collect()
     assert {r.userid for r in extra} <= listed
+
+
+def test_processing_time_start_and_sorted_console(spark, capsys):
+    root = S.work_dir(spark, "test_console")
+    lines = src.encode_ad_lines(src.ad_log(spark, SF_SMALL))
+    lines.write.parquet(f"{root}/landing")
+    from clickflow.streaming.replay import landing_stream
+
+    trend = SA.trend_stream(SA.parse_stream(landing_stream(spark, f"{root}/landing")))
+    q = SA.start(SA.to_console_sorted(trend, ["window_start", "bucket"], rows=5), f"{root}/ckpt",
+                 interval="1 second", name="trend_console_test")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert q.exception() is None
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
