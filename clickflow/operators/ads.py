@@ -46,8 +46,11 @@ def ad_blacklist_crossings(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD)
     hit = (log.select("date", "adid", "userid", "ts", "event_id")
               .withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") == int(threshold)))
-    first = hit.groupBy("userid").agg(F.min(F.struct("ts", "event_id")).alias("_x"))
-    return first.select("userid", F.col("_x.ts").alias("cross_ts"), F.col("_x.event_id").alias("cross_event_id"))
+    # earliest crossing per user: one row per user survives a partial group limit (a min over
+    # a struct would plan as a sort-based aggregate)
+    first = Window.partitionBy("userid").orderBy("ts", "event_id")
+    return (hit.withColumn("_f", F.row_number().over(first)).where(F.col("_f") == 1)
+               .select("userid", F.col("ts").alias("cross_ts"), F.col("event_id").alias("cross_event_id")))
 
 
 def ad_blacklist_filter(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:

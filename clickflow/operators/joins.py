@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (in rows) broadcast to every executor after an explicit check.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``side`` with a broadcast hint if it holds at most ``max_rows`` rows, else unchanged
+    (the join then plans as a shuffle join, with AQE free to re-plan it).
+
+    The check reads at most ``max_rows + 1`` rows of ``side`` (a limit pushed into the scan),
+    so it stays cheap however large the side turns out to be. Meant for dimension tables."""
+    n = side.limit(int(max_rows) + 1).count()
+    return F.broadcast(side) if n <= max_rows else side

@@ -89,23 +89,29 @@ def visit_date_range(actions: DataFrame, start_date: str | None = None,
 def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded ad-click log derived from ``events`` + ``nation`` + ``region``.
 
-    ``nation`` and ``region`` are fixed-domain dimension tables (25 and 5 rows); no hint is
-    given, so Spark broadcasts them only while their measured size stays under
-    ``spark.sql.autoBroadcastJoinThreshold`` and falls back to a sort-merge join beyond it.
+    The two dimension tables are joined to each other first (small x small), so the events
+    table is joined once. That combined dimension is broadcast only after a row-count check
+    (:func:`~clickflow.operators.joins.broadcast_if_small`); beyond the bound the join is a
+    shuffle join.
     """
+    from ..operators.joins import broadcast_if_small
+
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    dims = (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+                  .select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"),
+                          F.replace(F.col("r_name"), F.lit(" "), F.lit("-")).alias("area"),
+                          F.replace(F.col("n_name"), F.lit(" "), F.lit("-")).alias("city")))
     ts = F.col("ts").cast("timestamp")
-    j = (ev.join(nation, (F.col("user_id") % 25) == F.col("n_nationkey"))
-           .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+    j = ev.join(broadcast_if_small(dims), (F.col("user_id") % 25) == F.col("n_nationkey"))
     return j.select(
         F.col("event_id"),
         ts.alias("ts"),
         F.unix_millis(ts).alias("ts_ms"),
         day_of(ts).alias("date"),
-        F.replace(F.col("r_name"), F.lit(" "), F.lit("-")).alias("area"),
-        F.replace(F.col("n_name"), F.lit(" "), F.lit("-")).alias("city"),
+        F.col("area"),
+        F.col("city"),
         F.col("user_id").cast("string").alias("userid"),
         (F.lit(1) + _k(F.col("props")) % 6).cast("string").alias("adid"),
     )
