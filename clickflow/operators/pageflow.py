@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .sequence import DEFAULT_BUCKET_SECONDS, with_next, with_position
+from .sequence import DEFAULT_SPLIT, with_next, with_position
 
 SESSION, TIME, TIE = "session_id", "action_time", "event_id"
 
@@ -31,25 +31,25 @@ def flow_pairs(spark: SparkSession, flow) -> DataFrame:
     return spark.createDataFrame(pairs, "page_id bigint, next_page_id bigint")
 
 
-def session_page_steps(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def session_page_steps(actions: DataFrame, split: str | None = DEFAULT_SPLIT) -> DataFrame:
     """Every action with the session's next page and time (null on the last action)."""
     base = actions.select(SESSION, TIE, TIME, "page_id")
-    return with_next(base, [SESSION], TIME, TIE, carry=["page_id", TIME], bucket_seconds=bucket_seconds)
+    return with_next(base, [SESSION], TIME, TIE, carry=["page_id", TIME], split=split)
 
 
-def session_page_hops(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def session_page_hops(actions: DataFrame, split: str | None = DEFAULT_SPLIT) -> DataFrame:
     """(session_id, page_id, next_page_id) for each consecutive pair of a session's actions."""
-    s = session_page_steps(actions, bucket_seconds)
+    s = session_page_steps(actions, split)
     return s.where(F.col("next_page_id").isNotNull()).select(SESSION, "page_id", "next_page_id")
 
 
-def session_page_paths(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def session_page_paths(actions: DataFrame, split: str | None = DEFAULT_SPLIT) -> DataFrame:
     """Each session's page path, one row per step: (session_id, step, page_id).
 
     The path stays in rows rather than one string per session, so a session with a huge
     number of actions is never gathered into a single value."""
     base = actions.select(SESSION, TIE, TIME, "page_id")
-    return with_position(base, [SESSION], TIME, TIE, name="step", bucket_seconds=bucket_seconds) \
+    return with_position(base, [SESSION], TIME, TIE, name="step", split=split) \
         .select(SESSION, "step", "page_id")
 
 
@@ -60,32 +60,32 @@ def page_visit_counts(actions: DataFrame, flow) -> DataFrame:
                    .groupBy("page_id").agg(F.count(F.lit(1)).alias("visits")))
 
 
-def _source_hop_table(actions: DataFrame, flow, bucket_seconds) -> DataFrame:
+def _source_hop_table(actions: DataFrame, flow, split) -> DataFrame:
     """(page_id, next_page_id, n) over source pages of the flow; ``next_page_id`` null counts
     actions that end a session. Small: at most |sources| x (|pages| + 1) rows."""
     sources = sorted(set(parse_flow(flow)[:-1]))
-    s = session_page_steps(actions, bucket_seconds)
+    s = session_page_steps(actions, split)
     return (s.where(F.col("page_id").isin(sources))
              .groupBy("page_id", "next_page_id").agg(F.count(F.lit(1)).alias("n")))
 
 
-def page_hop_counts(actions: DataFrame, flow, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def page_hop_counts(actions: DataFrame, flow, split: str | None = DEFAULT_SPLIT) -> DataFrame:
     """(page_id, next_page_id, hops) for the target hops of the flow that occur."""
     spark = actions.sparkSession
-    t = _source_hop_table(actions, flow, bucket_seconds)
+    t = _source_hop_table(actions, flow, split)
     return (t.join(F.broadcast(flow_pairs(spark, flow)), ["page_id", "next_page_id"])
              .select("page_id", "next_page_id", F.col("n").alias("hops")))
 
 
 def page_conversion_rate(actions: DataFrame, flow, include_zero: bool = False,
-                         bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                         split: str | None = DEFAULT_SPLIT) -> DataFrame:
     """(page_id, next_page_id, hops, visits, rate) with rate = hops / visits of the source page.
 
     One ordered pass gives numerator and denominator together: the per-(page, next page)
     table is aggregated once and both counts are read from it. Target hops that never occur
     are left out unless ``include_zero``."""
     spark = actions.sparkSession
-    t = _source_hop_table(actions, flow, bucket_seconds)
+    t = _source_hop_table(actions, flow, split)
     # visits of the source page = all its rows in the small hop table, read with a window so
     # the session pass is not run a second time for the denominator
     t = t.withColumn("visits", F.sum("n").over(Window.partitionBy("page_id")))
@@ -104,19 +104,19 @@ def page_conversion_rate(actions: DataFrame, flow, include_zero: bool = False,
                     (F.col("hops") / F.col("visits")).cast("double").alias("rate"))
 
 
-def page_dwell_intervals(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def page_dwell_intervals(actions: DataFrame, split: str | None = DEFAULT_SPLIT) -> DataFrame:
     """(event_id, page_id, dwell_ms): time from an action to the session's next action,
     charged to the earlier page. A session's last action contributes nothing."""
-    s = session_page_steps(actions, bucket_seconds)
+    s = session_page_steps(actions, split)
     return (s.where(F.col("next_" + TIME).isNotNull())
              .select(TIE, "page_id",
                      (F.unix_millis(F.col("next_" + TIME)) - F.unix_millis(F.col(TIME))).alias("dwell_ms")))
 
 
-def page_dwell_time(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def page_dwell_time(actions: DataFrame, split: str | None = DEFAULT_SPLIT) -> DataFrame:
     """(page_id, n, avg_ms, avg_ms_exact). ``avg_ms`` keeps the reference's integer mean
     (sum div count, then widened to double); ``avg_ms_exact`` is the real mean."""
-    d = page_dwell_intervals(actions, bucket_seconds)
+    d = page_dwell_intervals(actions, split)
     return d.groupBy("page_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.expr("cast(sum(dwell_ms) div count(1) as double)").alias("avg_ms"),

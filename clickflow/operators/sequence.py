@@ -2,20 +2,32 @@
 
 A plain ``lead(x) over (partition by session order by t)`` sends every row of a session to
 one task; if one session held a third of all rows, one task would sort a third of the data.
-Both operators below split each group into fixed time buckets ``(group, floor(t / B))``:
+Both operators below cut each group into pieces ``(group, piece)`` whose order follows the
+sort order, then:
 
-1. a window over ``(group, bucket)`` does the per-row work inside each bucket;
-2. one row per bucket is reduced map-side before any shuffle: its first row through a
+1. a window over ``(group, piece)`` does the per-row work inside each piece;
+2. one row per piece is reduced map-side before any shuffle: its first row through a
    partial ``WindowGroupLimit`` (``row_number() = 1``), or its size through a partial hash
    aggregate;
-3. a window over ``group`` runs on those per-bucket rows only (a hot group now costs one task
-   ``span / B`` rows, not its row count) to link each bucket to the next non-empty one, or to
-   the running count of earlier buckets;
-4. an equi-join on ``(group, bucket)`` hands that back to the rows. The big side is already
+3. a window over ``group`` runs on those per-piece rows only, to link each piece to the next
+   non-empty one, or to the running count of earlier pieces;
+4. an equi-join on ``(group, piece)`` hands that back to the rows. The big side is already
    hash-partitioned and sorted on these keys by step 1, so only the small side is shuffled.
 
-Results equal the plain window exactly (ties broken by ``tie_col``). ``bucket_seconds=None``
-gives the plain single-window plan, kept for comparison.
+Pieces (``split``):
+
+- ``"range"`` (default): range chunks of the full sort key ``(group, time, tie)``, from
+  ``repartitionByRange`` with sampled bounds. The key is unique, so no value can be hot: any
+  group, even one holding a third of all rows within one second, is cut into chunks of
+  about ``1 / chunks`` of the data, and a group has at most ``chunks`` pieces in step 3.
+  The chunked rows are written once to the shared checkpoint folder and read back (an eager
+  write when the operator is called), which pins the chunk ids for all branches and cuts
+  the lineage; the explicit partition count keeps AQE from coalescing the range exchange.
+- ``"time"``: fixed time buckets of ``bucket_seconds``; no sampling pass, but a burst of one
+  group inside one bucket stays in one task.
+- ``None``: the plain single window, kept for comparison.
+
+Results equal the plain window exactly (ties broken by ``tie_col``).
 """
 
 from __future__ import annotations
@@ -24,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 300
+DEFAULT_SPLIT = "range"
 
 
 def _bucket(time_col: str, bucket_seconds: int):
@@ -32,25 +45,48 @@ def _bucket(time_col: str, bucket_seconds: int):
     return m - F.pmod(m, F.lit(int(bucket_seconds) * 1_000_000))
 
 
+def _pieces(df: DataFrame, by: list[str], time_col: str, tie_col: str, split: str,
+            bucket_seconds: int, chunks: int | None) -> DataFrame:
+    """``df`` with a ``_tb`` piece id that is non-decreasing in ``(time, tie)`` within a group."""
+    if split == "time":
+        return df.withColumn("_tb", _bucket(time_col, bucket_seconds))
+    if split == "range":
+        from ..session import work_dir
+
+        spark = df.sparkSession
+        n = int(chunks or spark.conf.get("spark.sql.shuffle.partitions"))
+        path = work_dir(spark, "sequence-chunks")
+        # Written once and read back: the chunk id is a partition index, and two evaluations
+        # of the range exchange (one per branch, after different column pruning) would sample
+        # different bounds. The written table fixes the ids for every branch and cuts lineage.
+        (df.repartitionByRange(n, *[F.col(c) for c in by], F.col(time_col), F.col(tie_col))
+           .withColumn("_tb", F.spark_partition_id().cast("bigint"))
+           .write.parquet(path))
+        return spark.read.parquet(path)
+    raise ValueError(f"unknown split {split!r}")
+
+
 def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry: list[str],
-              prefix: str = "next_", bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+              prefix: str = "next_", split: str | None = DEFAULT_SPLIT,
+              bucket_seconds: int = DEFAULT_BUCKET_SECONDS, chunks: int | None = None) -> DataFrame:
     """Add ``<prefix><c>`` for each ``c`` in ``carry``: the value of the following row of the
     same ``by`` group in ``(time_col, tie_col)`` order; null on a group's last row.
-    ``tie_col`` must be non-null (it marks whether a next row exists)."""
+    ``tie_col`` must be non-null and unique (it completes the order and marks whether a next
+    row exists)."""
     order = [F.col(time_col), F.col(tie_col)]
-    if bucket_seconds is None:
+    if split is None:
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select(*df.columns, *[F.lead(c).over(w).alias(prefix + c) for c in carry])
     keys = [*by, "_tb"]
     cols = list(dict.fromkeys([tie_col, *carry]))
     w = Window.partitionBy(*keys).orderBy(*order)
-    # per-column leads inside each bucket; no struct is built before the shuffle
-    x = df.withColumn("_tb", _bucket(time_col, bucket_seconds)).select(
+    # per-column leads inside each piece; no struct is built before the shuffle
+    x = _pieces(df, by, time_col, tie_col, split, bucket_seconds, chunks).select(
         *df.columns, "_tb",
         *[F.lead(c).over(w).alias("_in_" + c) for c in cols],
         F.row_number().over(w).alias("_pos"))
-    # first row of each bucket (a partial group limit keeps one row per bucket per map task),
-    # linked to the first row of the session's next non-empty bucket by a window over buckets
+    # first row of each piece (a partial group limit keeps one row per piece per map task),
+    # linked to the first row of the group's next non-empty piece by a window over pieces
     nb = Window.partitionBy(*by).orderBy("_tb")
     link = (x.where(F.col("_pos") == 1)
              .select(*keys, *[F.lead(c).over(nb).alias("_nb_" + c) for c in cols]))
@@ -62,16 +98,17 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
 
 
 def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, name: str = "step",
-                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  split: str | None = DEFAULT_SPLIT, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                  chunks: int | None = None) -> DataFrame:
     """Add ``name``: the 1-based position of each row in its ``by`` group, ordered by
     ``(time_col, tie_col)`` (``row_number`` semantics)."""
     order = [F.col(time_col), F.col(tie_col)]
-    if bucket_seconds is None:
+    if split is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
     keys = [*by, "_tb"]
-    x = df.withColumn("_tb", _bucket(time_col, bucket_seconds))
-    x = x.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    sizes = df.withColumn("_tb", _bucket(time_col, bucket_seconds)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    p = _pieces(df, by, time_col, tie_col, split, bucket_seconds, chunks)
+    x = p.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    sizes = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (x.join(offsets, on=keys, how="left")

@@ -56,20 +56,24 @@ def test_flow_needs_two_pages():
     assert PF.parse_flow(" 1, 2 ,3") == [1, 2, 3]
 
 
-def test_bucketed_sequence_equals_plain_window(spark):
-    """A hot session spanning many buckets, ties on time, and sparse sessions."""
+@pytest.mark.parametrize("split,kw", [("time", {"bucket_seconds": 60}), ("range", {"chunks": 7}),
+                                      ("range", {"chunks": 1})])
+def test_split_sequence_equals_plain_window(spark, split, kw):
+    """A hot session spread over many pieces, a burst of one session inside one second,
+    ties on time, and sparse sessions."""
     rnd = random.Random(7)
     rows = []
     eid = 0
-    for s, n, spread in [("hot", 400, 4000), ("b", 5, 100), ("c", 1, 10), ("d", 30, 20)]:
+    for s, n, spread in [("hot", 400, 4000), ("burst", 300, 1), ("b", 5, 100), ("c", 1, 10), ("d", 30, 20)]:
         for _ in range(n):
             eid += 1
             rows.append((s, eid, T0 + dt.timedelta(seconds=rnd.randrange(spread)), rnd.randrange(1, 8)))
+    rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "s string, e long, t timestamp, p long")
-    got = with_next(df, ["s"], "t", "e", ["p", "t"], bucket_seconds=60)
-    want = with_next(df, ["s"], "t", "e", ["p", "t"], bucket_seconds=None)
+    got = with_next(df, ["s"], "t", "e", ["p", "t"], split=split, **kw)
+    want = with_next(df, ["s"], "t", "e", ["p", "t"], split=None)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    gp = with_position(df, ["s"], "t", "e", bucket_seconds=60)
-    wp = with_position(df, ["s"], "t", "e", bucket_seconds=None)
+    gp = with_position(df, ["s"], "t", "e", split=split, **kw)
+    wp = with_position(df, ["s"], "t", "e", split=None)
     assert sorted(map(tuple, gp.collect())) == sorted(map(tuple, wp.collect()))
     assert gp.where(F.col("s") == "hot").agg(F.max("step")).first()[0] == 400
