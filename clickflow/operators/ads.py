@@ -41,11 +41,20 @@ def ad_blacklist_crossings(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD)
     ``threshold`` clicks on one (day, ad).
 
     ``row_number() = threshold`` plans a partial ``WindowGroupLimit``: each map task passes on
-    at most ``threshold`` rows per (day, ad, user), so a hot user is cut down before the shuffle."""
-    w = Window.partitionBy("date", "adid", "userid").orderBy("ts", "event_id")
-    hit = (log.select("date", "adid", "userid", "ts", "event_id")
-              .withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") == int(threshold)))
+    at most ``threshold`` rows per (day, ad, user), so a hot user is cut down before the shuffle.
+    Spark inserts that limit only up to ``spark.sql.optimizer.windowGroupLimitThreshold``;
+    above it the position comes from the skew-proof :func:`~clickflow.operators.sequence.with_position`."""
+    from .sequence import with_position
+
+    keys = ["date", "adid", "userid"]
+    base = log.select(*keys, "ts", "event_id")
+    limit = int(log.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if int(threshold) <= limit:
+        w = Window.partitionBy(*keys).orderBy("ts", "event_id")
+        pos = base.withColumn("_rn", F.row_number().over(w))
+    else:
+        pos = with_position(base, keys, "ts", "event_id", name="_rn")
+    hit = pos.where(F.col("_rn") == int(threshold))
     # earliest crossing per user: one row per user survives a partial group limit (a min over
     # a struct would plan as a sort-based aggregate)
     first = Window.partitionBy("userid").orderBy("ts", "event_id")

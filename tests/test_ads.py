@@ -83,3 +83,17 @@ def test_decode_lines(spark):
     assert ok[1].date == "2024-01-01" and ok[1].adid == "3" and ok[1].ts_ms == 1704067200000
     rej = {r.event_id: r.reason for r in adlog.ad_log_rejects(lines).collect()}
     assert rej == {2: "missing_field", 3: "bad_timestamp", 5: "missing_field", 6: "missing_field"}
+
+
+def test_crossings_above_group_limit_threshold(spark):
+    """Thresholds above Spark's group-limit threshold take the skew-proof position path."""
+    rows = _clicks("u", "1", 5, T, 0) + _clicks("v", "1", 2, T, 10) + _clicks("w", "2", 4, T, 20)
+    log = ad_df(spark, rows)
+    want = sorted(map(tuple, A.ad_blacklist_crossings(log, 3).collect()))
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        got = sorted(map(tuple, A.ad_blacklist_crossings(log, 3).collect()))
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    assert got == want and [g[0] for g in got] == ["u", "w"]
