@@ -77,3 +77,24 @@ def test_split_sequence_equals_plain_window(spark, split, kw):
     wp = with_position(df, ["s"], "t", "e", split=None)
     assert sorted(map(tuple, gp.collect())) == sorted(map(tuple, wp.collect()))
     assert gp.where(F.col("s") == "hot").agg(F.max("step")).first()[0] == 400
+
+
+def test_hot_session_is_split_evenly(spark):
+    """A third of all actions forced into one session: range chunks stay balanced, the session
+    spans several chunks, and the result still equals the plain window."""
+    from clickflow.operators.sequence import _pieces
+    from clickflow.sources.adapters import visit_actions
+
+    from .conftest import SF_MID
+
+    va = visit_actions(spark, SF_MID).select("session_id", "event_id", "action_time", "page_id")
+    hot = va.withColumn("session_id", F.when(F.col("event_id") % 3 == 0, F.lit("hot"))
+                        .otherwise(F.col("session_id")))
+    n = hot.count()
+    p = _pieces(hot, ["session_id"], "action_time", "event_id", "range", 300, chunks=8)
+    sizes = [r["count"] for r in p.groupBy("_tb").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * n / 8
+    assert p.where(F.col("session_id") == "hot").select("_tb").distinct().count() >= 2
+    got = with_next(hot, ["session_id"], "action_time", "event_id", ["page_id"], split="range", chunks=8)
+    want = with_next(hot, ["session_id"], "action_time", "event_id", ["page_id"], split=None)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
