@@ -139,6 +139,13 @@ def io_queries() -> dict[str, Query]:
         return out.where(F.col("reject_reason").isNull()).select(
             "event_id", "ts_ms", "date", "area", "city", "userid", "adid")
 
+    def rejects_stream(s, d):
+        root = _replay(s, d, "stream_rejects", lambda r: [
+            (lambda st: SA.decoded_to_files(st, f"{r}/decoded"), f"{r}/ckpt")], plant_errors=True)
+        out = s.read.parquet(f"{root}/decoded")
+        return out.where(F.col("reject_reason").isNotNull()).select(
+            "event_id", "line", F.col("reject_reason").alias("reason"))
+
     def counts_stream(grain, name):
         def run(s, d):
             holder = {}
@@ -196,6 +203,7 @@ def io_queries() -> dict[str, Query]:
         return s.read.parquet(f"{root}/trend")
 
     q["ad_log_stream_scan"] = log_scan
+    q["ad_log_rejects_stream"] = rejects_stream
     q["ad_click_counts_stream"] = counts_stream(("adid", "userid"), "stream_counts")
     q["ad_area_counts_stream"] = counts_stream(("area", "adid"), "stream_area_counts")
     q["ad_click_counts_by_city_stream"] = counts_stream(("area", "city", "adid"), "stream_city_counts")

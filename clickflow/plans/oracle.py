@@ -252,6 +252,7 @@ group by 1, 2"""
 
     # streams: final tables must equal their batch twins
     q["ad_log_stream_scan"] = q["ad_log_parse"]
+    q["ad_log_rejects_stream"] = q["ad_log_rejects"]
     q["ad_click_counts_stream"] = q["ad_click_counts"]
     q["ad_area_counts_stream"] = q["ad_area_counts"]
     q["ad_top3_stream"] = q["ad_top3_by_area"]

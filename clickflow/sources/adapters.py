@@ -72,7 +72,7 @@ def visit_actions(spark: SparkSession, sf_dir: str, start_date: str | None = Non
         F.when(etype == "signup", (1 + eid % 100).cast("string")).alias("pay_product_ids"),
         (F.lit(1) + F.col("user_id") % 26).cast("bigint").alias("city_id"),
     )
-    return visit_date_range(out, start_date, end_date)
+    return schemas.conform(visit_date_range(out, start_date, end_date), schemas.VISIT_ACTION)
 
 
 def visit_date_range(actions: DataFrame, start_date: str | None = None,
@@ -105,7 +105,7 @@ def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.replace(F.col("n_name"), F.lit(" "), F.lit("-")).alias("city")))
     ts = F.col("ts").cast("timestamp")
     j = ev.join(broadcast_if_small(dims), (F.col("user_id") % 25) == F.col("n_nationkey"))
-    return j.select(
+    return schemas.conform(j.select(
         F.col("event_id"),
         ts.alias("ts"),
         F.unix_millis(ts).alias("ts_ms"),
@@ -114,7 +114,7 @@ def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("city"),
         F.col("user_id").cast("string").alias("userid"),
         (F.lit(1) + _k(F.col("props")) % 6).cast("string").alias("adid"),
-    )
+    ), schemas.AD_LOG)
 
 
 def encode_ad_lines(log: DataFrame) -> DataFrame:
