@@ -19,10 +19,10 @@ Pieces (``split``):
 - ``"range"`` (default): range chunks of the full sort key ``(group, time, tie)``, from
   ``repartitionByRange`` with sampled bounds. The key is unique, so no value can be hot: any
   group, even one holding a third of all rows within one second, is cut into chunks of
-  about ``1 / chunks`` of the data, and a group has at most ``chunks`` pieces in step 3.
+  about one advisory partition size each, and step 3 sees one row per chunk of a group.
   The chunked rows are written once to the shared checkpoint folder and read back (an eager
   write when the operator is called), which pins the chunk ids for all branches and cuts
-  the lineage; the explicit partition count keeps AQE from coalescing the range exchange.
+  the lineage. Without an explicit ``chunks`` count AQE sizes the chunks from the data.
 - ``"time"``: fixed time buckets of ``bucket_seconds``; no sampling pass, but a burst of one
   group inside one bucket stays in one task.
 - ``None``: the plain single window, kept for comparison.
@@ -54,14 +54,14 @@ def _pieces(df: DataFrame, by: list[str], time_col: str, tie_col: str, split: st
         from ..session import work_dir
 
         spark = df.sparkSession
-        n = int(chunks or spark.conf.get("spark.sql.shuffle.partitions"))
         path = work_dir(spark, "sequence-chunks")
+        cols = [*[F.col(c) for c in by], F.col(time_col), F.col(tie_col)]
+        # no count given: AQE sizes the chunks from the data (advisory partition size)
+        ranged = df.repartitionByRange(int(chunks), *cols) if chunks else df.repartitionByRange(*cols)
         # Written once and read back: the chunk id is a partition index, and two evaluations
         # of the range exchange (one per branch, after different column pruning) would sample
         # different bounds. The written table fixes the ids for every branch and cuts lineage.
-        (df.repartitionByRange(n, *[F.col(c) for c in by], F.col(time_col), F.col(tie_col))
-           .withColumn("_tb", F.spark_partition_id().cast("bigint"))
-           .write.parquet(path))
+        ranged.withColumn("_tb", F.spark_partition_id().cast("bigint")).write.parquet(path)
         return spark.read.parquet(path)
     raise ValueError(f"unknown split {split!r}")
 

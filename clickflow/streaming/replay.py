@@ -51,11 +51,26 @@ def slice_bounds(df: DataFrame, order_col: str, slices: int) -> list[tuple[int,
 
 def replay(lines: DataFrame, folder: str,
            queries: list[tuple[Callable[[DataFrame], DataStreamWriter], str]], slices: int = 4,
-           order_col: str = "event_id", timeout_s: float = 900) -> int:
+           order_col: str = "event_id", timeout_s: float = 900, state_partitions: int | None = None) -> int:
     """Land ``lines`` in ``folder`` slice by slice. After each slice, run every query in
     ``queries`` - pairs of (builder given the stream DataFrame, checkpoint folder) - in the
     given order with ``availableNow``, each until it has consumed all landed files.
+
+    A stateful query fixes its number of state partitions from ``spark.sql.shuffle.partitions``
+    when its checkpoint is created; the replay starts its queries with ``state_partitions``
+    (default: the cluster's default parallelism) and restores the session setting afterwards.
     Returns the number of slices replayed."""
+    spark = lines.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions or spark.sparkContext.defaultParallelism)))
+    try:
+        return _replay_slices(lines, folder, queries, slices, order_col, timeout_s)
+    finally:
+        spark.conf.set(key, saved)
+
+
+def _replay_slices(lines, folder, queries, slices, order_col, timeout_s) -> int:
     spark = lines.sparkSession
     runs = 0
     for lo, hi in slice_bounds(lines, order_col, slices):
