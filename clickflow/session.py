@@ -18,6 +18,16 @@ SESSION_DEFAULTS = {
 }
 
 
+# For sessions built here: streaming state in RocksDB (off-heap, spills to local disk, changelog
+# checkpoints), so day-window state can grow past executor heap. Not forced on an existing
+# session by ``prepare``: a checkpoint keeps the provider it was created with.
+STREAM_STATE_DEFAULTS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "clickflow", extra: dict | None = None) -> SparkSession:
     """A session for local runs (tests, bench). On a cluster, use the cluster's own session
@@ -28,7 +38,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("CLICKFLOW_DRIVER_MEMORY", "8g"))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
-    for k, v in SESSION_DEFAULTS.items():
+    for k, v in {**SESSION_DEFAULTS, **STREAM_STATE_DEFAULTS}.items():
         b = b.config(k, v)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
