@@ -1,10 +1,16 @@
 """A keyed result table written from ``foreachBatch`` - the stand-in for the reference's
 external hash / set stores.
 
-Each micro-batch writes its rows into its own ``epoch=<id>`` folder with mode overwrite, so a
-retried batch rewrites exactly the same folder (no double counting, unlike an external
-increment). Readers take, per key, the row of the highest epoch. Folders accumulate one per
-batch, so a long-running deployment needs periodic compaction (not built in this round).
+Each micro-batch writes its rows into its own folder ``gen=<g>/epoch=<id>`` with mode
+overwrite, so a retried batch rewrites exactly the same folder (no double counting, unlike
+an external increment). Readers take, per key, the row of the highest epoch.
+
+Epochs are grouped into generations of ``generation`` batches. The batch that closes a
+generation also writes a snapshot of the current state to ``_snapshots/gen=<g>``; readers
+then need only the latest snapshot plus the folders of the generations after it, so the
+files a batch lists and reads stop growing with the age of the stream. (A retried closing
+batch rewrites the same snapshot. Folders of older generations are no longer read and can be
+dropped by the storage's retention.)
 """
 
 from __future__ import annotations
@@ -15,38 +21,86 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EPOCH = "epoch"
+GEN = "gen"
+DEFAULT_GENERATION = 1000
 
 
 class KeyedTable:
     def __init__(self, path: str, keys: list[str], schema: T.StructType | None = None,
-                 partition_by: list[str] | None = None):
+                 partition_by: list[str] | None = None, generation: int = DEFAULT_GENERATION):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.schema = schema
         # optional folder layout inside each epoch (e.g. by day) so readers can prune
         self.partition_by = list(partition_by or [])
+        self.generation = int(generation)
+
+    # layout -----------------------------------------------------------------------------
+    def gen_of(self, epoch_id: int) -> int:
+        return int(epoch_id) // self.generation
+
+    def gen_path(self, gen: int) -> str:
+        return f"{self.path}/{GEN}={int(gen)}"
 
     def epoch_path(self, epoch_id: int) -> str:
-        return f"{self.path}/{EPOCH}={int(epoch_id)}"
+        return f"{self.gen_path(self.gen_of(epoch_id))}/{EPOCH}={int(epoch_id)}"
+
+    def snapshot_path(self, gen: int) -> str:
+        return f"{self.path}/_snapshots/{GEN}={int(gen)}"
 
+    # writing ----------------------------------------------------------------------------
     def write(self, df: DataFrame, epoch_id: int) -> None:
-        """Overwrite this batch's folder with ``df`` (keys + values)."""
+        """Overwrite this batch's folder with ``df`` (keys + values); the batch that closes
+        a generation then snapshots the current state."""
         if self.schema is None:
             self.schema = df.schema
         w = df.write.mode("overwrite")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(self.epoch_path(epoch_id))
+        if (int(epoch_id) + 1) % self.generation == 0:
+            snap = self.current(df.sparkSession, before_epoch=int(epoch_id) + 1)
+            sw = snap.write.mode("overwrite")
+            if self.partition_by:
+                sw = sw.partitionBy(*self.partition_by)
+            sw.parquet(self.snapshot_path(self.gen_of(epoch_id)))
 
-    def _all(self, spark: SparkSession) -> DataFrame | None:
+    # reading ----------------------------------------------------------------------------
+    def _reader(self, spark: SparkSession, extra: list[T.StructField]):
         r = spark.read
         if self.schema is not None:
             # explicit types: folder names such as date=2024-01-05 must stay text
-            r = r.schema(T.StructType([*self.schema.fields, T.StructField(EPOCH, T.IntegerType())]))
+            r = r.schema(T.StructType([*self.schema.fields, *extra]))
+        return r
+
+    def _latest_snapshot(self, spark: SparkSession, below_gen: int | None) -> int | None:
+        """Latest snapshot generation (optionally below ``below_gen``); None if none."""
         try:
-            return r.parquet(self.path)
+            snaps = (self._reader(spark, [T.StructField(GEN, T.IntegerType())])
+                     .parquet(f"{self.path}/_snapshots"))
         except AnalysisException:
             return None
+        if below_gen is not None:
+            snaps = snaps.where(F.col(GEN) < int(below_gen))
+        return snaps.agg(F.max(GEN)).first()[0]
+
+    def _deltas(self, spark: SparkSession, gens: list[int] | None, from_gen: int) -> DataFrame | None:
+        """Delta rows (with ``epoch``) of the listed generations, reading only their folders;
+        with ``gens=None``, every generation from ``from_gen`` on, found by listing."""
+        extra = [T.StructField(GEN, T.IntegerType()), T.StructField(EPOCH, T.IntegerType())]
+        paths = [self.path] if gens is None else [self.gen_path(g) for g in gens]
+        frames = []
+        for p in paths:
+            try:
+                frames.append(self._reader(spark, extra).option("basePath", self.path).parquet(p))
+            except AnalysisException:
+                continue
+        if not frames:
+            return None
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out.where(F.col(GEN) >= int(from_gen)).drop(GEN)
 
     def _empty(self, spark: SparkSession) -> DataFrame:
         if self.schema is None:
@@ -54,13 +108,30 @@ class KeyedTable:
         return spark.createDataFrame([], self.schema)
 
     def history(self, spark: SparkSession, before_epoch: int | None = None) -> DataFrame:
-        """Every written row with its ``epoch`` (optionally only epochs before ``before_epoch``)."""
-        df = self._all(spark)
-        if df is None:
+        """Rows with their ``epoch``: the latest snapshot (stamped with the last epoch of its
+        generation) plus every later batch, optionally only epochs before ``before_epoch``.
+
+        Inside a batch (``before_epoch`` given) only that snapshot and the folders of the
+        generations after it are read; without it the later deltas are found by listing."""
+        cur_gen = None if before_epoch is None else self.gen_of(max(int(before_epoch) - 1, 0))
+        snap_gen = self._latest_snapshot(spark, below_gen=cur_gen)
+        parts = []
+        if snap_gen is not None:
+            snap = self._reader(spark, []).parquet(self.snapshot_path(snap_gen))
+            parts.append(snap.withColumn(EPOCH, F.lit((snap_gen + 1) * self.generation - 1)))
+        first_gen = 0 if snap_gen is None else snap_gen + 1
+        gens = None if cur_gen is None else list(range(first_gen, cur_gen + 1))
+        d = self._deltas(spark, gens, first_gen)
+        if d is not None:
+            if before_epoch is not None:
+                d = d.where(F.col(EPOCH) < int(before_epoch))
+            parts.append(d)
+        if not parts:
             return self._empty(spark).withColumn(EPOCH, F.lit(None).cast("int"))
-        if before_epoch is not None:
-            df = df.where(F.col(EPOCH) < int(before_epoch))
-        return df
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
 
     def current(self, spark: SparkSession, before_epoch: int | None = None) -> DataFrame:
         """Latest row per key. ``row_number() = 1`` per key plans a partial group limit, so each
