@@ -8,12 +8,21 @@ from pyspark.sql import functions as F
 # Largest side (in rows) broadcast to every executor after an explicit check.
 MAX_BROADCAST_ROWS = 1_000_000
 
+# (session, plan of the side, its input files, bound) -> fits. A side whose files change gets
+# a new key and is checked again.
+_checked: dict[tuple, bool] = {}
+
 
 def broadcast_if_small(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``side`` with a broadcast hint if it holds at most ``max_rows`` rows, else unchanged
     (the join then plans as a shuffle join, with AQE free to re-plan it).
 
     The check reads at most ``max_rows + 1`` rows of ``side`` (a limit pushed into the scan),
-    so it stays cheap however large the side turns out to be. Meant for dimension tables."""
-    n = side.limit(int(max_rows) + 1).count()
-    return F.broadcast(side) if n <= max_rows else side
+    so it stays cheap however large the side turns out to be. Meant for dimension tables; the
+    answer is remembered per session for the same plan over the same input files."""
+    key = (id(side.sparkSession), side.semanticHash(), tuple(sorted(side.inputFiles())), int(max_rows))
+    fits = _checked.get(key)
+    if fits is None:
+        fits = side.limit(int(max_rows) + 1).count() <= max_rows
+        _checked[key] = fits
+    return F.broadcast(side) if fits else side
