@@ -1,0 +1,22 @@
+"""Size-checked broadcast: hinted under the bound, a shuffle join above it."""
+
+from clickflow.operators.joins import broadcast_if_small
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_broadcast_only_under_the_bound(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(0, 1000).withColumnRenamed("id", "k")
+        dim = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "k long, name string")
+        small_plan = _plan(big.join(broadcast_if_small(dim, max_rows=5), "k"))
+        large_plan = _plan(big.join(broadcast_if_small(dim, max_rows=4), "k"))
+        assert "BroadcastHashJoin" in small_plan
+        assert "BroadcastHashJoin" not in large_plan and "SortMergeJoin" in large_plan
+        assert big.join(broadcast_if_small(dim, max_rows=4), "k").count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
