@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import day_of, non_blank
+from ..functions import day_of
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,5 +141,5 @@ def ad_log_lines(spark: SparkSession, sf_dir: str, plant_errors: bool = False) -
 
 __all__ = [
     "read_table", "read_visit_actions", "visit_actions", "visit_date_range", "ad_log",
-    "encode_ad_lines", "ad_log_lines", "non_blank",
+    "encode_ad_lines", "ad_log_lines",
 ]
