@@ -97,13 +97,18 @@ def _stream_lines(spark: SparkSession, sf_dir: str, plant_errors: bool = False)
     return src.ad_log_lines(spark, sf_dir, plant_errors=plant_errors)
 
 
+# progress statistics of the latest replay per stream name (read by bench.py)
+LAST_REPLAY_STATS: dict[str, dict] = {}
+
+
 def _replay(spark, sf_dir, name, build, plant_errors=False):
     """Replay the ad log of ``sf_dir`` through the stream queries ``build(root)`` returns."""
     from ..streaming.replay import replay
 
     root = S.work_dir(spark, name)
     queries = build(root)
-    replay(_stream_lines(spark, sf_dir, plant_errors), f"{root}/landing", queries, slices=P.REPLAY_SLICES)
+    LAST_REPLAY_STATS[name] = replay(_stream_lines(spark, sf_dir, plant_errors), f"{root}/landing", queries,
+                                     slices=P.REPLAY_SLICES)
     return root
 
 

@@ -51,7 +51,7 @@ def slice_bounds(df: DataFrame, order_col: str, slices: int) -> list[tuple[int,
 
 def replay(lines: DataFrame, folder: str,
            queries: list[tuple[Callable[[DataFrame], DataStreamWriter], str]], slices: int = 4,
-           order_col: str = "event_id", timeout_s: float = 900, state_partitions: int | None = None) -> int:
+           order_col: str = "event_id", timeout_s: float = 900, state_partitions: int | None = None) -> dict:
     """Land ``lines`` in ``folder`` slice by slice. After each slice, run every query in
     ``queries`` - pairs of (builder given the stream DataFrame, checkpoint folder) - in the
     given order with ``availableNow``, each until it has consumed all landed files.
@@ -59,7 +59,7 @@ def replay(lines: DataFrame, folder: str,
     A stateful query fixes its number of state partitions from ``spark.sql.shuffle.partitions``
     when its checkpoint is created; the replay starts its queries with ``state_partitions``
     (default: the cluster's default parallelism) and restores the session setting afterwards.
-    Returns the number of slices replayed."""
+    Returns run statistics summed over all micro-batches (see :func:`_add_progress`)."""
     spark = lines.sparkSession
     key = "spark.sql.shuffle.partitions"
     saved = spark.conf.get(key)
@@ -70,9 +70,20 @@ def replay(lines: DataFrame, folder: str,
         spark.conf.set(key, saved)
 
 
-def _replay_slices(lines, folder, queries, slices, order_col, timeout_s) -> int:
+def _add_progress(stats: dict, progress: list[dict]) -> None:
+    """Fold micro-batch progress reports into ``stats``: input rows, rows dropped by the
+    watermark (counted after partial aggregation, so per group, not per event), batch time."""
+    for p in progress:
+        stats["batches"] += 1
+        stats["input_rows"] += int(p.get("numInputRows") or 0)
+        stats["batch_ms"] += int((p.get("durationMs") or {}).get("triggerExecution") or 0)
+        for op in p.get("stateOperators") or []:
+            stats["dropped_by_watermark"] += int(op.get("numRowsDroppedByWatermark") or 0)
+
+
+def _replay_slices(lines, folder, queries, slices, order_col, timeout_s) -> dict:
     spark = lines.sparkSession
-    runs = 0
+    stats = {"slices": 0, "batches": 0, "input_rows": 0, "dropped_by_watermark": 0, "batch_ms": 0}
     for lo, hi in slice_bounds(lines, order_col, slices):
         lines.where((F.col(order_col) >= lo) & (F.col(order_col) < hi)).write.mode("append").parquet(folder)
         for start, checkpoint in queries:
@@ -86,5 +97,6 @@ def _replay_slices(lines, folder, queries, slices, order_col, timeout_s) -> int:
                 raise TimeoutError(f"stream run over {folder} did not finish in {timeout_s}s")
             if q.exception() is not None:
                 raise RuntimeError(f"stream run failed: {q.exception()}")
-        runs += 1
-    return runs
+            _add_progress(stats, q.recentProgress)
+        stats["slices"] += 1
+    return stats

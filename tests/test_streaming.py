@@ -18,12 +18,14 @@ def _rows(df):
     return sorted(map(tuple, df.collect()))
 
 
-def _counts_via_stream(spark, lines, slices, order_col="event_id", delay="10 minutes"):
+def _counts_via_stream(spark, lines, slices, order_col="event_id", delay="10 minutes", stats=None):
     root = S.work_dir(spark, "test_counts")
     t = KeyedTable(f"{root}/counts", ["date", *GRAIN], SA.counts_schema(GRAIN), ["date"])
-    replay(lines, f"{root}/landing",
-           [(lambda st: SA.counts_to_table(SA.parse_stream(st), t, GRAIN, delay), f"{root}/ckpt")],
-           slices=slices, order_col=order_col)
+    st = replay(lines, f"{root}/landing",
+                [(lambda st: SA.counts_to_table(SA.parse_stream(st), t, GRAIN, delay), f"{root}/ckpt")],
+                slices=slices, order_col=order_col)
+    if stats is not None:
+        stats.update(st)
     return t.current(spark).select("date", *GRAIN, "n")
 
 
@@ -47,9 +49,13 @@ def test_late_events_are_dropped(spark):
     hi = log.agg(F.max("event_id")).first()[0]
     # the five earliest events arrive with the last slice, days after their own day closed
     late = lines.withColumn("slot", F.when(F.col("event_id").isin(first), F.lit(hi)).otherwise(F.col("event_id")))
-    got = _rows(_counts_via_stream(spark, late, 4, order_col="slot"))
+    stats = {}
+    got = _rows(_counts_via_stream(spark, late, 4, order_col="slot", stats=stats))
     want = _rows(A.ad_click_counts(log.where(~F.col("event_id").isin(first))))
     assert got == want
+    # counted, per group after partial aggregation: between 1 and 5 rows for 5 late events
+    assert 1 <= stats["dropped_by_watermark"] <= 5
+    assert stats["input_rows"] == log.count() and stats["slices"] == 4
 
 
 def test_keyed_table_replay_is_idempotent(spark):
