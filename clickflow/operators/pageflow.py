@@ -53,9 +53,12 @@ def session_page_paths(actions: DataFrame, split: str | None = DEFAULT_SPLIT) ->
         .select(SESSION, "step", "page_id")
 
 
-def page_visit_counts(actions: DataFrame, flow) -> DataFrame:
-    """(page_id, visits): actions on each source page of the flow (every flow page but the last)."""
-    sources = sorted(set(parse_flow(flow)[:-1]))
+def page_visit_counts(actions: DataFrame, flow, include_last: bool = False) -> DataFrame:
+    """(page_id, visits): actions on each source page of the flow (every flow page but the
+    last); ``include_last`` counts the last flow page too (it is never a hop source, so the
+    conversion rates do not change)."""
+    pages = parse_flow(flow)
+    sources = sorted(set(pages if include_last else pages[:-1]))
     return (actions.where(F.col("page_id").isin(sources))
                    .groupBy("page_id").agg(F.count(F.lit(1)).alias("visits")))
 

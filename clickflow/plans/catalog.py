@@ -163,6 +163,17 @@ def io_queries() -> dict[str, Query]:
             return holder["t"].current(s).select("date", *grain, "n")
         return run
 
+    def increments_stream(s, d):
+        grain = ("adid", "userid")
+        holder = {}
+
+        def build(r):
+            holder["t"] = KeyedTable(f"{r}/counts", ["date", *grain], SA.counts_schema(grain), ["date"],
+                                     merge="sum", sum_cols=["n"])
+            return [(lambda st: SA.increments_to_table(SA.parse_stream(st), holder["t"], grain), f"{r}/ckpt")]
+        _replay(s, d, "stream_increments", build)
+        return holder["t"].current(s).select("date", *grain, "n")
+
     def top3_stream(s, d):
         holder = {}
 
@@ -212,6 +223,7 @@ def io_queries() -> dict[str, Query]:
     q["ad_click_counts_stream"] = counts_stream(("adid", "userid"), "stream_counts")
     q["ad_area_counts_stream"] = counts_stream(("area", "adid"), "stream_area_counts")
     q["ad_click_counts_by_city_stream"] = counts_stream(("area", "city", "adid"), "stream_city_counts")
+    q["ad_click_counts_increments_stream"] = increments_stream
     q["ad_top3_stream"] = top3_stream
     q["ad_top3_json_stream"] = lambda s, d: A.top_ads_json(top3_stream(s, d))
     q["ad_blacklist_stream"] = blacklist_stream

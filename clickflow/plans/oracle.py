@@ -254,6 +254,7 @@ group by 1, 2"""
     q["ad_log_stream_scan"] = q["ad_log_parse"]
     q["ad_log_rejects_stream"] = q["ad_log_rejects"]
     q["ad_click_counts_stream"] = q["ad_click_counts"]
+    q["ad_click_counts_increments_stream"] = q["ad_click_counts"]
     q["ad_area_counts_stream"] = q["ad_area_counts"]
     q["ad_top3_stream"] = q["ad_top3_by_area"]
     q["ad_top3_json_stream"] = q["ad_top3_json"]

@@ -3,7 +3,8 @@ external hash / set stores.
 
 Each micro-batch writes its rows into its own folder ``gen=<g>/epoch=<id>`` with mode
 overwrite, so a retried batch rewrites exactly the same folder (no double counting, unlike
-an external increment). Readers take, per key, the row of the highest epoch.
+an external increment). Readers take, per key, the row of the highest epoch (upserts) or the
+sum over all epochs (increments; every non-key column is then summed).
 
 Epochs are grouped into generations of ``generation`` batches. The batch that closes a
 generation also writes a snapshot of the current state to ``_snapshots/gen=<g>``; readers
@@ -26,11 +27,21 @@ DEFAULT_GENERATION = 1000
 
 
 class KeyedTable:
+    """``merge="latest"``: a batch's row replaces earlier rows of its key (upsert).
+    ``merge="sum"``: a batch's rows are increments; a key's value is the sum of the ``sum_cols``
+    over all batches (an external counter's ``increment``, but a retried batch overwrites its
+    own increment instead of adding it twice)."""
+
     def __init__(self, path: str, keys: list[str], schema: T.StructType | None = None,
-                 partition_by: list[str] | None = None, generation: int = DEFAULT_GENERATION):
+                 partition_by: list[str] | None = None, generation: int = DEFAULT_GENERATION,
+                 merge: str = "latest", sum_cols: list[str] | None = None):
+        if merge not in ("latest", "sum"):
+            raise ValueError(f"unknown merge {merge!r}")
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.schema = schema
+        self.merge = merge
+        self.sum_cols = list(sum_cols or [])
         # optional folder layout inside each epoch (e.g. by day) so readers can prune
         self.partition_by = list(partition_by or [])
         self.generation = int(generation)
@@ -134,9 +145,13 @@ class KeyedTable:
         return out
 
     def current(self, spark: SparkSession, before_epoch: int | None = None) -> DataFrame:
-        """Latest row per key. ``row_number() = 1`` per key plans a partial group limit, so each
-        map task passes on one row per key however many epochs touched it."""
+        """Value per key: the latest row (``row_number() = 1`` per key plans a partial group
+        limit, so each map task passes on one row per key however many epochs touched it), or
+        the sum of the increments (a hash aggregate with partial aggregation)."""
         df = self.history(spark, before_epoch)
-        w = Window.partitionBy(*self.keys).orderBy(F.col(EPOCH).desc())
         cols = [c for c in df.columns if c != EPOCH]
+        if self.merge == "sum":
+            agg = [F.sum(c).cast("bigint").alias(c) for c in self.sum_cols]
+            return df.groupBy(*self.keys).agg(*agg).select(*cols)
+        w = Window.partitionBy(*self.keys).orderBy(F.col(EPOCH).desc())
         return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select(*cols)

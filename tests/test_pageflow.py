@@ -98,3 +98,9 @@ def test_hot_session_is_split_evenly(spark):
     got = with_next(hot, ["session_id"], "action_time", "event_id", ["page_id"], split="range", chunks=8)
     want = with_next(hot, ["session_id"], "action_time", "event_id", ["page_id"], split=None)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_visit_counts_include_last(spark):
+    df = actions_df(spark, [action(1, "s", 1, 0), action(2, "s", 2, 1), action(3, "t", 2, 0)])
+    assert sorted(map(tuple, PF.page_visit_counts(df, "1,2").collect())) == [(1, 1)]
+    assert sorted(map(tuple, PF.page_visit_counts(df, "1,2", include_last=True).collect())) == [(1, 1), (2, 2)]

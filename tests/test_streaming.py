@@ -134,3 +134,15 @@ def test_counts_stream_with_small_generations(spark):
            [(lambda st: SA.counts_to_table(SA.parse_stream(st), t, GRAIN), f"{root}/ckpt")], slices=5)
     got = _rows(t.current(spark).select("date", *GRAIN, "n"))
     assert got == _rows(A.ad_click_counts(src.ad_log(spark, SF_SMALL)))
+
+
+def test_increment_table_sums_and_replays(spark):
+    root = S.work_dir(spark, "test_incr")
+    schema = spark.createDataFrame([], "k string, n long").schema
+    t = KeyedTable(f"{root}/t", ["k"], schema, merge="sum", sum_cols=["n"], generation=2)
+    t.write(spark.createDataFrame([("a", 1), ("b", 2)], schema), 0)
+    t.write(spark.createDataFrame([("a", 3)], schema), 1)       # closes generation 0
+    t.write(spark.createDataFrame([("a", 3)], schema), 1)       # retried: overwrites, no double add
+    t.write(spark.createDataFrame([("b", 5)], schema), 2)
+    assert sorted(map(tuple, t.current(spark).collect())) == [("a", 4), ("b", 7)]
+    assert sorted(map(tuple, t.current(spark, before_epoch=1).collect())) == [("a", 1), ("b", 2)]
