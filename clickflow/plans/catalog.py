@@ -198,16 +198,15 @@ def io_queries() -> dict[str, Query]:
 
     def blacklist_filter_stream(s, d):
         holder = {}
+        grain = ("adid", "userid")
 
         def build(r):
+            holder["c"] = KeyedTable(f"{r}/counts", ["date", *grain], SA.counts_schema(grain), ["date"],
+                                     merge="sum", sum_cols=["n"])
             holder["b"] = KeyedTable(f"{r}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
             holder["a"] = f"{r}/admitted"
-            return [
-                # filter first, with the list as of the end of the previous batch
-                (lambda st: SA.admitted_to_folder(SA.parse_stream(st), holder["b"], holder["a"]), f"{r}/ckpt_filter"),
-                (lambda st: SA.blacklist_to_table(SA.parse_stream(st), holder["b"], P.BLACKLIST_THRESHOLD,
-                                                  P.WATERMARK_DELAY), f"{r}/ckpt_list"),
-            ]
+            return [(lambda st: SA.per_event_blacklist_filter(SA.parse_stream(st), holder["c"], holder["b"],
+                                                              holder["a"], P.BLACKLIST_THRESHOLD), f"{r}/ckpt")]
         _replay(s, d, "stream_blacklist_filter", build)
         return s.read.parquet(holder["a"]).select("event_id")
 

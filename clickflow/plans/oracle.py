@@ -260,4 +260,5 @@ group by 1, 2"""
     q["ad_top3_json_stream"] = q["ad_top3_json"]
     q["ad_click_counts_by_city_stream"] = q["ad_click_counts_by_city"]
     q["ad_blacklist_stream"] = q["ad_blacklist"]
+    q["ad_blacklist_filter_stream"] = q["ad_blacklist_filter"]
     return q

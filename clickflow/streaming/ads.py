@@ -8,7 +8,7 @@ safe) or through the exactly-once file sink.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -141,6 +141,53 @@ def admitted_to_folder(parsed: DataFrame, blacklist: KeyedTable, folder: str) ->
     return parsed.writeStream.outputMode("append").foreachBatch(on_batch)
 
 
+def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist: KeyedTable, folder: str,
+                               threshold: int = BLACKLIST_THRESHOLD) -> DataStreamWriter:
+    """Admitted events decided per event, as the batch :func:`~clickflow.operators.ads.ad_blacklist_filter`:
+    a user's clicks pass up to and including the one that lists them.
+
+    Per micro-batch, with no state store: ``counts`` (a ``merge="sum"`` table of clicks per
+    (day, ad, user)) gives the clicks before this batch, and the skew-proof
+    :func:`~clickflow.operators.sequence.with_position` numbers this batch's clicks of each
+    (day, ad, user); a click whose running total reaches ``threshold`` lists its user. A user's
+    events pass unless the user was listed by an earlier batch or the event comes after the
+    user's first crossing in this batch. Then the batch's counts and new listings are written
+    (replay safe). Equal to the batch result when batches arrive in event-time order."""
+    from ..operators.sequence import with_position
+
+    keys = ["date", "adid", "userid"]
+
+    def on_batch(df: DataFrame, epoch_id: int) -> None:
+        spark = df.sparkSession
+        rows = df.select("event_id", "ts", *keys)
+        days = [r.date for r in rows.select("date").distinct().collect()]
+        if not days:
+            return
+        prior = (counts.current(spark, before_epoch=epoch_id).where(F.col("date").isin(days))
+                 .withColumnRenamed("n", "_prior"))
+        listed = blacklist.history(spark, before_epoch=epoch_id).select("userid")
+        pos = with_position(rows, keys, "ts", "event_id", name="_step")
+        hits = (pos.join(prior, keys, "left")
+                   .where(F.coalesce(F.col("_prior"), F.lit(0)) + F.col("_step") == int(threshold)))
+        first = Window.partitionBy("userid").orderBy("ts", "event_id")
+        cross = (hits.withColumn("_f", F.row_number().over(first)).where(F.col("_f") == 1)
+                     .select("userid", F.col("ts").alias("_cts"), F.col("event_id").alias("_cid")))
+        cross_path = f"{folder}/_crossings/epoch={int(epoch_id)}"
+        cross.write.mode("overwrite").parquet(cross_path)       # read twice below: written once
+        cross = spark.read.parquet(cross_path)
+        keep = (F.col("_cts").isNull()
+                | (F.struct("ts", "event_id") <= F.struct(F.col("_cts").alias("ts"), F.col("_cid").alias("event_id"))))
+        admitted = (df.join(listed, "userid", "left_anti").join(cross, "userid", "left")
+                      .where(keep).drop("_cts", "_cid"))
+        admitted.write.mode("overwrite").parquet(f"{folder}/epoch={int(epoch_id)}")
+        counts.write(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), epoch_id)
+        new = (cross.select("userid").join(listed, "userid", "left_anti")
+                    .withColumn("listed_epoch", F.lit(int(epoch_id)).cast("bigint")))
+        blacklist.write(new, epoch_id)
+
+    return parsed.writeStream.outputMode("append").foreachBatch(on_batch)
+
+
 def trend_stream(parsed: DataFrame, window_seconds: int = 60, slide_seconds: int = 10,
                  delay: str = DEFAULT_DELAY) -> DataFrame:
     """Clicks per ``slide_seconds`` bucket inside each sliding event-time window.

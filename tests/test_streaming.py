@@ -146,3 +146,22 @@ def test_increment_table_sums_and_replays(spark):
     t.write(spark.createDataFrame([("b", 5)], schema), 2)
     assert sorted(map(tuple, t.current(spark).collect())) == [("a", 4), ("b", 7)]
     assert sorted(map(tuple, t.current(spark, before_epoch=1).collect())) == [("a", 1), ("b", 2)]
+
+
+def test_per_event_filter_stream_equals_batch(spark):
+    """Per-event stream filter = batch filter, for any slicing of an in-order log."""
+    threshold = 3
+    log = src.ad_log(spark, SF_SMALL)
+    want = sorted(r.event_id for r in A.ad_blacklist_filter(log, threshold).collect())
+    for slices in (2, 5):
+        root = S.work_dir(spark, "test_filter_event")
+        grain = ("adid", "userid")
+        c = KeyedTable(f"{root}/c", ["date", *grain], SA.counts_schema(grain), ["date"], merge="sum",
+                       sum_cols=["n"], generation=2)
+        b = KeyedTable(f"{root}/b", ["userid"], SA.BLACKLIST_SCHEMA, generation=2)
+        replay(src.encode_ad_lines(log), f"{root}/landing", [
+            (lambda st: SA.per_event_blacklist_filter(SA.parse_stream(st), c, b, f"{root}/adm", threshold),
+             f"{root}/ckpt")], slices=slices)
+        got = sorted(r.event_id for r in spark.read.parquet(f"{root}/adm").collect())
+        assert got == want
+        assert {r.userid for r in b.history(spark).collect()} == {r.userid for r in A.ad_blacklist(log, threshold).collect()}
