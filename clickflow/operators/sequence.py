@@ -6,13 +6,13 @@ Both operators below cut each group into pieces ``(group, piece)`` whose order f
 sort order, then:
 
 1. a window over ``(group, piece)`` does the per-row work inside each piece;
-2. one row per piece is reduced map-side before any shuffle: its first row through a
-   partial ``WindowGroupLimit`` (``row_number() = 1``), or its size through a partial hash
-   aggregate;
-3. a window over ``group`` runs on those per-piece rows only, to link each piece to the next
-   non-empty one, or to the running count of earlier pieces;
-4. an equi-join on ``(group, piece)`` hands that back to the rows. The big side is already
-   hash-partitioned and sorted on these keys by step 1, so only the small side is shuffled.
+2. a few rows per piece carry the work across pieces: for ``with_next`` the piece's edge rows
+   (first and last), for ``with_position`` its size (a partial hash aggregate);
+3. a window over ``group`` runs on those per-piece rows only (a hot group costs one task a
+   few rows per piece, not its row count): the row after a piece's last row is the next
+   piece's first row, and a piece's offset is the running size of the earlier pieces;
+4. ``with_next`` unions the rows finished in step 1 with the edge rows finished in step 3;
+   ``with_position`` joins the offsets back on ``(group, piece)``.
 
 Pieces (``split``):
 
@@ -22,7 +22,10 @@ Pieces (``split``):
   about one advisory partition size each, and step 3 sees one row per chunk of a group.
   The chunked rows are written once to the shared checkpoint folder and read back (an eager
   write when the operator is called), which pins the chunk ids for all branches and cuts
-  the lineage. Without an explicit ``chunks`` count AQE sizes the chunks from the data.
+  the lineage; the table is bucketed by chunk id, so the window on ``(group, chunk)`` needs
+  no further shuffle of the rows (``with_next`` then shuffles only edge rows; the offset
+  join of ``with_position`` is the one remaining row shuffle). Without an explicit ``chunks``
+  count AQE sizes the chunks from the data.
 - ``"time"``: fixed time buckets of ``bucket_seconds``; no sampling pass, but a burst of one
   group inside one bucket stays in one task.
 - ``None``: the plain single window, kept for comparison.
@@ -51,18 +54,26 @@ def _pieces(df: DataFrame, by: list[str], time_col: str, tie_col: str, split: st
     if split == "time":
         return df.withColumn("_tb", _bucket(time_col, bucket_seconds))
     if split == "range":
+        import uuid
+
         from ..session import work_dir
 
         spark = df.sparkSession
         path = work_dir(spark, "sequence-chunks")
+        name = f"clickflow_chunks_{uuid.uuid4().hex[:16]}"
         cols = [*[F.col(c) for c in by], F.col(time_col), F.col(tie_col)]
         # no count given: AQE sizes the chunks from the data (advisory partition size)
         ranged = df.repartitionByRange(int(chunks), *cols) if chunks else df.repartitionByRange(*cols)
         # Written once and read back: the chunk id is a partition index, and two evaluations
         # of the range exchange (one per branch, after different column pruning) would sample
         # different bounds. The written table fixes the ids for every branch and cuts lineage.
-        ranged.withColumn("_tb", F.spark_partition_id().cast("bigint")).write.parquet(path)
-        return spark.read.parquet(path)
+        # It is bucketed by chunk id: each writing task holds one chunk, so it writes one file,
+        # and the scan reports hash partitioning on ``_tb``, which already satisfies the
+        # per-(group, chunk) window - no second shuffle of the rows.
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (ranged.withColumn("_tb", F.spark_partition_id().cast("bigint"))
+               .write.format("parquet").bucketBy(buckets, "_tb").option("path", path).saveAsTable(name))
+        return spark.table(name)
     raise ValueError(f"unknown split {split!r}")
 
 
@@ -72,7 +83,13 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
     """Add ``<prefix><c>`` for each ``c`` in ``carry``: the value of the following row of the
     same ``by`` group in ``(time_col, tie_col)`` order; null on a group's last row.
     ``tie_col`` must be non-null and unique (it completes the order and marks whether a next
-    row exists)."""
+    row exists).
+
+    Rows whose successor is in their own piece are done after the first window. Only the edge
+    rows of each piece (its first and last row, at most two per piece) go through a second
+    window per group ordered by piece: there the row after a piece's last row is the first
+    row of the group's next non-empty piece. The two parts are unioned, so the rows are never
+    joined or shuffled again."""
     order = [F.col(time_col), F.col(tie_col)]
     if split is None:
         w = Window.partitionBy(*by).orderBy(*order)
@@ -80,21 +97,19 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
     keys = [*by, "_tb"]
     cols = list(dict.fromkeys([tie_col, *carry]))
     w = Window.partitionBy(*keys).orderBy(*order)
-    # per-column leads inside each piece; no struct is built before the shuffle
+    # per-column leads inside each piece; no struct is built before any shuffle
     x = _pieces(df, by, time_col, tie_col, split, bucket_seconds, chunks).select(
         *df.columns, "_tb",
         *[F.lead(c).over(w).alias("_in_" + c) for c in cols],
         F.row_number().over(w).alias("_pos"))
-    # first row of each piece (a partial group limit keeps one row per piece per map task),
-    # linked to the first row of the group's next non-empty piece by a window over pieces
-    nb = Window.partitionBy(*by).orderBy("_tb")
-    link = (x.where(F.col("_pos") == 1)
-             .select(*keys, *[F.lead(c).over(nb).alias("_nb_" + c) for c in cols]))
-    has_in = F.col("_in_" + tie_col).isNotNull()
-    return (x.join(link, on=keys, how="left")
-             .select(*df.columns,
-                     *[F.when(has_in, F.col("_in_" + c)).otherwise(F.col("_nb_" + c)).alias(prefix + c)
-                       for c in carry]))
+    last_in_piece = F.col("_in_" + tie_col).isNull()
+    inner = x.where(~last_in_piece).select(
+        *df.columns, *[F.col("_in_" + c).alias(prefix + c) for c in carry])
+    edges = x.where(last_in_piece | (F.col("_pos") == 1)).withColumn("_last", last_in_piece)
+    across = Window.partitionBy(*by).orderBy("_tb", *order)
+    lasts = (edges.select(*df.columns, "_last", *[F.lead(c).over(across).alias(prefix + c) for c in carry])
+                  .where(F.col("_last")).drop("_last"))
+    return inner.unionByName(lasts)
 
 
 def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, name: str = "step",
