@@ -73,7 +73,11 @@ def _pieces(df: DataFrame, by: list[str], time_col: str, tie_col: str, split: st
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         (ranged.withColumn("_tb", F.spark_partition_id().cast("bigint"))
                .write.format("parquet").bucketBy(buckets, "_tb").option("path", path).saveAsTable(name))
-        return spark.table(name)
+        out = spark.table(name)
+        # the resolved DataFrame keeps its bucketed relation; the catalog entry (an external
+        # table, so the files stay) is dropped at once rather than piling up per call
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        return out
     raise ValueError(f"unknown split {split!r}")
 
 
