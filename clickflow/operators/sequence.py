@@ -12,7 +12,8 @@ sort order, then:
    few rows per piece, not its row count): the row after a piece's last row is the next
    piece's first row, and a piece's offset is the running size of the earlier pieces;
 4. ``with_next`` unions the rows finished in step 1 with the edge rows finished in step 3;
-   ``with_position`` joins the offsets back on ``(group, piece)``.
+   ``with_position`` joins the offsets back (range split: one row per chunk, on the chunk
+   id alone, so the rows stay where the bucketed scan put them).
 
 Pieces (``split``):
 
@@ -23,9 +24,9 @@ Pieces (``split``):
   The chunked rows are written once to the shared checkpoint folder and read back (an eager
   write when the operator is called), which pins the chunk ids for all branches and cuts
   the lineage; the table is bucketed by chunk id, so the window on ``(group, chunk)`` needs
-  no further shuffle of the rows (``with_next`` then shuffles only edge rows; the offset
-  join of ``with_position`` is the one remaining row shuffle). Without an explicit ``chunks``
-  count AQE sizes the chunks from the data.
+  no further shuffle of the rows (``with_next`` then shuffles only edge rows,
+  ``with_position`` only one offset row per chunk). Without an explicit ``chunks`` count AQE
+  sizes the chunks from the data.
 - ``"time"``: fixed time buckets of ``bucket_seconds``; no sampling pass, but a burst of one
   group inside one bucket stays in one task.
 - ``None``: the plain single window, kept for comparison.
@@ -129,6 +130,24 @@ def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, nam
     x = p.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     sizes = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (x.join(offsets, on=keys, how="left")
-             .select(*df.columns, (F.col("_off") + F.col("_rn")).cast("bigint").alias(name)))
+    if split != "range":
+        offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        return (x.join(offsets, on=keys, how="left")
+                 .select(*df.columns, (F.col("_off") + F.col("_rn")).cast("bigint").alias(name)))
+    # Range chunks are contiguous key ranges: a group that continues from earlier chunks is
+    # the last group of each earlier chunk it touches and the first group of the chunk it
+    # continues in. So only each chunk's first and last groups matter (at most two rows per
+    # chunk), only a chunk's first group can have a non-zero offset, and the offsets come down
+    # to one row per chunk, joined on the chunk id alone - which the bucketed chunk table
+    # already satisfies, so the rows are not shuffled.
+    grp = F.struct(*[F.col(c) for c in by])
+    asc = Window.partitionBy("_tb").orderBy(*[F.col(c).asc() for c in by])
+    desc = Window.partitionBy("_tb").orderBy(*[F.col(c).desc() for c in by])
+    edges = (sizes.withColumn("_a", F.row_number().over(asc)).withColumn("_d", F.row_number().over(desc))
+                  .where((F.col("_a") == 1) | (F.col("_d") == 1)))
+    firsts = (edges.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+                   .where(F.col("_a") == 1)
+                   .select("_tb", grp.alias("_fg"), "_off"))
+    own = F.when(grp.eqNullSafe(F.col("_fg")), F.col("_off")).otherwise(F.lit(0))
+    return (x.join(firsts, on="_tb", how="left")
+             .select(*df.columns, (own + F.col("_rn")).cast("bigint").alias(name)))

@@ -104,3 +104,16 @@ def test_visit_counts_include_last(spark):
     df = actions_df(spark, [action(1, "s", 1, 0), action(2, "s", 2, 1), action(3, "t", 2, 0)])
     assert sorted(map(tuple, PF.page_visit_counts(df, "1,2").collect())) == [(1, 1)]
     assert sorted(map(tuple, PF.page_visit_counts(df, "1,2", include_last=True).collect())) == [(1, 1), (2, 2)]
+
+
+def test_range_split_with_two_group_columns(spark):
+    rnd = random.Random(11)
+    rows = []
+    for e in range(600):
+        g1 = "hot" if e % 2 else rnd.choice(["a", "b"])
+        rows.append((g1, e % 3 if g1 != "hot" else 0, e, T0 + dt.timedelta(seconds=rnd.randrange(50)), e % 7))
+    df = spark.createDataFrame(rows, "g1 string, g2 long, e long, t timestamp, p long")
+    for fn, kw in [(with_position, {}), (with_next, {"carry": ["p"]})]:
+        got = fn(df, ["g1", "g2"], "t", "e", split="range", chunks=6, **kw)
+        want = fn(df, ["g1", "g2"], "t", "e", split=None, **kw)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
