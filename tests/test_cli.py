@@ -27,3 +27,15 @@ def test_stream_job_once(spark):
     assert main(["ad-top3", "--landing", f"{root}/landing", "--out", f"{root}/out", "--once"]) == 0
     top = KeyedTable(f"{root}/out/top", ["date", "area"], SA.TOP_SCHEMA)
     assert _rows(SA.top_ads_rows(top, spark)) == _rows(A.ad_top3_by_area(src.ad_log(spark, SF_SMALL)))
+
+
+def test_every_batch_job_runs(spark):
+    from clickflow.__main__ import BATCH
+
+    for job in BATCH:
+        out = S.work_dir(spark, "cli_" + job)
+        args = [job, "--data", SF_SMALL, "--out", out]
+        if job == "ad-blacklist":
+            args += ["--threshold", "3"]
+        assert main(args) == 0, job
+        assert spark.read.parquet(out).count() > 0, job
