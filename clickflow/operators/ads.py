@@ -65,8 +65,14 @@ def ad_blacklist_crossings(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD)
 def ad_blacklist_filter(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
     """Events admitted by the dynamic blacklist, decided per event: a user's events up to and
     including the one that lists them pass, later ones are dropped. (The reference decides per
-    micro-batch, so it also admits the rest of the batch that crosses the threshold.)"""
-    x = ad_blacklist_crossings(log, threshold)
+    micro-batch, so it also admits the rest of the batch that crosses the threshold.)
+
+    The crossings (one row per listed user) are broadcast when a row-count check shows they
+    are small, so the event log is not shuffled by user; above the bound the join is a shuffle
+    join, where AQE's skew handling splits a hot user's partition."""
+    from .joins import broadcast_if_small
+
+    x = broadcast_if_small(ad_blacklist_crossings(log, threshold))
     j = log.join(x, "userid", "left")
     keep = (F.col("cross_ts").isNull()
             | (F.struct("ts", "event_id") <= F.struct(F.col("cross_ts").alias("ts"),
