@@ -28,6 +28,19 @@ STREAM_STATE_DEFAULTS = {
 }
 
 
+# Suggested settings for a large cluster (not applied automatically; pass them to the cluster's
+# session builder or to ``build_session(extra=CLUSTER_SETTINGS)``). Partition sizes come from
+# AQE's advisory size instead of a fixed count, so each task stays within executor memory.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "clickflow", extra: dict | None = None) -> SparkSession:
     """A session for local runs (tests, bench). On a cluster, use the cluster's own session
