@@ -22,13 +22,18 @@ from .. import schemas
 def kafka_ad_lines(spark: SparkSession, bootstrap_servers: str, topic: str = "ads_log",
                    starting_offsets: str = "latest") -> DataFrame:
     """Ad-log lines from a Kafka topic (needs the Kafka connector on the classpath, which
-    this environment lacks). Offsets are tracked in the query checkpoint."""
+    this environment lacks). Offsets are tracked in the query checkpoint.
+
+    ``event_id`` comes from the record's position, ``partition * 2^40 + offset``: unique within
+    the topic (while a partition holds fewer than 2^40 records), which the ordering operators
+    need as their tie-breaker."""
     raw = (spark.readStream.format("kafka")
            .option("kafka.bootstrap.servers", bootstrap_servers)
            .option("subscribe", topic)
            .option("startingOffsets", starting_offsets)
            .load())
-    return raw.select(F.lit(None).cast("bigint").alias("event_id"), F.col("value").cast("string").alias("line"))
+    event_id = F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")
+    return raw.select(event_id.alias("event_id"), F.col("value").cast("string").alias("line"))
 
 
 def landing_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
