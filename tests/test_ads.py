@@ -97,3 +97,18 @@ def test_crossings_above_group_limit_threshold(spark):
     finally:
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
     assert got == want and [g[0] for g in got] == ["u", "w"]
+
+
+def test_hot_user_crossing_matches_brute_force(spark):
+    """One (day, ad, user) group with thousands of clicks spread over many partitions."""
+    rows = _clicks("hot", "1", 3000, T, 0) + _clicks("cold", "2", 150, T, 10_000) + _clicks("few", "3", 20, T, 20_000)
+    log = ad_df(spark, rows).repartition(16)
+    got = {r.userid: r.cross_event_id for r in A.ad_blacklist_crossings(log, 100).collect()}
+    want = {}
+    for user in ("hot", "cold", "few"):
+        mine = sorted((r[1], r[0]) for r in rows if r[6] == user)
+        if len(mine) >= 100:
+            want[user] = mine[99][1]
+    assert got == want
+    kept = A.ad_blacklist_filter(log, 100).where(F.col("userid") == "hot").count()
+    assert kept == 100
