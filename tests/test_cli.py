@@ -39,3 +39,28 @@ def test_every_batch_job_runs(spark):
             args += ["--threshold", "3"]
         assert main(args) == 0, job
         assert spark.read.parquet(out).count() > 0, job
+
+
+def test_other_stream_jobs_once(spark):
+    from pyspark.sql import functions as F
+
+    root = S.work_dir(spark, "cli_streams")
+    src.ad_log_lines(spark, SF_SMALL).write.parquet(f"{root}/landing")
+    log = src.ad_log(spark, SF_SMALL)
+
+    assert main(["ad-click-counts", "--landing", f"{root}/landing", "--out", f"{root}/c", "--once"]) == 0
+    grain = ("adid", "userid")
+    counts = KeyedTable(f"{root}/c/counts", ["date", *grain], SA.counts_schema(grain), ["date"])
+    assert _rows(counts.current(spark).select("date", *grain, "n")) == _rows(A.ad_click_counts(log))
+
+    assert main(["ad-blacklist", "--landing", f"{root}/landing", "--out", f"{root}/b", "--once",
+                 "--threshold", "3"]) == 0
+    bl = KeyedTable(f"{root}/b/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
+    assert _rows(bl.history(spark).select("userid").distinct()) == _rows(A.ad_blacklist(log, 3))
+
+    assert main(["ad-trend", "--landing", f"{root}/landing", "--out", f"{root}/t", "--once"]) == 0
+    trend = spark.read.parquet(f"{root}/t/trend")
+    closed = A.ad_click_trend_sliding(log).where(
+        F.to_timestamp("window_start") + F.expr("INTERVAL 60 SECONDS")
+        <= log.select(F.max("ts")).scalar() - F.expr("INTERVAL 10 MINUTES"))
+    assert _rows(trend) == _rows(closed)
