@@ -40,14 +40,21 @@ def ad_blacklist_crossings(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD)
     """(userid, cross_ts, cross_event_id): the event at which each listed user first reaches
     ``threshold`` clicks on one (day, ad).
 
-    ``row_number() = threshold`` plans a partial ``WindowGroupLimit``: each map task passes on
-    at most ``threshold`` rows per (day, ad, user), so a hot user is cut down before the shuffle.
-    Spark inserts that limit only up to ``spark.sql.optimizer.windowGroupLimitThreshold``;
+    Only (day, ad, user) groups whose total reaches ``threshold`` can cross, and they are few:
+    they are found by a partial hash aggregate (a small shuffle), and the log is semi-joined
+    to them (broadcast after a size check), so only their clicks are shuffled for the window.
+    There ``row_number() = threshold`` plans a partial ``WindowGroupLimit``: each map task
+    passes on at most ``threshold`` rows per group, so a hot user is cut down before the
+    shuffle. Spark inserts that limit only up to ``spark.sql.optimizer.windowGroupLimitThreshold``;
     above it the position comes from the skew-proof :func:`~clickflow.operators.sequence.with_position`."""
+    from .joins import broadcast_if_small
     from .sequence import with_position
 
     keys = ["date", "adid", "userid"]
-    base = log.select(*keys, "ts", "event_id")
+    crossing_groups = (log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                          .where(F.col("_n") >= int(threshold)).select(*keys))
+    base = (log.select(*keys, "ts", "event_id")
+               .join(broadcast_if_small(crossing_groups), keys, "left_semi"))
     limit = int(log.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if int(threshold) <= limit:
         w = Window.partitionBy(*keys).orderBy("ts", "event_id")
