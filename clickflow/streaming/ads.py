@@ -153,6 +153,7 @@ def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist:
     events pass unless the user was listed by an earlier batch or the event comes after the
     user's first crossing in this batch. Then the batch's counts and new listings are written
     (replay safe). Equal to the batch result when batches arrive in event-time order."""
+    from ..operators.joins import broadcast_if_small
     from ..operators.sequence import with_position
 
     keys = ["date", "adid", "userid"]
@@ -166,7 +167,14 @@ def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist:
         prior = (counts.current(spark, before_epoch=epoch_id).where(F.col("date").isin(days))
                  .withColumnRenamed("n", "_prior"))
         listed = blacklist.history(spark, before_epoch=epoch_id).select("userid")
-        pos = with_position(rows, keys, "ts", "event_id", name="_step")
+        batch_counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        # only groups whose running total crosses the threshold in this batch need positions
+        before = F.coalesce(F.col("_prior"), F.lit(0))
+        crossing = (batch_counts.join(prior, keys, "left")
+                                .where((before < int(threshold)) & (before + F.col("n") >= int(threshold)))
+                                .select(*keys))
+        candidates = rows.join(broadcast_if_small(crossing), keys, "left_semi")
+        pos = with_position(candidates, keys, "ts", "event_id", name="_step")
         hits = (pos.join(prior, keys, "left")
                    .where(F.coalesce(F.col("_prior"), F.lit(0)) + F.col("_step") == int(threshold)))
         first = Window.partitionBy("userid").orderBy("ts", "event_id")
@@ -180,7 +188,7 @@ def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist:
         admitted = (df.join(listed, "userid", "left_anti").join(cross, "userid", "left")
                       .where(keep).drop("_cts", "_cid"))
         admitted.write.mode("overwrite").parquet(f"{folder}/epoch={int(epoch_id)}")
-        counts.write(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), epoch_id)
+        counts.write(batch_counts, epoch_id)
         new = (cross.select("userid").join(listed, "userid", "left_anti")
                     .withColumn("listed_epoch", F.lit(int(epoch_id)).cast("bigint")))
         blacklist.write(new, epoch_id)

@@ -117,3 +117,9 @@ def test_range_split_with_two_group_columns(spark):
         got = fn(df, ["g1", "g2"], "t", "e", split="range", chunks=6, **kw)
         want = fn(df, ["g1", "g2"], "t", "e", split=None, **kw)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sequence_operators_on_empty_input(spark):
+    df = spark.createDataFrame([], "s string, e long, t timestamp, p long")
+    assert with_position(df, ["s"], "t", "e").count() == 0
+    assert with_next(df, ["s"], "t", "e", ["p"]).count() == 0
