@@ -17,8 +17,8 @@ import argparse
 import sys
 
 BATCH = ["category-top10", "category-session-top10", "page-conversion", "page-dwell",
-         "ad-blacklist", "ad-click-counts", "ad-top3", "ad-trend"]
-STREAM = ["ad-blacklist", "ad-click-counts", "ad-top3", "ad-trend"]
+         "ad-blacklist", "ad-blacklist-filter", "ad-click-counts", "ad-top3", "ad-trend"]
+STREAM = ["ad-blacklist", "ad-blacklist-filter", "ad-click-counts", "ad-top3", "ad-trend"]
 
 
 def _batch(spark, a) -> "object":
@@ -39,6 +39,8 @@ def _batch(spark, a) -> "object":
     log = src.ad_log(spark, a.data)
     if a.job == "ad-blacklist":
         return A.ad_blacklist(log, a.threshold)
+    if a.job == "ad-blacklist-filter":
+        return A.ad_blacklist_filter(log, a.threshold)
     if a.job == "ad-click-counts":
         return A.ad_click_counts(log)
     if a.job == "ad-top3":
@@ -63,6 +65,12 @@ def _stream(spark, a, out: str):
     if a.job == "ad-blacklist":
         b = KeyedTable(f"{out}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
         return SA.blacklist_to_table(parsed, b, a.threshold, a.delay)
+    if a.job == "ad-blacklist-filter":
+        grain = ("adid", "userid")
+        c = KeyedTable(f"{out}/counts", ["date", *grain], SA.counts_schema(grain), ["date"],
+                       merge="sum", sum_cols=["n"])
+        b = KeyedTable(f"{out}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
+        return SA.per_event_blacklist_filter(parsed, c, b, f"{out}/admitted", a.threshold)
     trend = SA.trend_stream(parsed, a.window, a.slide, a.delay)
     if a.console:
         return SA.to_console_sorted(trend, ["window_start", "bucket"])

@@ -64,3 +64,15 @@ def test_other_stream_jobs_once(spark):
         F.to_timestamp("window_start") + F.expr("INTERVAL 60 SECONDS")
         <= log.select(F.max("ts")).scalar() - F.expr("INTERVAL 10 MINUTES"))
     assert _rows(trend) == _rows(closed)
+
+
+def test_blacklist_filter_job_batch_and_stream(spark):
+    root = S.work_dir(spark, "cli_filter")
+    log = src.ad_log(spark, SF_SMALL)
+    want = _rows(A.ad_blacklist_filter(log, 3).select("event_id"))
+    assert main(["ad-blacklist-filter", "--data", SF_SMALL, "--out", f"{root}/batch", "--threshold", "3"]) == 0
+    assert _rows(spark.read.parquet(f"{root}/batch").select("event_id")) == want
+    src.ad_log_lines(spark, SF_SMALL).write.parquet(f"{root}/landing")
+    assert main(["ad-blacklist-filter", "--landing", f"{root}/landing", "--out", f"{root}/s", "--once",
+                 "--threshold", "3"]) == 0
+    assert _rows(spark.read.parquet(f"{root}/s/admitted").select("event_id")) == want
