@@ -86,6 +86,8 @@ class KeyedTable:
 
     def _latest_snapshot(self, spark: SparkSession, below_gen: int | None) -> int | None:
         """Latest snapshot generation (optionally below ``below_gen``); None if none."""
+        if below_gen is not None and below_gen <= 0:
+            return None     # no generation has closed yet: nothing to look for
         try:
             snaps = (self._reader(spark, [T.StructField(GEN, T.IntegerType())])
                      .parquet(f"{self.path}/_snapshots"))
@@ -124,7 +126,9 @@ class KeyedTable:
 
         Inside a batch (``before_epoch`` given) only that snapshot and the folders of the
         generations after it are read; without it the later deltas are found by listing."""
-        cur_gen = None if before_epoch is None else self.gen_of(max(int(before_epoch) - 1, 0))
+        if before_epoch is not None and int(before_epoch) <= 0:
+            return self._empty(spark).withColumn(EPOCH, F.lit(None).cast("int"))
+        cur_gen = None if before_epoch is None else self.gen_of(int(before_epoch) - 1)
         snap_gen = self._latest_snapshot(spark, below_gen=cur_gen)
         parts = []
         if snap_gen is not None:
