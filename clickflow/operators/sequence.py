@@ -17,7 +17,11 @@ sort order, then:
 
 Pieces (``split``):
 
-- ``"range"`` (default): range chunks of the full sort key ``(group, time, tie)``, from
+- ``"auto"`` (default): ``None`` (the plain window) when a size check shows the whole input
+  fits comfortably in one task (at most ``AUTO_SINGLE_TASK_ROWS`` rows) - then no group, hot
+  or not, can overload a task - else ``"range"``. The check reads at most that many rows and
+  its answer is remembered per session and input (like the broadcast size check).
+- ``"range"``: range chunks of the full sort key ``(group, time, tie)``, from
   ``repartitionByRange`` with sampled bounds. The key is unique, so no value can be hot: any
   group, even one holding a third of all rows within one second, is cut into chunks of
   about one advisory partition size each, and step 3 sees one row per chunk of a group.
@@ -40,7 +44,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 300
-DEFAULT_SPLIT = "range"
+DEFAULT_SPLIT = "auto"
+# Inputs up to this many rows are ordered with the plain window (one task can hold them).
+AUTO_SINGLE_TASK_ROWS = 2_000_000
+_fits_one_task: dict[tuple, bool] = {}
+
+
+def _resolve_split(df: DataFrame, split: str | None) -> str | None:
+    if split != "auto":
+        return split
+    limit = int(AUTO_SINGLE_TASK_ROWS)
+    key = (id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), limit)
+    fits = _fits_one_task.get(key)
+    if fits is None:
+        fits = df.limit(limit + 1).count() <= limit
+        _fits_one_task[key] = fits
+    return None if fits else "range"
 
 
 def _bucket(time_col: str, bucket_seconds: int):
@@ -96,6 +115,7 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
     row of the group's next non-empty piece. The two parts are unioned, so the rows are never
     joined or shuffled again."""
     order = [F.col(time_col), F.col(tie_col)]
+    split = _resolve_split(df, split)
     if split is None:
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select(*df.columns, *[F.lead(c).over(w).alias(prefix + c) for c in carry])
@@ -123,6 +143,7 @@ def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, nam
     """Add ``name``: the 1-based position of each row in its ``by`` group, ordered by
     ``(time_col, tie_col)`` (``row_number`` semantics)."""
     order = [F.col(time_col), F.col(tie_col)]
+    split = _resolve_split(df, split)
     if split is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
     keys = [*by, "_tb"]

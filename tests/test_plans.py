@@ -47,13 +47,27 @@ def test_dimension_join_is_broadcast(spark):
 
 
 def test_session_order_reads_bucketed_chunks_without_row_shuffle(spark):
+    from clickflow.operators.pageflow import page_dwell_time
+    from clickflow.sources.adapters import visit_actions
+
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(QUERIES["page_dwell_time"](spark, SF_SMALL))
+        plan = _plan(page_dwell_time(visit_actions(spark, SF_SMALL), split="range"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Bucketed: true" in plan
     # exchanges: edge rows by session, then the per-page partial aggregate - no row shuffle
     assert plan.count("Exchange hashpartitioning") == 2
     assert "Join" not in plan
+
+
+def test_auto_split_uses_range_chunks_above_the_bound(spark, monkeypatch):
+    from clickflow.operators import sequence
+    from clickflow.operators.pageflow import page_dwell_time
+    from clickflow.sources.adapters import visit_actions
+
+    va = visit_actions(spark, SF_SMALL)
+    assert "Bucketed: true" not in _plan(page_dwell_time(va))            # small input: plain window
+    monkeypatch.setattr(sequence, "AUTO_SINGLE_TASK_ROWS", 10)
+    assert "Bucketed: true" in _plan(page_dwell_time(va))                # above the bound: range chunks
