@@ -2,15 +2,38 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest side (in rows) broadcast to every executor after an explicit check.
 MAX_BROADCAST_ROWS = 1_000_000
+# Remembered size checks (a long-running stream adds one key per micro-batch, so keep few).
+MAX_REMEMBERED = 256
+
+
+def remembered(cache: OrderedDict, key: tuple, compute: Callable[[], bool]) -> bool:
+    """``cache[key]``, computing and storing it if absent; least recently used keys beyond
+    ``MAX_REMEMBERED`` are dropped."""
+    if key in cache:
+        cache.move_to_end(key)
+        return cache[key]
+    value = compute()
+    cache[key] = value
+    while len(cache) > MAX_REMEMBERED:
+        cache.popitem(last=False)
+    return value
+
+
+def size_key(df: DataFrame, bound: int) -> tuple:
+    """Identity of a size check: session, plan, input files (changed files give a new key)."""
+    return (id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), int(bound))
+
 
-# (session, plan of the side, its input files, bound) -> fits. A side whose files change gets
-# a new key and is checked again.
-_checked: dict[tuple, bool] = {}
+# (session, plan of the side, its input files, bound) -> fits
+_checked: OrderedDict = OrderedDict()
 
 
 def broadcast_if_small(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -20,9 +43,6 @@ def broadcast_if_small(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
     The check reads at most ``max_rows + 1`` rows of ``side`` (a limit pushed into the scan),
     so it stays cheap however large the side turns out to be. Meant for dimension tables; the
     answer is remembered per session for the same plan over the same input files."""
-    key = (id(side.sparkSession), side.semanticHash(), tuple(sorted(side.inputFiles())), int(max_rows))
-    fits = _checked.get(key)
-    if fits is None:
-        fits = side.limit(int(max_rows) + 1).count() <= max_rows
-        _checked[key] = fits
+    fits = remembered(_checked, size_key(side, max_rows),
+                      lambda: side.limit(int(max_rows) + 1).count() <= max_rows)
     return F.broadcast(side) if fits else side

@@ -40,6 +40,8 @@ Results equal the plain window exactly (ties broken by ``tie_col``).
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,18 +49,16 @@ DEFAULT_BUCKET_SECONDS = 300
 DEFAULT_SPLIT = "auto"
 # Inputs up to this many rows are ordered with the plain window (one task can hold them).
 AUTO_SINGLE_TASK_ROWS = 2_000_000
-_fits_one_task: dict[tuple, bool] = {}
+_fits_one_task: OrderedDict = OrderedDict()
 
 
 def _resolve_split(df: DataFrame, split: str | None) -> str | None:
     if split != "auto":
         return split
+    from .joins import remembered, size_key
+
     limit = int(AUTO_SINGLE_TASK_ROWS)
-    key = (id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), limit)
-    fits = _fits_one_task.get(key)
-    if fits is None:
-        fits = df.limit(limit + 1).count() <= limit
-        _fits_one_task[key] = fits
+    fits = remembered(_fits_one_task, size_key(df, limit), lambda: df.limit(limit + 1).count() <= limit)
     return None if fits else "range"
 
 

@@ -20,3 +20,17 @@ def test_broadcast_only_under_the_bound(spark):
         assert big.join(broadcast_if_small(dim, max_rows=4), "k").count() == 5
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_remembered_checks_stay_bounded():
+    from collections import OrderedDict
+
+    from clickflow.operators import joins
+
+    cache = OrderedDict()
+    calls = []
+    for i in range(joins.MAX_REMEMBERED + 50):
+        joins.remembered(cache, (i,), lambda: calls.append(1) or True)
+    assert len(cache) == joins.MAX_REMEMBERED and len(calls) == joins.MAX_REMEMBERED + 50
+    last = (joins.MAX_REMEMBERED + 49,)
+    assert joins.remembered(cache, last, lambda: False) is True      # remembered, not recomputed
