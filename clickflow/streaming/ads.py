@@ -147,12 +147,13 @@ def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist:
     a user's clicks pass up to and including the one that lists them.
 
     Per micro-batch, with no state store: ``counts`` (a ``merge="sum"`` table of clicks per
-    (day, ad, user)) gives the clicks before this batch, and the skew-proof
-    :func:`~clickflow.operators.sequence.with_position` numbers this batch's clicks of each
-    (day, ad, user); a click whose running total reaches ``threshold`` lists its user. A user's
-    events pass unless the user was listed by an earlier batch or the event comes after the
-    user's first crossing in this batch. Then the batch's counts and new listings are written
-    (replay safe). Equal to the batch result when batches arrive in event-time order."""
+    (day, ad, user)) gives the clicks before this batch; the batch's own counts show which
+    groups cross ``threshold`` in this batch, and only their clicks are numbered by the
+    skew-proof :func:`~clickflow.operators.sequence.with_position`; the click whose running
+    total reaches ``threshold`` lists its user. A user's events pass unless the user was listed
+    by an earlier batch or the event comes after the user's first crossing in this batch. Then
+    the batch's counts and new listings are written (replay safe). Equal to the batch result
+    when batches arrive in event-time order."""
     from ..operators.joins import broadcast_if_small
     from ..operators.sequence import with_position
 
