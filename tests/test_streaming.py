@@ -165,3 +165,19 @@ def test_per_event_filter_stream_equals_batch(spark):
         got = sorted(r.event_id for r in spark.read.parquet(f"{root}/adm").collect())
         assert got == want
         assert {r.userid for r in b.history(spark).collect()} == {r.userid for r in A.ad_blacklist(log, threshold).collect()}
+
+
+def test_keyed_table_with_skipped_epochs(spark):
+    """Batches that write nothing (even the one that would close a generation) leave reads
+    correct: without that snapshot, readers fall back to the earlier folders."""
+    root = S.work_dir(spark, "test_keyed_skip")
+    schema = spark.createDataFrame([], "k string, n long").schema
+    t = KeyedTable(f"{root}/t", ["k"], schema, merge="sum", sum_cols=["n"], generation=2)
+    t.write(spark.createDataFrame([("a", 1)], schema), 0)
+    # epoch 1 (closing generation 0) wrote nothing
+    t.write(spark.createDataFrame([("a", 2), ("b", 1)], schema), 2)
+    assert sorted(map(tuple, t.current(spark, before_epoch=3).collect())) == [("a", 3), ("b", 1)]
+    t.write(spark.createDataFrame([("b", 4)], schema), 3)      # closes generation 1: snapshot
+    t.write(spark.createDataFrame([("a", 10)], schema), 4)
+    assert sorted(map(tuple, t.current(spark, before_epoch=5).collect())) == [("a", 13), ("b", 5)]
+    assert sorted(map(tuple, t.current(spark).collect())) == [("a", 13), ("b", 5)]
