@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import bpe, chat, decontaminate
+from clickflow.llm import bpe, chat, decontaminate, simhash, suffix_dedup
 from clickflow.llm.common import table
 
 
@@ -28,10 +28,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_decontamination": op5_decontamination,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
