@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import bpe, chat, decontaminate, simhash, suffix_dedup
+from clickflow.llm import bpe, chat, decontaminate, quality_rules, simhash, suffix_dedup
 from clickflow.llm.common import table
 
 
@@ -36,12 +36,17 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
