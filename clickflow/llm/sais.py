@@ -1,13 +1,14 @@
 """Suffix arrays by induced sorting, and permuted longest common prefixes.
 
-``suffix_array`` takes an array of small non-negative integers that ends with its only 0. Suffixes
-are classified as S (smaller than the next suffix) or L; the leftmost-S (LMS) substrings are sorted
-by one induction, named, and their order found by recursion where names repeat; a second induction
-from the sorted LMS suffixes gives the whole order. Both inductions are linear.
-
-Over bytes an induction goes bucket by bucket with numpy: what one bucket's entries induce lies in
-later buckets, or at the end of the same one, which then is the next round's front. Names have large
-alphabets with tiny buckets, so the recursion is plain Python over lists, a third as long each time.
+``suffix_array`` takes an array of non-negative integers that ends with its only 0. Suffixes are
+classified as S (smaller than the next suffix) or L; the leftmost-S (LMS) substrings are sorted by one
+induction, named, and their order found by recursion where names repeat; a second induction from the
+sorted LMS suffixes gives the whole order. Both inductions are linear.
+
+An induction goes bucket by bucket with numpy: what one bucket's entries induce lies in later buckets,
+or at the end of the same one, which then is the next round's front. That wants few buckets, so the
+recursion writes each name as two digits of a base near the root of the number of names; the text gets
+shorter by a third or so each time all the same. A short text is sorted by the same method over lists.
 """
 
 from __future__ import annotations
@@ -15,19 +16,32 @@ from __future__ import annotations
 import numpy as np
 
 
+SHORT = 1 << 16
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    n = len(s)
-    if n == 1:
-        return np.zeros(1, dtype=np.int64)
+    if len(s) <= SHORT:
+        return np.array(_sais(s.tolist(), int(s.max()) + 1), dtype=np.int64)
     smaller = _types(s)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     order = _induced(s, smaller, lms)
-    is_lms = np.zeros(n, dtype=bool)
+    is_lms = np.zeros(len(s), dtype=bool)
     is_lms[lms] = True
     names = _names(s, lms, order[is_lms[order]])
-    if int(names.max()) + 1 < len(names):
-        return _induced(s, smaller, lms[np.array(_sais(names.tolist(), int(names.max()) + 1))])
-    return _induced(s, smaller, lms[np.argsort(names)])
+    del order
+    return _induced(s, smaller, lms[_order_of(names)])
+
+
+def _order_of(names: np.ndarray) -> np.ndarray:
+    """Suffix array of a name sequence (0 .. k - 1, its only 0 at the end)."""
+    k = int(names.max()) + 1
+    if k == len(names):
+        return np.argsort(names)
+    base = int(k ** 0.5) + 1
+    digits = np.zeros(2 * len(names) + 1, dtype=np.uint16 if base < 65_000 else np.uint32)
+    digits[:-1:2], digits[1::2] = names // base + 1, names % base + 1
+    order = suffix_array(digits)
+    return order[(order & 1 == 0) & (order < 2 * len(names))] >> 1
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -41,47 +55,52 @@ def _types(s: np.ndarray) -> np.ndarray:
 
 def _induced(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """All suffixes, induced from the LMS suffixes in the order given."""
-    width = int(s.max()) + 1
-    none = np.zeros(0, dtype=np.int64)
-
-    def deal(at: np.ndarray, into: list[list[np.ndarray]]) -> None:
-        if len(at):
-            symbol = s[at]
-            by = np.argsort(symbol, kind="stable")
-            at, symbol = at[by], symbol[by]
-            cuts = [0, *(np.flatnonzero(symbol[1:] != symbol[:-1]) + 1).tolist(), len(at)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                into[symbol[lo]].append(at[lo:hi])
-
-    def drain(c: int, into: list[list[np.ndarray]], kind: bool) -> np.ndarray:
-        done, front = [], np.concatenate(into[c]) if into[c] else none
-        while len(front):
-            done.append(front)
+    counts = np.bincount(s)
+    tails = np.cumsum(counts)
+    heads = tails - counts
+    present = np.flatnonzero(counts).tolist()
+    sa = np.full(len(s), -1, dtype=np.int64)
+
+    def deal(at: np.ndarray, place: np.ndarray, back: bool) -> None:
+        """Put suffixes at the next free places of their buckets, in the order given."""
+        if not len(at):
+            return
+        symbol = s[at]
+        by = np.argsort(symbol, kind="stable")
+        at, symbol = at[by], symbol[by]
+        first = np.flatnonzero(np.concatenate([[True], symbol[1:] != symbol[:-1]]))
+        count = np.diff(np.append(first, len(at)))
+        step, bucket = np.arange(len(at)) - np.repeat(first, count), symbol[first]
+        if back:
+            sa[np.repeat(place[bucket] - 1, count) - step] = at
+            place[bucket] -= count
+        else:
+            sa[np.repeat(place[bucket], count) + step] = at
+            place[bucket] += count
+
+    seeds = lms[np.argsort(s[lms], kind="stable")]
+    until = np.cumsum(np.bincount(s[lms], minlength=len(counts))).tolist()
+    place, larger_end = heads.copy(), {}
+    for c in present:
+        done = heads[c]
+        while done < place[c]:
+            front, done = sa[done:place[c]], place[c]
+            at = front[front > 0] - 1
+            deal(at[~smaller[at]], place, False)
+        larger_end[c] = done
+        deal(seeds[until[c - 1] if c else 0:until[c]] - 1, place, False)
+    place = tails.copy()
+    for c in reversed(present[1:]):
+        done = tails[c]
+        while done > place[c]:
+            front, done = sa[place[c]:done][::-1], place[c]
             at = front[front > 0] - 1
-            at = at[smaller[at] == kind]
-            same = s[at] == c
-            deal(at[~same], into)
-            front = at[same]
-        return np.concatenate(done) if done else none
-
-    seeds: list[list[np.ndarray]] = [[] for _ in range(width)]
-    deal(lms, seeds)
-    larger_of: list[np.ndarray] = []
-    into: list[list[np.ndarray]] = [[] for _ in range(width)]
-    for c in range(width):
-        larger_of.append(drain(c, into, False))
-        for part in seeds[c]:
-            deal(part[part > 0] - 1, into)
-    into = [[] for _ in range(width)]
-    out = []
-    for c in range(width - 1, 0, -1):
-        out.append(drain(c, into, True)[::-1])
-        at = larger_of[c][::-1]
-        out.append(larger_of[c])
+            deal(at[smaller[at]], place, True)
+        at = sa[heads[c]:larger_end[c]][::-1]
         at = at[at > 0] - 1
-        deal(at[smaller[at]], into)
-    out.append(np.array([len(s) - 1]))
-    return np.concatenate(out[::-1])
+        deal(at[smaller[at]], place, True)
+    sa[0] = len(s) - 1
+    return sa
 
 
 def _names(s: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:

@@ -41,8 +41,9 @@ from clickflow.llm.sais import permuted_lcp, suffix_array
 from clickflow.llm.words import RangeHash
 
 LENGTH, GRAM = 400, 128
-SHARD_BYTES = 2 << 20
-PIECE = 4 << 20
+SHARD_BYTES = 1 << 20
+SCAN_BYTES = 1 << 20
+PIECE = 2 << 20
 PLACE_BITS = np.uint64((1 << 24) - 1)
 RANGES = "array<struct<lo:int,hi:int>>"
 
@@ -87,13 +88,13 @@ def scanned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(arrow_text(batch.column(0))):
+            for lo, hi, data, offsets in text_chunks(arrow_text(batch.column(0)), SCAN_BYTES):
                 raw = data.tobytes()
                 ids: dict[int, bytes] = {}
                 for text, a, b, key, twice in _segments(data, offsets, length, gram):
                     for t in np.unique(text).tolist():
                         if t not in ids:
-                            ids[t] = xxhash.xxh3_128_digest(raw[offsets[t]:offsets[t + 1]])
+                            ids[t] = hashlib.sha256(raw[offsets[t]:offsets[t + 1]]).digest()[:16]
                     begin, end = offsets[text] + a, offsets[text] + b + length
                     seg = [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(begin.tolist(), end.tolist())]
                     yield pa.RecordBatch.from_arrays([
@@ -106,18 +107,8 @@ def scanned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
 
 def with_text_id(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__id``: the 128-bit hash of the whole text."""
-    python_path(docs.sparkSession)
-    given = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "__id"], F.lit(None).cast("binary").alias("__id"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.large_binary()).fill_null(b"")
-            at = batch.schema.get_field_index("__id")
-            ids = pa.array([xxhash.xxh3_128_digest(t.as_py()) for t in texts], pa.binary())
-            yield batch.set_column(at, pa.field("__id", pa.binary()), ids)
-
-    return given.mapInArrow(run, given.schema)
+    """``docs`` with ``__id``: 128 bits of the SHA-256 of the whole text; a column of that name is replaced."""
+    return docs.withColumn("__id", F.expr("substring(unhex(sha2(coalesce(text, ''), 256)), 1, 16)"))
 
 
 def _repeated(segments: list[bytes], length: int) -> list[np.ndarray]:
@@ -226,16 +217,8 @@ def _cut(docs: DataFrame, segments: DataFrame, length: int) -> DataFrame:
     """(key, seg, bytes) of the given segments, cut out of their texts."""
     wanted = segments.groupBy("id").agg(F.collect_list(F.struct("key", "seg", "a", "b")).alias("wanted"))
     texts = docs.select(F.col("__id").alias("id"), "text").join(wanted, "id").dropDuplicates(["id"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text, want in zip(arrow_text(batch.column(0)), batch.column(1).to_pylist()):
-                data = text.as_py()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([w["key"] for w in want], pa.int64()), pa.array([w["seg"] for w in want], pa.int64()),
-                    pa.array([data[w["a"]:w["b"] + length] for w in want], pa.binary())], ["key", "seg", "bytes"])
-
-    return texts.select("text", "wanted").mapInArrow(run, "key bigint, seg bigint, bytes binary")
+    return texts.selectExpr(f"""inline(transform(wanted, w -> struct(w.key, w.seg,
+        substring(CAST(text AS BINARY), w.a + 1, w.b - w.a + {length}) AS bytes)))""")
 
 
 def _united(ranges: list[dict] | None) -> list[tuple[int, int]]:
