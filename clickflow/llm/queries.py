@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import bpe, chat, decontaminate, quality_rules, simhash, suffix_dedup
+from clickflow.llm import bpe, chat, decontaminate, quality_rules, simhash, suffix_dedup, toxicity
 from clickflow.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.PATTERN)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +47,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
