@@ -247,22 +247,28 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "id
     return given.mapInArrow(run, given.schema)
 
 
-def digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def digest(docs: DataFrame, ranks_path: str, pattern: str, ids_col: str | None = None) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit
-    integers), decoded_sha256 (of the bytes that the ids decode to)."""
+    integers), decoded_sha256 (of the bytes that the ids decode to), and the ids if ``ids_col`` names
+    a column for them."""
     ranks = _vocabulary(docs.sparkSession, ranks_path)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *([ids_col] if ids_col else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
         for batch in batches:
-            n, ids_hex, text_hex = [], [], []
+            n, ids_hex, text_hex, kept = [], [], [], []
             for ids in encoder.encode([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(len(ids) // 4)
                 ids_hex.append(hashlib.sha256(ids).hexdigest())
                 text_hex.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+                if ids_col:
+                    kept.append(np.frombuffer(ids, "<u4").astype(np.int32))
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())]
+            if ids_col:
+                columns.append(pa.array(kept, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    given = docs.select("doc_id", "text")
+    schema = f"doc_id {dict(given.dtypes)['doc_id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return given.mapInArrow(run, schema + (f", `{ids_col}` array<int>" if ids_col else ""))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import bpe, chat, decontaminate, quality_rules, simhash, suffix_dedup, toxicity
+from clickflow.llm import (bpe, chat, decontaminate, license_scan, quality_rules, simhash, suffix_dedup, toxicity,
+                           url_filter, weak_quality)
 from clickflow.llm.common import table
 
 
@@ -24,6 +25,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.PATTERN)
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,6 +41,14 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(table(spark, sf_dir, "documents"))
+
+
+def op8_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.scored(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -47,9 +60,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_license_scan": op7_license_scan,
+    "op8_weak_quality": op8_weak_quality,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
