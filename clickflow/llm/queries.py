@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickflow.llm import (bpe, chat, decontaminate, license_scan, quality_rules, simhash, suffix_dedup, toxicity,
                            url_filter, weak_quality)
 from clickflow.llm.common import table
+from clickflow.llm.oracle import oracle_sql
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,4 +72,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle_sql()

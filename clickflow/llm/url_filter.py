@@ -127,5 +127,5 @@ def judged(pages: DataFrame, outcomes: DataFrame | None = None, rules: list[tupl
 
 
 def digest(pages: DataFrame) -> DataFrame:
-    """Per page: page_id, host, path, rule, verdict, reputation."""
-    return judged(pages.select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "reputation")
+    """Per page: page_id, host, path, rule, verdict."""
+    return judged(pages.select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
