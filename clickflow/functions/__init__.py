@@ -11,4 +11,5 @@ from .columns import (  # noqa: F401
     split_line,
     string_to_epoch_ms,
     time_text,
+    timestamp_of_ms,
 )

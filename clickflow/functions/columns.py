@@ -17,9 +17,9 @@ def _c(c) -> Column:
 
 
 def non_blank(c) -> Column:
-    """True when the text is present and not only white space (null -> false)."""
-    c = _c(c)
-    return F.coalesce(F.trim(c) != F.lit(""), F.lit(False))
+    """True when the text holds any character above U+0020 (null -> false): tabs, newlines and
+    other control characters are blank, as Java's ``String.trim`` has it."""
+    return F.coalesce(_c(c).rlike(r"[^\x00-\x20]"), F.lit(False))
 
 
 def real_id(c, sentinel: int = -1) -> Column:
@@ -31,7 +31,7 @@ def split_ids(c, sep: str = ",") -> Column:
     """Split a delimited id list into an array of tokens, dropping blank tokens.
 
     ``"1,,2,"`` gives ``["1", "2"]``; null gives null."""
-    return F.filter(F.split(_c(c), re.escape(sep)), lambda t: F.trim(t) != F.lit(""))
+    return F.filter(F.split(_c(c), re.escape(sep)), non_blank)
 
 
 def split_line(c, sep: str = " ") -> Column:
@@ -41,9 +41,14 @@ def split_line(c, sep: str = " ") -> Column:
     return F.split(F.regexp_replace(_c(c), f"(?:{pat})+$", ""), pat)
 
 
+def timestamp_of_ms(c) -> Column:
+    """Epoch milliseconds -> timestamp; null where it is out of a timestamp's range."""
+    return F.timestamp_micros(F.try_multiply(_c(c), F.lit(1000).cast("bigint")))
+
+
 def epoch_ms_to_string(c, fmt: str = DEFAULT_TIME_FORMAT) -> Column:
-    """Epoch milliseconds -> formatted time text (session time zone)."""
-    return F.date_format(F.timestamp_millis(_c(c)), fmt)
+    """Epoch milliseconds -> formatted time text (session time zone); out of range gives null."""
+    return F.date_format(timestamp_of_ms(c), fmt)
 
 
 def epoch_text_to_string(c, fmt: str = DEFAULT_TIME_FORMAT) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import floor_time, time_text
+from ..session import written
 
 # Fixed defaults of the reference jobs.
 BLACKLIST_THRESHOLD = 100
@@ -36,31 +37,26 @@ def ad_blacklist(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFr
             .select("userid").distinct())
 
 
+def candidate_clicks(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
+    """Clicks of the (day, ad, user) groups whose total reaches ``threshold``: only these can
+    cross. The groups come from a partial hash aggregate and are few; the log is semi-joined to
+    them (the planner picks the join by size)."""
+    groups = (log.groupBy(*USER_GRAIN).agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") >= int(threshold)).select(*USER_GRAIN))
+    return log.select(*USER_GRAIN, "ts", "event_id").join(groups, list(USER_GRAIN), "left_semi")
+
+
 def ad_blacklist_crossings(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
     """(userid, cross_ts, cross_event_id): the event at which each listed user first reaches
     ``threshold`` clicks on one (day, ad).
 
-    Only (day, ad, user) groups whose total reaches ``threshold`` can cross, and they are few:
-    they are found by a partial hash aggregate (a small shuffle), and the log is semi-joined
-    to them (broadcast after a size check), so only their clicks are shuffled for the window.
-    There ``row_number() = threshold`` plans a partial ``WindowGroupLimit``: each map task
-    passes on at most ``threshold`` rows per group, so a hot user is cut down before the
-    shuffle. Spark inserts that limit only up to ``spark.sql.optimizer.windowGroupLimitThreshold``;
-    above it the position comes from the skew-proof :func:`~clickflow.operators.sequence.with_position`."""
-    from .joins import broadcast_if_small
+    The candidate clicks are written once (two scans of the log: totals, clicks), and numbered
+    by the skew-proof :func:`~clickflow.operators.sequence.with_position`, whatever the
+    threshold."""
     from .sequence import with_position
 
-    keys = ["date", "adid", "userid"]
-    crossing_groups = (log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                          .where(F.col("_n") >= int(threshold)).select(*keys))
-    base = (log.select(*keys, "ts", "event_id")
-               .join(broadcast_if_small(crossing_groups), keys, "left_semi"))
-    limit = int(log.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if int(threshold) <= limit:
-        w = Window.partitionBy(*keys).orderBy("ts", "event_id")
-        pos = base.withColumn("_rn", F.row_number().over(w))
-    else:
-        pos = with_position(base, keys, "ts", "event_id", name="_rn")
+    pos = with_position(written(candidate_clicks(log, threshold), "candidates"), list(USER_GRAIN),
+                        "ts", "event_id", name="_rn")
     hit = pos.where(F.col("_rn") == int(threshold))
     # earliest crossing per user: one row per user survives a partial group limit (a min over
     # a struct would plan as a sort-based aggregate)
@@ -74,12 +70,10 @@ def ad_blacklist_filter(log: DataFrame, threshold: int = BLACKLIST_THRESHOLD) ->
     including the one that lists them pass, later ones are dropped. (The reference decides per
     micro-batch, so it also admits the rest of the batch that crosses the threshold.)
 
-    The crossings (one row per listed user) are broadcast when a row-count check shows they
-    are small, so the event log is not shuffled by user; above the bound the join is a shuffle
-    join, where AQE's skew handling splits a hot user's partition."""
-    from .joins import broadcast_if_small
-
-    x = broadcast_if_small(ad_blacklist_crossings(log, threshold))
+    The crossings (one row per listed user) are written once and read back, so the planner
+    knows their bytes: broadcast where they are small, else a shuffle join in which AQE splits a
+    hot user. The log is scanned three times in all."""
+    x = written(ad_blacklist_crossings(log, threshold), "crossings")
     j = log.join(x, "userid", "left")
     keep = (F.col("cross_ts").isNull()
             | (F.struct("ts", "event_id") <= F.struct(F.col("cross_ts").alias("ts"),
@@ -121,7 +115,13 @@ def ad_click_trend(log: DataFrame, span_seconds: int = TREND_WINDOW_SECONDS,
     """(bucket, n): clicks per ``bucket_seconds`` bucket over the last ``span_seconds`` before
     the latest event. The latest event time is a scalar subquery, not a driver round trip."""
     latest = log.select(F.max("ts")).scalar()
-    recent = log.where(F.col("ts") > latest - F.make_interval(secs=F.lit(int(span_seconds))))
+    return ad_click_buckets(log.where(F.col("ts") > latest - F.make_interval(secs=F.lit(int(span_seconds)))),
+                            bucket_seconds)
+
+
+def ad_click_buckets(recent: DataFrame, bucket_seconds: int = TREND_SLIDE_SECONDS) -> DataFrame:
+    """(bucket, n): clicks per bucket of a log that a reader has already bounded in time
+    (``ad_log(..., last_seconds=...)``)."""
     b = floor_time(F.col("ts"), bucket_seconds)
     return (recent.groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("n"))
                   .select(time_text("_b").alias("bucket"), "n"))

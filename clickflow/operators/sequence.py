@@ -13,53 +13,53 @@ sort order, then:
    piece's first row, and a piece's offset is the running size of the earlier pieces;
 4. ``with_next`` unions the rows finished in step 1 with the edge rows finished in step 3;
    ``with_position`` joins the offsets back (range split: one row per chunk, on the chunk
-   id alone, so the rows stay where the bucketed scan put them).
+   id alone).
 
 Pieces (``split``):
 
-- ``"auto"`` (default): ``None`` (the plain window) when a size check shows the whole input
-  fits comfortably in one task (at most ``AUTO_SINGLE_TASK_ROWS`` rows) - then no group, hot
-  or not, can overload a task - else ``"range"``. The check reads at most that many rows and
-  its answer is remembered per session and input (like the broadcast size check).
-- ``"range"``: range chunks of the full sort key ``(group, time, tie)``, from
-  ``repartitionByRange`` with sampled bounds. The key is unique, so no value can be hot: any
-  group, even one holding a third of all rows within one second, is cut into chunks of
-  about one advisory partition size each, and step 3 sees one row per chunk of a group.
-  The chunked rows are written once to the shared checkpoint folder and read back (an eager
-  write when the operator is called), which pins the chunk ids for all branches and cuts
-  the lineage; the table is bucketed by chunk id, so the window on ``(group, chunk)`` needs
-  no further shuffle of the rows (``with_next`` then shuffles only edge rows,
-  ``with_position`` only one offset row per chunk). Without an explicit ``chunks`` count AQE
-  sizes the chunks from the data.
+- ``"range"`` (default, at every input size): range chunks of the full sort key
+  ``(group, time, tie)``. The key is unique, so no value can be hot: any group, even one holding
+  a third of all rows within one second, is cut into chunks of equal size. The chunked rows are
+  written once to the shared folder and read back, which pins the chunk ids for all branches
+  (they are partition indexes, and two evaluations of a range exchange sample different bounds)
+  and cuts the lineage. ``CHUNKS_PER_TASK`` chunks go to each task, dealt by ranges of the chunk
+  id, so tasks are as even as the chunks are: no hashing of a few large keys. That range
+  partitioning also satisfies the window on ``(group, chunk)``. The number of tasks comes from
+  the planner's byte estimate and the advisory partition size.
 - ``"time"``: fixed time buckets of ``bucket_seconds``; no sampling pass, but a burst of one
   group inside one bucket stays in one task.
-- ``None``: the plain single window, kept for comparison.
+- ``None``: the plain single window, kept for comparison in tests.
 
 Results equal the plain window exactly (ties broken by ``tie_col``).
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import work_dir
+
 DEFAULT_BUCKET_SECONDS = 300
-DEFAULT_SPLIT = "auto"
-# Inputs up to this many rows are ordered with the plain window (one task can hold them).
-AUTO_SINGLE_TASK_ROWS = 2_000_000
-_fits_one_task: OrderedDict = OrderedDict()
+DEFAULT_SPLIT = "range"
+CHUNKS_PER_TASK = 4
 
 
-def _resolve_split(df: DataFrame, split: str | None) -> str | None:
-    if split != "auto":
-        return split
-    from .joins import remembered, size_key
+UNKNOWN_BYTES = 1 << 60
 
-    limit = int(AUTO_SINGLE_TASK_ROWS)
-    fits = remembered(_fits_one_task, size_key(df, limit), lambda: df.limit(limit + 1).count() <= limit)
-    return None if fits else "range"
+
+def tasks_for(df: DataFrame) -> int:
+    """Tasks that give each about one advisory partition size of the sources' bytes, and at least
+    the cluster's parallelism; ``spark.sql.shuffle.partitions`` where a source's size is unknown.
+    Planning only: no job runs."""
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    if total >= UNKNOWN_BYTES:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    return max(spark.sparkContext.defaultParallelism, -(-total // max(1, int(advisory))))
 
 
 def _bucket(time_col: str, bucket_seconds: int):
@@ -74,30 +74,12 @@ def _pieces(df: DataFrame, by: list[str], time_col: str, tie_col: str, split: st
     if split == "time":
         return df.withColumn("_tb", _bucket(time_col, bucket_seconds))
     if split == "range":
-        import uuid
-
-        from ..session import work_dir
-
         spark = df.sparkSession
-        path = work_dir(spark, "sequence-chunks")
-        name = f"clickflow_chunks_{uuid.uuid4().hex[:16]}"
         cols = [*[F.col(c) for c in by], F.col(time_col), F.col(tie_col)]
-        # no count given: AQE sizes the chunks from the data (advisory partition size)
-        ranged = df.repartitionByRange(int(chunks), *cols) if chunks else df.repartitionByRange(*cols)
-        # Written once and read back: the chunk id is a partition index, and two evaluations
-        # of the range exchange (one per branch, after different column pruning) would sample
-        # different bounds. The written table fixes the ids for every branch and cuts lineage.
-        # It is bucketed by chunk id: each writing task holds one chunk, so it writes one file,
-        # and the scan reports hash partitioning on ``_tb``, which already satisfies the
-        # per-(group, chunk) window - no second shuffle of the rows.
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (ranged.withColumn("_tb", F.spark_partition_id().cast("bigint"))
-               .write.format("parquet").bucketBy(buckets, "_tb").option("path", path).saveAsTable(name))
-        out = spark.table(name)
-        # the resolved DataFrame keeps its bucketed relation; the catalog entry (an external
-        # table, so the files stay) is dropped at once rather than piling up per call
-        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-        return out
+        n = int(chunks) if chunks else CHUNKS_PER_TASK * tasks_for(df)
+        path = work_dir(spark, "sequence-chunks")
+        df.repartitionByRange(n, *cols).withColumn("_tb", F.spark_partition_id().cast("bigint")).write.parquet(path)
+        return spark.read.parquet(path).repartitionByRange(-(-n // CHUNKS_PER_TASK), "_tb")
     raise ValueError(f"unknown split {split!r}")
 
 
@@ -115,7 +97,6 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
     row of the group's next non-empty piece. The two parts are unioned, so the rows are never
     joined or shuffled again."""
     order = [F.col(time_col), F.col(tie_col)]
-    split = _resolve_split(df, split)
     if split is None:
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select(*df.columns, *[F.lead(c).over(w).alias(prefix + c) for c in carry])
@@ -143,7 +124,6 @@ def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, nam
     """Add ``name``: the 1-based position of each row in its ``by`` group, ordered by
     ``(time_col, tie_col)`` (``row_number`` semantics)."""
     order = [F.col(time_col), F.col(tie_col)]
-    split = _resolve_split(df, split)
     if split is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
     keys = [*by, "_tb"]
@@ -159,8 +139,7 @@ def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, nam
     # the last group of each earlier chunk it touches and the first group of the chunk it
     # continues in. So only each chunk's first and last groups matter (at most two rows per
     # chunk), only a chunk's first group can have a non-zero offset, and the offsets come down
-    # to one row per chunk, joined on the chunk id alone - which the bucketed chunk table
-    # already satisfies, so the rows are not shuffled.
+    # to one row per chunk, joined on the chunk id alone.
     grp = F.struct(*[F.col(c) for c in by])
     asc = Window.partitionBy("_tb").orderBy(*[F.col(c).asc() for c in by])
     desc = Window.partitionBy("_tb").orderBy(*[F.col(c).desc() for c in by])

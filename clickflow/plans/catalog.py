@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session as S
-from ..functions import epoch_ms_to_string, floor_time, split_ids, string_to_epoch_ms, time_text
+from ..functions import (epoch_ms_to_string, epoch_text_to_string, floor_time, non_blank, split_ids, string_to_epoch_ms,
+                         time_text)
 from ..operators import ads as A
 from ..operators import category as C
 from ..operators import pageflow as PF
 from ..sources import adapters as src
 from ..sources import adlog
+from ..sources.sinks import with_task_id
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,7 +80,8 @@ def batch_queries() -> dict[str, Query]:
     q["ad_blacklist_filter"] = lambda s, d: A.ad_blacklist_filter(_ad(s, d), P.BLACKLIST_THRESHOLD).select("event_id")
     q["ad_top3_by_area"] = lambda s, d: A.ad_top3_by_area(_ad(s, d), P.TOP_ADS)
     q["ad_top3_json"] = lambda s, d: A.ad_top3_json(_ad(s, d), P.TOP_ADS)
-    q["ad_click_trend"] = lambda s, d: A.ad_click_trend(_ad(s, d), P.TREND_SPAN_SECONDS, P.TREND_SLIDE_SECONDS)
+    q["ad_click_trend"] = lambda s, d: A.ad_click_buckets(
+        src.ad_log(S.prepare(s), d, last_seconds=P.TREND_SPAN_SECONDS), P.TREND_SLIDE_SECONDS)
     q["ad_click_trend_sliding"] = lambda s, d: A.ad_click_trend_sliding(
         _ad(s, d), P.TREND_WINDOW_SECONDS, P.TREND_SLIDE_SECONDS)
 
@@ -89,9 +92,23 @@ def batch_queries() -> dict[str, Query]:
         "event_id", time_text(floor_time(F.col("ts"), P.TREND_SLIDE_SECONDS)).alias("value"))
     q["fn_split_ids"] = lambda s, d: _va(s, d).select(
         "event_id", F.explode(split_ids("order_category_ids")).alias("value"))
+    q["fn_non_blank"] = lambda s, d: _va(s, d).select("event_id", non_blank(_blank_cases()).alias("value"))
+    q["fn_epoch_text"] = lambda s, d: _lines(s, d).select(
+        "event_id", epoch_text_to_string(F.substring_index("line", " ", 1)).alias("value"))
+    q["category_top10_records"] = lambda s, d: with_task_id(
+        C.category_top10(_va(s, d), k=P.TOP_CATEGORIES), P.TASK_ID)
+    q["category_session_top10_records"] = lambda s, d: with_task_id(
+        C.category_session_top10(_va(s, d), k=P.TOP_SESSIONS), P.TASK_ID)
     return q
 
 
+def _blank_cases():
+    """Order id lists with some replaced by a tab, a newline, blanks and nothing."""
+    case = F.col("event_id") % 7
+    return (F.when(case == 0, "\t").when(case == 1, "\n").when(case == 2, "  ").when(case == 3, "\t7 ")
+             .when(case == 4, "").otherwise(F.col("order_category_ids")))
+
+
 def _stream_lines(spark: SparkSession, sf_dir: str, plant_errors: bool = False) -> DataFrame:
     S.prepare(spark)
     return src.ad_log_lines(spark, sf_dir, plant_errors=plant_errors)
@@ -210,6 +227,18 @@ def io_queries() -> dict[str, Query]:
         _replay(s, d, "stream_blacklist_filter", build)
         return s.read.parquet(holder["a"]).select("event_id")
 
+    def batch_filter_stream(s, d):
+        holder = {}
+
+        def build(r):
+            holder["b"] = KeyedTable(f"{r}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
+            holder["a"] = f"{r}/admitted"
+            return [(lambda st: SA.admitted_to_folder(SA.parse_stream(st), holder["b"], holder["a"]), f"{r}/c1"),
+                    (lambda st: SA.blacklist_to_table(SA.parse_stream(st), holder["b"], P.BLACKLIST_THRESHOLD,
+                                                      P.WATERMARK_DELAY), f"{r}/c2")]
+        _replay(s, d, "stream_batch_filter", build)
+        return s.read.parquet(holder["a"]).select("event_id")
+
     def trend_stream(s, d):
         root = _replay(s, d, "stream_trend", lambda r: [
             (lambda st: SA.to_files(SA.trend_stream(SA.parse_stream(st), P.TREND_WINDOW_SECONDS,
@@ -227,5 +256,6 @@ def io_queries() -> dict[str, Query]:
     q["ad_top3_json_stream"] = lambda s, d: A.top_ads_json(top3_stream(s, d))
     q["ad_blacklist_stream"] = blacklist_stream
     q["ad_blacklist_filter_stream"] = blacklist_filter_stream
+    q["ad_blacklist_batch_filter_stream"] = batch_filter_stream
     q["ad_click_trend_stream"] = trend_stream
     return q

@@ -50,31 +50,36 @@ ad_log as (
 AD_LINES = """
 ad_lines as (
   select event_id,
-         case when event_id % 101 = 0 then 'x' else '' end
-         || case when event_id % 97 = 0 then regexp_replace(line, ' [^ ]*$', '') else line end as line
-  from (select event_id, concat_ws(' ', cast(ts_ms as varchar), area, city, userid, adid) as line from ad_log)
+         case when event_id % 107 = 0 then '-9999999999999999'
+              when event_id % 103 = 0 then '9999999999999999'
+              when event_id % 101 = 0 then 'x' || cast(ts_ms as varchar)
+              else cast(ts_ms as varchar) end
+         || ' ' || case when event_id % 97 = 0 then concat_ws(' ', area, city, userid)
+                        else concat_ws(' ', area, city, userid, adid) end as line
+  from ad_log
 ),
 ad_decoded as (
   select event_id, line, parts,
          case when len(parts) < 5 then 'missing_field'
-              when try_cast(parts[1] as bigint) is null then 'bad_timestamp' end as reason
+              when try_cast(parts[1] as bigint) is null then 'bad_timestamp'
+              when abs(try_cast(parts[1] as bigint)) > 9223372036854775 then 'bad_timestamp' end as reason
   from (select event_id, line, string_split(rtrim(line, ' '), ' ') as parts from ad_lines)
 )"""
 
-CATEGORY_EVENTS = """
+CATEGORY_EVENTS = r"""
 cat_events as (
   select event_id, cast(click_category_id as varchar) as category_id, 'click' as metric
   from visit_actions where coalesce(click_category_id, -1) <> -1
   union all
   select event_id, c, 'order' from (
     select event_id, unnest(string_split(order_category_ids, ',')) as c from visit_actions
-    where coalesce(click_category_id, -1) = -1 and trim(coalesce(order_category_ids, '')) <> '')
+    where coalesce(click_category_id, -1) = -1 and regexp_matches(coalesce(order_category_ids, ''), '[^\x00-\x20]'))
   where trim(c) <> ''
   union all
   select event_id, c, 'pay' from (
     select event_id, unnest(string_split(pay_category_ids, ',')) as c from visit_actions
-    where coalesce(click_category_id, -1) = -1 and trim(coalesce(order_category_ids, '')) = ''
-      and trim(coalesce(pay_category_ids, '')) <> '')
+    where coalesce(click_category_id, -1) = -1 and not regexp_matches(coalesce(order_category_ids, ''), '[^\x00-\x20]')
+      and regexp_matches(coalesce(pay_category_ids, ''), '[^\x00-\x20]'))
   where trim(c) <> ''
 ),
 funnel as (
@@ -236,14 +241,33 @@ select event_id, value from (
   where order_category_ids is not null)
 where trim(value) <> ''"""
 
-    # the trend stream emits a window once the watermark (latest event, in whole ms, minus
-    # the delay) has reached the window's end
+    q["fn_non_blank"] = va + r"""
+select event_id, coalesce(regexp_matches(v, '[^\x00-\x20]'), false) as value from (
+  select event_id, case event_id % 7 when 0 then chr(9) when 1 then chr(10) when 2 then '  ' when 3 then chr(9) || '7 '
+                                     when 4 then '' else order_category_ids end as v from visit_actions)"""
+    q["fn_epoch_text"] = lines + """
+select event_id, case when abs(ms) <= 9223372036854775 then strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') end as value
+from (select event_id, try_cast(string_split(line, ' ')[1] as bigint) as ms from ad_lines)"""
+    for name in ("category_top10", "category_session_top10"):
+        q[f"{name}_records"] = f"select '{P.TASK_ID}' as task_id, * from ({q[name]})"
+    # the reference's own timing: a user's clicks pass up to the end of the batch that lists them
+    q["ad_blacklist_batch_filter_stream"] = ad + f"""
+, sliced as (select *, (event_id - (select min(event_id) from ad_log)) //
+                cast(ceil(((select max(event_id) - min(event_id) + 1 from ad_log)) / {P.REPLAY_SLICES}.0) as bigint) as slice from ad_log),
+  per as (select date, adid, userid, slice, count(*) as n from sliced group by 1, 2, 3, 4),
+  runs as (select userid, slice, sum(n) over (partition by date, adid, userid order by slice) as total from per),
+  listed as (select userid, min(slice) as slice from runs where total >= {T} group by userid)
+select s.event_id from sliced s left join listed l on s.userid = l.userid
+where l.slice is null or s.slice <= l.slice"""
+
+    # the trend stream emits a bucket's rows once the watermark (latest event, in whole ms,
+    # minus the delay) has reached the bucket's end
     delay_us = _interval_us(P.WATERMARK_DELAY)
     q["ad_click_trend_stream"] = ad + f"""
 , wm as (select (epoch_us(max(ts)) // 1000) * 1000 - {delay_us} as w from ad_log)
 select {_ts_text(f'b - to_seconds(i * {P.TREND_SLIDE_SECONDS})')} as window_start, {_ts_text('b')} as bucket, count(*) as n
 from (select {_floor10('ts')} as b from ad_log) t, range({per}) r(i), wm
-where epoch_us(b - to_seconds(i * {P.TREND_SLIDE_SECONDS})) + {P.TREND_WINDOW_SECONDS * 1_000_000} <= wm.w
+where epoch_us(b) + {P.TREND_SLIDE_SECONDS * 1_000_000} <= wm.w
 group by 1, 2"""
 
     # sinks: what was written, read back, must equal the source query

@@ -14,3 +14,5 @@ TOP_ADS = 3
 # Streams: number of replay slices and the event-time watermark delay.
 REPLAY_SLICES = 4
 WATERMARK_DELAY = "10 minutes"
+# Run id of the registered result records.
+TASK_ID = "run-1"

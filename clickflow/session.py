@@ -71,14 +71,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the durable, shared location the cluster names; it is only
-    invented here (under the system temp folder) when the session has none, as in tests.
+    On a cluster this is the durable, shared location the cluster names; a cluster session
+    without it raises, since a folder of one machine would lose what other executors write. A
+    local session has one machine only, so there a temporary folder is made when none is set.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="clickflow-ckpt-")
         sc.setCheckpointDir(root)
     elif sc.getCheckpointDir() is None:
@@ -86,6 +89,14 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def written(df, name: str):
+    """``df`` written to a fresh folder under the shared root and read back: evaluated once,
+    lineage cut, and its true size known to the planner."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared root for one run of one job (tables, stream state)."""
     return f"{shared_root(spark)}/clickflow/{name}-{uuid.uuid4().hex[:12]}"

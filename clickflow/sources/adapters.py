@@ -86,17 +86,19 @@ def visit_date_range(actions: DataFrame, start_date: str | None = None,
     return actions
 
 
-def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded ad-click log derived from ``events`` + ``nation`` + ``region``.
+def ad_log(spark: SparkSession, sf_dir: str, last_seconds: int | None = None) -> DataFrame:
+    """Decoded ad-click log derived from ``events`` + ``nation`` + ``region``; with ``last_seconds``
+    only events of that span before the latest one, compared on the stored timestamp before any
+    cast or join, so the bound reaches the scan.
 
     The two dimension tables are joined to each other first (small x small), so the events
-    table is joined once. That combined dimension is broadcast only after a row-count check
-    (:func:`~clickflow.operators.joins.broadcast_if_small`); beyond the bound the join is a
-    shuffle join.
+    table is joined once. No hint: the planner broadcasts the dimension while its byte estimate
+    is under ``spark.sql.autoBroadcastJoinThreshold``, else AQE decides on the measured size.
     """
-    from ..operators.joins import broadcast_if_small
-
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
+    if last_seconds is not None:
+        latest = read_table(spark, sf_dir, "events").select(F.max("ts")).scalar()
+        ev = ev.where(F.col("ts") > latest - F.make_dt_interval(secs=F.lit(int(last_seconds))))
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     dims = (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -104,7 +106,7 @@ def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.replace(F.col("r_name"), F.lit(" "), F.lit("-")).alias("area"),
                           F.replace(F.col("n_name"), F.lit(" "), F.lit("-")).alias("city")))
     ts = F.col("ts").cast("timestamp")
-    j = ev.join(broadcast_if_small(dims), (F.col("user_id") % 25) == F.col("n_nationkey"))
+    j = ev.join(dims, (F.col("user_id") % 25) == F.col("n_nationkey"))
     return schemas.conform(j.select(
         F.col("event_id"),
         ts.alias("ts"),
@@ -128,7 +130,8 @@ def encode_ad_lines(log: DataFrame) -> DataFrame:
 def ad_log_lines(spark: SparkSession, sf_dir: str, plant_errors: bool = False) -> DataFrame:
     """Wire lines of the ad log. With ``plant_errors`` some lines are damaged on purpose
     (FIXTURES.md): ids divisible by 97 lose their last field, ids divisible by 101 get an
-    ``x`` in front of the time."""
+    ``x`` in front of the time, ids divisible by 103 a time far past, and ids divisible by 107 one
+    far before, any timestamp."""
     lines = encode_ad_lines(ad_log(spark, sf_dir))
     if not plant_errors:
         return lines
@@ -136,6 +139,8 @@ def ad_log_lines(spark: SparkSession, sf_dir: str, plant_errors: bool = False) -
     line = F.col("line")
     line = F.when(eid % 97 == 0, F.regexp_replace(line, r" [^ ]*$", "")).otherwise(line)
     line = F.when(eid % 101 == 0, F.concat(F.lit("x"), line)).otherwise(line)
+    line = F.when(eid % 103 == 0, F.regexp_replace(line, r"^x?[0-9]+", "9999999999999999")).otherwise(line)
+    line = F.when(eid % 107 == 0, F.regexp_replace(line, r"^x?[0-9]+", "-9999999999999999")).otherwise(line)
     return lines.select("event_id", line.alias("line"))
 
 

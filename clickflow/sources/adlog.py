@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import day_of, split_line
+from ..functions import day_of, split_line, timestamp_of_ms
 
 # Field order of a wire line and the reject reasons we report.
 LINE_FIELDS = ["ts_ms", "area", "city", "userid", "adid"]
@@ -18,14 +18,15 @@ def decode_ad_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
     Extra trailing fields are ignored, as positional binding does. Adds ``reject_reason``:
     null for good lines, else why the line cannot be decoded. Nothing here throws on bad
-    input (ANSI mode stays on; ``get`` and ``try_cast`` return null instead).
+    input (ANSI mode stays on; ``get``, ``try_cast`` and ``try_multiply`` return null instead);
+    a time that is no number, or out of a timestamp's range, is a bad timestamp.
     """
     parts = split_line(F.col(line_col), " ")
     fields = {name: F.get(parts, i) for i, name in enumerate(LINE_FIELDS)}
     ts_ms = fields["ts_ms"].try_cast("bigint")
+    ts = timestamp_of_ms(ts_ms)
     reason = (F.when(F.coalesce(F.size(parts), F.lit(-1)) < len(LINE_FIELDS), F.lit(REASON_MISSING_FIELD))
-               .when(ts_ms.isNull(), F.lit(REASON_BAD_TIMESTAMP)))
-    ts = F.timestamp_millis(ts_ms)
+               .when(ts.isNull(), F.lit(REASON_BAD_TIMESTAMP)))
     keep = [c for c in lines.columns if c != line_col]
     return lines.select(
         *keep,

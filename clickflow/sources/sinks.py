@@ -21,11 +21,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
                mode: str = "append", batch_size: int = 1000, num_partitions: int | None = None) -> None:
     """Insert ``df`` into a relational table: every task writes its partition over one
     connection in batches of ``batch_size`` rows; ``num_partitions`` caps concurrent
-    connections. Not exercised here: it needs a database server, and none is started."""
+    connections (a shuffle, so the stage before keeps its own parallelism). Not exercised here: it needs a database server, and none is started."""
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
     if num_partitions:
-        df = df.coalesce(int(num_partitions))
+        df = df.repartition(int(num_partitions))
     df.write.jdbc(url, table, mode=mode, properties=props)
 
 

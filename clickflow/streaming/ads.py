@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions import day_of, floor_time, time_text
+from ..functions import day_of, time_text
 from ..operators.ads import BLACKLIST_THRESHOLD, TOP_ADS, rank_top_ads
 from ..sources.adlog import decode_ad_lines, parsed_ad_log
 from .keyed import KeyedTable
@@ -21,6 +21,20 @@ from .keyed import KeyedTable
 DEFAULT_DELAY = "10 minutes"
 
 
+MAX_LISTED_DAYS = 64
+
+
+def in_days_of(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """``table`` where ``date`` is between the days of ``rows``, and one of them where they are few:
+    at most ``MAX_LISTED_DAYS`` + 1 values and two bounds reach the driver. It only prunes folders;
+    a join with ``rows`` decides."""
+    days = [r.date for r in rows.select("date").distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+    if len(days) <= MAX_LISTED_DAYS:
+        return table.where(F.col("date").isin(days) if days else F.lit(False))
+    lo, hi = rows.agg(F.min("date"), F.max("date")).first()
+    return table.where(F.col("date").between(lo, hi))
+
+
 def parse_stream(lines: DataFrame) -> DataFrame:
     """Decoded good lines of a stream of wire lines (bad lines are dropped here; see
     :func:`decoded_to_files` to keep them)."""
@@ -67,19 +81,15 @@ def top_ads_to_tables(parsed: DataFrame, counts: KeyedTable, top: KeyedTable, k:
 
     A streaming query cannot rank or aggregate twice, so each micro-batch (1) upserts the
     changed (day, area, ad) totals, then (2) re-ranks only the (day, area) groups this batch
-    touched, reading their current totals back from the written table. Touched days are the
-    days still open under the watermark, a handful per batch, so they are listed on the driver
-    to prune the day folders of the totals table."""
+    touched, reading their current totals back from the written table (only the touched days'
+    folders, see :func:`in_days_of`)."""
 
     def on_batch(df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
         counts.write(df, epoch_id)
         written = spark.read.schema(counts.schema).parquet(counts.epoch_path(epoch_id))
         touched = written.select("date", "area").distinct()
-        days = [r.date for r in touched.select("date").distinct().collect()]
-        if not days:
-            return
-        cur = (counts.current(spark, before_epoch=epoch_id + 1).where(F.col("date").isin(days))
+        cur = (in_days_of(counts.current(spark, before_epoch=epoch_id + 1), touched)
                .join(touched, ["date", "area"], "left_semi"))
         ranked = rank_top_ads(cur, k)
         folded = ranked.groupBy("date", "area").agg(
@@ -130,11 +140,13 @@ def blacklist_to_table(parsed: DataFrame, table: KeyedTable, threshold: int = BL
 def admitted_to_folder(parsed: DataFrame, blacklist: KeyedTable, folder: str) -> DataStreamWriter:
     """Events not from listed users, checked once per micro-batch against the blacklist as
     written so far (the reference's per-batch semantics: a user's clicks in the batch that
-    lists them are still admitted)."""
+    lists them are still admitted). The list's last epoch is recorded before a batch's first
+    attempt reads it, so a retried batch sees the same list."""
 
     def on_batch(df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
-        known = blacklist.history(spark).select("userid")
+        last = blacklist.pinned(spark, f"{folder}/_list/epoch={int(epoch_id)}")
+        known = blacklist.history(spark, before_epoch=last + 1).select("userid")
         (df.join(known, "userid", "left_anti")
            .write.mode("overwrite").parquet(f"{folder}/epoch={int(epoch_id)}"))
 
@@ -146,53 +158,53 @@ def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist:
     """Admitted events decided per event, as the batch :func:`~clickflow.operators.ads.ad_blacklist_filter`:
     a user's clicks pass up to and including the one that lists them.
 
-    Per micro-batch, with no state store: ``counts`` (a ``merge="sum"`` table of clicks per
-    (day, ad, user)) gives the clicks before this batch; the batch's own counts show which
-    groups cross ``threshold`` in this batch, and only their clicks are numbered by the
-    skew-proof :func:`~clickflow.operators.sequence.with_position`; the click whose running
+    Per micro-batch, with no state store: the batch is kept while it is worked on, so its source
+    is read once. ``counts`` (a ``merge="sum"`` table of clicks per (day, ad, user)) gives the
+    clicks before this batch, reduced to the batch's own groups before they are summed; the
+    batch's counts show which groups cross ``threshold`` now, and only their clicks are numbered
+    by the skew-proof :func:`~clickflow.operators.sequence.with_position`; the click whose running
     total reaches ``threshold`` lists its user. A user's events pass unless the user was listed
-    by an earlier batch or the event comes after the user's first crossing in this batch. Then
-    the batch's counts and new listings are written (replay safe). Equal to the batch result
-    when batches arrive in event-time order."""
-    from ..operators.joins import broadcast_if_small
+    by an earlier batch or the event comes after the user's first crossing in this batch. All that
+    is written is a function of the batch and of earlier epochs, so a retry writes the same. Equal
+    to the batch result when batches arrive in event-time order."""
     from ..operators.sequence import with_position
+    from ..session import written
 
     keys = ["date", "adid", "userid"]
 
-    def on_batch(df: DataFrame, epoch_id: int) -> None:
-        spark = df.sparkSession
-        rows = df.select("event_id", "ts", *keys)
-        days = [r.date for r in rows.select("date").distinct().collect()]
-        if not days:
-            return
-        prior = (counts.current(spark, before_epoch=epoch_id).where(F.col("date").isin(days))
-                 .withColumnRenamed("n", "_prior"))
-        listed = blacklist.history(spark, before_epoch=epoch_id).select("userid")
-        batch_counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        # only groups whose running total crosses the threshold in this batch need positions
-        before = F.coalesce(F.col("_prior"), F.lit(0))
-        crossing = (batch_counts.join(prior, keys, "left")
-                                .where((before < int(threshold)) & (before + F.col("n") >= int(threshold)))
-                                .select(*keys))
-        candidates = rows.join(broadcast_if_small(crossing), keys, "left_semi")
-        pos = with_position(candidates, keys, "ts", "event_id", name="_step")
-        hits = (pos.join(prior, keys, "left")
-                   .where(F.coalesce(F.col("_prior"), F.lit(0)) + F.col("_step") == int(threshold)))
-        first = Window.partitionBy("userid").orderBy("ts", "event_id")
-        cross = (hits.withColumn("_f", F.row_number().over(first)).where(F.col("_f") == 1)
-                     .select("userid", F.col("ts").alias("_cts"), F.col("event_id").alias("_cid")))
-        cross_path = f"{folder}/_crossings/epoch={int(epoch_id)}"
-        cross.write.mode("overwrite").parquet(cross_path)       # read twice below: written once
-        cross = spark.read.parquet(cross_path)
-        keep = (F.col("_cts").isNull()
-                | (F.struct("ts", "event_id") <= F.struct(F.col("_cts").alias("ts"), F.col("_cid").alias("event_id"))))
-        admitted = (df.join(listed, "userid", "left_anti").join(cross, "userid", "left")
-                      .where(keep).drop("_cts", "_cid"))
-        admitted.write.mode("overwrite").parquet(f"{folder}/epoch={int(epoch_id)}")
-        counts.write(batch_counts, epoch_id)
-        new = (cross.select("userid").join(listed, "userid", "left_anti")
-                    .withColumn("listed_epoch", F.lit(int(epoch_id)).cast("bigint")))
-        blacklist.write(new, epoch_id)
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        df = batch.persist()
+        try:
+            counts.write(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), epoch_id)
+            own = counts.written(spark, epoch_id)
+            earlier = in_days_of(counts.history(spark, before_epoch=epoch_id), own).join(
+                own.select(*keys), keys, "left_semi")
+            prior = earlier.groupBy(*keys).agg(F.sum("n").alias("_prior"))
+            before = F.coalesce(F.col("_prior"), F.lit(0))
+            crossing = written(own.join(prior, keys, "left")
+                               .where((before < int(threshold)) & (before + F.col("n") >= int(threshold)))
+                               .select(*keys, before.alias("_before")), "stream-crossing")
+            clicks = written(df.select("event_id", "ts", *keys).join(crossing, keys), "stream-clicks")
+            hits = (with_position(clicks, keys, "ts", "event_id", name="_step")
+                    .where(F.col("_before") + F.col("_step") == int(threshold)))
+            first = Window.partitionBy("userid").orderBy("ts", "event_id")
+            cross = (hits.withColumn("_f", F.row_number().over(first)).where(F.col("_f") == 1)
+                         .select("userid", F.col("ts").alias("_cts"), F.col("event_id").alias("_cid")))
+            cross_path = f"{folder}/_crossings/epoch={int(epoch_id)}"
+            cross.write.mode("overwrite").parquet(cross_path)       # read twice below: written once
+            cross = spark.read.schema(cross.schema).parquet(cross_path)
+            listed = blacklist.history(spark, before_epoch=epoch_id).select("userid")
+            keep = (F.col("_cts").isNull()
+                    | (F.struct("ts", "event_id") <= F.struct(F.col("_cts").alias("ts"), F.col("_cid").alias("event_id"))))
+            admitted = (df.join(listed, "userid", "left_anti").join(cross, "userid", "left")
+                          .where(keep).drop("_cts", "_cid"))
+            admitted.write.mode("overwrite").parquet(f"{folder}/epoch={int(epoch_id)}")
+            new = (cross.select("userid").join(listed, "userid", "left_anti")
+                        .withColumn("listed_epoch", F.lit(int(epoch_id)).cast("bigint")))
+            blacklist.write(new, epoch_id)
+        finally:
+            df.unpersist()
 
     return parsed.writeStream.outputMode("append").foreachBatch(on_batch)
 
@@ -201,15 +213,19 @@ def trend_stream(parsed: DataFrame, window_seconds: int = 60, slide_seconds: int
                  delay: str = DEFAULT_DELAY) -> DataFrame:
     """Clicks per ``slide_seconds`` bucket inside each sliding event-time window.
 
-    The inner bucket is arithmetic on the event time: a second ``window()`` in the same
-    grouping is not allowed. In append mode a window is emitted once the watermark passes
-    its end."""
-    b = floor_time(F.col("ts"), slide_seconds)
+    State holds one row per bucket (a tumbling window). In append mode a bucket is emitted once
+    the watermark passes its end; its row, not its events, is then copied into the
+    ``window_seconds / slide_seconds`` windows that contain it, as in the batch form."""
+    if window_seconds % slide_seconds:
+        raise ValueError("window_seconds must be a multiple of slide_seconds")
     agg = (parsed.withWatermark("ts", delay)
-                 .groupBy(F.window("ts", f"{int(window_seconds)} seconds", f"{int(slide_seconds)} seconds").alias("w"),
-                          b.alias("_b"))
+                 .groupBy(F.window("ts", f"{int(slide_seconds)} seconds").alias("w"))
                  .agg(F.count(F.lit(1)).alias("n")))
-    return agg.select(time_text(F.col("w.start")).alias("window_start"), time_text("_b").alias("bucket"), "n")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(window_seconds // slide_seconds - 1))).alias("_i")
+    b = F.col("_b")
+    return (agg.select(F.col("w.start").alias("_b"), "n", copies)
+               .select(time_text(b - F.make_interval(secs=F.col("_i") * slide_seconds)).alias("window_start"),
+                       time_text(b).alias("bucket"), "n"))
 
 
 def to_console_sorted(df: DataFrame, order: list[str], rows: int = 20, mode: str = "append") -> DataStreamWriter:

@@ -8,10 +8,12 @@ sum over all epochs (increments; every non-key column is then summed).
 
 Epochs are grouped into generations of ``generation`` batches. The batch that closes a
 generation also writes a snapshot of the current state to ``_snapshots/gen=<g>``; readers
-then need only the latest snapshot plus the folders of the generations after it, so the
-files a batch lists and reads stop growing with the age of the stream. (A retried closing
-batch rewrites the same snapshot. Folders of older generations are no longer read and can be
-dropped by the storage's retention.)
+then need only the latest finished snapshot, found by its folder's name and ``_SUCCESS`` mark,
+plus the folders of the generations after it, so the batches' files that a batch lists and reads
+stop growing with the age of the stream. (A retried closing batch rewrites the same snapshot;
+until it has finished, readers use the one before and the batches since. Folders of older
+generations are no longer read and can be dropped by the storage's retention. A snapshot holds
+all keys, so its size grows with them.)
 """
 
 from __future__ import annotations
@@ -84,18 +86,27 @@ class KeyedTable:
             r = r.schema(T.StructType([*self.schema.fields, *extra]))
         return r
 
+    def _listed(self, spark: SparkSession, folder: str, name: str) -> list[int]:
+        """The numbers N of ``<name>=N`` folders in ``folder`` that a finished write left."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        out = []
+        for status in fs.listStatus(path):
+            key, _, value = status.getPath().getName().partition("=")
+            if key == name and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                out.append(int(value))
+        return sorted(out)
+
     def _latest_snapshot(self, spark: SparkSession, below_gen: int | None) -> int | None:
-        """Latest snapshot generation (optionally below ``below_gen``); None if none."""
+        """Latest finished snapshot (optionally below ``below_gen``), from folder names and their
+        ``_SUCCESS`` marks: no data is read, and a snapshot that is being rewritten does not count."""
         if below_gen is not None and below_gen <= 0:
             return None     # no generation has closed yet: nothing to look for
-        try:
-            snaps = (self._reader(spark, [T.StructField(GEN, T.IntegerType())])
-                     .parquet(f"{self.path}/_snapshots"))
-        except AnalysisException:
-            return None
-        if below_gen is not None:
-            snaps = snaps.where(F.col(GEN) < int(below_gen))
-        return snaps.agg(F.max(GEN)).first()[0]
+        found = [g for g in self._listed(spark, f"{self.path}/_snapshots", GEN)
+                 if below_gen is None or g < int(below_gen)]
+        return max(found, default=None)
 
     def _deltas(self, spark: SparkSession, gens: list[int] | None, from_gen: int) -> DataFrame | None:
         """Delta rows (with ``epoch``) of the listed generations, reading only their folders;
@@ -106,8 +117,9 @@ class KeyedTable:
         for p in paths:
             try:
                 frames.append(self._reader(spark, extra).option("basePath", self.path).parquet(p))
-            except AnalysisException:
-                continue
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
         if not frames:
             return None
         out = frames[0]
@@ -115,6 +127,36 @@ class KeyedTable:
             out = out.unionByName(f)
         return out.where(F.col(GEN) >= int(from_gen)).drop(GEN)
 
+    def written(self, spark: SparkSession, epoch_id: int) -> DataFrame:
+        """The rows that batch ``epoch_id`` wrote."""
+        return self._reader(spark, []).parquet(self.epoch_path(epoch_id))
+
+    def pinned(self, spark: SparkSession, mark: str) -> int:
+        """The last epoch written so far (-1: none), recorded in folder ``mark`` the first time and
+        read from there ever after."""
+        schema = "last int"
+        try:
+            rows = spark.read.schema(schema).parquet(mark).collect()
+            if rows:
+                return rows[0][0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        gens = self._gens(spark)
+        last = max(self._listed(spark, self.gen_path(gens[-1]), EPOCH), default=-1) if gens else -1
+        spark.createDataFrame([(last,)], schema).coalesce(1).write.mode("overwrite").parquet(mark)
+        return last
+
+    def _gens(self, spark: SparkSession) -> list[int]:
+        """Generations with a finished batch."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        names = [s.getPath().getName().partition("=") for s in fs.listStatus(path)]
+        gens = sorted(int(v) for k, _, v in names if k == GEN)
+        return [g for g in gens if self._listed(spark, self.gen_path(g), EPOCH)]
+
     def _empty(self, spark: SparkSession) -> DataFrame:
         if self.schema is None:
             raise ValueError(f"nothing written to {self.path} yet and no schema given")

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from clickflow.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8, app_name="clickflow-tests")
+    s = build_session(master="local[*]", shuffle_partitions=8, app_name="clickflow-tests",
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="clickflow-tests-")})
     yield s
     s.stop()

@@ -112,3 +112,17 @@ def test_hot_user_crossing_matches_brute_force(spark):
     assert got == want
     kept = A.ad_blacklist_filter(log, 100).where(F.col("userid") == "hot").count()
     assert kept == 100
+
+
+def test_blacklist_filter_with_a_high_threshold(spark):
+    """A threshold above Spark's group limit takes the same path and gives the same result as brute force."""
+    rows = _clicks("hot", "1", 1300, T, 0) + _clicks("cold", "1", 30, T, 5000)
+    got = {r.event_id for r in A.ad_blacklist_filter(ad_df(spark, rows), 1200).collect()}
+    assert got == set(range(1200)) | set(range(5000, 5030))
+
+
+def test_times_out_of_range_are_rejected(spark):
+    lines = spark.createDataFrame([(1, "9999999999999999 A C 1 2"), (2, "-9999999999999999 A C 1 2"),
+                                   (3, "-1 A C 1 2"), (4, "1704067210123 A C 1 2")], "event_id long, line string")
+    assert {(r.event_id, r.reason) for r in adlog.ad_log_rejects(lines).collect()} == {(1, "bad_timestamp"), (2, "bad_timestamp")}
+    assert {(r.event_id, r.date) for r in adlog.parsed_ad_log(lines).collect()} == {(3, "1969-12-31"), (4, "2024-01-01")}

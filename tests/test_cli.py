@@ -61,7 +61,7 @@ def test_other_stream_jobs_once(spark):
     assert main(["ad-trend", "--landing", f"{root}/landing", "--out", f"{root}/t", "--once"]) == 0
     trend = spark.read.parquet(f"{root}/t/trend")
     closed = A.ad_click_trend_sliding(log).where(
-        F.to_timestamp("window_start") + F.expr("INTERVAL 60 SECONDS")
+        F.to_timestamp("bucket") + F.expr("INTERVAL 10 SECONDS")
         <= log.select(F.max("ts")).scalar() - F.expr("INTERVAL 10 MINUTES"))
     assert _rows(trend) == _rows(closed)
 

@@ -64,3 +64,19 @@ def test_task_id_prefix(spark):
     df = spark.createDataFrame([(1,)], "a int")
     r = with_task_id(df, "run-1").collect()
     assert r[0].task_id == "run-1" and with_task_id(df).columns == ["task_id", "a"]
+
+
+def test_blank_is_what_java_trims(spark):
+    df = spark.createDataFrame([("\t",), ("\n \r",), ("\x1f",), ("\t7",), ("\u00a0",), (None,)], "s string")
+    assert [r[0] for r in df.select(non_blank("s")).collect()] == [False, False, False, True, True, False]
+
+
+def test_cluster_session_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from clickflow.session import shared_root
+
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    spark = SimpleNamespace(sparkContext=sc, conf={})
+    with pytest.raises(ValueError):
+        shared_root(spark)

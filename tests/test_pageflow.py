@@ -80,8 +80,8 @@ def test_split_sequence_equals_plain_window(spark, split, kw):
 
 
 def test_hot_session_is_split_evenly(spark):
-    """A third of all actions forced into one session: range chunks stay balanced, the session
-    spans several chunks, and the result still equals the plain window."""
+    """A third of all actions forced into one session: tasks (not only chunks) stay balanced, the
+    session spans several, and the result still equals the plain window."""
     from clickflow.operators.sequence import _pieces
     from clickflow.sources.adapters import visit_actions
 
@@ -91,11 +91,13 @@ def test_hot_session_is_split_evenly(spark):
     hot = va.withColumn("session_id", F.when(F.col("event_id") % 3 == 0, F.lit("hot"))
                         .otherwise(F.col("session_id")))
     n = hot.count()
-    p = _pieces(hot, ["session_id"], "action_time", "event_id", "range", 300, chunks=8)
-    sizes = [r["count"] for r in p.groupBy("_tb").count().collect()]
-    assert sum(sizes) == n and max(sizes) <= 2 * n / 8
-    assert p.where(F.col("session_id") == "hot").select("_tb").distinct().count() >= 2
-    got = with_next(hot, ["session_id"], "action_time", "event_id", ["page_id"], split="range", chunks=8)
+    p = _pieces(hot, ["session_id"], "action_time", "event_id", "range", 300, chunks=32)
+    tasks = [r["count"] for r in p.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(tasks) == n and max(tasks) <= 2 * n / len(tasks) and len(tasks) >= 6
+    dealt = p.groupBy("_tb", F.spark_partition_id().alias("task")).count()
+    assert dealt.count() == p.select("_tb").distinct().count()        # a chunk is in one task
+    assert p.where(F.col("session_id") == "hot").select("_tb").distinct().count() >= 8
+    got = with_next(hot, ["session_id"], "action_time", "event_id", ["page_id"])
     want = with_next(hot, ["session_id"], "action_time", "event_id", ["page_id"], split=None)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 

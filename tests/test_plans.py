@@ -1,6 +1,7 @@
 """Scale properties of the physical plans, kept as regression tests."""
 
 import re
+import uuid
 
 import pytest
 
@@ -23,7 +24,7 @@ def test_no_python_or_pairwise_operators(spark, name):
     assert not [op for op in FORBIDDEN if op in plan]
 
 
-@pytest.mark.parametrize("name", ["category_session_top10", "ad_top3_by_area", "ad_blacklist_filter"])
+@pytest.mark.parametrize("name", ["category_session_top10", "ad_top3_by_area"])
 def test_per_group_top_k_is_limited_before_the_shuffle(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan and "Partial" in plan
@@ -46,28 +47,68 @@ def test_dimension_join_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_session_order_reads_bucketed_chunks_without_row_shuffle(spark):
+def test_session_order_is_split_at_every_size(spark):
+    """The small input takes the plan that a large one would: chunks by ranges of the full key,
+    dealt by chunk id, no shuffle of rows by session, no join."""
     from clickflow.operators.pageflow import page_dwell_time
     from clickflow.sources.adapters import visit_actions
 
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = _plan(page_dwell_time(visit_actions(spark, SF_SMALL), split="range"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "Bucketed: true" in plan
-    # exchanges: edge rows by session, then the per-page partial aggregate - no row shuffle
+    plan = _plan(page_dwell_time(visit_actions(spark, SF_SMALL)))
+    assert "rangepartitioning(_tb" in plan and "sequence-chunks" in plan
+    # exchanges by hash: edge rows by session, then the per-page partial aggregate
     assert plan.count("Exchange hashpartitioning") == 2
     assert "Join" not in plan
 
 
-def test_auto_split_uses_range_chunks_above_the_bound(spark, monkeypatch):
-    from clickflow.operators import sequence
-    from clickflow.operators.pageflow import page_dwell_time
-    from clickflow.sources.adapters import visit_actions
+def test_no_size_checks_in_the_package():
+    import pathlib
+
+    import clickflow
 
-    va = visit_actions(spark, SF_SMALL)
-    assert "Bucketed: true" not in _plan(page_dwell_time(va))            # small input: plain window
-    monkeypatch.setattr(sequence, "AUTO_SINGLE_TASK_ROWS", 10)
-    assert "Bucketed: true" in _plan(page_dwell_time(va))                # above the bound: range chunks
+    root = pathlib.Path(clickflow.__file__).parent
+    for path in root.rglob("*.py"):
+        if path.parent.name != "llm":
+            text = path.read_text()
+            assert "inputFiles(" not in text and not re.search(r"limit\([^)]*\)\.count\(", text), path
+
+
+def _jobs(spark, build):
+    """Number of jobs that building a query runs."""
+    sc, group = spark.sparkContext, f"counted-{uuid.uuid4()}"
+    sc.setJobGroup(group, group)
+    try:
+        build()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Only the operators that write an intermediate table run jobs while they are built."""
+    eager = {"session_page_paths", "session_page_hops", "page_hop_counts", "page_conversion_rate",
+             "page_dwell_intervals", "page_dwell_time", "ad_blacklist_filter"}
+    QUERIES["ad_click_counts"](spark, SF_SMALL)       # schemas read before anything is counted
+    for name in sorted(set(QUERIES) - eager):
+        QUERIES[name](spark, SF_SMALL)
+        reads = 5      # a job or so to read each table's schema
+        assert _jobs(spark, lambda n=name: QUERIES[n](spark, SF_SMALL)) <= reads, name
+
+
+def test_trend_bound_is_on_the_stored_column(spark):
+    """The bound compares the stored timestamp in the scan's own filter, before the join."""
+    plan = _plan(QUERIES["ad_click_trend"](spark, SF_SMALL))
+    scan = next(x for x in plan.split("FileScan parquet")[1:] if "user_id" in x)
+    assert re.search(r"DataFilters: \[[^\]]*\(ts#\d+ > Subquery", scan)
+
+
+def test_blacklist_filter_scans_the_log_three_times(spark):
+    """Two scans to write the candidate clicks (totals, clicks) and one in the final plan."""
+    from clickflow.operators import ads as A
+    from clickflow.sources import adapters as src
+
+    log = src.ad_log(spark, SF_SMALL)
+    candidates = _plan(A.candidate_clicks(log, 3))
+    final = _plan(A.ad_blacklist_filter(log, 3))
+    events = r"FileScan parquet \[event_id[^\n]*events.parquet|FileScan parquet[^\n]*events.parquet"
+    assert len(re.findall(events, candidates)) == 2
+    assert len(re.findall(events, final)) == 1

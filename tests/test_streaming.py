@@ -159,9 +159,10 @@ def test_per_event_filter_stream_equals_batch(spark):
         c = KeyedTable(f"{root}/c", ["date", *grain], SA.counts_schema(grain), ["date"], merge="sum",
                        sum_cols=["n"], generation=2)
         b = KeyedTable(f"{root}/b", ["userid"], SA.BLACKLIST_SCHEMA, generation=2)
-        replay(src.encode_ad_lines(log), f"{root}/landing", [
+        stats = replay(src.encode_ad_lines(log), f"{root}/landing", [
             (lambda st: SA.per_event_blacklist_filter(SA.parse_stream(st), c, b, f"{root}/adm", threshold),
              f"{root}/ckpt")], slices=slices)
+        assert stats["input_rows"] == log.count()       # every batch is read once
         got = sorted(r.event_id for r in spark.read.parquet(f"{root}/adm").collect())
         assert got == want
         assert {r.userid for r in b.history(spark).collect()} == {r.userid for r in A.ad_blacklist(log, threshold).collect()}
@@ -181,3 +182,55 @@ def test_keyed_table_with_skipped_epochs(spark):
     t.write(spark.createDataFrame([("a", 10)], schema), 4)
     assert sorted(map(tuple, t.current(spark, before_epoch=5).collect())) == [("a", 13), ("b", 5)]
     assert sorted(map(tuple, t.current(spark).collect())) == [("a", 13), ("b", 5)]
+
+
+def test_unfinished_snapshot_is_not_read(spark):
+    """A snapshot folder without its success mark (being rewritten) does not count."""
+    root = S.work_dir(spark, "test_keyed_unfinished")
+    schema = spark.createDataFrame([], "k string, v long").schema
+    t = KeyedTable(f"{root}/t", ["k"], schema, generation=2)
+    t.write(spark.createDataFrame([("a", 1)], schema), 0)
+    t.write(spark.createDataFrame([("b", 2)], schema), 1)
+    t.write(spark.createDataFrame([("a", 3)], schema), 2)
+    spark.createDataFrame([("zzz", 9)], schema).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        t.snapshot_path(1))
+    assert t._latest_snapshot(spark, None) == 0
+    assert _rows(t.current(spark)) == [("a", 3), ("b", 2)]
+
+
+def test_a_schema_error_is_not_an_empty_table(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    root = S.work_dir(spark, "test_keyed_error")
+    t = KeyedTable(f"{root}/t", ["k"], spark.createDataFrame([], "k string, v long").schema)
+    t.write(spark.createDataFrame([("a", 1)], "k string, v long"), 0)
+    t.partition_by = []
+    t.schema = spark.createDataFrame([], "k string, v long, V int").schema      # ambiguous
+    with pytest.raises(PySparkException):
+        t.current(spark, before_epoch=1).collect()
+
+
+def test_pinned_list_epoch_survives_later_listings(spark):
+    root = S.work_dir(spark, "test_keyed_pinned")
+    b = KeyedTable(f"{root}/b", ["userid"], SA.BLACKLIST_SCHEMA)
+    assert b.pinned(spark, f"{root}/mark0") == -1
+    b.write(spark.createDataFrame([("u", 0)], SA.BLACKLIST_SCHEMA), 0)
+    assert b.pinned(spark, f"{root}/mark1") == 0
+    b.write(spark.createDataFrame([("w", 1)], SA.BLACKLIST_SCHEMA), 1)
+    assert b.pinned(spark, f"{root}/mark1") == 0 and b.pinned(spark, f"{root}/mark0") == -1
+    assert b.pinned(spark, f"{root}/mark2") == 1
+
+
+def test_increments_lose_no_late_event(spark):
+    """Clicks that arrive days late are counted: increments drop nothing."""
+    log = src.ad_log(spark, SF_SMALL)
+    first = [r.event_id for r in log.orderBy("event_id").limit(5).collect()]
+    hi = log.agg(F.max("event_id")).first()[0]
+    late = src.encode_ad_lines(log).withColumn(
+        "slot", F.when(F.col("event_id").isin(first), F.lit(hi)).otherwise(F.col("event_id")))
+    root = S.work_dir(spark, "test_late_increments")
+    t = KeyedTable(f"{root}/c", ["date", *GRAIN], SA.counts_schema(GRAIN), ["date"], merge="sum", sum_cols=["n"])
+    replay(late, f"{root}/landing", [(lambda st: SA.increments_to_table(SA.parse_stream(st), t, GRAIN), f"{root}/ckpt")],
+           slices=4, order_col="slot")
+    assert _rows(t.current(spark).select("date", *GRAIN, "n")) == _rows(A.ad_click_counts(log))
