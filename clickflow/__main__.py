@@ -1,7 +1,9 @@
 """Command-line runner for the eight analyses.
 
-Batch jobs read the tables under ``--data`` and either show the result or write it as parquet
-(``--out``). Stream jobs read ad-log lines arriving as parquet files in ``--landing`` and run
+Batch jobs read a stored ``user_visit_action`` or ad log (``--table``, ``--path``), or derive it from
+the test tables under ``--data``, and either show the result or write it as parquet
+(``--out``). Stream jobs read ad-log lines from a topic (``--servers``) or arriving as
+parquet files in ``--landing`` and run
 with a processing-time trigger (default 5 seconds) or, with ``--once``, until the files present
 are consumed. Results and checkpoints go under ``--out`` (default: the session's checkpoint
 folder).
@@ -28,7 +30,8 @@ def _batch(spark, a) -> "object":
     from .sources import adapters as src
 
     if a.job.startswith(("category", "page")):
-        va = src.visit_actions(spark, a.data, start_date=a.start, end_date=a.end)
+        va = (src.visit_actions(spark, a.data, start_date=a.start, end_date=a.end) if a.data else
+              src.read_visit_actions(spark, a.path, a.table, start_date=a.start, end_date=a.end))
         if a.job == "category-top10":
             return C.category_top10(va, k=a.k or 10)
         if a.job == "category-session-top10":
@@ -36,7 +39,7 @@ def _batch(spark, a) -> "object":
         if a.job == "page-conversion":
             return PF.page_conversion_rate(va, a.flow, include_zero=a.include_zero)
         return PF.page_dwell_time(va)
-    log = src.ad_log(spark, a.data)
+    log = src.ad_log(spark, a.data) if a.data else src.read_ad_log(spark, a.path, a.table)
     if a.job == "ad-blacklist":
         return A.ad_blacklist(log, a.threshold)
     if a.job == "ad-blacklist-filter":
@@ -51,9 +54,10 @@ def _batch(spark, a) -> "object":
 def _stream(spark, a, out: str):
     from .streaming import ads as SA
     from .streaming.keyed import KeyedTable
-    from .streaming.replay import landing_stream
+    from .streaming.replay import kafka_ad_lines, landing_stream
 
-    parsed = SA.parse_stream(landing_stream(spark, a.landing))
+    lines = landing_stream(spark, a.landing) if a.landing else kafka_ad_lines(spark, a.servers, a.topic, a.offsets)
+    parsed = SA.parse_stream(lines)
     if a.job == "ad-click-counts":
         grain = ("adid", "userid")
         t = KeyedTable(f"{out}/counts", ["date", *grain], SA.counts_schema(grain), ["date"])
@@ -82,6 +86,11 @@ def main(argv: list[str] | None = None) -> int:
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("job", choices=sorted(set(BATCH + STREAM)))
     p.add_argument("--data", help="folder with the input tables (batch)")
+    p.add_argument("--table", help="stored user_visit_action or ad log: a catalog table (batch)")
+    p.add_argument("--path", help="the same, as a parquet folder (batch)")
+    p.add_argument("--servers", help="bootstrap servers of the ad-log topic (stream; needs the connector)")
+    p.add_argument("--topic", default="ads_log", help="ad-log topic (stream)")
+    p.add_argument("--offsets", default="latest", help="starting offsets of the topic (stream)")
     p.add_argument("--landing", help="folder where ad-log line files arrive (stream)")
     p.add_argument("--out", help="output folder (parquet result, or stream tables + checkpoint)")
     p.add_argument("--start"), p.add_argument("--end")
@@ -103,7 +112,7 @@ def main(argv: list[str] | None = None) -> int:
     from .session import prepare, shared_root
 
     spark = prepare(SparkSession.builder.appName(f"clickflow-{a.job}").getOrCreate())
-    if a.landing:
+    if a.landing or a.servers:
         if a.job not in STREAM:
             p.error(f"{a.job} has no stream form")
         out = (a.out or f"{shared_root(spark)}/clickflow/{a.job}").rstrip("/")
@@ -111,8 +120,8 @@ def main(argv: list[str] | None = None) -> int:
         w = w.trigger(availableNow=True) if a.once else w.trigger(processingTime=a.interval)
         w.queryName(f"clickflow_{a.job.replace('-', '_')}").start().awaitTermination()
         return 0
-    if not a.data:
-        p.error("--data (batch) or --landing (stream) is required")
+    if sum(x is not None for x in (a.data, a.table, a.path)) != 1:
+        p.error("one of --data, --table, --path (batch) or --landing, --servers (stream) is required")
     df = _batch(spark, a)
     if a.out:
         df.write.mode("overwrite").parquet(a.out)

@@ -19,9 +19,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_visit_actions(spark: SparkSession, path: str) -> DataFrame:
-    """A stored ``user_visit_action`` table (parquet), read with the fixed schema."""
-    return spark.read.schema(schemas.VISIT_ACTION).parquet(path)
+def _stored(spark: SparkSession, table: str | None, path: str | None) -> DataFrame:
+    if (table is None) == (path is None):
+        raise ValueError("give either a table name or a path")
+    return spark.table(table) if table else spark.read.parquet(path)
+
+
+def read_visit_actions(spark: SparkSession, path: str | None = None, table: str | None = None,
+                       start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+    """A stored ``user_visit_action``: a catalog table or a parquet folder. Without an ``event_id``
+    column the hash of the row takes its place: it only orders actions of one session and time, and
+    rows that are equal in all columns are interchangeable."""
+    df = visit_date_range(_stored(spark, table, path), start_date, end_date)
+    if "event_id" not in df.columns:
+        df = df.withColumn("event_id", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return schemas.conform(df, schemas.VISIT_ACTION)
+
+
+def read_ad_log(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
+    """A stored ad log: a catalog table or a parquet folder of wire lines (``line``, perhaps
+    ``event_id``) or of decoded records."""
+    from .adlog import parsed_ad_log
+
+    df = _stored(spark, table, path)
+    if "event_id" not in df.columns:
+        df = df.withColumn("event_id", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    if "line" in df.columns:
+        df = parsed_ad_log(df.select("event_id", "line"))
+    return schemas.conform(df, schemas.AD_LOG)
 
 
 def _k(props: Column) -> Column:
@@ -145,6 +170,6 @@ def ad_log_lines(spark: SparkSession, sf_dir: str, plant_errors: bool = False) -
 
 
 __all__ = [
-    "read_table", "read_visit_actions", "visit_actions", "visit_date_range", "ad_log",
+    "read_table", "read_visit_actions", "read_ad_log", "visit_actions", "visit_date_range", "ad_log",
     "encode_ad_lines", "ad_log_lines",
 ]

@@ -76,3 +76,18 @@ def test_blacklist_filter_job_batch_and_stream(spark):
     assert main(["ad-blacklist-filter", "--landing", f"{root}/landing", "--out", f"{root}/s", "--once",
                  "--threshold", "3"]) == 0
     assert _rows(spark.read.parquet(f"{root}/s/admitted").select("event_id")) == want
+
+
+def test_stored_tables_and_paths(spark):
+    """A stored visit table (without event ids) and stored ad-log lines give the adapters' results."""
+    root = S.work_dir(spark, "cli_stored")
+    va = src.visit_actions(spark, SF_SMALL)
+    va.drop("event_id").write.option("path", f"{root}/va").saveAsTable("user_visit_action_cli")
+    try:
+        assert main(["category-top10", "--table", "user_visit_action_cli", "--out", f"{root}/a"]) == 0
+    finally:
+        spark.sql("DROP TABLE user_visit_action_cli")
+    assert _rows(spark.read.parquet(f"{root}/a")) == _rows(C.category_top10(va))
+    src.ad_log_lines(spark, SF_SMALL).write.parquet(f"{root}/log")
+    assert main(["ad-top3", "--path", f"{root}/log", "--out", f"{root}/b"]) == 0
+    assert _rows(spark.read.parquet(f"{root}/b")) == _rows(A.ad_top3_json(src.ad_log(spark, SF_SMALL)))
