@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import python_path
+from clickflow.llm.common import columns_but, python_path
 
 LONG = 512
 BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128, 256, LONG)
@@ -213,8 +213,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     """``docs`` with ``ids_col`` (array of int). Every other column passes through; a column called
     ``ids_col`` is replaced. Null and empty texts have no ids; repeated rows are encoded each."""
     ranks = _vocabulary(docs.sparkSession, ranks_path)
-    own = [F.col(f"`{c}`") for c in docs.columns if c != ids_col]
-    given = docs.select(*own, F.lit(None).cast("array<int>").alias(ids_col))
+    given = docs.select(*columns_but(docs, ids_col), F.lit(None).cast("array<int>").alias(ids_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
@@ -232,8 +231,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "id
            bytes_col: str = "decoded") -> DataFrame:
     """``encoded`` with ``bytes_col`` (binary): the tokens' bytes, joined. Null ids give null."""
     ranks = _vocabulary(encoded.sparkSession, ranks_path)
-    own = [F.col(f"`{c}`") for c in encoded.columns if c != bytes_col]
-    given = encoded.select(*own, F.lit(None).cast("binary").alias(bytes_col))
+    given = encoded.select(*columns_but(encoded, bytes_col), F.lit(None).cast("binary").alias(bytes_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)

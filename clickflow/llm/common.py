@@ -11,7 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickflow.session import work_dir
 
@@ -34,6 +35,12 @@ def python_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, have)])
 
 
+def columns_but(df: DataFrame, *names: str) -> list[Column]:
+    """The columns of ``df`` except those of the given names, in any case (as Spark compares them)."""
+    gone = {n.lower() for n in names}
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in gone]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder of ``spark.checkpoint.dir`` and read back: the lineage ends
     there, a lost executor takes nothing with it, and the planner knows the size."""

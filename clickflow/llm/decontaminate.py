@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import arrow_text, python_path, text_chunks, written
+from clickflow.llm.common import arrow_text, columns_but, python_path, text_chunks, written
 from clickflow.llm.words import Words, words_of
 
 WINDOW = 10
@@ -93,8 +93,7 @@ def with_spans(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: str
     benchmark hits nothing."""
     spark = docs.sparkSession
     python_path(spark)
-    own = [c for c in docs.columns if c != spans_col]
-    out = docs.select(*[F.col(f"`{c}`") for c in own], F.lit(None).cast(SPANS).alias(spans_col))
+    out = docs.select(*columns_but(docs, spans_col), F.lit(None).cast(SPANS).alias(spans_col))
     blocks = list(window_blocks(bench, n, item_id, item_text, block_bytes))
     for i, block in enumerate(blocks):
         out = _scan(spark, out, block, text_col, spans_col)

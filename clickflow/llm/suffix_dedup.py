@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import arrow_text, python_path, text_chunks, written
+from clickflow.llm.common import arrow_text, columns_but, python_path, text_chunks, written
 from clickflow.llm.sais import permuted_lcp, suffix_array
 from clickflow.llm.words import RangeHash
 
@@ -69,8 +69,7 @@ def _segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
         least = _sliding_min((h & ~PLACE_BITS) | at.astype(np.uint64), length - gram + 1)
         place = (least & PLACE_BITS).astype(np.int64)
         key = h[place]
-        sizes = np.diff(offsets)
-        text = np.repeat(np.arange(len(sizes)), sizes)[base:base + n]
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.clip(offsets, base, base + n)))
         whole = at[:n] + base + length <= offsets[text + 1]
         begins = np.ones(n, dtype=bool)
         begins[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | ~whole[:-1]
@@ -267,8 +266,10 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with the covered bytes cut out of ``text`` (all other columns as they are). A character
-    of which a cut leaves only some bytes goes too. Null texts stay null."""
+    """``docs`` with the covered bytes cut out of ``text`` (all other columns as they are, but for any
+    called ``__id`` or ``__ranges``, which go). A character of which a cut leaves only some bytes goes
+    too. Null texts stay null."""
+    docs = docs.select(*columns_but(docs, "__id", "__ranges"))
     joined = _with_ranges(with_text_id(docs), length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,4 +283,4 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield batch.select([c for c in batch.schema.names if c not in ("__ranges", "__id")])
 
-    return joined.mapInArrow(run, docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("__ranges", "__id")]).schema)
+    return joined.mapInArrow(run, docs.schema)

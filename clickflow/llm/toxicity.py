@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import python_path
+from clickflow.llm.common import columns_but, python_path
 
 PER_CLASS, MAX_TEXT, MAX_CLASS_BYTES = 4000, 1 << 16, 16 << 20
 WINDOW = 6
@@ -186,7 +186,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     equal texts score alike. Other columns pass through; one called ``score_col`` is replaced."""
     python_path(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    given = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != score_col], F.lit(None).cast("double").alias(score_col))
+    given = docs.select(*columns_but(docs, score_col), F.lit(None).cast("double").alias(score_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import written
+from clickflow.llm.common import columns_but, written
 
 #: (host, path, verdict): fixed values of the query's contract.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -44,9 +44,9 @@ def path_of(url: Column) -> Column:
 
 def with_rule(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, url_col: str = "url") -> DataFrame:
     """``pages`` with host, path, rule (host and path of the winning rule, joined; else null) and
-    rule_verdict. Columns of these names are replaced."""
-    ours = ("host", "path", "rule", "rule_verdict")
-    out = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in ours],
+    rule_verdict. Columns named like these or like ``judged``'s results are replaced."""
+    out = pages.select(*columns_but(pages, "host", "path", "rule", "rule_verdict", "verdict", "reputation",
+                                    "__host", "__mean", "__verdict"),
                        host_of(F.col(f"`{url_col}`")).alias("host"), path_of(F.col(f"`{url_col}`")).alias("path"))
     rule = verdict = None
     for host, path, kind in sorted(rules, key=lambda r: (-len(r[0]), -len(r[1]), r)):
