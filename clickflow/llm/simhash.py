@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import arrow_text, python_path, written
+from clickflow.llm.common import arrow_text, columns_but, python_path, written
 from clickflow.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -266,9 +266,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns; rows
-    that repeat a kept doc_id go too."""
+    """One document of each component, the one with the smallest doc_id, with all its columns (but for
+    any called ``__key``); rows that repeat a kept doc_id go too. Documents move once: the join and
+    the removal of repeated ids share one partitioning."""
     found = near_duplicates(docs, shingle, max_bits)
-    keep = written(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "kept")
-    left = docs.alias("d")
-    return left.join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi").dropDuplicates(["doc_id"])
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(_key().alias("__key")).distinct()
+    rows = docs.select(*columns_but(docs, "__key"), _key().alias("__key"))
+    return rows.join(written(keep, "kept"), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+
+
+def _key():
+    """doc_id as text, null apart from any id: equal ids, and only they, have equal keys."""
+    return F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
