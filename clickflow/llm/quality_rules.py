@@ -9,8 +9,7 @@ so the cutoff follows the group's own texts, and a group of like texts loses non
 those of ``percentile_approx``: built per task, merged per group. Thresholds are joined to the
 measured rows on (lang, source); null is a group of its own.
 
-The measures are computed once and written to the shared folder; sketches and verdicts read them
-there, so texts are neither shuffled nor measured twice.
+Texts are never shuffled, and only measures and fences are written.
 """
 
 from __future__ import annotations
@@ -65,13 +64,14 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     repeated = starts.withColumn("__r", F.expr(f"""aggregate(__p, struct(0L AS n, -{w} AS last),
         (a, i) -> struct(a.n + least({w}, i - a.last) AS n, i AS last), a -> a.n)"""))
     c, n_repeat = F.col("__c"), F.col("__r")
-    return repeated.select(*own, F.struct(
+    # A generator of one row: filters on the measures stay above it, so each is computed once.
+    return repeated.select(*own, F.explode(F.array(F.struct(
         c.n_words.alias("n_words"), c.word_chars.alias("word_chars"), c.n_symbols.alias("n_symbols"),
         c.n_dup_lines.alias("n_dup_lines"), n_repeat.alias("n_repeat_words"),
         _share(c.n_symbols, c.word_chars).alias("symbol_share"), _share(n_repeat, c.n_words).alias("repeat_share"),
         _share(c.n_dup_lines, c.n_lines).alias("dup_line_share"), _share(c.n_capitals, c.word_chars).alias("capital_share"),
         _share(F.col("__a"), c.n_words).alias("adjacent_share"),
-    ).alias(Q))
+    ))).alias(Q))
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -87,10 +87,9 @@ def fences(measures: DataFrame) -> DataFrame:
         for m, least in SPREAD.items()]).alias("__fence"))
 
 
-def judged(measures: DataFrame) -> DataFrame:
+def judged(measures: DataFrame, fence: DataFrame) -> DataFrame:
     """``measures`` with struct ``__verdict``: base_failed (fewer than 20 words, or over 30 % of the
     words in repeated windows), outlier (a measure beyond its group's fence), kept (neither)."""
-    fence = written(fences(measures), "fences")
     joined = measures.join(fence, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")))
     base = (F.col(f"{Q}.n_words") < MIN_WORDS) | (
         100 * F.col(f"{Q}.n_repeat_words") > MAX_REPEAT_PERCENT * F.col(f"{Q}.n_words"))
@@ -103,14 +102,17 @@ def judged(measures: DataFrame) -> DataFrame:
 
 def filtered(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (text, lang, source and any other columns) that are kept, unchanged. Rows
-    are judged one by one, so repeated rows share their verdict; an empty table stays empty."""
-    rows = judged(written(measured(docs), "measured"))
+    are judged one by one, so repeated rows share their verdict; an empty table stays empty. Texts
+    are measured twice, for the fences and for the verdicts: that costs less than moving or storing
+    them with their measures."""
+    rows = judged(measured(docs), written(fences(measured(docs)), "fences"))
     return rows.where("__verdict.kept").drop(Q, "__verdict")
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept, outlier."""
-    rows = judged(written(measured(docs.select("doc_id", "text", "lang", "source")).drop("text"), "measured"))
+    measures = written(measured(docs.select("doc_id", "text", "lang", "source")).drop("text"), "measured")
+    rows = judged(measures, written(fences(measures), "fences"))
     return rows.select("doc_id", *[F.col(f"{Q}.{c}") for c in COUNTS], "__verdict.base_failed", "__verdict.kept",
                        "__verdict.outlier")
