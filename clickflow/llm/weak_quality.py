@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from clickflow.llm.common import arrow_text, python_path, text_chunks, written
 from clickflow.llm.words import RangeHash
 
-SAMPLE, MAX_TEXT = 4000, 1 << 16
+SAMPLE, MAX_TEXT = 2000, 1 << 16
 KEEP = 0.5
 BITS = 18
 EPOCHS, RATE, DECAY = 60, 0.5, 1e-5
@@ -151,14 +151,15 @@ class Scorer:
     def __init__(self):
         self.weights, self.bias = np.zeros(1 << BITS), 0.0
 
-    def fit(self, texts: Texts, good: np.ndarray) -> "Scorer":
-        doc, feature, size = texts.features()
+    def fit(self, doc: np.ndarray, feature: np.ndarray, size: np.ndarray, good: np.ndarray) -> "Scorer":
+        """From (text, hashed feature, weight) triples and each text's posterior of good."""
         used, feature = np.unique(feature, return_inverse=True)
+        feature, n = feature.astype(np.int32), len(good)
         w, bias = np.zeros(len(used)), 0.0
         seen, seen_bias = np.full(len(used), 1e-8), 1e-8
         for _ in range(EPOCHS):
-            p = 1 / (1 + np.exp(-np.clip(np.bincount(doc, size * w[feature], minlength=texts.n) + bias, -30, 30)))
-            slope = (p - good) / texts.n
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(doc, size * w[feature], minlength=n) + bias, -30, 30)))
+            slope = (p - good) / n
             g = np.bincount(feature, size * slope[doc], minlength=len(used)) + DECAY * w
             seen += g * g
             w -= RATE * g / np.sqrt(seen)
@@ -198,9 +199,13 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     texts = sorted(r[0].encode() for r in rows)
     if not texts:
         return good, Scorer()
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    made = Texts(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
-    return good, Scorer().fit(made, good[made.patterns()])
+    patterns, parts = [], []
+    for lo, _, data, offsets in text_chunks(pa.array(texts, pa.large_binary()), 1 << 20):  # bounds the driver's scratch
+        made = Texts(data, offsets)
+        doc, feature, size = made.features()
+        parts.append(((doc + lo).astype(np.int32), feature.astype(np.int32), size.astype(np.float32)))
+        patterns.append(made.patterns())
+    return good, Scorer().fit(*(np.concatenate(x) for x in zip(*parts)), good[np.concatenate(patterns)])
 
 
 def scored(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
