@@ -1,10 +1,12 @@
 """Licence scan by a positional rare-token index of licence templates.
 
-Index: every template's words with their positions. Each file looks up its RAREST licence words of
-highest inverse document frequency (counted over all files), and intersects their postings by relative
-position: word positions in the file minus positions in the template. An alignment that enough of
-these words agree on is a candidate, and counts only if the template's mandatory key phrase stands in
-the file, word for word, where the alignment puts it.
+Index: every template's words with their positions. Each template is looked up by the rarest word of
+its mandatory key phrase (highest inverse document frequency, counted over all files): every place of
+that word in a file gives an alignment, the word's position in the file minus its position in the
+template. The postings of all the template's words are intersected with it by relative position. An
+alignment counts if the key phrase stands in the file, word for word, where it puts it, and enough of
+the template's words agree. As no alignment without the key phrase counts, none is missed, whatever
+else the file holds: other notices, or the same words elsewhere.
 
 Plain licence phrases are found as well (base labels), with all their places.
 
@@ -50,7 +52,7 @@ TEMPLATES = [
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
      "mozilla public license v 2 0"),
 ]
-RAREST, LEAST_VOTES, PHRASE_SCORE = 8, 3, 0.5
+LEAST_VOTES, PHRASE_SCORE = 3, 0.5
 
 
 class Index:
@@ -59,13 +61,10 @@ class Index:
     def __init__(self, templates=TEMPLATES, phrases=PHRASES):
         self.labels = [label for label, _, _ in templates]
         texts = [words_of(notice) for _, notice, _ in templates]
-        self.lengths = [len(t) for t in texts]
-        words: dict[bytes, list[tuple[int, int]]] = {}
-        for t, text in enumerate(texts):
-            for i in range(len(text)):
-                words.setdefault(text.bytes_of(i, 1), []).append((t, i))
-        self.words = sorted(words)
-        self.postings = [np.array(words[w], dtype=np.int64) for w in self.words]
+        split = [[text.bytes_of(i, 1) for i in range(len(text))] for text in texts]
+        self.words = sorted({w for text in split for w in text})
+        number = {w: i for i, w in enumerate(self.words)}
+        self.sequences = [np.array([number[w] for w in text], dtype=np.int64) for text in split]
         self.keys = []
         for (_, notice, key), text in zip(templates, texts):
             k = words_of(key)
@@ -92,25 +91,36 @@ class Index:
             found += [(w, label) for w in at[hashes == np.uint64(h)].tolist() if words.bytes_of(w, n) == text]
         return sorted(found)
 
-    def matched(self, words: Words, first: int, last: int, at: np.ndarray, word: np.ndarray, idf: np.ndarray) -> dict[str, float]:
-        """Label -> share of its template's looked-up words that agree, for words first .. last - 1 of one file."""
-        present = np.unique(word)
-        rare = present[np.lexsort((present, -idf[present]))][:RAREST]
-        keys, votes = [], []
-        for w in rare.tolist():
-            post = self.postings[w]
-            offset = (at[word == w] - first)[:, None] - post[:, 1]
-            keys.append(np.unique((np.broadcast_to(post[:, 0], offset.shape) << 40) + offset + (1 << 39)))
-        found, votes = np.unique(np.concatenate(keys), return_counts=True) if keys else ([], [])
-        out: dict[str, float] = {}
-        for key, n in zip(np.asarray(found).tolist(), np.asarray(votes).tolist()):
-            t, offset = key >> 40, (key & ((1 << 40) - 1)) - (1 << 39)
-            place, size, text = self.keys[t]
-            begin = first + offset + place
-            if n >= min(LEAST_VOTES, self.lengths[t]) and begin >= first and begin + size <= last \
-                    and words.bytes_of(begin, size) == text:
-                label = self.labels[t]
-                out[label] = max(out.get(label, 0.0), n / min(RAREST, len({w for w in rare.tolist() if (self.postings[w][:, 0] == t).any()})))
+    def matched(self, words: Words, at: np.ndarray, word: np.ndarray, idf: np.ndarray) -> dict[int, dict[str, float]]:
+        """Text -> label -> share of its template's distinct words that agree at the best alignment.
+        ``at``, ``word``: the licence words of all texts."""
+        here = np.full(len(words), -1, dtype=np.int64)
+        here[at] = word
+        out: dict[int, dict[str, float]] = {}
+        for label, sequence, (place, size, key) in zip(self.labels, self.sequences, self.keys):
+            rarest = place + int(np.argmax(idf[sequence[place:place + size]]))
+            seen = at[word == sequence[rarest]]
+            text = np.searchsorted(words.first, seen, side="right") - 1
+            begin, low, high = seen - rarest, words.first[text], words.first[text + 1]
+            fits = np.flatnonzero((begin + place >= low) & (begin + place + size <= high))
+            for i in range(place, place + size):
+                fits = fits[here[begin[fits] + i] == sequence[i]]
+            begin, low, high, text = begin[fits], low[fits], high[fits], text[fits]
+            votes = np.zeros(len(begin), dtype=np.int64)
+            distinct = np.unique(sequence)
+            for w in distinct.tolist() if len(begin) else []:
+                agrees = np.zeros(len(begin), dtype=bool)
+                for i in np.flatnonzero(sequence == w).tolist():
+                    inside = np.flatnonzero((begin + i >= low) & (begin + i < high))
+                    agrees[inside] |= here[begin[inside] + i] == w
+                votes += agrees
+            enough = np.flatnonzero(votes >= min(LEAST_VOTES, len(sequence)))
+            best = enough[np.lexsort((-votes[enough], text[enough]))]
+            for group in np.split(best, np.flatnonzero(np.diff(text[best])) + 1) if len(best) else []:
+                k = next((k for k in group.tolist() if words.bytes_of(int(begin[k]) + place, size) == key), None)
+                if k is not None:
+                    found = out.setdefault(int(text[k]), {})
+                    found[label] = max(found.get(label, 0.0), int(votes[k]) / len(distinct))
         return out
 
 
@@ -140,8 +150,8 @@ RESULT = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, b
 def scanned(docs: DataFrame, index: Index | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: its id, n_words, n_base (places of phrases), first_word and last_word (their
     smallest and largest start; else null), base_labels, labels (with the templates' ones), score: 0
-    without a label, PHRASE_SCORE for a phrase, up to 1 for a template that all looked-up words agree
-    on. Null is the empty text; repeated rows are scanned each; an empty table gives no rows."""
+    without a label, PHRASE_SCORE for a phrase, for a template the share of its distinct words that
+    agree (1: the whole notice); the largest. Null is the empty text; repeated rows are scanned each; an empty table gives no rows."""
     index = index or Index()
     idf = document_frequencies(docs, index, text_col)
     shared = docs.sparkSession.sparkContext.broadcast((index, idf))  # a few hundred words
@@ -155,13 +165,12 @@ def scanned(docs: DataFrame, index: Index | None = None, id_col: str = "doc_id",
                 words = Words(data, offsets)
                 first = words.first
                 at, word = index.known(words)
-                cut = np.searchsorted(at, first)
+                matched = index.matched(words, at, word, idf)
                 places = index.places(words)
                 place_cut = np.searchsorted([p for p, _ in places], first)
                 for i in range(hi - lo):
                     base = places[place_cut[i]:place_cut[i + 1]]
-                    s = slice(cut[i], cut[i + 1])
-                    found = index.matched(words, int(first[i]), int(first[i + 1]), at[s], word[s], idf) if cut[i] < cut[i + 1] else {}
+                    found = matched.get(i, {})
                     labels = {label for _, label in base}
                     starts = [p - int(first[i]) for p, _ in base]
                     rows.append((int(first[i + 1] - first[i]), len(base), min(starts, default=None), max(starts, default=None),

@@ -1,5 +1,6 @@
 """Filters and classifiers: rules against brute force, learnt models on held-out rows, edge cases."""
 
+import itertools
 import re
 from collections import Counter
 
@@ -113,6 +114,21 @@ def test_licences_against_brute_force(spark, docs):
     assert license_scan.scanned(docs([])).count() == 0
 
 
+def test_licences_of_files_with_several_notices(spark, docs):
+    """Each notice is found whatever else stands in the file: other notices, or their words before it."""
+    notices = license_scan.TEMPLATES
+    groups = [g for n in (1, 2, 3) for g in itertools.combinations(range(len(notices)), n)]
+    texts = [("\n\n".join(notices[t][1] for t in g), g) for g in groups]
+    every = sorted({w for _, notice, _ in notices for w in re.findall(r"[a-z0-9]+", notice.lower())}, reverse=True)
+    texts += [(" filler ".join(every * 3) + " filler words " * 9000 + notices[t][1], (t,)) for t in range(len(notices))]
+    # A common notice must not push out a rare one.
+    texts += [(notices[0][1] + " " + notices[5][1], (0, 5))] * 300
+    got = {r.doc_id: r for r in license_scan.scanned(docs([(i, t) for i, (t, _) in enumerate(texts)])).collect()}
+    for i, (text, g) in enumerate(texts):
+        assert set(got[i].labels.split(",")) - set(got[i].base_labels.split(",")) | {"mit"} == {notices[t][0] for t in g} | {"mit"}, text[:200]
+        assert ("mit" in got[i].labels.split(",")) == any(notices[t][0] == "mit" for t in g) and got[i].score == 1
+
+
 def test_weak_quality_agrees_with_labels(spark):
     found = {(r.quality, r.kept): r["count"] for r in weak_quality.scored(table(spark, SF, "documents")).join(
         table(spark, SF, "labels"), "doc_id").groupBy("quality", "kept").count().collect()}
