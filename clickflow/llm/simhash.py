@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm.common import arrow_text, columns_but, python_path, written
@@ -256,25 +256,42 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     component's id unless all of it are null. An empty table gives no rows."""
     fps = written(fingerprints(docs, shingle), "fingerprints")
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(classes, max_bits))
-    joined = classes.join(roots, classes.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    joined = _rooted(classes, max_bits)
     least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = written(joined.join(least, "root").select("fp", "component_id"), "components")
     return fps.join(of_class, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _rooted(classes: DataFrame, max_bits: int) -> DataFrame:
+    """``classes`` (fp and other columns, each fp once) with the ``root`` of its component."""
+    roots = components(links(classes, max_bits))
+    return classes.join(roots, classes.fp == roots.node, "left").select(
+        *classes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns (but for
-    any called ``__key``); rows that repeat a kept doc_id go too. Documents move once: the join and
-    the removal of repeated ids share one partitioning."""
-    found = near_duplicates(docs, shingle, max_bits)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(_key().alias("__key")).distinct()
-    rows = docs.select(*columns_but(docs, "__key"), _key().alias("__key"))
+    """One document of each component with all its columns (but for any called ``__key``): the one
+    with the smallest (doc_id, fingerprint, SHA-256 of the text), null ids last. It is chosen by its
+    row, not by its id alone, so texts of different components that share an id, or have none, all
+    stay; rows equal in id and text are one. Documents move once: the join and the removal of
+    repeated rows share one partitioning."""
+    keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                                 _digest().alias("digest")).alias("row"), "text")
+    fps = fingerprints(keyed, shingle, id_col="row").withColumnRenamed("doc_id", "row")
+    classes = written(fps.groupBy("fp").agg(F.min("row").alias("row")), "classes")
+    first = _rooted(classes, max_bits).groupBy("root").agg(
+        F.min(F.struct("row.none", "row.id", "fp", "row.digest")).alias("first"))
+    keep = first.select(_key(F.col("first.id"), F.col("first.digest")).alias("__key"))
+    rows = docs.select(*columns_but(docs, "__key"), _key(F.col("doc_id"), _digest()).alias("__key"))
     return rows.join(written(keep, "kept"), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
 
 
-def _key():
-    """doc_id as text, null apart from any id: equal ids, and only they, have equal keys."""
-    return F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+def _digest() -> Column:
+    """Hash of the text; null is the empty text."""
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+
+
+def _key(doc_id: Column, digest: Column) -> Column:
+    """A row's id as text, null apart from any id, and text hash: equal rows, and only they, have equal keys."""
+    return F.concat(digest, F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit("")))

@@ -51,6 +51,17 @@ def test_near_duplicates_against_brute_force(spark, docs):
     assert simhash.near_duplicates(docs([])).count() == 0
 
 
+def test_deduplication_keeps_rows_without_or_with_repeated_ids(spark, docs):
+    rnd = random.Random(2)
+    text = [" ".join(rnd.choices([f"w{i}" for i in range(400)], k=300)) for _ in range(6)]
+    near = text[0] + " zz"
+    assert bin(_fingerprint(text[0]) ^ _fingerprint(near)).count("1") <= 4
+    rows = [(None, text[1]), (None, text[2]), (None, text[2]), (3, text[0]), (5, near), (5, text[3]), (5, text[4]), (7, text[5]), (None, text[5])]
+    want = sorted([("None", text[1]), ("None", text[2]), ("3", text[0]), ("5", text[3]), ("5", text[4]), ("7", text[5])])
+    for order in (rows, rows[::-1]):
+        assert sorted((str(r.doc_id), r.text) for r in simhash.deduplicated(docs(order)).collect()) == want
+
+
 @pytest.mark.parametrize("flips", [1, 2, 3, 4])
 def test_anchors_cover_every_pair_within_four_bits(flips):
     rnd = random.Random(flips)
