@@ -7,7 +7,8 @@ labels of a hashed linear scorer over words and word shapes, which scores every
 
 Vote patterns are counted over all rows (combined on the map side; 3 ** labellers patterns at most
 reach the driver). The scorer is fitted on a bounded sample: ``sample`` texts of at most MAX_TEXT
-bytes, chosen by a hash of their ids. Every whole text is scored where it is stored.
+bytes, chosen by a hash of their ids, one for each id (where an id repeats, the text of the smallest
+hash). Their features are hashed and added up in tasks. Every whole text is scored where it is stored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from clickflow.llm.common import arrow_text, python_path, text_chunks, written
 from clickflow.llm.words import RangeHash
 
-SAMPLE, MAX_TEXT = 2000, 1 << 16
+SAMPLE, MAX_TEXT = 4000, 1 << 16
 KEEP = 0.5
 BITS = 18
 EPOCHS, RATE, DECAY = 60, 0.5, 1e-5
@@ -193,19 +194,42 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     Of an empty table nothing is learnt: every score is 0.5."""
     votes = written(voted(docs, id_col, text_col), "votes")
     good, _, _ = posteriors(dict(votes.groupBy("pattern").count().collect()))
-    ids = votes.where("doc_id IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where(
-        F.octet_length("text") <= MAX_TEXT).join(F.broadcast(ids), "doc_id", "left_semi").select("text").limit(4 * sample).collect()
-    texts = sorted(r[0].encode() for r in rows)
-    if not texts:
+    texts = sampled(docs, votes, sample, id_col, text_col)
+    # At most ``sample`` rows, each of a text's distinct features.
+    rows = sorted(texts.mapInArrow(_features, "pattern bigint, feature binary, size binary").collect())
+    if not rows:
         return good, Scorer()
-    patterns, parts = [], []
-    for lo, _, data, offsets in text_chunks(pa.array(texts, pa.large_binary()), 1 << 20):  # bounds the driver's scratch
-        made = Texts(data, offsets)
-        doc, feature, size = made.features()
-        parts.append(((doc + lo).astype(np.int32), feature.astype(np.int32), size.astype(np.float32)))
-        patterns.append(made.patterns())
-    return good, Scorer().fit(*(np.concatenate(x) for x in zip(*parts)), good[np.concatenate(patterns)])
+    feature = [np.frombuffer(r[1], np.int32) for r in rows]
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in feature])
+    size = np.concatenate([np.frombuffer(r[2], np.float32) for r in rows])
+    return good, Scorer().fit(doc, np.concatenate(feature), size, good[[r[0] for r in rows]])
+
+
+def sampled(docs: DataFrame, votes: DataFrame, sample: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(text) of the ``sample`` ids of ``votes`` of smallest hash: of each id the text of the smallest
+    hash among those of at most MAX_TEXT bytes, whatever the rows' order."""
+    ids = votes.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where(
+        F.octet_length("text") <= MAX_TEXT).join(F.broadcast(ids), "doc_id", "left_semi")
+    return rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")).select("least.text")
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text its vote pattern and its distinct hashed features (int32) with their weights (float32)."""
+    for batch in batches:
+        rows = []
+        for _, _, data, offsets in text_chunks(arrow_text(batch.column(0))):
+            texts = Texts(data, offsets)
+            doc, feature, size = texts.features()
+            key, place = np.unique((doc.astype(np.int64) << BITS) + feature, return_inverse=True)
+            weight = np.bincount(place, size, minlength=len(key)).astype(np.float32)
+            cuts = np.searchsorted(key >> BITS, np.arange(texts.n + 1))
+            feature = (key & ((1 << BITS) - 1)).astype(np.int32)
+            rows += [(int(p), feature[lo:hi].tobytes(), weight[lo:hi].tobytes())
+                     for p, lo, hi in zip(texts.patterns(), cuts[:-1], cuts[1:])]
+        columns = list(zip(*rows)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))],
+                                         ["pattern", "feature", "size"])
 
 
 def scored(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

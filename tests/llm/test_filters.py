@@ -141,6 +141,17 @@ def test_weak_quality_edge_cases(spark, docs):
     assert weak_quality.scored(docs([])).count() == 0
 
 
+def test_weak_quality_trains_on_one_fixed_text_of_each_id(spark, docs):
+    assert weak_quality.SAMPLE == 4000
+    rows = [(i, f"text {i} {k} of several rows. " * 4) for i in range(6) for k in range(9)]
+    models = []
+    for order in (rows, rows[::-1], rows[::2] + rows[1::2]):
+        df = docs(order).repartition(3)
+        assert weak_quality.sampled(df, weak_quality.voted(df), 4).count() == 4
+        models.append(weak_quality.train(df, 4)[1])
+    assert all(np.array_equal(m.weights, models[0].weights) and m.bias == models[0].bias for m in models) and models[0].weights.any()
+
+
 def test_expectation_maximisation_finds_the_accuracies():
     rnd = np.random.default_rng(1)
     good = rnd.random(20000) < 0.8
