@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickflow.llm import chat, decontaminate, quality_rules, suffix_dedup, url_filter
+from clickflow.llm import chat, decontaminate, merkle, quality_rules, suffix_dedup, url_filter
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -166,6 +166,124 @@ select page_id, host, path, rule,
 from best"""
 
 
+def _audit() -> str:
+    """Every order step by step; a filter's share of all orders by adding up its rows."""
+    space = r"[\x09-\x0D\x20]"
+    letters = "ABCDE"
+    orders = " || ".join(f"{x}.f" for x in "pqrst")
+    joins = "letters p" + "".join(
+        f", letters {x}" for x in "qrst")
+    differ = " and ".join(f"{a}.f <> {b}.f" for i, a in enumerate("pqrst") for b in "pqrst"[i + 1:])
+    return f"""
+with docs as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+    [x for x in regexp_split_to_array(coalesce(text, ''), '{space}+') if x <> ''] as w from documents),
+marks as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+failed as (
+  select d.part, coalesce(m.good, false) as good, coalesce(m.toxic, false) as toxic,
+    case when len(w) < 200 then 'A' else '' end
+    || case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end
+    || case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) then 'C' else '' end
+    || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+    || case when d.doc_id > min(d.doc_id) over (partition by t) then 'E' else '' end as fails
+  from docs d left join marks m on d.doc_id = m.doc_id),
+cells as (
+  select part, fails, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+  from failed group by 1, 2),
+letters as (select unnest(string_split('{",".join(letters)}', ',')) as f),
+orders as (select {orders} as filter_order from {joins} where {differ}),
+steps as (select filter_order, cast(step as integer) as step, substr(filter_order, step, 1) as own,
+  substr(filter_order, 1, step - 1) as before from orders, range(1, 6) r(step)),
+seen as (
+  select c.*, s.*, contains(fails, own) as fails_own,
+    before <> '' and regexp_matches(fails, '[' || before || '-]') as gone from cells c, steps s),
+rows as (
+  select part, filter_order, step, own,
+    coalesce(sum(n) filter (where not gone and not fails_own), 0) as kept,
+    coalesce(sum(n) filter (where not gone and fails_own), 0) as removed,
+    coalesce(sum(n) filter (where gone and fails_own), 0) as redundant,
+    coalesce(sum(n) filter (where fails = own), 0) as unique_fails,
+    coalesce(sum(good) filter (where not gone and fails_own), 0) as good_lost,
+    coalesce(sum(toxic) filter (where not gone and fails_own), 0) as toxic_lost
+  from seen group by 1, 2, 3, 4)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+  cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, own) as bigint) as shapley
+from rows"""
+
+
+def _crc_table() -> str:
+    """A CTE ``crc_bytes(t)``: the 256 steps of CRC-32, from its reversed polynomial."""
+    step = "select i, i as c from range(256) r(i)"
+    for _ in range(8):
+        step = f"select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end as c from ({step})"
+    return f"crc_bytes as (select list(c order by i) as t from ({step}))"
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of an ASCII text, beside a column ``t`` of ``crc_bytes``."""
+    codes = f"[ord(substr({text}, cast(k as integer), 1)) for k in range(1, length({text}) + 1)]"
+    return (f"xor(list_reduce(list_concat([4294967295], {codes}), "
+            "lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295)")
+
+
+def _manifest() -> str:
+    """LEVELS levels of each language's tree, then TOP of the root's; a level of one node stays as it is."""
+    levels, top = 7, 3
+    fields = ["cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", "{text}"]
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(
+            f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in (x.format(text=text) for x in fields)) + ")"
+
+    def level(name: str, below: str, by: str) -> str:
+        inner = "partition by " + ", ".join(filter(None, [by, f"i // {merkle.WIDTH}"])) + " order by i"
+        whole = f"partition by {by}" if by else ""
+        kept = ", ".join(filter(None, [by, f"i // {merkle.WIDTH} as i"]))
+        return f"""
+{below}_s as (
+  select *, coalesce(string_agg(d, '') over ({inner} rows between unbounded preceding and 1 preceding), '') as l,
+    coalesce(string_agg(d, '') over ({inner} rows between 1 following and unbounded following), '') as r,
+    count(*) over ({whole}) as n from {below}),
+{name} as (select {kept}, case when any_value(n) = 1 then any_value(d) else sha256(string_agg(d, '' order by i)) end as d
+  from {below}_s group by {', '.join(filter(None, [by, f'i // {merkle.WIDTH}']))})"""
+
+    names = [f"t{k}" for k in range(levels + 1)]
+    tops = [f"u{k}" for k in range(top + 1)]
+    trees = ",".join(level(b, a, "lang") for a, b in zip(names, names[1:]))
+    roots = ",".join(level(b, a, "") for a, b in zip(tops, tops[1:]))
+    paths, joins, fold, proof = [], [], "coalesce(p.other, p.d)", []
+    for k, name in enumerate(names[:-1]):
+        joins.append(f"join {name}_s a{k} on a{k}.lang is not distinct from p.lang and a{k}.i = p.i // {merkle.WIDTH ** k}")
+    for k, name in enumerate(tops[:-1]):
+        joins.append(f"join {name}_s b{k} on b{k}.i = s.i // {merkle.WIDTH ** k}")
+    steps = [f"a{k}" for k in range(levels)] + [f"b{k}" for k in range(top)]
+    folds = []
+    for j, x in enumerate(steps):
+        folds.append(f"f{j + 1} as (select *, case when n{j} = 1 then f else sha256(l{j} || f || r{j}) end as g from "
+                     + ("path" if j == 0 else f"(select * exclude (f, g), g as f from f{j})") + ")")
+    cols = ", ".join(f"{x}.l as l{j}, {x}.r as r{j}, {x}.n as n{j}" for j, x in enumerate(steps))
+    proof = " || ".join(f"l{j} || r{j}" for j in range(len(steps)))
+    return f"""
+with {_crc_table()},
+leaves as (
+  select doc_id, lang, {leaf('text')} as d,
+    case when crc % 3 = 0 then {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} end as other
+  from (select *, {_crc('cast(doc_id as varchar)')} as crc from documents, crc_bytes)),
+placed as (select *, row_number() over (partition by lang order by doc_id nulls first, d) - 1 as i from leaves),
+t0 as (select lang, i, d from placed),{trees},
+subs as (select lang, d, row_number() over (order by lang nulls first) - 1 as i from {names[-1]}),
+u0 as (select i, d from subs),{roots},
+path as (
+  select p.doc_id, p.d as leaf, s.d as subroot, {fold} as f, {cols}
+  from placed p join subs s on s.lang is not distinct from p.lang {' '.join(joins)}),
+{", ".join(folds)}
+select doc_id, leaf, subroot, (select d from {tops[-1]}) as root, sha256({proof}) as proof_sha256, g as folded_root,
+  g = (select d from {tops[-1]}) as verified
+from f{len(steps)}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": _chat(), "op3_url_filter": _urls(), "op5_decontamination": _leaks(),
+    return {"op11_filter_audit": _audit(), "op13_merkle_manifest": _manifest(),
+            "op1_chat_formatting": _chat(), "op3_url_filter": _urls(), "op5_decontamination": _leaks(),
             "op9_suffix_array_dedup": _repeats(), "op10_quality_rules": _quality()}

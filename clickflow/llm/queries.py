@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import (bpe, chat, decontaminate, license_scan, quality_rules, simhash, suffix_dedup, toxicity,
-                           url_filter, weak_quality)
+from clickflow.llm import (bpe, chat, decontaminate, filter_audit, license_scan, merkle, quality_rules, simhash, suffix_dedup,
+                           toxicity, url_filter, weak_quality)
 from clickflow.llm.common import table
 from clickflow.llm.oracle import oracle_sql
 
@@ -58,6 +58,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_byte_bpe": op2_byte_bpe,
@@ -69,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_quality": op8_weak_quality,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

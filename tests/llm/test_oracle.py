@@ -17,4 +17,4 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_one_query_for_each_operator():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
