@@ -127,11 +127,12 @@ def _equal(data: np.ndarray, left: np.ndarray, right: np.ndarray, size: np.ndarr
     return same
 
 
-def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Which spans are the first of their bytes within their group, by inserting all into a hash table."""
-    first = np.zeros(len(starts), dtype=bool)
+def representatives(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """For each span the first span of the same bytes within its group (itself, if it is the first), by
+    inserting all into a hash table."""
+    same_as = np.arange(len(starts))
     if not len(starts):
-        return first
+        return same_as
     hashes = RangeHash(data).of(starts, ends) ^ (group.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
     hashes ^= hashes >> np.uint64(29)
     mask = np.uint64((1 << int(2 * len(starts)).bit_length()) - 1)
@@ -142,14 +143,14 @@ def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, group
         free = owner[slot] < 0
         owner[slot[free][::-1]] = pending[free][::-1]
         held = owner[slot]
-        mine = held == pending
-        first[pending[mine]] = True
-        pending, slot, held = pending[~mine], slot[~mine], held[~mine]
+        other = held != pending
+        pending, slot, held = pending[other], slot[other], held[other]
         alike = (hashes[pending] == hashes[held]) & (group[pending] == group[held]) & (sizes[pending] == sizes[held])
         some = np.flatnonzero(alike)
         alike[some] = _equal(data, starts[pending[some]], starts[held[some]], sizes[pending[some]])
+        same_as[pending[alike]] = held[alike]
         pending, slot = pending[~alike], (slot[~alike] + 1) & int(mask)
-    return first
+    return same_as
 
 
 MEASURES = ["n_words", "n_distinct", "n_points", "n_capitals", "n_symbols"]
@@ -166,7 +167,7 @@ def measures(data: np.ndarray, offsets: np.ndarray, transducer: Transducer) -> d
     emitted = transducer.emitted(symbols)
     starts, ends = np.flatnonzero(emitted & BEGIN), np.flatnonzero(emitted & ENDED)
     text = np.searchsorted(begin, starts, side="right") - 1
-    first = distinct_spans(data, starts - text, ends - text, text)
+    first = representatives(data, starts - text, ends - text, text) == np.arange(len(starts))
 
     def count(bit: int) -> np.ndarray:
         return np.add.reduceat((emitted & bit) != 0, begin, dtype=np.int64)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import (bpe, chat, decontaminate, filter_audit, license_scan, merkle, quality_rules, simhash, suffix_dedup,
-                           toxicity, url_filter, weak_quality)
+from clickflow.llm import (bpe, chat, context_tree, decontaminate, filter_audit, license_scan, merkle,
+                           quality_rules, simhash, suffix_dedup, toxicity, url_filter, weak_quality)
 from clickflow.llm.common import table
 from clickflow.llm.oracle import oracle_sql
 
@@ -62,6 +62,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scored(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_filter_audit": op11_filter_audit,
+    "op12_context_tree_lm": op12_context_tree_lm,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
