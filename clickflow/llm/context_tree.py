@@ -42,7 +42,7 @@ from clickflow.llm.common import arrow_text, python_path, text_chunks, written
 from clickflow.llm.filter_audit import representatives
 from clickflow.llm.words import LOWER
 
-DEPTH = 4
+DEPTH = 5
 END = 0xFF
 BLOCK_BYTES = 16 << 20
 PIECE = 2 << 20
