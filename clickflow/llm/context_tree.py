@@ -13,10 +13,11 @@ Training and scoring are Spark jobs; nothing of the model goes through the drive
 1. Texts are written in blocks of about BLOCK_BYTES (a block is some rows of one task).
 2. Each block is reduced to its distinct byte strings of depth + 1 and its distinct words, with how often
    training texts have them. The counts of shorter contexts are sums of these.
-3. The counts of all blocks give the nodes of full depth, and level by level the nodes of less: a node has
-   at most 256 children, and sums are combined on the map side. Weights go up, mixtures come down.
-4. Each distinct byte string gets its log probability: from its eight nodes at full depth, or, where
-   training texts lack it, from the deepest nodes there are.
+3. The strings are dealt by their nearest SPLIT bytes of context: whatever lies deeper in the trees is in
+   one task then, at most 256 ** (depth + 1 - SPLIT) strings for one such context. Tasks send up the nodes
+   of that depth; Spark joins and sums the few levels above, a node having at most 256 children.
+4. Dealt again, with what the levels above give each of those nodes in front, the strings get the log
+   probability of their last byte, those that training texts lack as well.
 5. Each block gets the log probabilities of its own byte strings (and counts of its words), sorted to the
    front of its texts, and is scored in one task.
 
@@ -45,6 +46,8 @@ from clickflow.llm.words import LOWER
 DEPTH = 5
 END = 0xFF
 BLOCK_BYTES = 16 << 20
+SPLIT = 3
+GROUP_ROWS = 200_000
 PIECE = 2 << 20
 HELD_OUT_OF, HELD_OUT = 7, 2
 
@@ -179,87 +182,153 @@ def _runs(numbers: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(bounds[:-1], bounds[1:]))
 
 
-def _decisions(keys: DataFrame) -> DataFrame:
-    """``keys`` (key, ...) with a row for each of the byte's eight decisions: node (the context, then the
-    bits before, with a leading 1) and bit."""
-    byte, at = "CAST(key & 255 AS INT)", F.expr("explode(sequence(0, 7)) AS at")
-    return keys.select("*", at).withColumns({
-        "node": F.expr(f"shiftleft(shiftright(key, 8), 8) | shiftleft(1, at) | shiftright({byte}, 8 - at)"),
-        "bit": F.expr(f"shiftright({byte}, 7 - at) & 1")}).drop("at")
-
-
-def _log_gamma(x: Column) -> Column:
-    """By Stirling's series at x + 8, for x of 0.5 or more."""
+def _log_gamma(x, log):
+    """By Stirling's series at x + 8, for x of 0.5 or more; of columns or arrays, with their ``log``."""
     z = x + 8
-    series = (z - 0.5) * F.log(z) - z + 0.9189385332046727  # half the log of 2 pi
+    series = (z - 0.5) * log(z) - z + 0.9189385332046727  # half the log of 2 pi
     for sign, divisor, power in ((1, 12, 1), (-1, 360, 3), (1, 1260, 5), (-1, 1680, 7), (1, 1188, 9)):
-        series += sign / (divisor * z ** power)
+        series = series + sign / (divisor * z ** power)
     product = x
     for i in range(1, 8):
         product = product * (x + i)
-    return series - F.log(product)
+    return series - log(product)
 
 
-def log_kt(zeros: Column, ones: Column) -> Column:
+def log_kt(zeros, ones, log):
     """Natural logarithm of the Krichevsky-Trofimov probability of a sequence of such counts."""
-    pi = 1.1447298858494002  # log of pi
-    return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - pi
-
-
-def _shorter(node: Column, depth: int) -> Column:
-    """The node of the same decision behind only the nearest ``depth`` bytes."""
-    return node.bitwiseAND(F.lit((1 << (8 * depth + 8)) - 1))
+    return _log_gamma(zeros + 0.5, log) + _log_gamma(ones + 0.5, log) - _log_gamma(zeros + ones + 1.0, log) - 1.1447298858494002  # log pi
+
+
+def _mask(depth: int) -> int:
+    """Of a node, the decision and the nearest ``depth`` bytes: eight bits each."""
+    return (1 << (8 * depth + 8)) - 1
+
+
+def _near(key: Column, depth: int) -> Column:
+    """The nearest ``depth`` bytes before the last byte of a string."""
+    return F.shiftright(key, 8).bitwiseAND((1 << (8 * depth)) - 1)
+
+
+class Branches:
+    """The nodes of some strings (``keys``, each ``n`` times in training) for the ``at``-th decision of their
+    last byte, from ``depth`` up to ``least`` preceding bytes: all strings of a context of ``least`` bytes are
+    here. ``levels``, the deepest first: (nodes, for each node below its place among them, zeros, ones,
+    weighted, stop). A string that no training text has makes nodes without counts: those weigh one and
+    predict one half, as what a tree does not have."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, at: int, depth: int, least: int):
+        byte = keys & 255
+        self.bit = (byte >> (7 - at)) & 1
+        nodes, place = np.unique((keys >> 8 << 8) | (1 << at) | (byte >> (8 - at)), return_inverse=True)
+        zeros, ones = (np.bincount(place, n * (self.bit == bit), len(nodes)) for bit in (0, 1))
+        weighted = log_kt(zeros, ones, np.log)
+        self.levels = [(nodes, place, zeros, ones, weighted, np.ones(len(nodes)))]
+        for d in range(depth - 1, least - 1, -1):
+            nodes, place = np.unique(nodes & _mask(d), return_inverse=True)
+            zeros, ones, below = (np.bincount(place, x, len(nodes)) for x in (zeros, ones, weighted))
+            own = log_kt(zeros, ones, np.log)
+            weighted = np.logaddexp(own, below) - np.log(2)
+            self.levels.append((nodes, place, zeros, ones, weighted, np.exp(own - np.log(2) - weighted)))
+
+    def log_probability(self, heads: np.ndarray, so_far: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Of the strings' bits. ``heads``: the nodes of the least depth, sorted, with what shorter contexts
+        give to a next bit of 1 and the weight they leave."""
+        nodes = self.levels[-1][0]
+        at = np.searchsorted(heads, nodes)
+        so_far, left = so_far[at], left[at]
+        for _, place, zeros, ones, _, stop in reversed(self.levels):
+            so_far = (so_far + left * stop * (ones + 0.5) / (zeros + ones + 1))[place]
+            left = (left * (1 - stop))[place]
+        one = so_far
+        return np.log(np.where(self.bit == 1, one, 1 - one))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches sorted by their first column, as lists that hold all rows of a value together, of about
+    GROUP_ROWS rows or one value."""
+    held, rows = [], 0
+    for batch in batches:
+        value = batch.column(0).to_numpy()
+        begin = 0
+        for cut in (np.flatnonzero(np.diff(value)) + 1).tolist():
+            if rows + cut - begin >= GROUP_ROWS:
+                yield [*held, batch.slice(begin, cut - begin)]
+                held, rows, begin = [], 0, cut
+        if held and not begin and rows >= GROUP_ROWS and held[-1].column(0)[-1].as_py() != value[0]:
+            yield held
+            held, rows = [], 0
+        held.append(batch.slice(begin))
+        rows += len(batch) - begin
+    if held:
+        yield held
+
+
+def _column(batches: list[pa.RecordBatch], i: int) -> np.ndarray:
+    return np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in batches])
+
+
+def branch_tops(keys: DataFrame, depth: int, least: int) -> DataFrame:
+    """(node, zeros, ones, weighted) of all nodes behind ``least`` bytes, of ``keys`` (key, n), one row each."""
 
-
-def weighted_nodes(counts: DataFrame, depth: int) -> list[DataFrame]:
-    """For each depth from 0 on: (node, zeros, ones, weighted, stop): the log of the weighted probability and
-    the posterior weight of KT there. ``counts``: (key, n) of the byte strings of depth + 1."""
-    sums = [F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("zeros"),
-            F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones")]
-    kt = log_kt(F.col("zeros"), F.col("ones"))
-    nodes = _decisions(counts).groupBy("node").agg(*sums).select("node", "zeros", "ones", kt.alias("weighted"), F.lit(1.0).alias("stop"))
-    levels = [written(nodes, f"nodes-{depth}")]
-    for d in range(depth - 1, -1, -1):
-        parents = levels[0].groupBy(_shorter(F.col("node"), d).alias("node")).agg(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            for at in range(8):
+                nodes, _, zeros, ones, weighted, _ = Branches(_column(group, 1), _column(group, 2), at, depth, least).levels[-1]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (nodes, zeros, ones, weighted)], ["node", "zeros", "ones", "weighted"])
+
+    near = keys.select(_near(F.col("key"), least).alias("near"), "key", "n").repartition("near").sortWithinPartitions("near")
+    return near.mapInArrow(run, "node bigint, zeros double, ones double, weighted double")
+
+
+def heads(tops: DataFrame, least: int) -> DataFrame:
+    """(node, so_far, left) for each of ``tops``: what contexts of less than ``least`` bytes give to a next bit
+    of 1 and the weight they leave. Level by level up to the empty context and down again."""
+    if not least:
+        return tops.select("node", F.lit(0.0).alias("so_far"), F.lit(1.0).alias("left"))
+    levels = [tops]
+    for d in range(least - 1, -1, -1):
+        nodes = levels[0].groupBy(F.col("node").bitwiseAND(F.lit(_mask(d))).alias("node")).agg(
             F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
         own, below = F.col("own"), F.col("below")
-        parents = parents.withColumn("own", kt).withColumn(
+        nodes = nodes.withColumn("own", log_kt(F.col("zeros"), F.col("ones"), F.log)).withColumn(
             "weighted", F.greatest(own, below) + F.log1p(F.exp(-F.abs(own - below))) - F.log(F.lit(2.0)))
-        stop = 1 / (1 + F.exp(F.least(below - own, F.lit(700.0))))
-        levels.insert(0, written(parents.select("node", "zeros", "ones", "weighted", stop.alias("stop")), f"nodes-{d}"))
-    return levels
-
-
-def mixtures(levels: list[DataFrame]) -> list[DataFrame]:
-    """For each depth from 0 on: (node, one, rest): what the depths up to it give to a next bit of 1, and the
-    weight left for longer contexts."""
-    estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
-    out = [written(levels[0].select("node", (F.col("stop") * estimate).alias("one"), (1 - F.col("stop")).alias("rest")), "mixture-0")]
-    for d in range(1, len(levels)):
-        above = out[-1].select(F.col("node").alias("parent"), F.col("one").alias("so_far"), F.col("rest").alias("left"))
-        own = levels[d].withColumn("parent", _shorter(F.col("node"), d - 1)).join(above, "parent")
-        out.append(written(own.select("node", (F.col("so_far") + F.col("left") * F.col("stop") * estimate).alias("one"),
-                                      (F.col("left") * (1 - F.col("stop"))).alias("rest")), f"mixture-{d}"))
-    return out
-
-
-def log_probabilities(keys: DataFrame, mixed: list[DataFrame]) -> DataFrame:
-    """(key, logp): the natural logarithm of the last byte's probability behind the others, of each of
-    ``keys`` (key, n); n is 0 for strings that no training text has."""
-
-    def summed(decisions: DataFrame) -> DataFrame:
-        one = F.col("one") + F.col("rest") / 2
-        return decisions.groupBy("key").agg(F.sum(F.log(F.when(F.col("bit") == 1, one).otherwise(1 - one))).alias("logp"))
-
-    seen = _decisions(keys.where("n > 0").select("key")).join(mixed[-1], "node")
-    new = _decisions(keys.where("n = 0").select("key"))
-    for d, level in enumerate(mixed):
-        own = level.select(F.col("node").alias(f"node{d}"), F.struct("one", "rest").alias(f"at{d}"))
-        new = new.withColumn(f"node{d}", _shorter(F.col("node"), d)).join(own, f"node{d}", "left")
-    nothing = F.struct(F.lit(0.0).alias("one"), F.lit(1.0).alias("rest"))
-    deepest = F.coalesce(*[F.col(f"at{d}") for d in range(len(mixed) - 1, -1, -1)], nothing)
-    new = new.withColumn("at", deepest).select("key", "bit", "at.one", "at.rest")
-    return summed(seen).unionByName(summed(new))
+        stop = F.exp(own - F.log(F.lit(2.0)) - F.col("weighted"))
+        levels.insert(0, written(nodes.select("node", "zeros", "ones", "weighted", stop.alias("stop")), f"nodes-{d}"))
+    above = None
+    for d, level in enumerate(levels):
+        if above is None:
+            level = level.withColumns({"so_far": F.lit(0.0), "left": F.lit(1.0)})
+        else:
+            above = above.withColumnRenamed("node", "parent")
+            level = level.withColumn("parent", F.col("node").bitwiseAND(F.lit(_mask(d - 1)))).join(above, "parent")
+        if d == least:
+            return level.select("node", "so_far", "left")
+        estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
+        above = written(level.select("node", (F.col("so_far") + F.col("left") * F.col("stop") * estimate).alias("so_far"),
+                                     (F.col("left") * (1 - F.col("stop"))).alias("left")), f"mixture-{d}")
+
+
+def log_probabilities(keys: DataFrame, depth: int) -> DataFrame:
+    """(key, logp): the natural logarithm of the last byte's probability behind the others, for each of
+    ``keys`` (key, n: how often training texts have it)."""
+    least = min(SPLIT, depth)
+    tops = written(branch_tops(keys, depth, least), "tops")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            above, rows = ([b.filter(b.column(i).is_valid()) for b in group] for i in (3, 1))
+            order = np.argsort(_column(above, 3))
+            front = [_column(above, i)[order] for i in (3, 4, 5)]
+            keys, n = _column(rows, 1), _column(rows, 2)
+            logp = np.zeros(len(keys))
+            for at in range(8):
+                logp += Branches(keys, n, at, depth, least).log_probability(*front)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(logp)], ["key", "logp"])
+
+    rows = keys.select(_near(F.col("key"), least).alias("near"), "key", "n")
+    front = heads(tops, least).select(F.shiftright("node", 8).alias("near"), "node", "so_far", "left")
+    rows = rows.unionByName(front, allowMissingColumns=True).repartition("near").sortWithinPartitions("near")
+    return rows.select("near", "key", "n", "node", "so_far", "left").mapInArrow(run, "key bigint, logp double")
 
 
 def scored(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -271,8 +340,7 @@ def scored(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES)
     parts = written(gathered(blocks, depth), "gathered")
     wanted = parts.where("key IS NOT NULL")
     keys = written(wanted.groupBy("key").agg(F.sum("n").alias("n")), "keys")
-    mixed = mixtures(weighted_nodes(keys.where("n > 0"), depth))
-    probabilities = log_probabilities(keys, mixed)
+    probabilities = log_probabilities(keys, depth)
     words = written(parts.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "words")
     in_words, distinct = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     texts = blocks.where("NOT held_out").count()
