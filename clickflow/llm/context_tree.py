@@ -8,24 +8,26 @@ the weighted probability is the posterior weight of stopping at the node. The pr
 KT estimates of all depths by these weights along the actual context; what lies behind a node without a
 child for the context predicts one half. The code length of a text is the sum over its bytes and one end.
 
-Training and scoring are Spark jobs; nothing of the model goes through the driver but three sums:
+Training and scoring are Spark jobs; nothing of the model goes through the driver but a few sums:
 
-1. Texts are written in blocks of about BLOCK_BYTES (a block is some rows of one task).
+1. Texts are written in blocks, compressed, a block being some rows of one task.
 2. Each block is reduced to its distinct byte strings of depth + 1 and its distinct words, with how often
-   training texts have them. The counts of shorter contexts are sums of these.
-3. The strings are dealt by their nearest SPLIT bytes of context: whatever lies deeper in the trees is in
-   one task then, at most 256 ** (depth + 1 - SPLIT) strings for one such context. Tasks send up the nodes
-   of that depth; Spark joins and sums the few levels above, a node having at most 256 children.
-4. Dealt again, with what the levels above give each of those nodes in front, the strings get the log
-   probability of their last byte, those that training texts lack as well.
-5. Each block gets the log probabilities of its own byte strings (and counts of its words), sorted to the
-   front of its texts, and is scored in one task.
+   training texts have them. They are dealt to buckets, a string by its nearest SPLIT bytes of context, a
+   word by its hash, as one packed row per block and bucket. Buckets grow in number with the texts.
+3. A bucket's task adds up all blocks' counts. It holds whatever lies deeper in the trees than SPLIT bytes,
+   and sends up the nodes of that depth (at most 256 ** (depth + 1 - SPLIT) strings are behind one of them).
+   Spark sums and joins the few levels above, where a node has at most 256 children.
+4. With what the levels above give each of its nodes in front, a bucket answers each block's packed row:
+   the log probability of every string's last byte, training texts having it or not. Word buckets answer
+   with the words' counts.
+5. The answers to a block are sorted to the front of its texts, which are scored in one task.
 
 The model has no size limit: it grows with the distinct strings of the corpus, a block's part of it with
 the block. Texts are read with A-Z lower-cased; the first bytes of a text follow ``depth`` zero bytes, the
-end is the byte 0xFF. Null is the empty text. Rows are trained on and scored each, repeated ones too; a
-row with a null doc_id is not held out. Without training texts every bit is one half. An empty table
-gives no rows; other columns do not matter.
+end is the byte 0xFF. Words are told apart by 64-bit hashes (among 10^8 different words two of equal hash
+have a chance of 3 in 10,000). Null is the empty text. Rows are trained on and scored each, repeated ones
+too; a row with a null doc_id is not held out. Without training texts every bit is one half. An empty
+table gives no rows; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -35,9 +37,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from clickflow.llm.common import arrow_text, python_path, text_chunks, written
 from clickflow.llm.filter_audit import representatives
@@ -45,10 +49,12 @@ from clickflow.llm.words import LOWER
 
 DEPTH = 5
 END = 0xFF
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 64 << 20
+BUCKET_BYTES, LEAST_BUCKETS = 64 << 20, 32
 SPLIT = 3
-GROUP_ROWS = 200_000
+MIX = 40503  # spreads contexts over buckets
 PIECE = 2 << 20
+STRING, WORD, TOTAL, TEXTS = range(4)  # kinds of rows
 HELD_OUT_OF, HELD_OUT = 7, 2
 
 IN_WORD = np.ones(256, dtype=bool)
@@ -61,26 +67,28 @@ def held_out(doc_id: Column) -> Column:
 
 
 def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (doc_id, text, held_out) as written, with a column block. A block is some rows of one task."""
+    """``docs`` (doc_id, text, held_out) as written, some rows in one: block, ids, held_out (arrays), sizes
+    (bytes of each text), data (the lower-cased texts, compressed)."""
     python_path(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, size = TaskContext.get().partitionId() << 32, 0
+        block, size, pack = TaskContext.get().partitionId() << 32, 0, zstandard.ZstdCompressor()
         for batch in batches:
-            lengths = np.diff(np.frombuffer(arrow_text(batch.column(1)).buffers()[1], dtype=np.int64)[:len(batch) + 1])
-            numbers = (size + np.cumsum(lengths)) // block_bytes
-            size += int(lengths.sum())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block + numbers)], ["doc_id", "text", "held_out", "block"])
+            for lo, hi, data, offsets in text_chunks(arrow_text(batch.column(1)), PIECE):
+                row = [pa.array([block + size // block_bytes]),
+                       *(pa.array([batch.column(i).slice(lo, hi - lo).to_pylist()], pa.list_(batch.column(i).type)) for i in (0, 2)),
+                       pa.array([np.diff(offsets)]), pa.array([pack.compress(LOWER[data].tobytes())], pa.binary())]
+                size += len(data)
+                yield pa.RecordBatch.from_arrays(row, ["block", "ids", "held_out", "sizes", "data"])
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "held_out")
-    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, text string, held_out boolean, block bigint"
-    return written(rows.mapInArrow(run, schema), "blocks")
+    schema = f"block bigint, ids array<{dict(docs.dtypes)['doc_id']}>, held_out array<boolean>, sizes array<bigint>, data binary"
+    return written(docs.select("doc_id", "text", "held_out").mapInArrow(run, schema), "blocks")
 
 
 class Piece:
     """Some whole texts, or a part of one that ends between words: ``keys`` are its byte strings of
-    depth + 1, each with its text ``of``; ``words`` the digest of each distinct word, ``word`` the place
-    there of every word, ``word_of`` its text."""
+    depth + 1, each with its text ``of``; ``words`` the hash of each distinct word, ``word`` the place there
+    of every word, ``word_of`` its text."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, depth: int, before: bytes, last: bool):
         texts = len(offsets) - 1
@@ -107,72 +115,93 @@ class Piece:
         same_as = representatives(data, begins, stops, np.zeros(len(begins), dtype=np.int64))
         first, self.word = np.unique(same_as, return_inverse=True)
         raw = memoryview(np.ascontiguousarray(data))
-        self.words = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(begins[first].tolist(), stops[first].tolist())]
-
-
-def pieces(texts: pa.Array, depth: int) -> Iterator[tuple[int, int, Piece]]:
-    """(first text, last text, Piece) of an array of texts; a text of over twice PIECE comes in several."""
-    for lo, hi, data, offsets in text_chunks(texts, PIECE):
-        low = LOWER[data]
-        if hi - lo > 1 or len(low) <= 2 * PIECE:
-            yield lo, hi, Piece(low, offsets, depth, bytes(depth), True)
-            continue
-        at, before = 0, bytes(depth)
-        while at < len(low):
-            end = min(len(low), at + PIECE)
-            while end < len(low):  # on to the next end of a word
-                spaces = np.flatnonzero(~IN_WORD[low[end:end + PIECE]])
-                if len(spaces):
-                    end += int(spaces[0])
-                    break
-                end = min(len(low), end + PIECE)
-            part = low[at:end]
-            yield lo, hi, Piece(part, np.array([0, len(part)]), depth, before, end == len(low))
-            before, at = (before + part[-depth:].tobytes())[len(before) + len(part[-depth:]) - depth:], end
-
-
-def gathered(blocks: DataFrame, depth: int) -> DataFrame:
-    """(block, key, word, n): the distinct byte strings (key) and words (word, their digest) of each block,
-    with how often its training texts have them. A block read by two tasks has two rows for some."""
-
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return keys, np.bincount(place, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+        hashes = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(begins[first].tolist(), stops[first].tolist())]
+        self.words = np.array(hashes, dtype=np.uint64).view(np.int64)
+
+
+def pieces(sizes: list[int], data: bytes, depth: int) -> Iterator[Piece]:
+    """The texts of a packed row; a text of over twice PIECE comes in several."""
+    low = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    if len(sizes) > 1 or len(low) <= 2 * PIECE:
+        yield Piece(low, np.concatenate([[0], np.cumsum(sizes)]), depth, bytes(depth), True)
+        return
+    at, before = 0, bytes(depth)
+    while at < len(low):
+        end = min(len(low), at + PIECE)
+        while end < len(low):  # on to the next end of a word
+            spaces = np.flatnonzero(~IN_WORD[low[end:end + PIECE]])
+            if len(spaces):
+                end += int(spaces[0])
+                break
+            end = min(len(low), end + PIECE)
+        part = low[at:end]
+        yield Piece(part, np.array([0, len(part)]), depth, before, end == len(low))
+        before, at = (before + part[-depth:].tobytes())[-depth:], end
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Sorted integers by their differences, others as they are; compressed."""
+    return zstandard.compress(np.diff(values, prepend=0).tobytes() if values.dtype == np.int64 else values.tobytes())
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    values = np.frombuffer(zstandard.decompress(data), dtype=kind)
+    return np.cumsum(values) if kind is np.int64 else values
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct items, sorted, and the sums of their counts."""
+    items, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return items, np.bincount(place, np.concatenate([p[1] for p in parts]), len(items))
+
+
+PACKED = "block bigint, bucket bigint, kind int, items binary, amounts binary"
+
+
+def _row(block: int, bucket: int, kind: int, items: np.ndarray, amounts: np.ndarray) -> pa.RecordBatch:
+    values = [[block], [bucket], [kind], [_packed(items)], [_packed(amounts)]]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], [c.split()[0] for c in PACKED.split(", ")])
+
+
+def gathered(blocks: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """PACKED rows: the distinct strings and words of each block, by bucket, with how often its training texts
+    have them. A block that two tasks read has two rows for a bucket."""
+    near = (1 << (8 * min(SPLIT, depth))) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, words = None, [], {}
+        block, held, size = None, ([], []), [0, 0]
 
         def done() -> Iterator[pa.RecordBatch]:
-            keys, n = merged(held)
-            names = ["block", "key", "word", "n"]
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(keys), pa.int64()), pa.array(keys),
-                                              pa.nulls(len(keys), pa.binary()), pa.array(n)], names)
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int64()), pa.nulls(len(words), pa.int64()),
-                                              pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], names)
+            for kind in (STRING, WORD):
+                if not held[kind]:
+                    continue
+                items, n = _merged(held[kind])
+                bucket = ((items >> 8) & near) * MIX % buckets if kind == STRING else items % buckets
+                order = np.argsort(bucket, kind="stable")
+                items, n, bucket = items[order], n[order], bucket[order]
+                for lo, hi in _runs(bucket):
+                    yield _row(block, int(bucket[lo]), kind, items[lo:hi], n[lo:hi])
 
         for batch in batches:
-            numbers = batch.column(2).to_numpy()
-            for begin, end in _runs(numbers):
-                if held and block != numbers[begin]:
+            for number, train, sizes, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if block is not None and block != number:
                     yield from done()
-                    held, words = [], {}
-                block = int(numbers[begin])
-                train = ~batch.column(1).slice(begin, end - begin).to_numpy(zero_copy_only=False)
-                for lo, hi, piece in pieces(arrow_text(batch.column(0).slice(begin, end - begin)), depth):
-                    learnt = train[lo:hi]
-                    for some, weight in ((piece.keys[learnt[piece.of]], 1), (piece.keys[~learnt[piece.of]], 0)):
-                        if len(some):
-                            keys, n = np.unique(some, return_counts=True)
-                            held.append((keys, n * weight))
-                    counts = np.bincount(piece.word, learnt[piece.word_of], len(piece.words)).astype(np.int64)
-                    for word, n in zip(piece.words, counts.tolist()):
-                        words[word] = words.get(word, 0) + n
-                    if len(held) >= 16:
-                        held = [merged(held)]
-        if held:
+                    held, size = ([], []), [0, 0]
+                block, learnt = number, ~np.array(train, dtype=bool)
+                for piece in pieces(sizes, data, depth):
+                    keys, place = np.unique(piece.keys, return_inverse=True)
+                    held[STRING].append((keys, np.bincount(place, learnt[piece.of], len(keys))))
+                    held[WORD].append((piece.words, np.bincount(piece.word, learnt[piece.word_of], len(piece.words))))
+                    for kind in (STRING, WORD):
+                        size[kind] += len(held[kind][-1][0])
+                        if size[kind] > 4 * len(held[kind][0][0]) + (1 << 20):
+                            held[kind][:] = [_merged(held[kind])]
+                            size[kind] = len(held[kind][0][0])
+        if block is not None:
             yield from done()
 
-    return blocks.select("text", "held_out", "block").mapInArrow(run, "block bigint, key bigint, word binary, n bigint")
+    return blocks.select("block", "held_out", "sizes", "data").mapInArrow(run, PACKED)
 
 
 def _runs(numbers: np.ndarray) -> list[tuple[int, int]]:
@@ -204,11 +233,6 @@ def _mask(depth: int) -> int:
     return (1 << (8 * depth + 8)) - 1
 
 
-def _near(key: Column, depth: int) -> Column:
-    """The nearest ``depth`` bytes before the last byte of a string."""
-    return F.shiftright(key, 8).bitwiseAND((1 << (8 * depth)) - 1)
-
-
 class Branches:
     """The nodes of some strings (``keys``, each ``n`` times in training) for the ``at``-th decision of their
     last byte, from ``depth`` up to ``least`` preceding bytes: all strings of a context of ``least`` bytes are
@@ -243,41 +267,37 @@ class Branches:
         return np.log(np.where(self.bit == 1, one, 1 - one))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
-    """Batches sorted by their first column, as lists that hold all rows of a value together, of about
-    GROUP_ROWS rows or one value."""
-    held, rows = [], 0
+def _by_bucket(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[int, list[tuple]]]:
+    """(bucket, its rows) of batches that are sorted by their first column."""
+    at, rows = None, []
     for batch in batches:
-        value = batch.column(0).to_numpy()
-        begin = 0
-        for cut in (np.flatnonzero(np.diff(value)) + 1).tolist():
-            if rows + cut - begin >= GROUP_ROWS:
-                yield [*held, batch.slice(begin, cut - begin)]
-                held, rows, begin = [], 0, cut
-        if held and not begin and rows >= GROUP_ROWS and held[-1].column(0)[-1].as_py() != value[0]:
-            yield held
-            held, rows = [], 0
-        held.append(batch.slice(begin))
-        rows += len(batch) - begin
-    if held:
-        yield held
+        for row in zip(*(batch.column(i).to_pylist() for i in range(columns))):
+            if at is not None and at != row[0]:
+                yield at, rows
+                rows = []
+            at = row[0]
+            rows.append(row[1:])
+    if at is not None:
+        yield at, rows
 
 
-def _column(batches: list[pa.RecordBatch], i: int) -> np.ndarray:
-    return np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in batches])
+def _counted(rows: list[tuple[bytes, bytes]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(_unpacked(items, np.int64), _unpacked(n, np.float64)) for items, n in rows]
 
 
-def branch_tops(keys: DataFrame, depth: int, least: int) -> DataFrame:
-    """(node, zeros, ones, weighted) of all nodes behind ``least`` bytes, of ``keys`` (key, n), one row each."""
+def branch_tops(parts: DataFrame, depth: int, least: int) -> DataFrame:
+    """(node, zeros, ones, weighted) of all nodes behind ``least`` bytes, of the strings of ``parts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
+        for _, rows in _by_bucket(batches, 3):
+            keys, n = _merged(_counted(rows))
             for at in range(8):
-                nodes, _, zeros, ones, weighted, _ = Branches(_column(group, 1), _column(group, 2), at, depth, least).levels[-1]
+                nodes, _, zeros, ones, weighted, _ = Branches(keys, n, at, depth, least).levels[-1]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (nodes, zeros, ones, weighted)], ["node", "zeros", "ones", "weighted"])
 
-    near = keys.select(_near(F.col("key"), least).alias("near"), "key", "n").repartition("near").sortWithinPartitions("near")
-    return near.mapInArrow(run, "node bigint, zeros double, ones double, weighted double")
+    rows = parts.where(F.col("kind") == STRING).select("bucket", "items", "amounts")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        run, "node bigint, zeros double, ones double, weighted double")
 
 
 def heads(tops: DataFrame, least: int) -> DataFrame:
@@ -308,27 +328,48 @@ def heads(tops: DataFrame, least: int) -> DataFrame:
                                      (F.col("left") * (1 - F.col("stop"))).alias("left")), f"mixture-{d}")
 
 
-def log_probabilities(keys: DataFrame, depth: int) -> DataFrame:
-    """(key, logp): the natural logarithm of the last byte's probability behind the others, for each of
-    ``keys`` (key, n: how often training texts have it)."""
+def string_answers(parts: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """PACKED rows that answer those of ``parts``: the natural logarithms of the probabilities of the
+    strings' last bytes behind the others."""
     least = min(SPLIT, depth)
-    tops = written(branch_tops(keys, depth, least), "tops")
+    tops = written(branch_tops(parts, depth, least), "tops")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
-            above, rows = ([b.filter(b.column(i).is_valid()) for b in group] for i in (3, 1))
-            order = np.argsort(_column(above, 3))
-            front = [_column(above, i)[order] for i in (3, 4, 5)]
-            keys, n = _column(rows, 1), _column(rows, 2)
+        for bucket, rows in _by_bucket(batches, 7):
+            front = [np.array(x) for x in zip(*sorted(r[3:] for r in rows if r[3] is not None))]
+            rows = [r for r in rows if r[3] is None]
+            counted = _counted([r[1:3] for r in rows])
+            keys, n = _merged(counted)
             logp = np.zeros(len(keys))
             for at in range(8):
                 logp += Branches(keys, n, at, depth, least).log_probability(*front)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(logp)], ["key", "logp"])
+            for (block, *_), (items, _) in zip(rows, counted):
+                yield _row(block, bucket, STRING, items, logp[np.searchsorted(keys, items)])
 
-    rows = keys.select(_near(F.col("key"), least).alias("near"), "key", "n")
-    front = heads(tops, least).select(F.shiftright("node", 8).alias("near"), "node", "so_far", "left")
-    rows = rows.unionByName(front, allowMissingColumns=True).repartition("near").sortWithinPartitions("near")
-    return rows.select("near", "key", "n", "node", "so_far", "left").mapInArrow(run, "key bigint, logp double")
+    rows = parts.where(F.col("kind") == STRING).select("bucket", "block", "items", "amounts")
+    front = heads(tops, least).select((F.shiftright("node", 8) * MIX % buckets).alias("bucket"), "node", "so_far", "left")
+    rows = rows.unionByName(front, allowMissingColumns=True).repartition("bucket").sortWithinPartitions("bucket")
+    return rows.select("bucket", "block", "items", "amounts", "node", "so_far", "left").mapInArrow(run, PACKED)
+
+
+def word_answers(parts: DataFrame) -> DataFrame:
+    """PACKED rows that answer those of ``parts``: the words' counts in all training texts; and a TOTAL row a
+    bucket, of its words in training texts the sum and the number (in ``items``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches, 4):
+            counted = _counted([r[1:] for r in rows])
+            words, n = _merged(counted)
+            yield _row(0, bucket, TOTAL, np.array([n.sum(), (n > 0).sum()], dtype=np.int64), n[:0])
+            for (block, *_), (items, _) in zip(rows, counted):
+                yield _row(block, bucket, WORD, items, n[np.searchsorted(words, items)])
+
+    rows = parts.where(F.col("kind") == WORD).select("bucket", "block", "items", "amounts")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PACKED)
+
+
+RESULT = ("doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
+          "score double, n_bytes bigint, bits_per_byte double")
 
 
 def scored(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -337,68 +378,56 @@ def scored(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES)
     the text's probability by the context trees), n_bytes, bits_per_byte (code length per byte, the end
     counted as one). ``depth`` is 6 at most."""
     blocks = in_blocks(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), block_bytes)
-    parts = written(gathered(blocks, depth), "gathered")
-    wanted = parts.where("key IS NOT NULL")
-    keys = written(wanted.groupBy("key").agg(F.sum("n").alias("n")), "keys")
-    probabilities = log_probabilities(keys, depth)
-    words = written(parts.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    in_words, distinct = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    texts = blocks.where("NOT held_out").count()
-    slices = wanted.select("block", "key").join(probabilities, "key").select(
-        "block", F.lit(0).alias("kind"), "key", "logp")
-    known = parts.where("word IS NOT NULL").select("block", "word").join(words.where("n > 0"), "word").select(
-        "block", F.lit(0).alias("kind"), "word", "n")
-    rows = blocks.withColumn("kind", F.lit(1))
-    rows = slices.unionByName(known, allowMissingColumns=True).unionByName(rows, allowMissingColumns=True)
+    size, ends = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x)),
+                            F.sum(F.size(F.filter("held_out", lambda x: ~x)))).first()
+    buckets = max(LEAST_BUCKETS, (size or 0) // BUCKET_BYTES)
+    parts = written(gathered(blocks, depth, buckets), "gathered")
+    words = written(word_answers(parts), "word-counts")
+    totals = words.where(F.col("kind") == TOTAL).select("items").toLocalIterator()  # two numbers a bucket
+    tokens, distinct = ends or 0, int(bool(ends))
+    for row in totals:
+        n, different = _unpacked(row.items, np.int64).tolist()
+        tokens, distinct = tokens + n, distinct + different
+    answers = string_answers(parts, depth, buckets).unionByName(words.where(F.col("kind") == WORD)).drop("bucket")
+    rows = answers.unionByName(blocks.withColumn("kind", F.lit(TEXTS)), allowMissingColumns=True)
     rows = rows.repartition("block").sortWithinPartitions("block", "kind")
-    return _in_tasks(rows, depth, texts, in_words + texts, distinct + (texts > 0))
-
-
-def _in_tasks(rows: DataFrame, depth: int, ends: int, tokens: int, distinct: int) -> DataFrame:
-    """The result rows, from the blocks with what each needs of the model in front."""
-    id_type = dict(rows.dtypes)["doc_id"]
+    result = RESULT.format(dict(docs.dtypes)["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, found, counts, keys, logp = None, [], {}, None, None
+        block, held, model = None, ([], []), None
         for batch in batches:
-            numbers = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy()
-            for begin, end in _runs(numbers):
-                part = batch.slice(begin, end - begin)
-                if block != numbers[begin] // 2:
-                    block, found, counts, keys = int(numbers[begin] // 2), [], {}, None
-                if numbers[begin] % 2 == 0:
-                    model = part.filter(part.column(2).is_valid())
-                    found.append((model.column(2).to_numpy(), model.column(3).to_numpy()))
-                    model = part.filter(part.column(4).is_valid())
-                    counts.update(zip(model.column(4).to_pylist(), model.column(5).to_pylist()))
+            for row in batch.to_pylist():
+                if block != row["block"]:
+                    block, held, model = row["block"], ([], []), None
+                if row["kind"] != TEXTS:
+                    held[row["kind"]].append((_unpacked(row["items"], np.int64), _unpacked(row["amounts"], np.float64)))
                     continue
-                if keys is None:
-                    keys = np.concatenate([k for k, _ in found])
-                    order = np.argsort(keys)
-                    keys, logp = keys[order], np.concatenate([p for _, p in found])[order]
-                yield from scores(part, keys, logp, counts)
-
-    def scores(part: pa.RecordBatch, keys: np.ndarray, logp: np.ndarray, counts: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-        texts = arrow_text(part.column(7))
-        n = len(texts)
+                model = model or [_sorted(x) for x in held]
+                yield scores(row, *model)
+
+    def scores(row: dict, strings: tuple[np.ndarray, np.ndarray], words: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        n = len(row["ids"])
         score, base, n_tokens, n_known = np.zeros(n), np.zeros(n), np.ones(n, dtype=np.int64), np.full(n, int(ends > 0))
-        for lo, hi, piece in pieces(texts, depth):
-            here = logp[np.searchsorted(keys, piece.keys)]
-            score[lo:hi] += np.bincount(piece.of, here, hi - lo)
-            c = np.array([counts.get(w, 0) for w in piece.words], dtype=np.float64)[piece.word]
-            n_tokens[lo:hi] += np.bincount(piece.word_of, minlength=hi - lo)
-            n_known[lo:hi] += np.bincount(piece.word_of, c > 0, hi - lo).astype(np.int64)
-            base[lo:hi] += np.bincount(piece.word_of, np.log10(c + 1), hi - lo)
+        for piece in pieces(row["sizes"], row["data"], depth):
+            score += np.bincount(piece.of, strings[1][np.searchsorted(strings[0], piece.keys)], n)
+            c = (words[1][np.searchsorted(words[0], piece.words)] if len(piece.words) else np.zeros(0))[piece.word]
+            n_tokens += np.bincount(piece.word_of, minlength=n)
+            n_known += np.bincount(piece.word_of, c > 0, n).astype(np.int64)
+            base += np.bincount(piece.word_of, np.log10(c + 1), n)
         base += np.log10(ends + 1) - n_tokens * np.log10(tokens + distinct + 1)
-        size = np.array([len(t.as_buffer()) for t in texts], dtype=np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [part.column(6), part.column(8), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(n, tokens, dtype=np.int64)),
-             pa.array(base), pa.array(score / np.log(10)), pa.array(size), pa.array(-score / np.log(2) / (size + 1))],
-            [c.split()[0] for c in RESULT.format(id_type).split(", ")])
-
-    return rows.select("block", "kind", "key", "logp", "word", "n", "doc_id", "text", "held_out").mapInArrow(
-        run, RESULT.format(id_type))
-
-
-RESULT = ("doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
-          "score double, n_bytes bigint, bits_per_byte double")
+        size = np.array(row["sizes"], dtype=np.int64)
+        columns = [row["ids"], row["held_out"], n_tokens, n_known, np.full(n, tokens), base, score / np.log(10), size,
+                   -score / np.log(2) / (size + 1)]
+        return pa.RecordBatch.from_arrays([pa.array(c) if c is not row["ids"] else pa.array(c, ids) for c in columns],
+                                          [c.split()[0] for c in result.split(", ")])
+
+    ids = to_arrow_type(docs.schema["doc_id"].dataType)
+    return rows.mapInArrow(run, result)
+
+
+def _sorted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.zeros(0, dtype=np.int64), np.zeros(0)
+    items, amounts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(items)
+    return items[order], amounts[order]
