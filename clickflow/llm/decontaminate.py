@@ -18,7 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm.common import arrow_text, columns_but, python_path, text_chunks, written
@@ -34,8 +35,8 @@ class WindowSet:
     """Windows of benchmark items by length: sorted hashes, a bitmap in front of them, and for every
     hash its windows' words and items."""
 
-    def __init__(self, items: list[tuple[str, str | None]], n: int):
-        self.by_length: dict[int, dict[int, dict[bytes, list[str]]]] = {}
+    def __init__(self, items: list[tuple[str | None, str | None]], n: int):
+        self.by_length: dict[int, dict[int, dict[bytes, list[str | None]]]] = {}
         for item, text in items:
             words = words_of(text)
             if not len(words):
@@ -73,37 +74,37 @@ class WindowSet:
 
 def window_blocks(bench: DataFrame, n: int = WINDOW, id_col: str = "item_id", text_col: str = "text",
                   block_bytes: int = BLOCK_BYTES) -> Iterator[WindowSet]:
-    """The benchmark's windows, a block of items at a time; null and empty items have none."""
-    items = bench.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(
-        "item is not null and text is not null")
+    """The benchmark's windows, a block of items at a time; null and empty texts have none."""
+    items = bench.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
     for b in range(blocks):
         rows = dealt.where(F.col("block") == b).select("item", "text").collect()
-        yield WindowSet(sorted((r[0], r[1]) for r in rows), n)
+        yield WindowSet(sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] or "", r[1])), n)
 
 
 def with_spans(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: str = "text",
                item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES,
                spans_col: str = "hit_spans") -> DataFrame:
     """``docs`` with ``spans_col``: every occurrence of a benchmark window as (first word, number of
-    words, item). All columns pass through, whatever their names; a column called ``spans_col`` is
-    replaced. Null and empty texts have no occurrence; repeated rows are judged each; an empty
-    benchmark hits nothing."""
+    words, item; null for an item without an id). All columns pass through, whatever their names; a column
+    called ``spans_col`` is replaced. The benchmark's blocks are made, sent and scanned one by one. Null and
+    empty texts have no occurrence; repeated rows are judged each; an empty benchmark hits nothing."""
     spark = docs.sparkSession
     python_path(spark)
     out = docs.select(*columns_but(docs, spans_col), F.lit(None).cast(SPANS).alias(spans_col))
-    blocks = list(window_blocks(bench, n, item_id, item_text, block_bytes))
-    for i, block in enumerate(blocks):
-        out = _scan(spark, out, block, text_col, spans_col)
-        if i + 1 < len(blocks):
+    shared = None
+    for block in window_blocks(bench, n, item_id, item_text, block_bytes):
+        if shared is not None:
             out = written(out, "decontaminate")
+            shared.unpersist()
+        shared = spark.sparkContext.broadcast(block)
+        out = _scan(out, shared, text_col, spans_col)
     return out
 
 
-def _scan(spark: SparkSession, docs: DataFrame, block: WindowSet, text_col: str, spans_col: str) -> DataFrame:
-    shared = spark.sparkContext.broadcast(block)
+def _scan(docs: DataFrame, shared: Broadcast, text_col: str, spans_col: str) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
@@ -166,7 +167,8 @@ def remove_spans(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: s
 
 def digest(docs: DataFrame, bench: DataFrame, n: int = WINDOW) -> DataFrame:
     """Per document: doc_id, n_words, n_hit (words inside an occurrence), n_items, items_sha256 (the
-    items' ids sorted as strings, comma-joined), contaminated. Null text has no words."""
+    items' ids sorted as strings, comma-joined), contaminated. Null text has no words; an item without an id
+    counts for n_hit only."""
     found = with_spans(docs.select("doc_id", "text"), bench, n)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +178,7 @@ def digest(docs: DataFrame, bench: DataFrame, n: int = WINDOW) -> DataFrame:
             for lo, hi, data, offsets in text_chunks(texts):
                 counts[lo:hi] = np.diff(Words(data, offsets).first)
             hits = [x or [] for x in batch.column(2).to_pylist()]
-            items = [sorted({s["item"] for s in x}) for x in hits]
+            items = [sorted({s["item"] for s in x} - {None}) for x in hits]
             n_hit = [sum(hi - lo for lo, hi in covered(x)) for x in hits]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(counts), pa.array(n_hit, pa.int64()),

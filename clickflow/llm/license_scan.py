@@ -1,12 +1,15 @@
 """Licence scan by a positional rare-token index of licence templates.
 
-Index: every template's words with their positions. Each template is looked up by the rarest word of
-its mandatory key phrase (highest inverse document frequency, counted over all files): every place of
-that word in a file gives an alignment, the word's position in the file minus its position in the
-template. The postings of all the template's words are intersected with it by relative position. An
-alignment counts if the key phrase stands in the file, word for word, where it puts it, and enough of
-the template's words agree. As no alignment without the key phrase counts, none is missed, whatever
-else the file holds: other notices, or the same words elsewhere.
+Index: for every word of the templates its postings, the places (template, position) where it stands. Words
+weigh by inverse document frequency over all files.
+
+A template is found in a file where its mandatory key phrase stands word for word, and at least OTHER_SHARE
+of its other words stand at their places relative to it. A file that lacks too many of a template's
+words is done with it. In any other, of the template's words that the file has, the rarest are looked up: so
+many that an alignment (place in the file minus place in the template) without any of them could not have
+enough words. Each place of those words in the file is an alignment to try; the postings of all the template's
+words are intersected with the file's words by relative position, and the key phrase is verified on the
+words. So no alignment is missed whatever else the file holds, and a key phrase alone is no licence.
 
 Plain licence phrases are found as well (base labels), with all their places.
 
@@ -16,6 +19,7 @@ where they are stored; the only shuffle is one count per licence word and task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,24 +56,29 @@ TEMPLATES = [
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
      "mozilla public license v 2 0"),
 ]
-LEAST_VOTES, PHRASE_SCORE = 3, 0.5
+OTHER_SHARE, PHRASE_SCORE = 0.25, 0.5
+ALIGNMENTS = 1 << 16
 
 
 class Index:
-    """Templates' words, positions and key phrases; a few hundred entries, sent to every task."""
+    """Templates' words, positions and key phrases; a few hundred entries, sent to every task. ``templates``:
+    (label, notice, mandatory key phrase); ``share`` of a notice's words outside the phrase must be there."""
 
-    def __init__(self, templates=TEMPLATES, phrases=PHRASES):
+    def __init__(self, templates=TEMPLATES, phrases=PHRASES, share: float = OTHER_SHARE):
         self.labels = [label for label, _, _ in templates]
         texts = [words_of(notice) for _, notice, _ in templates]
         split = [[text.bytes_of(i, 1) for i in range(len(text))] for text in texts]
         self.words = sorted({w for text in split for w in text})
         number = {w: i for i, w in enumerate(self.words)}
         self.sequences = [np.array([number[w] for w in text], dtype=np.int64) for text in split]
+        #: postings by count: how often a word stands in a template
+        self.counts = np.array([np.bincount(x, minlength=len(self.words)) for x in self.sequences]).T
         self.keys = []
         for (_, notice, key), text in zip(templates, texts):
             k = words_of(key)
             at = next(i for i in range(len(text)) if text.bytes_of(i, len(k)) == k.bytes_of(0, len(k)))
             self.keys.append((at, len(k), k.bytes_of(0, len(k))))
+        self.needed = [size + math.ceil(share * (len(sequence) - size)) for sequence, (_, size, _) in zip(self.sequences, self.keys)]
         self.phrases = [(len(w := words_of(p)), int(w.windows(len(w))[1][0]), w.bytes_of(0, len(w)), label)
                         for p, label in phrases.items()]
         hashes = np.array([words_of(w.decode()).windows(1)[1][0] for w in self.words], dtype=np.uint64)
@@ -92,37 +101,45 @@ class Index:
         return sorted(found)
 
     def matched(self, words: Words, at: np.ndarray, word: np.ndarray, idf: np.ndarray) -> dict[int, dict[str, float]]:
-        """Text -> label -> share of its template's distinct words that agree at the best alignment.
-        ``at``, ``word``: the licence words of all texts."""
+        """Text -> label -> share of its template's words that agree at the best alignment. ``at``, ``word``: the
+        licence words of all texts."""
         here = np.full(len(words), -1, dtype=np.int64)
         here[at] = word
+        texts = len(words.first) - 1
+        present = np.zeros((texts, len(self.words)), dtype=bool)
+        present[np.searchsorted(words.first, at, side="right") - 1, word] = True
+        most = present @ self.counts  # places of a template whose words the text has
         out: dict[int, dict[str, float]] = {}
-        for label, sequence, (place, size, key) in zip(self.labels, self.sequences, self.keys):
-            rarest = place + int(np.argmax(idf[sequence[place:place + size]]))
-            seen = at[word == sequence[rarest]]
-            text = np.searchsorted(words.first, seen, side="right") - 1
-            begin, low, high = seen - rarest, words.first[text], words.first[text + 1]
-            fits = np.flatnonzero((begin + place >= low) & (begin + place + size <= high))
-            for i in range(place, place + size):
-                fits = fits[here[begin[fits] + i] == sequence[i]]
-            begin, low, high, text = begin[fits], low[fits], high[fits], text[fits]
-            votes = np.zeros(len(begin), dtype=np.int64)
-            distinct = np.unique(sequence)
-            for w in distinct.tolist() if len(begin) else []:
-                agrees = np.zeros(len(begin), dtype=bool)
-                for i in np.flatnonzero(sequence == w).tolist():
-                    inside = np.flatnonzero((begin + i >= low) & (begin + i < high))
-                    agrees[inside] |= here[begin[inside] + i] == w
-                votes += agrees
-            enough = np.flatnonzero(votes >= min(LEAST_VOTES, len(sequence)))
-            best = enough[np.lexsort((-votes[enough], text[enough]))]
-            for group in np.split(best, np.flatnonzero(np.diff(text[best])) + 1) if len(best) else []:
-                k = next((k for k in group.tolist() if words.bytes_of(int(begin[k]) + place, size) == key), None)
-                if k is not None:
-                    found = out.setdefault(int(text[k]), {})
-                    found[label] = max(found.get(label, 0.0), int(votes[k]) / len(distinct))
+        for text, template in zip(*(x.tolist() for x in np.nonzero(most >= self.needed))):
+            share = self._aligned(words, here, text, template, present[text], idf)
+            if share:
+                found, label = out.setdefault(text, {}), self.labels[template]
+                found[label] = max(found.get(label, 0.0), share)
         return out
 
+    def _aligned(self, words: Words, here: np.ndarray, text: int, template: int, present: np.ndarray, idf: np.ndarray) -> float:
+        """The best share of the template's words that stand in the text at one alignment with the key phrase."""
+        sequence, needed, (place, size, key) = self.sequences[template], self.needed[template], self.keys[template]
+        low, high = int(words.first[text]), int(words.first[text + 1])
+        places = np.flatnonzero(present[sequence])
+        rarest = places[np.argsort(-idf[sequence[places]], kind="stable")][:len(places) - needed + 1]
+        own = here[low:high]
+        begins = [np.flatnonzero(own == w) - i for w in np.unique(sequence[rarest]).tolist() for i in rarest[sequence[rarest] == w].tolist()]
+        begins = np.unique(np.concatenate(begins)) + low
+        best = 0
+        for some in range(0, len(begins), ALIGNMENTS // len(sequence) + 1):
+            begin = begins[some:some + ALIGNMENTS // len(sequence) + 1]
+            where = begin[:, None] + np.arange(len(sequence))
+            agrees = (where >= low) & (where < high)
+            agrees &= here[np.clip(where, low, high - 1)] == sequence
+            votes = agrees.sum(axis=1)
+            enough = np.flatnonzero((votes >= max(needed, best + 1)) & agrees[:, place:place + size].all(axis=1))
+            for k in enough[np.argsort(-votes[enough], kind="stable")].tolist():
+                if words.bytes_of(int(begin[k]) + place, size) == key:
+                    best = int(votes[k])
+                    break
+        return best / len(sequence)
+
 
 def document_frequencies(docs: DataFrame, index: Index, text_col: str = "text") -> np.ndarray:
     """Inverse document frequency of each licence word over all of ``docs``."""
@@ -150,8 +167,8 @@ RESULT = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, b
 def scanned(docs: DataFrame, index: Index | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: its id, n_words, n_base (places of phrases), first_word and last_word (their
     smallest and largest start; else null), base_labels, labels (with the templates' ones), score: 0
-    without a label, PHRASE_SCORE for a phrase, for a template the share of its distinct words that
-    agree (1: the whole notice); the largest. Null is the empty text; repeated rows are scanned each; an empty table gives no rows."""
+    without a label, PHRASE_SCORE for a phrase, for a template the share of its words that agree (1: the whole
+    notice); the largest. Null is the empty text; repeated rows are scanned each; an empty table gives no rows."""
     index = index or Index()
     idf = document_frequencies(docs, index, text_col)
     shared = docs.sparkSession.sparkContext.broadcast((index, idf))  # a few hundred words

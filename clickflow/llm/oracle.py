@@ -47,7 +47,7 @@ here as (
 hits as (select doc_id, item, i, h.k from here h join known b on h.k = b.k and h.win = b.win),
 places as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + k)) as p from hits) group by 1),
 found as (
-  select doc_id, count(*) as n, string_agg(item, ',' order by item) as items
+  select doc_id, count(item) as n, string_agg(item, ',' order by item) as items
   from (select distinct doc_id, item from hits) group by 1)
 select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(p.n, 0) as n_hit, coalesce(f.n, 0) as n_items,
   sha256(coalesce(f.items, '')) as items_sha256, coalesce(p.n, 0) > 0 as contaminated

@@ -80,7 +80,7 @@ def _segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
         yield text[first], first + base - own, last + base - own, key[first], place[first] != place[last]
 
 
-def scanned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def scanned(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """One row per segment: id (hash of the whole text, binary), a, b (first and last window start),
     key, seg (hash of the segment), twice (the key has two places in it). ``docs``: (doc_id, text)."""
     python_path(docs.sparkSession)
@@ -184,9 +184,11 @@ def _by_window(segments: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct(F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))).alias("ranges"))
 
 
-def covered(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def covered(docs: DataFrame, length: int = LENGTH, gram: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(id, ranges): for each distinct text (by ``with_text_id``) that has any, the byte ranges covered
-    by repeated strings; ranges may overlap. ``docs`` has ``text`` and ``__id``."""
+    by repeated strings of ``length`` bytes; ranges may overlap. ``docs`` has ``text`` and ``__id``. ``gram``
+    grows with the length where it is not given."""
+    gram = gram or max(1, length * GRAM // LENGTH)
     places = written(scanned(docs, length, gram), "places")
     keys = places.groupBy("key").agg(
         F.count("*").alias("n"), F.min("seg").alias("low"), F.max("seg").alias("high"), F.max("twice").alias("twice"))
@@ -266,7 +268,7 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with the covered bytes cut out of ``text`` (all other columns as they are, but for any
+    """``docs`` with the bytes covered by repeated strings of ``length`` cut out of ``text`` (all other columns as they are, but for any
     called ``__id`` or ``__ranges``, which go). A character of which a cut leaves only some bytes goes
     too. Null texts stay null."""
     docs = docs.select(*columns_but(docs, "__id", "__ranges"))

@@ -160,6 +160,14 @@ def test_repeats_against_brute_force(spark, docs, shard_bytes, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("length", [40, 240])
+def test_shorter_passages_against_brute_force(spark, docs, length):
+    texts = _repeating(random.Random(10))
+    want = {i: r for i, r in enumerate(_brute([(t or "").encode() for t in texts], length))}
+    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.digest(docs(list(enumerate(texts))), length).collect()}
+    assert got == want
+
+
 def test_repeats_removed_from_texts(spark, docs):
     rows = list(enumerate(_repeating(random.Random(9))))
     df = docs(rows).withColumnRenamed("lang", "__ranges")

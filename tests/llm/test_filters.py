@@ -1,6 +1,7 @@
 """Filters and classifiers: rules against brute force, learnt models on held-out rows, edge cases."""
 
 import itertools
+import random
 import re
 from collections import Counter
 
@@ -97,7 +98,7 @@ def test_toxicity_edge_cases(spark, docs):
 
 
 def test_licences_against_brute_force(spark, docs):
-    texts = ["", None, "Released under the MIT License.", "cc by cc BY-nc", "the GNU general PUBLIC license gnu general public license",
+    texts = ["", None, "Released under the MIT License.", "cc by licensed cc BY-nc 4", "the GNU general PUBLIC license gnu general public license",
              "apache, license; version 2.0 alone", "x " * 5000 + "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use",
              "Permission is hereby granted, free of charge, to any person obtaining a copy", "mit gnu apache cc"]
     got = {r.doc_id: r for r in license_scan.scanned(docs(list(enumerate(texts)))).collect()}
@@ -129,6 +130,44 @@ def test_licences_of_files_with_several_notices(spark, docs):
         assert ("mit" in got[i].labels.split(",")) == any(notices[t][0] == "mit" for t in g) and got[i].score == 1
 
 
+def _template_labels(text):
+    """Label -> best share, trying every alignment of every template."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+    found = {}
+    for label, notice, key in license_scan.TEMPLATES:
+        t, k = re.findall(r"[a-z0-9]+", notice.lower()), key.split()
+        place = next(i for i in range(len(t)) if t[i:i + len(k)] == k)
+        for begin in range(-len(t), len(w)):
+            agree = sum(0 <= begin + i < len(w) and w[begin + i] == x for i, x in enumerate(t))
+            lo = begin + place
+            if lo >= 0 and w[lo:lo + len(k)] == k and agree - len(k) >= license_scan.OTHER_SHARE * (len(t) - len(k)):
+                found[label] = max(found.get(label, 0), agree / len(t))
+    return found
+
+
+def test_licence_labels_against_every_alignment(spark, docs):
+    rnd = random.Random(6)
+    texts = [None, "", *(key for _, _, key in license_scan.TEMPLATES), *(notice for _, notice, _ in license_scan.TEMPLATES)]
+    for _ in range(400):
+        words = []
+        for _ in range(rnd.randrange(1, 4)):
+            part = rnd.choice(license_scan.TEMPLATES)[1].split()
+            lo = rnd.randrange(len(part)) if rnd.random() < .4 else 0
+            part = part[lo:lo + rnd.randrange(1, len(part) + 1)] if rnd.random() < .6 else part
+            words += [rnd.choice([x, x.upper()]) if rnd.random() > .08 else rnd.choice(["other", "the", "software"]) for x in part]
+            if rnd.random() < .1:
+                words.insert(rnd.randrange(len(words)), "inserted")
+        texts.append(" ".join(words))
+    got = {r.doc_id: r for r in license_scan.scanned(docs(list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        want = _template_labels(t)
+        base = set(filter(None, got[i].base_labels.split(",")))
+        assert got[i].labels == ",".join(sorted(base | want.keys())), t
+        assert got[i].score == pytest.approx(max([0, *want.values(), *([license_scan.PHRASE_SCORE] if base else [])]))
+    keys = range(2, 2 + len(license_scan.TEMPLATES))
+    assert all(got[i].labels == got[i].base_labels for i in keys)  # a key phrase alone is no licence
+
+
 def test_weak_quality_agrees_with_labels(spark):
     found = {(r.quality, r.kept): r["count"] for r in weak_quality.scored(table(spark, SF, "documents")).join(
         table(spark, SF, "labels"), "doc_id").groupBy("quality", "kept").count().collect()}

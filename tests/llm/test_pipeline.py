@@ -11,7 +11,7 @@ import corpus_pipeline
 from clickflow.llm import decontaminate, quality_rules
 
 from .conftest import DOC, SF
-from .test_dedup import _brute, _components, _fingerprint
+from .test_dedup import _components, _fingerprint
 
 
 def test_pipeline_against_brute_force(spark, con):
@@ -20,18 +20,18 @@ def test_pipeline_against_brute_force(spark, con):
     rows = [(i, _fingerprint(docs[i])) for i in sorted(kept)]
     first = sorted(set(_components(rows)))
     texts = [docs[i].encode() for i in first]
-    spans = _brute(texts, 400)
+    n = corpus_pipeline.PASSAGE_BYTES
     want = {}
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     seen = {}
     for t in texts:
-        for i in range(len(t) - 399):
-            seen[t[i:i + 400]] = seen.get(t[i:i + 400], 0) + 1
+        for i in range(len(t) - n + 1):
+            seen[t[i:i + n]] = seen.get(t[i:i + n], 0) + 1
     left = {}
-    for i, t, s in zip(first, texts, spans):
-        gone = {k for j in range(len(t) - 399) if seen[t[j:j + 400]] > 1 for k in range(j, j + 400)}
+    for i, t in zip(first, texts):
+        gone = {k for j in range(len(t) - n + 1) if seen[t[j:j + n]] > 1 for k in range(j, j + n)}
         left[i] = bytes(b for k, b in enumerate(t) if k not in gone).decode(errors="ignore")
     frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in left.items()], DOC)
     leaks = {r.doc_id for r in decontaminate.digest(frame, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated").collect()}

@@ -116,3 +116,16 @@ def test_decontaminate_removes_spans_only(spark, docs):
     assert out == {1: "Été: ! end", 2: "one two four"}
     assert decontaminate.remove_spans(df, bench.limit(0), 3).count() == 2
     assert decontaminate.remove_spans(df.limit(0), bench, 3).columns == df.columns
+
+
+def test_benchmark_items_without_an_id(spark, docs):
+    """Their passages count as hits, and for no item."""
+    bench = spark.createDataFrame([(None, "one two three"), (None, "four five six"), ("b", "one two three")], "item_id string, text string")
+    rows = [(1, "x one two three y"), (2, "four five six"), (3, "four five")]
+    for block_bytes in (decontaminate.BLOCK_BYTES, 10):
+        found = decontaminate.with_spans(docs(rows), bench, 3, block_bytes=block_bytes).collect()
+        assert {r.doc_id: sorted((x["start"], x["item"] or "") for x in r.hit_spans) for r in found} == {
+            1: [(1, ""), (1, "b")], 2: [(0, "")], 3: []}
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.digest(docs(rows), bench, 3).collect()}
+    assert got == {1: (3, 1, True), 2: (3, 0, True), 3: (0, 0, False)}
+    assert decontaminate.digest(docs(rows), bench.limit(0), 3).where("contaminated").count() == 0
