@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from clickflow.llm import bpe, decontaminate, quality_rules, simhash, suffix_dedup
 from clickflow.llm.common import python_path, table, written
 
+#: A repeated passage: some fifty short words.
+PASSAGE_BYTES = 240
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -25,8 +28,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of repeated 400-byte strings; n_chars follows the text."""
-    return suffix_dedup.deduplicated(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+    """Texts without the bytes of repeated strings of PASSAGE_BYTES; n_chars follows the text."""
+    return suffix_dedup.deduplicated(docs, PASSAGE_BYTES).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
