@@ -75,7 +75,7 @@ def _stream(spark, a, out: str):
                        merge="sum", sum_cols=["n"])
         b = KeyedTable(f"{out}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
         return SA.per_event_blacklist_filter(parsed, c, b, f"{out}/admitted", a.threshold)
-    trend = SA.trend_stream(parsed, a.window, a.slide, a.delay)
+    trend = SA.trend_stream(parsed, a.window, a.slide, a.delay or SA.DEFAULT_DELAY)
     if a.console:
         return SA.to_console_sorted(trend, ["window_start", "bucket"])
     return SA.to_files(trend, f"{out}/trend")
@@ -100,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--threshold", type=int, default=100)
     p.add_argument("--window", type=int, default=60)
     p.add_argument("--slide", type=int, default=10)
-    p.add_argument("--delay", default="10 minutes", help="watermark delay (stream)")
+    p.add_argument("--delay", help="watermark delay (stream); without one, counts keep all days and lose no late click")
     p.add_argument("--interval", default="5 seconds", help="micro-batch interval (stream)")
     p.add_argument("--once", action="store_true", help="stream: consume the files present, then stop")
     p.add_argument("--console", action="store_true", help="trend stream: print each batch sorted")

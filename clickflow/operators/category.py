@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import non_blank, real_id, split_ids
@@ -94,3 +94,13 @@ def category_session_top10(actions: DataFrame, k: int = 10, top: DataFrame | Non
                   .where(F.col("rank") <= int(k))
                   .select("category_id", F.col("rank").cast("bigint").alias("rank"), "session_id",
                           F.col("n").alias("click_count")))
+
+
+def action_metrics(actions: DataFrame, observation: Observation) -> DataFrame:
+    """``actions`` with how many of them click, order and pay (the classes of ``category_action_events``, one a
+    row, and how many are none) counted into ``observation`` by the pass that reads them for something else."""
+    click = real_id("click_category_id")
+    order = ~click & non_blank("order_category_ids")
+    pay = ~click & ~order & non_blank("pay_category_ids")
+    kinds = {"click": click, "order": order, "pay": pay, "other": ~(click | order | pay)}
+    return actions.observe(observation, *[F.count(F.when(c, 1)).alias(k) for k, c in kinds.items()])

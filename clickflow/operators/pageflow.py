@@ -6,7 +6,7 @@ action, ordered by ``(action_time, event_id)`` (:func:`clickflow.operators.seque
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .sequence import DEFAULT_SPLIT, with_next, with_position
@@ -53,6 +53,24 @@ def session_page_paths(actions: DataFrame, split: str | None = DEFAULT_SPLIT) ->
         .select(SESSION, "step", "page_id")
 
 
+def session_path_text(actions: DataFrame, separator: str = ">", split: str | None = DEFAULT_SPLIT,
+                      pages_per_part: int = 100_000) -> DataFrame:
+    """(session_id, path): each session's page ids in order, joined by ``separator``.
+
+    Two levels: the pages of each ``pages_per_part`` steps become one text in a task of their own, and a
+    session's texts are joined in order. So a hot session's rows are gathered part by part, by position; what
+    ends in one task is its path text alone, a single value that no session's reader can do without (some
+    7 bytes a page, 2 GB at most, which is Spark's bound for one value: 300 million pages)."""
+    steps = session_page_paths(actions, split).withColumn("_part", F.floor((F.col("step") - 1) / int(pages_per_part)))
+
+    def joined(order: str, value: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]), separator)
+
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("_page")
+    parts = steps.select(SESSION, "_part", "step", page).groupBy(SESSION, "_part").agg(joined("step", "_page").alias("_text"))
+    return parts.groupBy(SESSION).agg(joined("_part", "_text").alias("path"))
+
+
 def page_visit_counts(actions: DataFrame, flow, include_last: bool = False) -> DataFrame:
     """(page_id, visits): actions on each source page of the flow (every flow page but the
     last); ``include_last`` counts the last flow page too (it is never a hop source, so the

@@ -15,9 +15,14 @@ sort order, then:
    ``with_position`` joins the offsets back (range split: one row per chunk, on the chunk
    id alone).
 
-Pieces (``split``):
-
-- ``"range"`` (default, at every input size): range chunks of the full sort key
+How groups are cut (``split``):
+
+- ``"heavy"`` (default): groups of over ``heavy_rows`` rows are found by one partial aggregate (a row per
+  group and task is moved) and written; these few keys divide the rows by a semi and an anti join. Rows of
+  all other groups take one hash exchange and the plain window, whose groups are bounded then; rows of heavy
+  groups alone take range chunks. Both branches are in every plan; the joins are null-safe, so rows with a
+  null key are a group like any other.
+- ``"range"``: range chunks, for all rows, of the full sort key
   ``(group, time, tie)``. The key is unique, so no value can be hot: any group, even one holding
   a third of all rows within one second, is cut into chunks of equal size. The chunked rows are
   written once to the shared folder and read back, which pins the chunk ids for all branches
@@ -38,10 +43,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import work_dir, written
 
 DEFAULT_BUCKET_SECONDS = 300
-DEFAULT_SPLIT = "range"
+DEFAULT_SPLIT = "heavy"
+HEAVY_ROWS = 250_000
 CHUNKS_PER_TASK = 4
 
 
@@ -83,9 +89,24 @@ def _pieces(df: DataFrame, by: list[str], time_col: str, tie_col: str, split: st
     raise ValueError(f"unknown split {split!r}")
 
 
+def _heavy_groups(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """The keys of groups of over ``rows`` rows, one row each, with columns ``_heavy_<key>``; at most one for
+    every ``rows`` rows of the input."""
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > int(rows))
+    return written(counts.select(*[F.col(c).alias("_heavy_" + c) for c in by]), "heavy-groups")
+
+
+def _divided(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of heavy groups, all other rows)."""
+    heavy = _heavy_groups(df, by, rows)
+    same = [F.col(c).eqNullSafe(F.col("_heavy_" + c)) for c in by]
+    return df.join(heavy, same, "left_semi"), df.join(heavy, same, "left_anti")
+
+
 def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry: list[str],
               prefix: str = "next_", split: str | None = DEFAULT_SPLIT,
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS, chunks: int | None = None) -> DataFrame:
+              bucket_seconds: int = DEFAULT_BUCKET_SECONDS, chunks: int | None = None,
+              heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Add ``<prefix><c>`` for each ``c`` in ``carry``: the value of the following row of the
     same ``by`` group in ``(time_col, tie_col)`` order; null on a group's last row.
     ``tie_col`` must be non-null and unique (it completes the order and marks whether a next
@@ -100,6 +121,10 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
     if split is None:
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select(*df.columns, *[F.lead(c).over(w).alias(prefix + c) for c in carry])
+    if split == "heavy":
+        heavy, light = _divided(df, by, heavy_rows)
+        given = (by, time_col, tie_col, carry, prefix)
+        return with_next(light, *given, split=None).unionByName(with_next(heavy, *given, split="range", chunks=chunks))
     keys = [*by, "_tb"]
     cols = list(dict.fromkeys([tie_col, *carry]))
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -120,12 +145,16 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
 
 def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, name: str = "step",
                   split: str | None = DEFAULT_SPLIT, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                  chunks: int | None = None) -> DataFrame:
+                  chunks: int | None = None, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Add ``name``: the 1-based position of each row in its ``by`` group, ordered by
     ``(time_col, tie_col)`` (``row_number`` semantics)."""
     order = [F.col(time_col), F.col(tie_col)]
     if split is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
+    if split == "heavy":
+        heavy, light = _divided(df, by, heavy_rows)
+        given = (by, time_col, tie_col, name)
+        return with_position(light, *given, split=None).unionByName(with_position(heavy, *given, split="range", chunks=chunks))
     keys = [*by, "_tb"]
     p = _pieces(df, by, time_col, tie_col, split, bucket_seconds, chunks)
     x = p.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session as S
@@ -64,6 +64,7 @@ def batch_queries() -> dict[str, Query]:
     q["category_session_top10"] = lambda s, d: C.category_session_top10(_va(s, d), k=P.TOP_SESSIONS)
 
     q["session_page_paths"] = lambda s, d: PF.session_page_paths(_va(s, d))
+    q["session_path_text"] = lambda s, d: PF.session_path_text(_va(s, d))
     q["session_page_hops"] = lambda s, d: PF.session_page_hops(_va(s, d))
     q["page_visit_counts"] = lambda s, d: PF.page_visit_counts(_va(s, d), P.TARGET_FLOW)
     q["page_hop_counts"] = lambda s, d: PF.page_hop_counts(_va(s, d), P.TARGET_FLOW)
@@ -118,14 +119,19 @@ def _stream_lines(spark: SparkSession, sf_dir: str, plant_errors: bool = False)
 LAST_REPLAY_STATS: dict[str, dict] = {}
 
 
-def _replay(spark, sf_dir, name, build, plant_errors=False):
-    """Replay the ad log of ``sf_dir`` through the stream queries ``build(root)`` returns."""
+def _replay(spark, sf_dir, name, build, plant_errors=False, late=False, **kw):
+    """Replay the ad log of ``sf_dir`` through the stream queries ``build(root)`` returns; with ``late``, every
+    LATE_EVERY-th event arrives in the last slice, up to the whole log's span behind the others."""
     from ..streaming.replay import replay
 
     root = S.work_dir(spark, name)
     queries = build(root)
-    LAST_REPLAY_STATS[name] = replay(_stream_lines(spark, sf_dir, plant_errors), f"{root}/landing", queries,
-                                     slices=P.REPLAY_SLICES)
+    lines = _stream_lines(spark, sf_dir, plant_errors)
+    if late:
+        last = _ad(spark, sf_dir).agg(F.max("event_id")).first()[0]
+        lines = lines.withColumn("slot", F.when(F.col("event_id") % P.LATE_EVERY == 0, F.lit(last)).otherwise(F.col("event_id")))
+    LAST_REPLAY_STATS[name] = replay(lines, f"{root}/landing", queries, slices=P.REPLAY_SLICES,
+                                     order_col="slot" if late else "event_id", **kw)
     return root
 
 
@@ -133,7 +139,9 @@ def io_queries() -> dict[str, Query]:
     """Sinks and streams: each writes through the real sink, then reads back what it wrote."""
     from ..sources import sinks
     from ..streaming import ads as SA
+    from ..streaming import listing as L
     from ..streaming.keyed import KeyedTable
+    from ..streaming.replay import FailsAfterWrite
 
     q: dict[str, Query] = {}
 
@@ -168,50 +176,108 @@ def io_queries() -> dict[str, Query]:
         return out.where(F.col("reject_reason").isNotNull()).select(
             "event_id", "line", F.col("reject_reason").alias("reason"))
 
-    def counts_stream(grain, name):
+    def counts_stream(grain, name, table=KeyedTable, **kw):
         def run(s, d):
             holder = {}
 
             def build(r):
-                holder["t"] = KeyedTable(f"{r}/counts", ["date", *grain], SA.counts_schema(grain), ["date"])
-                return [(lambda st: SA.counts_to_table(SA.parse_stream(st), holder["t"], grain,
-                                                       P.WATERMARK_DELAY), f"{r}/ckpt")]
-            _replay(s, d, name, build)
+                holder["t"] = table(f"{r}/counts", ["date", *grain], SA.counts_schema(grain), ["date"])
+                return [(lambda st: SA.counts_to_table(SA.parse_stream(st), holder["t"], grain), f"{r}/ckpt")]
+            _replay(s, d, name, build, **kw)
             return holder["t"].current(s).select("date", *grain, "n")
         return run
 
-    def increments_stream(s, d):
-        grain = ("adid", "userid")
-        holder = {}
+    def increments_stream(name="stream_increments", table=KeyedTable, **kw):
+        def run(s, d):
+            grain = ("adid", "userid")
+            holder = {}
 
-        def build(r):
-            holder["t"] = KeyedTable(f"{r}/counts", ["date", *grain], SA.counts_schema(grain), ["date"],
-                                     merge="sum", sum_cols=["n"])
-            return [(lambda st: SA.increments_to_table(SA.parse_stream(st), holder["t"], grain), f"{r}/ckpt")]
-        _replay(s, d, "stream_increments", build)
-        return holder["t"].current(s).select("date", *grain, "n")
+            def build(r):
+                holder["t"] = table(f"{r}/counts", ["date", *grain], SA.counts_schema(grain), ["date"],
+                                    merge="sum", sum_cols=["n"])
+                return [(lambda st: SA.increments_to_table(SA.parse_stream(st), holder["t"], grain), f"{r}/ckpt")]
+            _replay(s, d, name, build, **kw)
+            return holder["t"].current(s).select("date", *grain, "n")
+        return run
 
-    def top3_stream(s, d):
-        holder = {}
+    def top3_stream(name="stream_top3", table=KeyedTable, **kw):
+        def run(s, d):
+            holder = {}
 
-        def build(r):
-            holder["c"] = KeyedTable(f"{r}/counts", ["date", "area", "adid"],
-                                     SA.counts_schema(("area", "adid")), ["date"])
-            holder["t"] = KeyedTable(f"{r}/top", ["date", "area"], SA.TOP_SCHEMA)
-            return [(lambda st: SA.top_ads_to_tables(SA.parse_stream(st), holder["c"], holder["t"],
-                                                     P.TOP_ADS, P.WATERMARK_DELAY), f"{r}/ckpt")]
-        _replay(s, d, "stream_top3", build)
-        return SA.top_ads_rows(holder["t"], s)
-
-    def blacklist_stream(s, d):
-        holder = {}
+            def build(r):
+                holder["c"] = table(f"{r}/counts", ["date", "area", "adid"],
+                                    SA.counts_schema(("area", "adid")), ["date"])
+                holder["t"] = table(f"{r}/top", ["date", "area"], SA.TOP_SCHEMA)
+                return [(lambda st: SA.top_ads_to_tables(SA.parse_stream(st), holder["c"], holder["t"], P.TOP_ADS),
+                         f"{r}/ckpt")]
+            _replay(s, d, name, build, **kw)
+            return SA.top_ads_rows(holder["t"], s)
+        return run
 
-        def build(r):
-            holder["b"] = KeyedTable(f"{r}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
-            return [(lambda st: SA.blacklist_to_table(SA.parse_stream(st), holder["b"], P.BLACKLIST_THRESHOLD,
-                                                      P.WATERMARK_DELAY), f"{r}/ckpt")]
-        _replay(s, d, "stream_blacklist", build)
-        return holder["b"].history(s).select("userid").distinct()
+    def blacklist_stream(name="stream_blacklist", table=KeyedTable, **kw):
+        def run(s, d):
+            holder = {}
+
+            def build(r):
+                holder["b"] = table(f"{r}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
+                return [(lambda st: SA.blacklist_to_table(SA.parse_stream(st), holder["b"], P.BLACKLIST_THRESHOLD),
+                         f"{r}/ckpt")]
+            _replay(s, d, name, build, **kw)
+            return holder["b"].history(s).select("userid").distinct()
+        return run
+
+    def state_filter_stream(s, d):
+        root = _replay(s, d, "stream_state_filter", lambda r: [
+            (lambda st: SA.to_files(L.admitted(SA.parse_stream(st), P.BLACKLIST_THRESHOLD), f"{r}/admitted"), f"{r}/ckpt")],
+            settings=L.STATE_STORE)
+        return s.read.parquet(f"{root}/admitted").select("event_id")
+
+    def state_list_stream(s, d):
+        root = _replay(s, d, "stream_state_list", lambda r: [
+            (lambda st: L.admitted(SA.parse_stream(st), P.BLACKLIST_THRESHOLD).writeStream.format("noop"), f"{r}/ckpt")],
+            late=True, settings=L.STATE_STORE)
+        return L.listed_users(s, f"{root}/ckpt").select("userid")
+
+    def state_counts_stream(s, d):
+        grain = ("area", "adid")
+        root = _replay(s, d, "stream_state_counts", lambda r: [
+            (lambda st: L.running_counts(SA.parse_stream(st), grain).writeStream.outputMode("update").format("noop"), f"{r}/ckpt")],
+            late=True)
+        return L.counts_in_state(s, f"{root}/ckpt", grain)
+
+    def unlisted_stream(s, d):
+        listed = S.written(A.ad_blacklist(_ad(s, d), P.BLACKLIST_THRESHOLD), "listed")
+        root = _replay(s, d, "stream_unlisted", lambda r: [
+            (lambda st: SA.to_files(L.against_list(SA.parse_stream(st), listed), f"{r}/passed"), f"{r}/ckpt")])
+        return s.read.parquet(f"{root}/passed").select("event_id")
+
+    def trend_sorted_stream(s, d):
+        root = _replay(s, d, "stream_trend_sorted", lambda r: [
+            (lambda st: SA.trend_sorted_to_folder(SA.parse_stream(st), f"{r}/trend", P.TREND_SLIDE_SECONDS), f"{r}/ckpt")])
+        return s.read.parquet(f"{root}/trend").select(F.col("batch").cast("int").alias("batch"), "position", "bucket", "n")
+
+    def metrics(s, d):
+        # counted by the pass that writes the ranking's input, not by one of their own
+        seen = Observation("visit_actions")
+        actions = C.action_metrics(_va(s, d), seen)
+        S.written(C.category_metric_counts(actions), "observed")
+        return s.createDataFrame([(k, int(v)) for k, v in seen.get.items()], "metric string, n bigint")
+
+    def line_metrics(s, d):
+        def watched(st, r):
+            lines = adlog.decode_ad_lines(st).drop("ts")
+            kinds = {"good": F.col("reject_reason").isNull(), **{k: F.col("reject_reason") == k for k in (
+                adlog.REASON_MISSING_FIELD, adlog.REASON_BAD_TIMESTAMP)}}
+            return SA.to_files(lines.observe("lines", *[F.count(F.when(c, 1)).alias(k) for k, c in kinds.items()]), f"{r}/decoded")
+
+        _replay(s, d, "stream_line_metrics", lambda r: [(lambda st: watched(st, r), f"{r}/ckpt")], plant_errors=True)
+        return s.createDataFrame(sorted(LAST_REPLAY_STATS["stream_line_metrics"]["observed"].items()), "metric string, n bigint")
+
+    def dwell_bucketed(s, d):
+        root = S.work_dir(s, "sessions")
+        name = "visit_actions_by_session_" + root.rsplit("-", 1)[-1]
+        sinks.session_table(_va(s, d), name, f"{root}/{name}", P.SESSION_BUCKETS)
+        return PF.page_dwell_time(s.table(name), split=None)
 
     def blacklist_filter_stream(s, d):
         holder = {}
@@ -234,8 +300,7 @@ def io_queries() -> dict[str, Query]:
             holder["b"] = KeyedTable(f"{r}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
             holder["a"] = f"{r}/admitted"
             return [(lambda st: SA.admitted_to_folder(SA.parse_stream(st), holder["b"], holder["a"]), f"{r}/c1"),
-                    (lambda st: SA.blacklist_to_table(SA.parse_stream(st), holder["b"], P.BLACKLIST_THRESHOLD,
-                                                      P.WATERMARK_DELAY), f"{r}/c2")]
+                    (lambda st: SA.blacklist_to_table(SA.parse_stream(st), holder["b"], P.BLACKLIST_THRESHOLD), f"{r}/c2")]
         _replay(s, d, "stream_batch_filter", build)
         return s.read.parquet(holder["a"]).select("event_id")
 
@@ -251,10 +316,27 @@ def io_queries() -> dict[str, Query]:
     q["ad_click_counts_stream"] = counts_stream(("adid", "userid"), "stream_counts")
     q["ad_area_counts_stream"] = counts_stream(("area", "adid"), "stream_area_counts")
     q["ad_click_counts_by_city_stream"] = counts_stream(("area", "city", "adid"), "stream_city_counts")
-    q["ad_click_counts_increments_stream"] = increments_stream
-    q["ad_top3_stream"] = top3_stream
-    q["ad_top3_json_stream"] = lambda s, d: A.top_ads_json(top3_stream(s, d))
-    q["ad_blacklist_stream"] = blacklist_stream
+    q["ad_click_counts_increments_stream"] = increments_stream()
+    q["ad_top3_stream"] = top3_stream()
+    q["ad_top3_json_stream"] = lambda s, d: A.top_ads_json(top3_stream()(s, d))
+    q["ad_blacklist_stream"] = blacklist_stream()
+    user = ("adid", "userid")
+    q["ad_click_counts_late_stream"] = counts_stream(user, "stream_late_counts", late=True)
+    q["ad_top3_late_stream"] = top3_stream("stream_late_top3", late=True)
+    q["ad_blacklist_late_stream"] = blacklist_stream("stream_late_blacklist", late=True)
+    lost = {"table": FailsAfterWrite, "failures": 2}
+    q["ad_click_counts_recovered_stream"] = counts_stream(user, "stream_lost_counts", **lost)
+    q["ad_click_counts_increments_recovered_stream"] = increments_stream("stream_lost_increments", **lost)
+    q["ad_top3_recovered_stream"] = top3_stream("stream_lost_top3", **lost)
+    q["ad_blacklist_recovered_stream"] = blacklist_stream("stream_lost_blacklist", **lost)
+    q["ad_blacklist_state_filter_stream"] = state_filter_stream
+    q["ad_blacklist_state_stream"] = state_list_stream
+    q["ad_area_counts_state_stream"] = state_counts_stream
+    q["ad_unlisted_stream"] = unlisted_stream
+    q["ad_click_trend_sorted_stream"] = trend_sorted_stream
+    q["ad_line_metrics_stream"] = line_metrics
+    q["visit_metrics_observed"] = metrics
+    q["page_dwell_time_bucketed"] = dwell_bucketed
     q["ad_blacklist_filter_stream"] = blacklist_filter_stream
     q["ad_blacklist_batch_filter_stream"] = batch_filter_stream
     q["ad_click_trend_stream"] = trend_stream

@@ -172,6 +172,8 @@ select category_id, rank, session_id, click_count from (
 where rank <= {P.TOP_SESSIONS}"""
 
     q["session_page_paths"] = seq + "select session_id, step, page_id from seq"
+    q["session_path_text"] = seq + ("select session_id, string_agg(cast(page_id as varchar), '>' order by step) as path "
+                                    "from seq group by session_id")
     q["session_page_hops"] = seq + "select session_id, page_id, next_page_id from seq where next_page_id is not null"
     q["page_visit_counts"] = va + (f"select page_id, count(*) as visits from visit_actions "
                                    f"where page_id in ({_SOURCES}) group by page_id")
@@ -250,6 +252,24 @@ select event_id, case when abs(ms) <= 9223372036854775 then strftime(make_timest
 from (select event_id, try_cast(string_split(line, ' ')[1] as bigint) as ms from ad_lines)"""
     for name in ("category_top10", "category_session_top10"):
         q[f"{name}_records"] = f"select '{P.TASK_ID}' as task_id, * from ({q[name]})"
+    sliced = f"""
+, sliced as (select *, (event_id - (select min(event_id) from ad_log)) //
+                cast(ceil(((select max(event_id) - min(event_id) + 1 from ad_log)) / {P.REPLAY_SLICES}.0) as bigint) as slice from ad_log)"""
+    q["ad_click_trend_sorted_stream"] = ad + sliced + f"""
+, so_far as (select b.slice as batch, {_floor10('ts')} as t, count(*) as n
+             from sliced s join (select distinct slice from sliced) b on s.slice <= b.slice group by 1, 2)
+select cast(batch as integer) as batch, row_number() over (partition by batch order by t) as position, {_ts_text('t')} as bucket, n
+from so_far"""
+    q["ad_unlisted_stream"] = ad + (f"select event_id from ad_log where userid not in (select userid from ad_log "
+                                    f"group by date, adid, userid having count(*) >= {T})")
+    q["ad_line_metrics_stream"] = lines + "select coalesce(reason, 'good') as metric, count(*) as n from ad_decoded group by 1"
+    q["visit_metrics_observed"] = va + r"""
+select metric, count(e.k) as n from (values ('click'), ('order'), ('pay'), ('other')) m(metric) left join (
+  select case when coalesce(click_category_id, -1) <> -1 then 'click'
+              when regexp_matches(coalesce(order_category_ids, ''), '[^\x00-\x20]') then 'order'
+              when regexp_matches(coalesce(pay_category_ids, ''), '[^\x00-\x20]') then 'pay' else 'other' end as k
+  from visit_actions) e on e.k = m.metric group by metric"""
+    q["page_dwell_time_bucketed"] = q["page_dwell_time"]
     # the reference's own timing: a user's clicks pass up to the end of the batch that lists them
     q["ad_blacklist_batch_filter_stream"] = ad + f"""
 , sliced as (select *, (event_id - (select min(event_id) from ad_log)) //
@@ -285,4 +305,12 @@ group by 1, 2"""
     q["ad_click_counts_by_city_stream"] = q["ad_click_counts_by_city"]
     q["ad_blacklist_stream"] = q["ad_blacklist"]
     q["ad_blacklist_filter_stream"] = q["ad_blacklist_filter"]
+    q["ad_blacklist_state_filter_stream"] = q["ad_blacklist_filter"]
+    q["ad_area_counts_state_stream"] = q["ad_area_counts"]
+    for kind in ("late", "recovered", "state"):  # late rows, lost batches, results read from state: the same rows
+        q[f"ad_blacklist_{kind}_stream"] = q["ad_blacklist"]
+        if kind != "state":
+            q[f"ad_click_counts_{kind}_stream"] = q["ad_click_counts"]
+            q[f"ad_top3_{kind}_stream"] = q["ad_top3_by_area"]
+    q["ad_click_counts_increments_recovered_stream"] = q["ad_click_counts"]
     return q

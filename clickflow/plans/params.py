@@ -14,5 +14,9 @@ TOP_ADS = 3
 # Streams: number of replay slices and the event-time watermark delay.
 REPLAY_SLICES = 4
 WATERMARK_DELAY = "10 minutes"
+# Every so-many-th event of a late replay arrives in the last slice.
+LATE_EVERY = 13
+# Files of the table stored by session.
+SESSION_BUCKETS = 8
 # Run id of the registered result records.
 TASK_ID = "run-1"

@@ -100,3 +100,13 @@ def written(df, name: str):
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared root for one run of one job (tables, stream state)."""
     return f"{shared_root(spark)}/clickflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def workers_import(spark: SparkSession) -> None:
+    """Let this session's Python workers import the package from where the driver has it (on a cluster the
+    package is installed on the executors)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])

@@ -17,6 +17,17 @@ def replace_table(df: DataFrame, name: str, path: str | None = None, partition_b
     w.saveAsTable(name)
 
 
+def session_table(actions: DataFrame, name: str, path: str | None = None, buckets: int = 200) -> None:
+    """Store visit actions by session: each of ``buckets`` files holds whole sessions, sorted as they are read.
+    The session-order operators then plan without an exchange (with ``split=None``: a session is in one file,
+    so one with too many actions for a task is better left unbucketed and split)."""
+    w = (actions.repartition(int(buckets), "session_id").write.mode("overwrite").format("parquet")
+         .bucketBy(int(buckets), "session_id").sortBy("session_id", "action_time", "event_id"))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "append", batch_size: int = 1000, num_partitions: int | None = None) -> None:
     """Insert ``df`` into a relational table: every task writes its partition over one

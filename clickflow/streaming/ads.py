@@ -1,22 +1,26 @@
 """Structured Streaming forms of the ad-log analyses (Q5-Q8).
 
-Every stateful query groups by an event-time window (1 day, or the trend's sliding window)
-under a watermark, so state for closed days is evicted instead of growing for ever. Results go
-through ``foreachBatch`` into :class:`~clickflow.streaming.keyed.KeyedTable` folders (replay
+Running counts are kept for ever unless a watermark ``delay`` is given, as the reference keeps them: no click is
+late, and the state is as large as the result, a row per (day, key). With a delay they group by an event-time
+window (1 day), state of closed days is evicted, and clicks behind the watermark are dropped and counted in the
+query's progress; ``increments_to_table`` has neither state nor loss. The trend needs its delay (a bucket is
+emitted once, when it is closed). Results go through ``foreachBatch`` into :class:`~clickflow.streaming.keyed.KeyedTable` folders (replay
 safe) or through the exactly-once file sink.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions import day_of, time_text
+from ..functions import day_of, floor_time, time_text
 from ..operators.ads import BLACKLIST_THRESHOLD, TOP_ADS, rank_top_ads
 from ..sources.adlog import decode_ad_lines, parsed_ad_log
 from .keyed import KeyedTable
+from .listing import running_counts
 
 DEFAULT_DELAY = "10 minutes"
 
@@ -41,9 +45,11 @@ def parse_stream(lines: DataFrame) -> DataFrame:
     return parsed_ad_log(lines)
 
 
-def day_counts(parsed: DataFrame, grain, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Running clicks per (day, *grain). Grouping on the day *window* of the event time (not on
-    a date string) lets the watermark evict a day's state once the day is closed."""
+def day_counts(parsed: DataFrame, grain, delay: str | None = None) -> DataFrame:
+    """Running clicks per (day, *grain). With a ``delay``, grouping on the day *window* of the event time (not
+    on a date string) lets the watermark evict a day's state once the day is closed."""
+    if delay is None:
+        return running_counts(parsed, grain)
     agg = (parsed.withWatermark("ts", delay)
                  .groupBy(F.window("ts", "1 day").alias("day"), *grain)
                  .agg(F.count(F.lit(1)).alias("n")))
@@ -56,7 +62,7 @@ def counts_schema(grain) -> T.StructType:
                          T.StructField("n", T.LongType())])
 
 
-def counts_to_table(parsed: DataFrame, table: KeyedTable, grain, delay: str = DEFAULT_DELAY) -> DataStreamWriter:
+def counts_to_table(parsed: DataFrame, table: KeyedTable, grain, delay: str | None = None) -> DataStreamWriter:
     """Running counts, written as keyed upserts (update mode: each batch writes the keys it
     changed, with their new totals)."""
     return (day_counts(parsed, grain, delay).writeStream.outputMode("update")
@@ -76,7 +82,7 @@ def increments_to_table(parsed: DataFrame, table: KeyedTable, grain) -> DataStre
 
 
 def top_ads_to_tables(parsed: DataFrame, counts: KeyedTable, top: KeyedTable, k: int = TOP_ADS,
-                      delay: str = DEFAULT_DELAY) -> DataStreamWriter:
+                      delay: str | None = None) -> DataStreamWriter:
     """Top ``k`` ads per (day, area) on running totals.
 
     A streaming query cannot rank or aggregate twice, so each micro-batch (1) upserts the
@@ -119,12 +125,13 @@ BLACKLIST_SCHEMA = T.StructType([T.StructField("userid", T.StringType()),
 
 
 def blacklist_to_table(parsed: DataFrame, table: KeyedTable, threshold: int = BLACKLIST_THRESHOLD,
-                       delay: str = DEFAULT_DELAY) -> DataStreamWriter:
+                       delay: str | None = None) -> DataStreamWriter:
     """Users whose running count on one (day, ad) reaches ``threshold``; a listing is permanent.
 
     Each batch appends the users it newly lists (anti-join with the users listed by earlier
-    epochs, so a retried batch writes the same rows). The per-day counts are windowed state
-    and expire with the watermark; the list itself is kept in the table."""
+    epochs, so a retried batch writes the same rows). The counts are the query's state, the list itself is
+    kept in the table and read back in every batch; :func:`~clickflow.streaming.listing.admitted` keeps both
+    in the state store."""
 
     def on_batch(df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
@@ -168,13 +175,19 @@ def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist:
     is written is a function of the batch and of earlier epochs, so a retry writes the same. Equal
     to the batch result when batches arrive in event-time order."""
     from ..operators.sequence import with_position
-    from ..session import written
 
     keys = ["date", "adid", "userid"]
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         df = batch.persist()
+        kept = [df]
+
+        def held(part: DataFrame, _name: str) -> DataFrame:
+            """A part of the batch that is read twice, kept on the executors until the batch is done."""
+            kept.append(part.persist(StorageLevel.DISK_ONLY))
+            return kept[-1]
+
         try:
             counts.write(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), epoch_id)
             own = counts.written(spark, epoch_id)
@@ -182,18 +195,16 @@ def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist:
                 own.select(*keys), keys, "left_semi")
             prior = earlier.groupBy(*keys).agg(F.sum("n").alias("_prior"))
             before = F.coalesce(F.col("_prior"), F.lit(0))
-            crossing = written(own.join(prior, keys, "left")
+            crossing = held(own.join(prior, keys, "left")
                                .where((before < int(threshold)) & (before + F.col("n") >= int(threshold)))
                                .select(*keys, before.alias("_before")), "stream-crossing")
-            clicks = written(df.select("event_id", "ts", *keys).join(crossing, keys), "stream-clicks")
+            clicks = held(df.select("event_id", "ts", *keys).join(crossing, keys), "stream-clicks")
             hits = (with_position(clicks, keys, "ts", "event_id", name="_step")
                     .where(F.col("_before") + F.col("_step") == int(threshold)))
             first = Window.partitionBy("userid").orderBy("ts", "event_id")
             cross = (hits.withColumn("_f", F.row_number().over(first)).where(F.col("_f") == 1)
                          .select("userid", F.col("ts").alias("_cts"), F.col("event_id").alias("_cid")))
-            cross_path = f"{folder}/_crossings/epoch={int(epoch_id)}"
-            cross.write.mode("overwrite").parquet(cross_path)       # read twice below: written once
-            cross = spark.read.schema(cross.schema).parquet(cross_path)
+            cross = held(cross, "stream-crossings")       # read twice below
             listed = blacklist.history(spark, before_epoch=epoch_id).select("userid")
             keep = (F.col("_cts").isNull()
                     | (F.struct("ts", "event_id") <= F.struct(F.col("_cts").alias("ts"), F.col("_cid").alias("event_id"))))
@@ -204,7 +215,8 @@ def per_event_blacklist_filter(parsed: DataFrame, counts: KeyedTable, blacklist:
                         .withColumn("listed_epoch", F.lit(int(epoch_id)).cast("bigint")))
             blacklist.write(new, epoch_id)
         finally:
-            df.unpersist()
+            for part in kept:
+                part.unpersist()
 
     return parsed.writeStream.outputMode("append").foreachBatch(on_batch)
 
@@ -228,6 +240,27 @@ def trend_stream(parsed: DataFrame, window_seconds: int = 60, slide_seconds: int
                        time_text(b).alias("bucket"), "n"))
 
 
+def trend_sorted_to_folder(parsed: DataFrame, folder: str, bucket_seconds: int = 10) -> DataStreamWriter:
+    """The whole trend so far after every batch, in order: (batch, position, bucket, n) rows, one folder per
+    batch. Complete mode: the state is a row per bucket, and each batch ranks all of them (the reference's
+    sorted print of its window state)."""
+    buckets = parsed.groupBy(floor_time(F.col("ts"), bucket_seconds).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
+
+    def on_batch(df: DataFrame, epoch_id: int) -> None:
+        # a bucket's place is its rank among all: positions within a day, and days before it
+        day = F.to_date("_b").alias("_day")
+        rows = df.select("_b", "n", day)
+        days = rows.groupBy("_day").agg(F.count(F.lit(1)).alias("_size"))
+        before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+        days = days.select("_day", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+        place = F.row_number().over(Window.partitionBy("_day").orderBy("_b"))
+        out = rows.withColumn("_place", place).join(days, "_day")
+        out = out.select((F.col("_before") + F.col("_place")).cast("bigint").alias("position"), time_text("_b").alias("bucket"), "n")
+        out.orderBy("position").write.mode("overwrite").parquet(f"{folder}/batch={int(epoch_id)}")
+
+    return buckets.writeStream.outputMode("complete").foreachBatch(on_batch)
+
+
 def to_console_sorted(df: DataFrame, order: list[str], rows: int = 20, mode: str = "append") -> DataStreamWriter:
     """Print each micro-batch's result sorted by ``order`` (at most ``rows`` rows reach the
     driver per batch): the reference's sorted per-batch print of the trend."""

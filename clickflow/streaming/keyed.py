@@ -1,140 +1,68 @@
-"""A keyed result table written from ``foreachBatch`` - the stand-in for the reference's
-external hash / set stores.
-
-Each micro-batch writes its rows into its own folder ``gen=<g>/epoch=<id>`` with mode
-overwrite, so a retried batch rewrites exactly the same folder (no double counting, unlike
-an external increment). Readers take, per key, the row of the highest epoch (upserts) or the
-sum over all epochs (increments; every non-key column is then summed).
-
-Epochs are grouped into generations of ``generation`` batches. The batch that closes a
-generation also writes a snapshot of the current state to ``_snapshots/gen=<g>``; readers
-then need only the latest finished snapshot, found by its folder's name and ``_SUCCESS`` mark,
-plus the folders of the generations after it, so the batches' files that a batch lists and reads
-stop growing with the age of the stream. (A retried closing batch rewrites the same snapshot;
-until it has finished, readers use the one before and the batches since. Folders of older
-generations are no longer read and can be dropped by the storage's retention. A snapshot holds
-all keys, so its size grows with them.)
+"""Results of micro-batches as plain parquet folders, one ``epoch=<id>`` folder per batch, overwritten when a
+batch is retried (no double counting, unlike an external increment). Readers take, per key, the row of the
+highest epoch (upserts) or the sum over all epochs (increments). What a stream has to remember is the state
+store's business (:mod:`clickflow.streaming.listing`); a table here only grows by what its batches write.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EPOCH = "epoch"
-GEN = "gen"
-DEFAULT_GENERATION = 1000
 
 
 class KeyedTable:
-    """``merge="latest"``: a batch's row replaces earlier rows of its key (upsert).
-    ``merge="sum"``: a batch's rows are increments; a key's value is the sum of the ``sum_cols``
-    over all batches (an external counter's ``increment``, but a retried batch overwrites its
-    own increment instead of adding it twice)."""
+    """``merge="latest"``: a batch's row replaces earlier rows of its key. ``merge="sum"``: a batch's rows are
+    increments; a key's value is the sum of the ``sum_cols`` over all batches. ``partition_by``: a folder
+    layout inside each epoch (by day, say) that readers can prune."""
 
-    def __init__(self, path: str, keys: list[str], schema: T.StructType | None = None,
-                 partition_by: list[str] | None = None, generation: int = DEFAULT_GENERATION,
+    def __init__(self, path: str, keys: list[str], schema: T.StructType, partition_by: list[str] | None = None,
                  merge: str = "latest", sum_cols: list[str] | None = None):
         if merge not in ("latest", "sum"):
             raise ValueError(f"unknown merge {merge!r}")
-        self.path = path.rstrip("/")
-        self.keys = list(keys)
-        self.schema = schema
-        self.merge = merge
-        self.sum_cols = list(sum_cols or [])
-        # optional folder layout inside each epoch (e.g. by day) so readers can prune
-        self.partition_by = list(partition_by or [])
-        self.generation = int(generation)
-
-    # layout -----------------------------------------------------------------------------
-    def gen_of(self, epoch_id: int) -> int:
-        return int(epoch_id) // self.generation
-
-    def gen_path(self, gen: int) -> str:
-        return f"{self.path}/{GEN}={int(gen)}"
+        self.path, self.keys, self.schema, self.merge = path.rstrip("/"), list(keys), schema, merge
+        self.sum_cols, self.partition_by = list(sum_cols or []), list(partition_by or [])
 
     def epoch_path(self, epoch_id: int) -> str:
-        return f"{self.gen_path(self.gen_of(epoch_id))}/{EPOCH}={int(epoch_id)}"
+        return f"{self.path}/{EPOCH}={int(epoch_id)}"
 
-    def snapshot_path(self, gen: int) -> str:
-        return f"{self.path}/_snapshots/{GEN}={int(gen)}"
-
-    # writing ----------------------------------------------------------------------------
     def write(self, df: DataFrame, epoch_id: int) -> None:
-        """Overwrite this batch's folder with ``df`` (keys + values); the batch that closes
-        a generation then snapshots the current state."""
-        if self.schema is None:
-            self.schema = df.schema
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(self.epoch_path(epoch_id))
-        if (int(epoch_id) + 1) % self.generation == 0:
-            snap = self.current(df.sparkSession, before_epoch=int(epoch_id) + 1)
-            sw = snap.write.mode("overwrite")
-            if self.partition_by:
-                sw = sw.partitionBy(*self.partition_by)
-            sw.parquet(self.snapshot_path(self.gen_of(epoch_id)))
-
-    # reading ----------------------------------------------------------------------------
-    def _reader(self, spark: SparkSession, extra: list[T.StructField]):
-        r = spark.read
-        if self.schema is not None:
-            # explicit types: folder names such as date=2024-01-05 must stay text
-            r = r.schema(T.StructType([*self.schema.fields, *extra]))
-        return r
-
-    def _listed(self, spark: SparkSession, folder: str, name: str) -> list[int]:
-        """The numbers N of ``<name>=N`` folders in ``folder`` that a finished write left."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        out = []
-        for status in fs.listStatus(path):
-            key, _, value = status.getPath().getName().partition("=")
-            if key == name and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                out.append(int(value))
-        return sorted(out)
-
-    def _latest_snapshot(self, spark: SparkSession, below_gen: int | None) -> int | None:
-        """Latest finished snapshot (optionally below ``below_gen``), from folder names and their
-        ``_SUCCESS`` marks: no data is read, and a snapshot that is being rewritten does not count."""
-        if below_gen is not None and below_gen <= 0:
-            return None     # no generation has closed yet: nothing to look for
-        found = [g for g in self._listed(spark, f"{self.path}/_snapshots", GEN)
-                 if below_gen is None or g < int(below_gen)]
-        return max(found, default=None)
-
-    def _deltas(self, spark: SparkSession, gens: list[int] | None, from_gen: int) -> DataFrame | None:
-        """Delta rows (with ``epoch``) of the listed generations, reading only their folders;
-        with ``gens=None``, every generation from ``from_gen`` on, found by listing."""
-        extra = [T.StructField(GEN, T.IntegerType()), T.StructField(EPOCH, T.IntegerType())]
-        paths = [self.path] if gens is None else [self.gen_path(g) for g in gens]
-        frames = []
-        for p in paths:
-            try:
-                frames.append(self._reader(spark, extra).option("basePath", self.path).parquet(p))
-            except AnalysisException as e:
-                if e.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        if not frames:
-            return None
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.where(F.col(GEN) >= int(from_gen)).drop(GEN)
+        """Overwrite this batch's folder with ``df`` (keys + values)."""
+        df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self.epoch_path(epoch_id))
 
     def written(self, spark: SparkSession, epoch_id: int) -> DataFrame:
         """The rows that batch ``epoch_id`` wrote."""
-        return self._reader(spark, []).parquet(self.epoch_path(epoch_id))
+        return spark.read.schema(self.schema).parquet(self.epoch_path(epoch_id))
+
+    def history(self, spark: SparkSession, before_epoch: int | None = None) -> DataFrame:
+        """All batches' rows with their ``epoch``, optionally only of epochs before ``before_epoch``."""
+        # explicit types: folder names such as date=2024-01-05 must stay text
+        schema = T.StructType([*self.schema.fields, T.StructField(EPOCH, T.LongType())])
+        try:
+            df = spark.read.schema(schema).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+        return df if before_epoch is None else df.where(F.col(EPOCH) < int(before_epoch))
+
+    def current(self, spark: SparkSession, before_epoch: int | None = None) -> DataFrame:
+        """Value per key: of the latest epoch, or the sum of the increments; both by one hash aggregate with
+        partial aggregation."""
+        df = self.history(spark, before_epoch)
+        if self.merge == "sum":
+            agg = [F.sum(c).cast("bigint").alias(c) for c in self.sum_cols]
+        else:
+            agg = [F.max_by(f.name, EPOCH).alias(f.name) for f in self.schema.fields if f.name not in self.keys]
+        return df.groupBy(*self.keys).agg(*agg).select(*[f.name for f in self.schema.fields])
 
     def pinned(self, spark: SparkSession, mark: str) -> int:
-        """The last epoch written so far (-1: none), recorded in folder ``mark`` the first time and
-        read from there ever after."""
-        schema = "last int"
+        """The last epoch with rows so far (-1: none), recorded in folder ``mark`` the first time and read from
+        there ever after."""
+        schema = "last long"
         try:
             rows = spark.read.schema(schema).parquet(mark).collect()
             if rows:
@@ -142,62 +70,7 @@ class KeyedTable:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-        gens = self._gens(spark)
-        last = max(self._listed(spark, self.gen_path(gens[-1]), EPOCH), default=-1) if gens else -1
+        last = self.history(spark).agg(F.max(EPOCH)).first()[0]
+        last = -1 if last is None else last
         spark.createDataFrame([(last,)], schema).coalesce(1).write.mode("overwrite").parquet(mark)
         return last
-
-    def _gens(self, spark: SparkSession) -> list[int]:
-        """Generations with a finished batch."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName().partition("=") for s in fs.listStatus(path)]
-        gens = sorted(int(v) for k, _, v in names if k == GEN)
-        return [g for g in gens if self._listed(spark, self.gen_path(g), EPOCH)]
-
-    def _empty(self, spark: SparkSession) -> DataFrame:
-        if self.schema is None:
-            raise ValueError(f"nothing written to {self.path} yet and no schema given")
-        return spark.createDataFrame([], self.schema)
-
-    def history(self, spark: SparkSession, before_epoch: int | None = None) -> DataFrame:
-        """Rows with their ``epoch``: the latest snapshot (stamped with the last epoch of its
-        generation) plus every later batch, optionally only epochs before ``before_epoch``.
-
-        Inside a batch (``before_epoch`` given) only that snapshot and the folders of the
-        generations after it are read; without it the later deltas are found by listing."""
-        if before_epoch is not None and int(before_epoch) <= 0:
-            return self._empty(spark).withColumn(EPOCH, F.lit(None).cast("int"))
-        cur_gen = None if before_epoch is None else self.gen_of(int(before_epoch) - 1)
-        snap_gen = self._latest_snapshot(spark, below_gen=cur_gen)
-        parts = []
-        if snap_gen is not None:
-            snap = self._reader(spark, []).parquet(self.snapshot_path(snap_gen))
-            parts.append(snap.withColumn(EPOCH, F.lit((snap_gen + 1) * self.generation - 1)))
-        first_gen = 0 if snap_gen is None else snap_gen + 1
-        gens = None if cur_gen is None else list(range(first_gen, cur_gen + 1))
-        d = self._deltas(spark, gens, first_gen)
-        if d is not None:
-            if before_epoch is not None:
-                d = d.where(F.col(EPOCH) < int(before_epoch))
-            parts.append(d)
-        if not parts:
-            return self._empty(spark).withColumn(EPOCH, F.lit(None).cast("int"))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    def current(self, spark: SparkSession, before_epoch: int | None = None) -> DataFrame:
-        """Value per key: the latest row (``row_number() = 1`` per key plans a partial group
-        limit, so each map task passes on one row per key however many epochs touched it), or
-        the sum of the increments (a hash aggregate with partial aggregation)."""
-        df = self.history(spark, before_epoch)
-        cols = [c for c in df.columns if c != EPOCH]
-        if self.merge == "sum":
-            agg = [F.sum(c).cast("bigint").alias(c) for c in self.sum_cols]
-            return df.groupBy(*self.keys).agg(*agg).select(*cols)
-        w = Window.partitionBy(*self.keys).orderBy(F.col(EPOCH).desc())
-        return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select(*cols)

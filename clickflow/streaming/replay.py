@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from .. import schemas
+from .keyed import KeyedTable
 
 
 def kafka_ad_lines(spark: SparkSession, bootstrap_servers: str, topic: str = "ads_log",
@@ -44,6 +46,18 @@ def landing_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
     return r.parquet(folder)
 
 
+class FailsAfterWrite(KeyedTable):
+    """A table that loses its batch the first time each epoch is written: the rows are there, the batch is not
+    committed, and the query starts again from its checkpoint."""
+
+    def write(self, df: DataFrame, epoch_id: int) -> None:
+        super().write(df, epoch_id)
+        lost = self.__dict__.setdefault("_lost", set())
+        if epoch_id not in lost:
+            lost.add(epoch_id)
+            raise RuntimeError(f"planted failure after the write of epoch {epoch_id}")
+
+
 def slice_bounds(df: DataFrame, order_col: str, slices: int) -> list[tuple[int, int]]:
     """``slices`` contiguous half-open ranges of ``order_col`` covering all rows (one
     aggregate row comes back to the driver)."""
@@ -56,7 +70,8 @@ def slice_bounds(df: DataFrame, order_col: str, slices: int) -> list[tuple[int,
 
 def replay(lines: DataFrame, folder: str,
            queries: list[tuple[Callable[[DataFrame], DataStreamWriter], str]], slices: int = 4,
-           order_col: str = "event_id", timeout_s: float = 900, state_partitions: int | None = None) -> dict:
+           order_col: str = "event_id", timeout_s: float = 900, state_partitions: int | None = None,
+           settings: dict[str, str] | None = None, failures: int = 0) -> dict:
     """Land ``lines`` in ``folder`` slice by slice. After each slice, run every query in
     ``queries`` - pairs of (builder given the stream DataFrame, checkpoint folder) - in the
     given order with ``availableNow``, each until it has consumed all landed files.
@@ -64,44 +79,61 @@ def replay(lines: DataFrame, folder: str,
     A stateful query fixes its number of state partitions from ``spark.sql.shuffle.partitions``
     when its checkpoint is created; the replay starts its queries with ``state_partitions``
     (default: the cluster's default parallelism) and restores the session setting afterwards.
-    Returns run statistics summed over all micro-batches (see :func:`_add_progress`)."""
+    So it does with ``settings``. A query that fails starts again from its checkpoint, ``failures`` times a
+    slice at most. Returns run statistics summed over all micro-batches (see :func:`_add_progress`)."""
     spark = lines.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    saved = spark.conf.get(key)
-    spark.conf.set(key, str(int(state_partitions or spark.sparkContext.defaultParallelism)))
+    own = {"spark.sql.shuffle.partitions": str(int(state_partitions or spark.sparkContext.defaultParallelism)), **(settings or {})}
+    saved = {key: spark.conf.get(key, None) for key in own}
+    for key, value in own.items():
+        spark.conf.set(key, value)
     try:
-        return _replay_slices(lines, folder, queries, slices, order_col, timeout_s)
+        return _replay_slices(lines, folder, queries, slices, order_col, timeout_s, failures)
     finally:
-        spark.conf.set(key, saved)
+        for key, value in saved.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _add_progress(stats: dict, progress: list[dict]) -> None:
     """Fold micro-batch progress reports into ``stats``: input rows, rows dropped by the
-    watermark (counted after partial aggregation, so per group, not per event), batch time."""
+    watermark (counted after partial aggregation, so per group, not per event), batch time, and
+    the sums of observed metrics."""
     for p in progress:
         stats["batches"] += 1
         stats["input_rows"] += int(p.get("numInputRows") or 0)
         stats["batch_ms"] += int((p.get("durationMs") or {}).get("triggerExecution") or 0)
+        for row in (p.get("observedMetrics") or {}).values():
+            for name, value in row.asDict().items():
+                stats["observed"][name] = stats["observed"].get(name, 0) + int(value or 0)
         for op in p.get("stateOperators") or []:
             stats["dropped_by_watermark"] += int(op.get("numRowsDroppedByWatermark") or 0)
 
 
-def _replay_slices(lines, folder, queries, slices, order_col, timeout_s) -> dict:
+def _run(start, spark, folder: str, checkpoint: str, timeout_s: float):
+    """One ``availableNow`` run of a query over all landed files; raises what the query raises."""
+    q = (start(landing_stream(spark, folder)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    if not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"stream run over {folder} did not finish in {timeout_s}s")
+    return q
+
+
+def _replay_slices(lines, folder, queries, slices, order_col, timeout_s, failures) -> dict:
     spark = lines.sparkSession
-    stats = {"slices": 0, "batches": 0, "input_rows": 0, "dropped_by_watermark": 0, "batch_ms": 0}
+    stats = {"observed": {}, "failed": 0, "slices": 0, "batches": 0, "input_rows": 0, "dropped_by_watermark": 0, "batch_ms": 0}
     for lo, hi in slice_bounds(lines, order_col, slices):
         lines.where((F.col(order_col) >= lo) & (F.col(order_col) < hi)).write.mode("append").parquet(folder)
         for start, checkpoint in queries:
-            q = (start(landing_stream(spark, folder))
-                 .option("checkpointLocation", checkpoint)
-                 .trigger(availableNow=True)
-                 .start())
-            finished = q.awaitTermination(timeout_s)
-            if not finished:
-                q.stop()
-                raise TimeoutError(f"stream run over {folder} did not finish in {timeout_s}s")
-            if q.exception() is not None:
-                raise RuntimeError(f"stream run failed: {q.exception()}")
+            for left in range(failures, -1, -1):
+                try:
+                    q = _run(start, spark, folder, checkpoint, timeout_s)
+                    break
+                except StreamingQueryException:
+                    if not left:
+                        raise
+                    stats["failed"] += 1
             _add_progress(stats, q.recentProgress)
         stats["slices"] += 1
     return stats

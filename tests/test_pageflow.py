@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickflow.operators import pageflow as PF
-from clickflow.operators.sequence import with_next, with_position
+from clickflow.operators.sequence import _divided, _pieces, with_next, with_position
 
 from .helpers import T0, action, actions_df
 
@@ -57,7 +57,8 @@ def test_flow_needs_two_pages():
 
 
 @pytest.mark.parametrize("split,kw", [("time", {"bucket_seconds": 60}), ("range", {"chunks": 7}),
-                                      ("range", {"chunks": 1})])
+                                      ("range", {"chunks": 1}), ("heavy", {"heavy_rows": 40, "chunks": 5}),
+                                      ("heavy", {"heavy_rows": 0}), ("heavy", {})])
 def test_split_sequence_equals_plain_window(spark, split, kw):
     """A hot session spread over many pieces, a burst of one session inside one second,
     ties on time, and sparse sessions."""
@@ -125,3 +126,27 @@ def test_sequence_operators_on_empty_input(spark):
     df = spark.createDataFrame([], "s string, e long, t timestamp, p long")
     assert with_position(df, ["s"], "t", "e").count() == 0
     assert with_next(df, ["s"], "t", "e", ["p"]).count() == 0
+
+
+def test_heavy_groups_alone_are_cut_into_chunks(spark):
+    """Null keys are a group too, heavy or not; the two branches divide the rows."""
+    rows = [(None if i % 3 == 0 else "hot" if i % 3 == 1 else f"s{i % 40}", i // 7, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "s string, t bigint, e bigint")
+    heavy, light = _divided(df, ["s"], 100)
+    assert {r.s for r in heavy.select("s").distinct().collect()} == {None, "hot"} and light.count() == 300
+    for limit in (100, 10_000):
+        got = with_next(df, ["s"], "t", "e", ["e"], heavy_rows=limit, chunks=6)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, with_next(df, ["s"], "t", "e", ["e"], split=None).collect()))
+        got = with_position(df, ["s"], "t", "e", heavy_rows=limit, chunks=6)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, with_position(df, ["s"], "t", "e", split=None).collect()))
+
+
+def test_path_text_of_a_hot_session_is_joined_in_order(spark):
+    acts = actions_df(spark, [action(i, session="hot" if i % 2 else f"s{i % 6}", page=i % 9, secs=i // 3) for i in range(400)])
+    want = {}
+    for r in sorted(acts.collect(), key=lambda r: (r.action_time, r.event_id)):
+        want.setdefault(r.session_id, []).append(str(r.page_id))
+    for part in (1, 7, 100_000):
+        got = PF.session_path_text(acts, pages_per_part=part)
+        assert dict(map(tuple, got.collect())) == {k: ">".join(v) for k, v in want.items()}
+    assert PF.session_path_text(acts.limit(0)).count() == 0

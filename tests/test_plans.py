@@ -48,16 +48,16 @@ def test_dimension_join_is_broadcast(spark):
 
 
 def test_session_order_is_split_at_every_size(spark):
-    """The small input takes the plan that a large one would: chunks by ranges of the full key,
-    dealt by chunk id, no shuffle of rows by session, no join."""
+    """The small input takes the plan that a large one would: one hash exchange of the rows of all but the
+    heavy sessions, range chunks of the heavy ones, which alone are written."""
     from clickflow.operators.pageflow import page_dwell_time
     from clickflow.sources.adapters import visit_actions
 
     plan = _plan(page_dwell_time(visit_actions(spark, SF_SMALL)))
-    assert "rangepartitioning(_tb" in plan and "sequence-chunks" in plan
-    # exchanges by hash: edge rows by session, then the per-page partial aggregate
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "Join" not in plan
+    assert "rangepartitioning(_tb" in plan and "sequence-chunks" in plan and "LeftAnti" in plan
+    # exchanges by hash: rows by session, edge rows of heavy sessions, the per-page partial aggregate
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert len(re.findall(r"FileScan parquet[^\n]*events.parquet", plan)) == 1
 
 
 def test_no_size_checks_in_the_package():
@@ -85,7 +85,7 @@ def _jobs(spark, build):
 
 def test_building_a_query_runs_no_job(spark):
     """Only the operators that write an intermediate table run jobs while they are built."""
-    eager = {"session_page_paths", "session_page_hops", "page_hop_counts", "page_conversion_rate",
+    eager = {"session_page_paths", "session_path_text", "session_page_hops", "page_hop_counts", "page_conversion_rate",
              "page_dwell_intervals", "page_dwell_time", "ad_blacklist_filter"}
     QUERIES["ad_click_counts"](spark, SF_SMALL)       # schemas read before anything is counted
     for name in sorted(set(QUERIES) - eager):
@@ -112,3 +112,26 @@ def test_blacklist_filter_scans_the_log_three_times(spark):
     events = r"FileScan parquet \[event_id[^\n]*events.parquet|FileScan parquet[^\n]*events.parquet"
     assert len(re.findall(events, candidates)) == 2
     assert len(re.findall(events, final)) == 1
+
+
+def test_sessions_of_a_bucketed_table_need_no_exchange(spark):
+    """Below the window, that is: the per-page partial aggregate still has its own."""
+    from clickflow.plans.catalog import io_queries
+
+    plan = _plan(io_queries()["page_dwell_time_bucketed"](spark, SF_SMALL))
+    below = plan[plan.index("Window"):]
+    assert "Exchange" not in below and "Bucketed: true" in below
+
+
+def test_metrics_are_observed_by_the_pass_that_writes(spark):
+    from pyspark.sql import Observation
+
+    from clickflow.operators.category import action_metrics, category_metric_counts
+    from clickflow.sources.adapters import visit_actions
+
+    seen = Observation()
+    counts = category_metric_counts(action_metrics(visit_actions(spark, SF_SMALL), seen))
+    plan = _plan(counts)
+    assert "CollectMetrics" in plan and plan.count("FileScan parquet") == 1
+    rows = counts.collect()
+    assert seen.get["click"] == sum(r.n for r in rows if r.metric == "click") and sum(seen.get.values()) == 1000

@@ -6,6 +6,7 @@ from clickflow import session as S
 from clickflow.operators import ads as A
 from clickflow.sources import adapters as src
 from clickflow.streaming import ads as SA
+from clickflow.streaming import listing as L
 from clickflow.streaming.keyed import KeyedTable
 from clickflow.streaming.replay import replay, slice_bounds
 
@@ -106,30 +107,10 @@ def test_processing_time_start_and_sorted_console(spark, capsys):
     assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
 
 
-def test_keyed_table_generations_and_snapshots(spark):
-    """Generations of 2 epochs: closing batches snapshot the state; reads inside a batch and
-    after the stream agree with a brute-force latest-per-key."""
-    import os
-
-    root = S.work_dir(spark, "test_keyed_gen")
-    schema = "k string, v long"
-    t = KeyedTable(f"{root}/t", ["k"], spark.createDataFrame([], schema).schema, generation=2)
-    batches = [[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)], [("b", 4), ("c", 4)], [("a", 5)]]
-    seen = {}
-    for e, rows in enumerate(batches):
-        t.write(spark.createDataFrame(rows, schema), e)
-        seen.update(dict(rows))
-        assert sorted(map(tuple, t.current(spark, before_epoch=e + 1).collect())) == sorted(seen.items())
-    assert sorted(map(tuple, t.current(spark).collect())) == sorted(seen.items())
-    assert sorted(map(tuple, t.current(spark, before_epoch=2).collect())) == [("a", 2), ("b", 1)]
-    snaps = sorted(os.listdir(f"{root}/t/_snapshots".replace("file:", "")))
-    assert snaps == ["gen=0", "gen=1"]
-
-
-def test_counts_stream_with_small_generations(spark):
+def test_counts_stream_of_five_slices(spark):
     lines = src.ad_log_lines(spark, SF_SMALL)
     root = S.work_dir(spark, "test_counts_gen")
-    t = KeyedTable(f"{root}/counts", ["date", *GRAIN], SA.counts_schema(GRAIN), ["date"], generation=2)
+    t = KeyedTable(f"{root}/counts", ["date", *GRAIN], SA.counts_schema(GRAIN), ["date"])
     replay(lines, f"{root}/landing",
            [(lambda st: SA.counts_to_table(SA.parse_stream(st), t, GRAIN), f"{root}/ckpt")], slices=5)
     got = _rows(t.current(spark).select("date", *GRAIN, "n"))
@@ -139,9 +120,9 @@ def test_counts_stream_with_small_generations(spark):
 def test_increment_table_sums_and_replays(spark):
     root = S.work_dir(spark, "test_incr")
     schema = spark.createDataFrame([], "k string, n long").schema
-    t = KeyedTable(f"{root}/t", ["k"], schema, merge="sum", sum_cols=["n"], generation=2)
+    t = KeyedTable(f"{root}/t", ["k"], schema, merge="sum", sum_cols=["n"])
     t.write(spark.createDataFrame([("a", 1), ("b", 2)], schema), 0)
-    t.write(spark.createDataFrame([("a", 3)], schema), 1)       # closes generation 0
+    t.write(spark.createDataFrame([("a", 3)], schema), 1)
     t.write(spark.createDataFrame([("a", 3)], schema), 1)       # retried: overwrites, no double add
     t.write(spark.createDataFrame([("b", 5)], schema), 2)
     assert sorted(map(tuple, t.current(spark).collect())) == [("a", 4), ("b", 7)]
@@ -157,8 +138,8 @@ def test_per_event_filter_stream_equals_batch(spark):
         root = S.work_dir(spark, "test_filter_event")
         grain = ("adid", "userid")
         c = KeyedTable(f"{root}/c", ["date", *grain], SA.counts_schema(grain), ["date"], merge="sum",
-                       sum_cols=["n"], generation=2)
-        b = KeyedTable(f"{root}/b", ["userid"], SA.BLACKLIST_SCHEMA, generation=2)
+                       sum_cols=["n"])
+        b = KeyedTable(f"{root}/b", ["userid"], SA.BLACKLIST_SCHEMA)
         stats = replay(src.encode_ad_lines(log), f"{root}/landing", [
             (lambda st: SA.per_event_blacklist_filter(SA.parse_stream(st), c, b, f"{root}/adm", threshold),
              f"{root}/ckpt")], slices=slices)
@@ -169,35 +150,20 @@ def test_per_event_filter_stream_equals_batch(spark):
 
 
 def test_keyed_table_with_skipped_epochs(spark):
-    """Batches that write nothing (even the one that would close a generation) leave reads
-    correct: without that snapshot, readers fall back to the earlier folders."""
+    """Batches that write nothing leave reads correct."""
     root = S.work_dir(spark, "test_keyed_skip")
     schema = spark.createDataFrame([], "k string, n long").schema
-    t = KeyedTable(f"{root}/t", ["k"], schema, merge="sum", sum_cols=["n"], generation=2)
+    t = KeyedTable(f"{root}/t", ["k"], schema, merge="sum", sum_cols=["n"])
     t.write(spark.createDataFrame([("a", 1)], schema), 0)
-    # epoch 1 (closing generation 0) wrote nothing
+    # epoch 1 wrote nothing
     t.write(spark.createDataFrame([("a", 2), ("b", 1)], schema), 2)
     assert sorted(map(tuple, t.current(spark, before_epoch=3).collect())) == [("a", 3), ("b", 1)]
-    t.write(spark.createDataFrame([("b", 4)], schema), 3)      # closes generation 1: snapshot
+    t.write(spark.createDataFrame([("b", 4)], schema), 3)
     t.write(spark.createDataFrame([("a", 10)], schema), 4)
     assert sorted(map(tuple, t.current(spark, before_epoch=5).collect())) == [("a", 13), ("b", 5)]
     assert sorted(map(tuple, t.current(spark).collect())) == [("a", 13), ("b", 5)]
 
 
-def test_unfinished_snapshot_is_not_read(spark):
-    """A snapshot folder without its success mark (being rewritten) does not count."""
-    root = S.work_dir(spark, "test_keyed_unfinished")
-    schema = spark.createDataFrame([], "k string, v long").schema
-    t = KeyedTable(f"{root}/t", ["k"], schema, generation=2)
-    t.write(spark.createDataFrame([("a", 1)], schema), 0)
-    t.write(spark.createDataFrame([("b", 2)], schema), 1)
-    t.write(spark.createDataFrame([("a", 3)], schema), 2)
-    spark.createDataFrame([("zzz", 9)], schema).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        t.snapshot_path(1))
-    assert t._latest_snapshot(spark, None) == 0
-    assert _rows(t.current(spark)) == [("a", 3), ("b", 2)]
-
-
 def test_a_schema_error_is_not_an_empty_table(spark):
     import pytest
     from pyspark.errors import PySparkException
@@ -234,3 +200,71 @@ def test_increments_lose_no_late_event(spark):
     replay(late, f"{root}/landing", [(lambda st: SA.increments_to_table(SA.parse_stream(st), t, GRAIN), f"{root}/ckpt")],
            slices=4, order_col="slot")
     assert _rows(t.current(spark).select("date", *GRAIN, "n")) == _rows(A.ad_click_counts(log))
+
+
+def _latest_upserts(t, spark, batches, schema):
+    seen = {}
+    for e, rows in enumerate(batches):
+        t.write(spark.createDataFrame(rows, schema), e)
+        seen.update(dict(rows))
+        assert _rows(t.current(spark, before_epoch=e + 1)) == sorted(seen.items())
+    return seen
+
+
+def test_keyed_table_keeps_the_latest_row(spark):
+    root = S.work_dir(spark, "test_keyed_latest")
+    schema = "k string, v long"
+    t = KeyedTable(f"{root}/t", ["k"], spark.createDataFrame([], schema).schema)
+    assert _rows(t.current(spark)) == []
+    seen = _latest_upserts(t, spark, [[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)], [("b", 4), ("c", None)]], schema)
+    assert _rows(t.current(spark, before_epoch=2)) == [("a", 2), ("b", 1)] and seen["b"] == 4
+
+
+def _listing(spark, log, threshold, slices):
+    root = S.work_dir(spark, "test_listing")
+    replay(src.encode_ad_lines(log), f"{root}/landing", [
+        (lambda st: SA.to_files(L.admitted(SA.parse_stream(st), threshold), f"{root}/out"), f"{root}/ckpt")],
+        slices=slices, settings=L.STATE_STORE)
+    return spark.read.parquet(f"{root}/out"), L.listed_users(spark, f"{root}/ckpt")
+
+
+def test_stateful_listing_of_a_hot_user(spark):
+    """One user with a third of all clicks, in ties of time; in one batch and in several with restarts between."""
+    import datetime as dt
+
+    from .helpers import ad_df, ad_row
+
+    t0 = dt.datetime(2024, 1, 1, 10)
+    rows = [ad_row(i, t0 + dt.timedelta(hours=i // 40), userid="hot" if i % 3 == 0 else str(i % 11), adid=str(i % 4)) for i in range(240)]
+    log = ad_df(spark, rows)
+    for threshold, slices in ((5, 1), (5, 3), (1, 2), (500, 2)):
+        out, listed = _listing(spark, log, threshold, slices)
+        want = A.ad_blacklist_filter(log, threshold)
+        assert sorted(r.event_id for r in out.collect()) == sorted(r.event_id for r in want.collect())
+        crossing = {r.userid: r.cross_event_id for r in A.ad_blacklist_crossings(log, threshold).collect()}
+        assert dict(map(tuple, listed.collect())) == crossing
+        assert {r.userid: r.event_id for r in out.where("lists_user").collect()} == crossing
+
+
+def test_anti_join_with_a_fixed_list_is_a_streaming_join(spark):
+    root = S.work_dir(spark, "test_anti")
+    src.ad_log_lines(spark, SF_SMALL).write.parquet(f"{root}/landing")
+    from clickflow.streaming.replay import landing_stream
+
+    listed = spark.createDataFrame([("5",), ("8",)], "userid string")
+    df = L.against_list(SA.parse_stream(landing_stream(spark, f"{root}/landing")), listed)
+    assert df.isStreaming and "LeftAnti" in df._jdf.queryExecution().analyzed().toString()
+    q = SA.to_files(df, f"{root}/out").option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    assert q.awaitTermination(120)
+    want = src.ad_log(spark, SF_SMALL).where("userid NOT IN ('5', '8')").count()
+    assert spark.read.parquet(f"{root}/out").count() == want
+
+
+def test_late_clicks_count_without_a_delay(spark):
+    """The same late log that a watermark would cut is counted whole, and the progress reports no dropped row."""
+    log = src.ad_log(spark, SF_SMALL)
+    hi = log.agg(F.max("event_id")).first()[0]
+    late = src.encode_ad_lines(log).withColumn("slot", F.when(F.col("event_id") % 5 == 0, F.lit(hi)).otherwise(F.col("event_id")))
+    stats = {}
+    assert _rows(_counts_via_stream(spark, late, 3, order_col="slot", delay=None, stats=stats)) == _rows(A.ad_click_counts(log))
+    assert stats["dropped_by_watermark"] == 0
