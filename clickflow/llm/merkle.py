@@ -217,7 +217,7 @@ def _with_heads(nodes: DataFrame, heads: DataFrame, depth: int) -> DataFrame:
 
 def _placed(rows: DataFrame, order: str) -> DataFrame:
     """``rows`` (tree, digest, ``order``, ...) with pos (from 0, by ``order``, then digest) and nodes."""
-    placed = with_position(rows, ["tree"], order, "digest", name="pos").withColumn("pos", F.col("pos") - 1)
+    placed = with_position(rows, ["tree"], order, "digest", name="pos", split="range").withColumn("pos", F.col("pos") - 1)
     sizes = written(rows.groupBy(F.col("tree").alias("__tree")).agg(F.count("*").alias("nodes")), "tree-sizes")
     return placed.join(sizes, F.col("tree").eqNullSafe(F.col("__tree"))).drop("__tree")
 
