@@ -48,15 +48,15 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
     Takes conv_id, turn, role, text; other columns are ignored. Order is by turn, ties by role, then
     text; nulls first. A null role or text is the empty string; repeated rows are turns like any
     other; rows with a null conv_id form one conversation. An empty table gives no rows."""
-    message = "array<struct<role:string,texts:array<string>>>"
     sorted_turns = turns.groupBy("conv_id").agg(
         F.expr("sort_array(collect_list(struct(turn, coalesce(role, '') AS role, coalesce(text, '') AS text)))").alias("turns"))
-    merged = sorted_turns.select("conv_id", F.expr(f"""
-        aggregate(turns, CAST(array() AS {message}), (done, x) ->
-            IF(size(done) > 0 AND element_at(done, -1).role = x.role,
-               concat(slice(done, 1, size(done) - 1),
-                      array(struct(x.role AS role, concat(element_at(done, -1).texts, array(x.text)) AS texts))),
-               concat(done, array(struct(x.role AS role, array(x.text) AS texts)))))""").alias("messages"))
+    # A message is a slice of the turns between two changes of role: each turn is copied once. What is read at
+    # many places is bound by a transform over an array of one, so that it is evaluated once.
+    merged = sorted_turns.select("conv_id", F.expr("""
+        flatten(transform(array(turns), ts -> flatten(transform(
+            array(filter(sequence(0, size(ts) - 1), i -> i = 0 OR get(ts, i).role != get(ts, i - 1).role)), begins ->
+                transform(begins, (b, i) -> struct(get(ts, b).role AS role, transform(
+                    slice(ts, b + 1, coalesce(get(begins, i + 1), size(ts)) - b), t -> t.text) AS texts))))))""").alias("messages"))
     pieces = merged.select("conv_id", F.size("messages").alias("n_messages"), F.expr(f"""
         flatten(transform(messages, m -> concat(
             array(struct(concat('{TURN}', {_escaped('m.role')}, '{TEXT}') AS text, false AS loss)),
@@ -64,15 +64,19 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
                 IF(i > 0, array(struct('{ALSO}' AS text, false AS loss)), array()),
                 array(struct({_escaped('t')} AS text, m.role = '{loss_role}' AS loss))))),
             array(struct('{END}' AS text, false AS loss)))))""").alias("pieces"))
+    # Where each piece starts: running sums within blocks of some square root of the pieces, and of the blocks.
+    starts = """flatten(transform(array(CAST(ceil(sqrt(size(ps))) AS INT)), width -> flatten(transform(
+        array(transform(sequence(0, (size(ps) - 1) div width), b -> aggregate(
+            slice(ps, CAST(b * width + 1 AS INT), width), array(0L), (s, p) -> concat(s, array(element_at(s, -1) + length(p.text)))))),
+        sums -> flatten(transform(
+            array(aggregate(sums, array(0L), (s, x) -> concat(s, array(element_at(s, -1) + element_at(x, -1))))), bases ->
+            flatten(transform(sums, (x, b) -> transform(slice(x, 1, size(x) - 1), s -> s + get(bases, b))))))))))"""
     return pieces.select(
         "conv_id", F.col("n_messages").cast("bigint").alias("n_messages"),
         F.expr("array_join(transform(pieces, p -> p.text), '')").alias("formatted"),
-        F.expr("""aggregate(pieces,
-            struct(0L AS at, CAST(array() AS array<struct<start:bigint,length:bigint>>) AS spans),
-            (s, p) -> struct(s.at + length(p.text) AS at,
-                IF(p.loss, concat(s.spans, array(struct(s.at AS start, CAST(length(p.text) AS BIGINT) AS length))),
-                   s.spans) AS spans),
-            s -> s.spans)""").alias("loss_spans"))
+        F.expr(f"""flatten(transform(array(pieces), ps -> flatten(transform(array({starts}), starts ->
+            transform(filter(sequence(0, size(ps) - 1), i -> get(ps, i).loss), i -> struct(
+                get(starts, i) AS start, CAST(length(get(ps, i).text) AS BIGINT) AS length))))))""").alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

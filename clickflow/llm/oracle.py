@@ -131,6 +131,16 @@ def _urls() -> str:
     fits = "(host = '{0}' or ends_with(host, '.{0}')) and starts_with(path, '{1}')"
     rule = "case " + " ".join(f"when {fits.format(h, p)} then '{h + p}'" for h, p, _ in rules) + " end"
     given = "case " + " ".join(f"when {fits.format(h, p)} then '{v}'" for h, p, v in rules) + " end"
+    beside = " or ".join(f"host = '{h}' or ends_with(host, '.{h}')" for h, _, v in rules if v == "block")
+    long = ", ".join(f"'{x}'" for x in u.SUFFIXES)
+
+    def last(host: str, n: int) -> str:
+        return f"array_to_string(string_split({host}, '.')[-{n}:], '.')"
+
+    def labels(host: str, n: int) -> str:
+        """The public suffix and n labels in front of it."""
+        return f"case when {last(host, 2)} in ({long}) then {last(host, 2 + n)} else {last(host, 1 + n)} end"
+
     strength = f"""(select case when binomial is null or binomial = 0 then {u.LEAST_STRENGTH}
       when scatter > binomial then least(greatest((most - scatter) / (scatter - binomial), {u.LEAST_STRENGTH}), {u.MOST_STRENGTH})
       else {u.MOST_STRENGTH} end from (
@@ -146,9 +156,9 @@ with urls as (
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from pages),
 ruled as (select *, {rule} as rule, {given} as given from urls),
 counts as (
-  select regexp_extract(host, '[^.]*$') as suffix, regexp_extract(host, '[^.]*(\\.[^.]*)?$') as domain, host,
+  select {labels('host', 0)} as suffix, {labels('host', 1)} as domain, host,
     cast(sum(case when given = 'block' then 1 else 0 end) as double) as k, cast(count(*) as double) as n
-  from ruled where given is not null group by host),
+  from ruled where given is not null or {beside} group by host),
 overall as (select case when sum(n) > 0 then (sum(k) + 0.5) / (sum(n) + 1) else 0.5 end as prior from counts),
 suffix_n as (select suffix, sum(k) as k, sum(n) as n, (select prior from overall) as prior from counts group by 1),
 suffix_s as (select {strength.format('suffix_n')} as s),
@@ -159,8 +169,8 @@ best as (
   select r.*, coalesce(h.mean, d.mean, s.mean, (select prior from overall)) as mean,
     coalesce(h.strength, d.strength, s.strength, {u.LEAST_STRENGTH}) as strength
   from ruled r left join host_p h on r.host = h.host
-    left join domain_p d on regexp_extract(r.host, '[^.]*(\\.[^.]*)?$') = d.domain
-    left join suffix_p s on regexp_extract(r.host, '[^.]*$') = s.suffix)
+    left join domain_p d on {labels('r.host', 1)} = d.domain
+    left join suffix_p s on {labels('r.host', 0)} = s.suffix)
 select page_id, host, path, rule,
   coalesce(given, case when mean - {u.Z} * sqrt(mean * (1 - mean) / (strength + 1)) > {u.BLOCK_RATE} then 'block' else 'allow' end) as verdict
 from best"""

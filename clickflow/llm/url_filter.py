@@ -1,8 +1,10 @@
 """URL filtering by rules, and by empirical-Bayes host reputation where no rule fits.
 
 A rule (host, path) fits its host and all subdomains where the url's path starts with the rule's; the
-longest host, then the longest path, wins. The rules' verdicts are also the labelled outcomes from
-which reputations are learnt (any table of outcomes can be given instead).
+longest host, then the longest path, wins. The rules also give the labelled outcomes from which
+reputations are learnt (any table of outcomes can be given instead): a page that a rule covers has its
+verdict, and a page of a block rule's host outside the rule's path is one that the rule found no fault with,
+so blocking a path speaks against the rest of its host only as far as the path is most of it.
 
 Reputation. Labelled outcomes are counted per host, registered domain and suffix. Each level's counts
 are beta-binomial with a mean from the level above: a host's prior mean is its domain's posterior mean,
@@ -28,6 +30,9 @@ from clickflow.llm.common import columns_but, written
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 BLOCK_RATE, Z = 0.5, 1.0
 LEVELS = ("suffix", "domain", "host")
+#: Public suffixes of two labels; a registered domain is one label more than its suffix.
+SUFFIXES = ["ac.jp", "ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br",
+            "com.cn", "com.mx", "com.sg", "com.tr", "com.tw", "gov.au", "gov.uk", "net.au", "or.jp", "org.au", "org.uk"]
 LEAST_STRENGTH, MOST_STRENGTH = 0.5, 1000.0
 
 
@@ -59,8 +64,10 @@ def with_rule(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, url_c
 
 
 def _levels(host: Column) -> dict[str, Column]:
-    """Suffix: the last label; registered domain: the last two."""
-    return {"suffix": F.substring_index(host, ".", -1), "domain": F.substring_index(host, ".", -2), "host": host}
+    """Suffix: the last label, or one of SUFFIXES; registered domain: one label more."""
+    two = F.substring_index(host, ".", -2)
+    return {"suffix": F.when(two.isin(SUFFIXES), two).otherwise(F.substring_index(host, ".", -1)),
+            "domain": F.when(two.isin(SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two), "host": host}
 
 
 def reputations(outcomes: DataFrame) -> tuple[dict[str, DataFrame], float]:
@@ -103,12 +110,16 @@ def judged(pages: DataFrame, outcomes: DataFrame | None = None, rules: list[tupl
            url_col: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, verdict (allow or block) and reputation (the posterior rate of
     blocked pages behind a verdict that no rule gave; null where one did). ``outcomes`` (host, bad);
-    by default the rules' own verdicts on ``pages``. A null url, or one without ``://``, has the empty
+    by default what the rules say of ``pages`` (their verdicts, and pages beside a block rule's path as good). A null url, or one without ``://``, has the empty
     host, judged like any other; repeated rows are judged alike; an empty table stays empty."""
     ruled = with_rule(pages, rules, url_col)
     if outcomes is None:
-        outcomes = ruled.where("rule_verdict IS NOT NULL").select(
-            "host", (F.col("rule_verdict") == "block").cast("int").alias("bad"))
+        beside = F.lit(False)
+        for host, _, kind in rules:
+            if kind == "block":
+                beside |= (F.col("host") == host) | F.col("host").endswith("." + host)
+        outcomes = ruled.where(F.col("rule_verdict").isNotNull() | beside).select(
+            "host", F.coalesce(F.col("rule_verdict") == "block", F.lit(False)).cast("int").alias("bad"))
     tables, overall = reputations(outcomes)
     hosts = ruled.where("rule IS NULL").select("host").distinct()
     hosts = hosts.withColumns({f"__{k}": v for k, v in _levels(F.col("host")).items()})

@@ -200,3 +200,27 @@ def test_expectation_maximisation_finds_the_accuracies():
     posterior, table_, share = weak_quality.posteriors(Counter(patterns.tolist()))
     assert abs(share - 0.8) < 0.02 and abs(table_[:, 0, 0] - 0.6).max() < 0.05
     assert ((posterior[patterns] > 0.5) == good).mean() > 0.97
+
+
+def test_a_blocked_path_does_not_block_its_host(spark):
+    """Pages beside the path are good outcomes, at any table size; where the path is most of a host, it counts."""
+    def verdict(de, beside, n):
+        urls = [f"http://example.com/de/{i}" for i in range(de * n)] + [f"http://example.com/x/{i}" for i in range(beside * n)]
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+        return {r.verdict for r in url_filter.digest(pages).where("rule IS NULL").collect()}
+    assert verdict(1, 2, 1) == verdict(1, 2, 30) == {"allow"}
+    assert verdict(9, 1, 30) == {"block"}
+
+
+def test_registered_domains_of_two_label_suffixes(spark):
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "x.example.com", "example.com", "com", ""]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = [tuple(r) for r in df.select(*(c.alias(k) for k, c in url_filter._levels(F.col("host")).items())).collect()]
+    assert [x[:2] for x in got] == [("co.uk", "b.co.uk"), ("co.uk", "b.co.uk"), ("co.uk", "co.uk"), ("com", "example.com"),
+                                    ("com", "example.com"), ("com", "com"), ("", "")]
+
+
+def test_urls_with_null_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, None, "x", 1), (1, None, "x", 1), (2, "http://q.org/", "y", 2)], "page_id bigint, url string, HOST string, rule int")
+    rows = url_filter.judged(df).collect()
+    assert sorted((r.page_id, r.host, r.verdict) for r in rows) == [(1, "", "allow"), (1, "", "allow"), (2, "q.org", "allow")]

@@ -129,3 +129,11 @@ def test_benchmark_items_without_an_id(spark, docs):
     got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.digest(docs(rows), bench, 3).collect()}
     assert got == {1: (3, 1, True), 2: (3, 0, True), 3: (0, 0, False)}
     assert decontaminate.digest(docs(rows), bench.limit(0), 3).where("contaminated").count() == 0
+
+
+def test_a_conversation_of_many_turns(spark):
+    """Turns alternate and repeat roles; every loss span holds one assistant text."""
+    turns = spark.range(5000).selectExpr("1L AS conv_id", "id AS turn", "IF(id % 3 = 0, 'user', 'assistant') AS role", "concat('t</s>', id) AS text")
+    (row,) = chat.read_back(chat.format_conversations(turns)).collect()
+    assert [(t.role, t.text) for t in row.turns] == [("assistant" if i % 3 else "user", f"t</s>{i}") for i in range(5000)]
+    assert row.loss_text == "".join(f"t</s>{i}" for i in range(5000) if i % 3) and row.n_messages == 3334
