@@ -402,15 +402,15 @@ def scored(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES)
                 if row["kind"] != TEXTS:
                     held[row["kind"]].append((_unpacked(row["items"], np.int64), _unpacked(row["amounts"], np.float64)))
                     continue
-                model = model or [_sorted(x) for x in held]
+                model = model or [Lookup(x) for x in held]
                 yield scores(row, *model)
 
-    def scores(row: dict, strings: tuple[np.ndarray, np.ndarray], words: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    def scores(row: dict, strings: Lookup, words: Lookup) -> pa.RecordBatch:
         n = len(row["ids"])
         score, base, n_tokens, n_known = np.zeros(n), np.zeros(n), np.ones(n, dtype=np.int64), np.full(n, int(ends > 0))
         for piece in pieces(row["sizes"], row["data"], depth):
-            score += np.bincount(piece.of, strings[1][np.searchsorted(strings[0], piece.keys)], n)
-            c = (words[1][np.searchsorted(words[0], piece.words)] if len(piece.words) else np.zeros(0))[piece.word]
+            score += np.bincount(piece.of, strings.of(piece.keys), n)
+            c = words.of(piece.words)[piece.word]
             n_tokens += np.bincount(piece.word_of, minlength=n)
             n_known += np.bincount(piece.word_of, c > 0, n).astype(np.int64)
             base += np.bincount(piece.word_of, np.log10(c + 1), n)
@@ -425,9 +425,31 @@ def scored(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES)
     return rows.mapInArrow(run, result)
 
 
-def _sorted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
-        return np.zeros(0, dtype=np.int64), np.zeros(0)
-    items, amounts = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(items)
-    return items[order], amounts[order]
+class Lookup:
+    """The amounts of given distinct items, by an open-addressing hash table over arrays."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]):
+        items, amounts = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0))
+        bits = max(1, int(2 * len(items)).bit_length())
+        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self.items, self.amounts = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits)
+        free = np.ones(1 << bits, dtype=bool)
+        slot = self._slots(items)
+        while len(items):
+            open_here = free[slot]
+            self.items[slot[open_here]], self.amounts[slot[open_here]] = items[open_here], amounts[open_here]
+            free[slot] = False
+            left = self.items[slot] != items  # another item is there; one of two rows of an item is enough
+            items, amounts, slot = items[left], amounts[left], (slot[left] + 1) & self.mask
+
+    def _slots(self, items: np.ndarray) -> np.ndarray:
+        return ((items.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def of(self, items: np.ndarray) -> np.ndarray:
+        """Amounts of items that all are in the table."""
+        slot = self._slots(items)
+        other = np.flatnonzero(self.items[slot] != items)
+        while len(other):
+            slot[other] = (slot[other] + 1) & self.mask
+            other = other[self.items[slot[other]] != items[other]]
+        return self.amounts[slot]

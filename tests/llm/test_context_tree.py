@@ -141,3 +141,13 @@ def test_held_out_texts_cost_less_than_by_a_shallow_tree(spark):
         r = ct.scored(docs, depth).where("held_out").selectExpr("sum(bits_per_byte * (n_bytes + 1)) / sum(n_bytes + 1)").first()
         return r[0]
     assert bits(3) < bits(1) < 8
+
+
+def test_lookup_of_colliding_and_repeated_items():
+    rng = np.random.default_rng(3)
+    items = np.unique(np.concatenate([rng.integers(-1 << 62, 1 << 62, 5000), np.arange(3000) << 40, np.arange(100)]))
+    amounts = rng.random(len(items))
+    found = ct.Lookup([(items, amounts), (items[::7], amounts[::7])])
+    order = rng.integers(0, len(items), 20_000)
+    assert np.array_equal(found.of(items[order]), amounts[order])
+    assert len(ct.Lookup([]).of(np.zeros(0, dtype=np.int64))) == 0
