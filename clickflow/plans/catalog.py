@@ -141,7 +141,7 @@ def io_queries() -> dict[str, Query]:
     from ..streaming import ads as SA
     from ..streaming import listing as L
     from ..streaming.keyed import KeyedTable
-    from ..streaming.replay import FailsAfterWrite
+    from ..streaming.replay import FailsAfterWrite, replay_live
 
     q: dict[str, Query] = {}
 
@@ -200,6 +200,24 @@ def io_queries() -> dict[str, Query]:
             return holder["t"].current(s).select("date", *grain, "n")
         return run
 
+    def live(s, d, name, start, r):
+        """The log through a query on the real trigger, with bounded intake, twice until it is idle."""
+        seen = replay_live(_stream_lines(s, d), f"{r}/landing", start, f"{r}/ckpt", files=P.LIVE_FILES,
+                           files_per_batch=P.LIVE_FILES_PER_BATCH)
+        LAST_REPLAY_STATS[name] = {k: sum(x[k] for x in seen) for k in ("batches", "input_rows")}
+
+    def live_counts(s, d):
+        grain, r = ("adid", "userid"), S.work_dir(s, "stream_live_counts")
+        t = KeyedTable(f"{r}/counts", ["date", *grain], SA.counts_schema(grain), ["date"])
+        live(s, d, "stream_live_counts", lambda st: SA.counts_to_table(SA.parse_stream(st), t, grain), r)
+        return t.current(s).select("date", *grain, "n")
+
+    def live_list(s, d):
+        r = S.work_dir(s, "stream_live_list")
+        t = KeyedTable(f"{r}/blacklist", ["userid"], SA.BLACKLIST_SCHEMA)
+        live(s, d, "stream_live_list", lambda st: SA.blacklist_to_table(SA.parse_stream(st), t, P.BLACKLIST_THRESHOLD), r)
+        return t.history(s).select("userid").distinct()
+
     def top3_stream(name="stream_top3", table=KeyedTable, **kw):
         def run(s, d):
             holder = {}
@@ -329,6 +347,8 @@ def io_queries() -> dict[str, Query]:
     q["ad_click_counts_increments_recovered_stream"] = increments_stream("stream_lost_increments", **lost)
     q["ad_top3_recovered_stream"] = top3_stream("stream_lost_top3", **lost)
     q["ad_blacklist_recovered_stream"] = blacklist_stream("stream_lost_blacklist", **lost)
+    q["ad_click_counts_live_stream"] = live_counts
+    q["ad_blacklist_live_stream"] = live_list
     q["ad_blacklist_state_filter_stream"] = state_filter_stream
     q["ad_blacklist_state_stream"] = state_list_stream
     q["ad_area_counts_state_stream"] = state_counts_stream

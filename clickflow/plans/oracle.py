@@ -312,5 +312,7 @@ group by 1, 2"""
         if kind != "state":
             q[f"ad_click_counts_{kind}_stream"] = q["ad_click_counts"]
             q[f"ad_top3_{kind}_stream"] = q["ad_top3_by_area"]
+    q["ad_click_counts_live_stream"] = q["ad_click_counts"]
+    q["ad_blacklist_live_stream"] = q["ad_blacklist"]
     q["ad_click_counts_increments_recovered_stream"] = q["ad_click_counts"]
     return q

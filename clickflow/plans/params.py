@@ -14,6 +14,9 @@ TOP_ADS = 3
 # Streams: number of replay slices and the event-time watermark delay.
 REPLAY_SLICES = 4
 WATERMARK_DELAY = "10 minutes"
+# Runs on the real trigger: files landed for each, and files read in a batch.
+LIVE_FILES = 6
+LIVE_FILES_PER_BATCH = 2
 # Every so-many-th event of a late replay arrives in the last slice.
 LATE_EVERY = 13
 # Files of the table stored by session.

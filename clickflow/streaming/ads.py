@@ -10,11 +10,13 @@ safe) or through the exactly-once file sink.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from ..functions import day_of, floor_time, time_text
 from ..operators.ads import BLACKLIST_THRESHOLD, TOP_ADS, rank_top_ads
@@ -281,6 +283,63 @@ def start(writer: DataStreamWriter, checkpoint: str, interval: str = "5 seconds"
     return w.start()
 
 
+class _Watch(StreamingQueryListener):
+    """What each query of the session has read, how often in a row it has reported itself idle (a trigger that
+    found no new data, at most one report each ``spark.sql.streaming.noDataProgressEventInterval``), and
+    whether it has ended."""
+
+    def __init__(self):
+        self.changed = threading.Condition()
+        self.seen: dict[str, dict] = {}
+
+    def of(self, query_id) -> dict:
+        return self.seen.setdefault(str(query_id), {"batches": 0, "input_rows": 0, "largest": 0, "idle": 0, "ended": False})
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        rows = event.progress.numInputRows
+        with self.changed:
+            got = self.of(event.progress.id)
+            got.update(batches=got["batches"] + (rows > 0), input_rows=got["input_rows"] + rows,
+                       largest=max(got["largest"], rows), idle=0)
+
+    def onQueryIdle(self, event) -> None:
+        with self.changed:
+            self.of(event.id)["idle"] += 1
+            self.changed.notify_all()
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.of(event.id)["ended"] = True
+            self.changed.notify_all()
+
+
+def run_until_idle(writer: DataStreamWriter, spark: SparkSession, checkpoint: str, interval: str = "5 seconds",
+                   reports: int = 2, timeout_s: float = 900, name: str | None = None) -> dict[str, int]:
+    """Run a query on its processing-time trigger, as :func:`start`, and stop it once its source has brought
+    nothing new for ``reports`` idle reports in a row. Bound the intake at the source (``maxFilesPerTrigger``).
+    All batches are committed by then, and a later run goes on from ``checkpoint``. An error of the query is
+    raised; so is a run that is not idle after ``timeout_s``, which is stopped between two batches or inside
+    one (its checkpoint holds either way). Returns the batches with data, their rows, and the largest's."""
+    watch = _Watch()
+    spark.streams.addListener(watch)
+    try:
+        query = start(writer, checkpoint, interval, name)
+        with watch.changed:
+            got = watch.of(query.id)
+            done = watch.changed.wait_for(lambda: got["ended"] or got["idle"] >= reports, timeout_s)
+        query.stop()
+        if query.exception() is not None:
+            raise query.exception()
+        if not done:
+            raise TimeoutError(f"stream over {checkpoint} was not idle within {timeout_s}s")
+        return {k: got[k] for k in ("batches", "input_rows", "largest")}
+    finally:
+        spark.streams.removeListener(watch)
+
+
 def to_files(df: DataFrame, folder: str, mode: str = "append") -> DataStreamWriter:
     """Exactly-once parquet file sink (the sink's own log records committed files)."""
     return df.writeStream.outputMode(mode).format("parquet").option("path", folder)

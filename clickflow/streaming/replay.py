@@ -10,7 +10,8 @@ run after the first exercises recovery from the checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from .. import schemas
+from .ads import run_until_idle
 from .keyed import KeyedTable
 
 
@@ -82,12 +84,19 @@ def replay(lines: DataFrame, folder: str,
     So it does with ``settings``. A query that fails starts again from its checkpoint, ``failures`` times a
     slice at most. Returns run statistics summed over all micro-batches (see :func:`_add_progress`)."""
     spark = lines.sparkSession
+    with _settings(spark, state_partitions, settings):
+        return _replay_slices(lines, folder, queries, slices, order_col, timeout_s, failures)
+
+
+@contextmanager
+def _settings(spark: SparkSession, state_partitions: int | None, settings: dict[str, str] | None) -> Iterator[None]:
+    """The session with the settings of a replay, which are put back at the end."""
     own = {"spark.sql.shuffle.partitions": str(int(state_partitions or spark.sparkContext.defaultParallelism)), **(settings or {})}
     saved = {key: spark.conf.get(key, None) for key in own}
     for key, value in own.items():
         spark.conf.set(key, value)
     try:
-        return _replay_slices(lines, folder, queries, slices, order_col, timeout_s, failures)
+        yield
     finally:
         for key, value in saved.items():
             if value is None:
@@ -96,6 +105,24 @@ def replay(lines: DataFrame, folder: str,
                 spark.conf.set(key, value)
 
 
+def replay_live(lines: DataFrame, folder: str, start: Callable[[DataFrame], DataStreamWriter], checkpoint: str,
+                runs: int = 2, files: int = 6, files_per_batch: int = 2, interval: str = "1 second",
+                order_col: str = "event_id", timeout_s: float = 900, state_partitions: int | None = None) -> list[dict]:
+    """The long-running form of :func:`replay`: ``lines`` land in ``runs`` slices of ``files`` files each, and
+    after each one the query runs on its processing-time trigger, at most ``files_per_batch`` files a batch,
+    until its source is idle; the next run goes on from the checkpoint. Returns what each run has read (see
+    :func:`~clickflow.streaming.ads.run_until_idle`)."""
+    spark = lines.sparkSession
+    seen = []
+    with _settings(spark, state_partitions, {"spark.sql.streaming.noDataProgressEventInterval": "1000"}):
+        for lo, hi in slice_bounds(lines, order_col, runs):
+            part = lines.where((F.col(order_col) >= lo) & (F.col(order_col) < hi))
+            part.repartition(files, F.col(order_col)).write.mode("append").parquet(folder)
+            stream = landing_stream(spark, folder, files_per_batch)
+            seen.append(run_until_idle(start(stream), spark, checkpoint, interval, timeout_s=timeout_s))
+    return seen
+
+
 def _add_progress(stats: dict, progress: list[dict]) -> None:
     """Fold micro-batch progress reports into ``stats``: input rows, rows dropped by the
     watermark (counted after partial aggregation, so per group, not per event), batch time, and

@@ -1,5 +1,7 @@
 """Streams against their batch twins: late data, restarts, replay safety, blacklist feedback."""
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from clickflow import session as S
@@ -8,7 +10,7 @@ from clickflow.sources import adapters as src
 from clickflow.streaming import ads as SA
 from clickflow.streaming import listing as L
 from clickflow.streaming.keyed import KeyedTable
-from clickflow.streaming.replay import replay, slice_bounds
+from clickflow.streaming.replay import FailsAfterWrite, landing_stream, replay, replay_live, slice_bounds
 
 from .conftest import SF_SMALL
 
@@ -268,3 +270,32 @@ def test_late_clicks_count_without_a_delay(spark):
     stats = {}
     assert _rows(_counts_via_stream(spark, late, 3, order_col="slot", delay=None, stats=stats)) == _rows(A.ad_click_counts(log))
     assert stats["dropped_by_watermark"] == 0
+
+
+def test_processing_time_run_ends_when_idle(spark):
+    root = S.work_dir(spark, "test_live")
+    lines = src.ad_log_lines(spark, SF_SMALL)
+    t = KeyedTable(f"{root}/counts", ["date", *GRAIN], SA.counts_schema(GRAIN), ["date"])
+    seen = replay_live(lines, f"{root}/landing", lambda st: SA.counts_to_table(SA.parse_stream(st), t, GRAIN),
+                       f"{root}/ckpt", runs=2, files=4, files_per_batch=1, interval="200 milliseconds")
+    total = lines.count()
+    # each run reads its own slice only, file by file
+    assert [x["batches"] for x in seen] == [4, 4] and sum(x["input_rows"] for x in seen) == total
+    assert max(x["largest"] for x in seen) < total / 4
+    assert not spark.streams.active
+    assert _rows(t.current(spark).select("date", *GRAIN, "n")) == _rows(A.ad_click_counts(src.ad_log(spark, SF_SMALL)))
+
+
+def test_processing_time_run_raises_what_the_query_raises(spark):
+    root = S.work_dir(spark, "test_live_fails")
+    lines = src.ad_log_lines(spark, SF_SMALL)
+    t = FailsAfterWrite(f"{root}/counts", ["date", *GRAIN], SA.counts_schema(GRAIN), ["date"])
+
+    with pytest.raises(StreamingQueryException):
+        replay_live(lines, f"{root}/landing", lambda st: SA.counts_to_table(SA.parse_stream(st), t, GRAIN),
+                    f"{root}/ckpt", runs=1, files=2, files_per_batch=2, interval="200 milliseconds")
+    assert not spark.streams.active
+    # the lost batch is made again from the checkpoint
+    SA.run_until_idle(SA.counts_to_table(SA.parse_stream(landing_stream(spark, f"{root}/landing")), t, GRAIN),
+                      spark, f"{root}/ckpt", "200 milliseconds", reports=1)
+    assert _rows(t.current(spark).select("date", *GRAIN, "n")) == _rows(A.ad_click_counts(src.ad_log(spark, SF_SMALL)))
