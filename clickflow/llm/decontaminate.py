@@ -28,7 +28,7 @@ from clickflow.llm.words import Words, words_of
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
 FILTER_BITS = 22
-SPANS = "array<struct<start:bigint,words:bigint,item:string>>"
+SPANS, ITEMS = "array<struct<start:bigint,words:bigint>>", "array<string>"
 
 
 class WindowSet:
@@ -36,7 +36,7 @@ class WindowSet:
     hash its windows' words and items."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], n: int):
-        self.by_length: dict[int, dict[int, dict[bytes, list[str | None]]]] = {}
+        self.by_length: dict[int, dict[int, dict[bytes, set[str | None]]]] = {}
         for item, text in items:
             words = words_of(text)
             if not len(words):
@@ -45,9 +45,7 @@ class WindowSet:
             at, hashes = words.windows(k)
             held = self.by_length.setdefault(k, {})
             for w, h in zip(at.tolist(), hashes.tolist()):
-                owners = held.setdefault(h, {}).setdefault(words.bytes_of(w, k), [])
-                if item not in owners:
-                    owners.append(item)
+                held.setdefault(h, {}).setdefault(words.bytes_of(w, k), set()).add(item)
         self.sorted = {k: np.array(sorted(v), dtype=np.uint64) for k, v in self.by_length.items()}
         self.bitmap = {}
         for k, v in self.sorted.items():
@@ -55,8 +53,9 @@ class WindowSet:
             bits[v >> np.uint64(64 - FILTER_BITS)] = True
             self.bitmap[k] = bits
 
-    def hits(self, words: Words) -> list[tuple[int, int, list[str]]]:
-        """(first word, length, items) of every occurrence, verified on the words themselves."""
+    def hits(self, words: Words) -> list[tuple[int, int, tuple[int, bytes]]]:
+        """(first word, length, window) of every occurrence, verified on the words themselves; the window is
+        for ``items``."""
         found = []
         for k, known in self.sorted.items():
             at, hashes = words.windows(k)
@@ -66,11 +65,15 @@ class WindowSet:
             place = np.minimum(np.searchsorted(known, hashes[maybe]), len(known) - 1)
             maybe = maybe[known[place] == hashes[maybe]]
             for w, h in zip(at[maybe].tolist(), hashes[maybe].tolist()):
-                items = self.by_length[k][h].get(words.bytes_of(w, k))
-                if items:
-                    found.append((w, k, items))
+                text = words.bytes_of(w, k)
+                if text in self.by_length[k][h]:
+                    found.append((w, k, (h, text)))
         return sorted(found)
 
+    def items(self, windows: set[tuple[int, tuple[int, bytes]]]) -> set[str]:
+        """The ids of all items that hold one of some windows (length, window)."""
+        return set().union(*(self.by_length[k][h][text] for k, (h, text) in windows)) - {None}
+
 
 def window_blocks(bench: DataFrame, n: int = WINDOW, id_col: str = "item_id", text_col: str = "text",
                   block_bytes: int = BLOCK_BYTES) -> Iterator[WindowSet]:
@@ -86,38 +89,51 @@ def window_blocks(bench: DataFrame, n: int = WINDOW, id_col: str = "item_id", te
 
 def with_spans(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: str = "text",
                item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES,
-               spans_col: str = "hit_spans") -> DataFrame:
-    """``docs`` with ``spans_col``: every occurrence of a benchmark window as (first word, number of
-    words, item; null for an item without an id). All columns pass through, whatever their names; a column
-    called ``spans_col`` is replaced. The benchmark's blocks are made, sent and scanned one by one. Null and
-    empty texts have no occurrence; repeated rows are judged each; an empty benchmark hits nothing."""
+               spans_col: str = "hit_spans", items_col: str = "hit_items") -> DataFrame:
+    """``docs`` with ``spans_col``: every place where a benchmark window stands, as (first word, number of
+    words), each once however many items hold the window; and ``items_col``: the ids of all those items, each
+    once, in no order (an item without an id makes spans, and is in no list). All columns pass through, whatever
+    their names; columns of these two names are replaced. The benchmark's blocks are made, sent and scanned one
+    by one. Null and empty texts have no occurrence; repeated rows are judged each; an empty benchmark hits
+    nothing."""
     spark = docs.sparkSession
     python_path(spark)
-    out = docs.select(*columns_but(docs, spans_col), F.lit(None).cast(SPANS).alias(spans_col))
+    out = docs.select(*columns_but(docs, spans_col, items_col), F.lit(None).cast(SPANS).alias(spans_col),
+                      F.lit(None).cast(ITEMS).alias(items_col))
     shared = None
     for block in window_blocks(bench, n, item_id, item_text, block_bytes):
         if shared is not None:
             out = written(out, "decontaminate")
             shared.unpersist()
         shared = spark.sparkContext.broadcast(block)
-        out = _scan(out, shared, text_col, spans_col)
+        out = _scan(out, shared, text_col, spans_col, items_col)
     return out
 
 
-def _scan(docs: DataFrame, shared: Broadcast, text_col: str, spans_col: str) -> DataFrame:
+def _scan(docs: DataFrame, shared: Broadcast, text_col: str, spans_col: str, items_col: str) -> DataFrame:
+    """``docs`` with one block's places and items added to those that its columns hold."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = shared.value
+        known = shared.value
         for batch in batches:
             texts = arrow_text(batch.column(batch.schema.get_field_index(text_col)))
-            place = batch.schema.get_field_index(spans_col)
-            spans = [x or [] for x in batch.column(place).to_pylist()]
+            at = [batch.schema.get_field_index(c) for c in (spans_col, items_col)]
+            spans, items = (batch.column(i).to_pylist() for i in at)
             for lo, hi, data, offsets in text_chunks(texts):
                 words = Words(data, offsets)
-                for w, k, items in windows.hits(words):
+                places: dict[int, set[tuple[int, int]]] = {}
+                windows: dict[int, set[tuple[int, tuple[int, bytes]]]] = {}
+                for w, k, window in known.hits(words):
                     doc = int(np.searchsorted(words.first, w, side="right")) - 1
-                    spans[lo + doc] += [{"start": w - int(words.first[doc]), "words": k, "item": x} for x in items]
-            yield batch.set_column(place, batch.schema.field(place), pa.array(spans, batch.schema.field(place).type))
+                    places.setdefault(lo + doc, set()).add((w - int(words.first[doc]), k))
+                    windows.setdefault(lo + doc, set()).add((k, window))
+                for doc in places:
+                    found = places[doc] | {(x["start"], x["words"]) for x in spans[doc] or ()}
+                    spans[doc] = [{"start": w, "words": k} for w, k in sorted(found)]
+                    items[doc] = list(known.items(windows[doc]).union(items[doc] or ()))
+            for i, values in zip(at, ([x or [] for x in spans], [x or [] for x in items])):
+                batch = batch.set_column(i, batch.schema.field(i), pa.array(values, batch.schema.field(i).type))
+            yield batch
 
     return docs.mapInArrow(scan, docs.schema)
 
@@ -135,16 +151,16 @@ def covered(spans: list[dict]) -> list[tuple[int, int]]:
 
 def remove_documents(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: str = "text", **kw) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; the rest unchanged."""
-    spans = "__hit_spans"
-    return with_spans(docs, bench, n, text_col, spans_col=spans, **kw).where(
-        F.size(F.coalesce(F.col(spans), F.array())) == 0).drop(spans)
+    spans, items = "__hit_spans", "__hit_items"
+    return with_spans(docs, bench, n, text_col, spans_col=spans, items_col=items, **kw).where(
+        F.size(F.coalesce(F.col(spans), F.array())) == 0).drop(spans, items)
 
 
 def remove_spans(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: str = "text", **kw) -> DataFrame:
     """``docs`` with the hit words cut out of their texts (from the first hit word's first byte to the
     last one's end; the text around stays as it is). Documents without a hit are unchanged."""
-    spans = "__hit_spans"
-    found = with_spans(docs, bench, n, text_col, spans_col=spans, **kw)
+    spans, items = "__hit_spans", "__hit_items"
+    found = with_spans(docs, bench, n, text_col, spans_col=spans, items_col=items, **kw).drop(items)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,9 +193,8 @@ def digest(docs: DataFrame, bench: DataFrame, n: int = WINDOW) -> DataFrame:
             counts = np.zeros(len(texts), dtype=np.int64)
             for lo, hi, data, offsets in text_chunks(texts):
                 counts[lo:hi] = np.diff(Words(data, offsets).first)
-            hits = [x or [] for x in batch.column(2).to_pylist()]
-            items = [sorted({s["item"] for s in x} - {None}) for x in hits]
-            n_hit = [sum(hi - lo for lo, hi in covered(x)) for x in hits]
+            items = [sorted(x or []) for x in batch.column(3).to_pylist()]
+            n_hit = [sum(hi - lo for lo, hi in covered(x or [])) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(counts), pa.array(n_hit, pa.int64()),
                 pa.array([len(x) for x in items], pa.int64()),

@@ -8,6 +8,7 @@ import re
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from clickflow.llm import bpe, chat, decontaminate
 
@@ -124,13 +125,27 @@ def test_benchmark_items_without_an_id(spark, docs):
     rows = [(1, "x one two three y"), (2, "four five six"), (3, "four five")]
     for block_bytes in (decontaminate.BLOCK_BYTES, 10):
         found = decontaminate.with_spans(docs(rows), bench, 3, block_bytes=block_bytes).collect()
-        assert {r.doc_id: sorted((x["start"], x["item"] or "") for x in r.hit_spans) for r in found} == {
-            1: [(1, ""), (1, "b")], 2: [(0, "")], 3: []}
+        assert {r.doc_id: ([tuple(x) for x in r.hit_spans], r.hit_items) for r in found} == {
+            1: ([(1, 3)], ["b"]), 2: ([(0, 3)], []), 3: ([], [])}
     got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.digest(docs(rows), bench, 3).collect()}
     assert got == {1: (3, 1, True), 2: (3, 0, True), 3: (0, 0, False)}
     assert decontaminate.digest(docs(rows), bench.limit(0), 3).where("contaminated").count() == 0
 
 
+def test_a_window_of_all_items_is_one_span_a_place(spark, docs):
+    """A line that every item holds, in a very long text and under clashing column names."""
+    bench = spark.createDataFrame([(f"i{k}", f"read this line first then answer {k}") for k in range(300)], "item_id string, text string")
+    text = "filler words here. " * 200_000 + "read this line first " * 1000
+    df = docs([(1, text), (2, ""), (3, None), (4, "nothing")]).withColumns(
+        {"hit_spans": F.lit("x"), "Hit_Items": F.lit(7), "item": F.lit(1), "hit": F.lit(None).cast("int")})
+    for block_bytes in (decontaminate.BLOCK_BYTES, 4000):
+        found = {r.doc_id: r for r in decontaminate.with_spans(df, bench, 4, block_bytes=block_bytes).collect()}
+        assert [tuple(x) for x in found[1].hit_spans] == [(600_000 + 4 * k, 4) for k in range(1000)]
+        assert sorted(found[1].hit_items) == sorted(f"i{k}" for k in range(300)) and found[1].item == 1
+        assert all(found[i].hit_spans == found[i].hit_items == [] for i in (2, 3, 4))
+    assert decontaminate.remove_documents(df, bench, 4).columns == df.columns
+
+
 def test_a_conversation_of_many_turns(spark):
     """Turns alternate and repeat roles; every loss span holds one assistant text."""
     turns = spark.range(5000).selectExpr("1L AS conv_id", "id AS turn", "IF(id % 3 = 0, 'user', 'assistant') AS role", "concat('t</s>', id) AS text")
