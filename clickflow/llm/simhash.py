@@ -15,7 +15,8 @@ differ in at most 1 bit of the first part, or in at most 1 of the second, or not
 A fingerprint's home is its nearest anchor (within R); it is replicated to every anchor within R + t
 that can be the home of a fingerprint t away (15.6 on average, and 1 in the last part). Fingerprints
 are compared per anchor, homes against all that were sent there: whatever differs from a home by t or
-less in that part is there.
+less in that part is there. An anchor of over ``BLOCK`` fingerprints is cut into blocks of homes against
+blocks of all, each a group of its own, so no task holds a whole anchor.
 
 Only distinct fingerprints are replicated, so exact copies cost nothing. Per anchor, linked
 fingerprints are joined to the smallest of their local component (a star, never all pairs), and the
@@ -38,6 +39,7 @@ from clickflow.llm.components import components
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 SHINGLES_AT_ONCE = 1 << 17
 SMALL_GROUP = 64
+BLOCK = 1 << 14
 PAIRS_AT_ONCE = 1 << 21
 
 HAMMING, RAW, EXACT = 15, 8, 18
@@ -146,36 +148,74 @@ def replicated(fps: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): links among distinct fingerprints that give the components of all links of at most
-    ``max_bits`` (up to 4) bits; per anchor a star, not all pairs."""
+    ``max_bits`` (up to 4) bits; per anchor, or block of a large anchor, a star, not all pairs."""
     if max_bits > MAX_BITS:
         raise ValueError(f"the parts cover up to {MAX_BITS} bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
-            anchor, fp, home = (np.concatenate(x) for x in zip(*held))
-            whole = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
-            held = [(anchor[whole:], fp[whole:], home[whole:])]
+            held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)))
+            anchor, cell, fp, home = (np.concatenate(x) for x in zip(*held))
+            group = np.cumsum(np.concatenate([[False], (anchor[1:] != anchor[:-1]) | (cell[1:] != cell[:-1])]))
+            whole = int(np.searchsorted(group, group[-1]))  # the last group may go on
+            held = [(anchor[whole:], cell[whole:], fp[whole:], home[whole:])]
             if whole:
-                yield _edges(anchor[:whole], fp[:whole], home[:whole], max_bits)
+                yield _edges(group[:whole], fp[:whole], home[:whole], max_bits)
         if held:
-            yield _edges(*held[0], max_bits)
+            _, _, fp, home = held[0]
+            yield _edges(np.zeros(len(fp), int), fp, home, max_bits)
 
-    sent = replicated(fps).repartition("anchor").sortWithinPartitions("anchor")
+    sent = in_blocks(fps).repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
     return sent.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _edges(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int) -> pa.RecordBatch:
-    """Stars of the linked fingerprints of each anchor."""
+def anchor_sizes(fps: DataFrame) -> DataFrame:
+    """(anchor, n, homes): fingerprints sent to each anchor, and those at home there; added up in tasks first."""
+    python_path(fps.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor, place = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            home = batch.column(1).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(anchor), pa.array(np.bincount(place, minlength=len(anchor))),
+                pa.array(np.bincount(place, home, minlength=len(anchor)).astype(np.int64))], ["anchor", "n", "homes"])
+
+    counted = replicated(fps).select("anchor", "home").mapInArrow(run, "anchor bigint, n bigint, homes bigint")
+    return counted.groupBy("anchor").agg(F.sum("n").alias("n"), F.sum("homes").alias("homes"))
+
+
+def in_blocks(fps: DataFrame) -> DataFrame:
+    """(anchor, cell, fp, home): ``replicated`` with the anchors of over BLOCK fingerprints cut into cells, a
+    block of homes against a block of all that were sent there, so that every home still meets every other in
+    one cell, and no cell holds much more than twice BLOCK however many fingerprints share an anchor."""
+    large = written(anchor_sizes(fps).where(F.col("n") > BLOCK).select(
+        "anchor", F.ceil(F.col("homes") / BLOCK).alias("across"), F.ceil(F.col("n") / BLOCK).alias("down")), "anchors")
+    across, down = F.greatest("across", F.lit(1)), F.col("down")
+    mine = F.pmod(F.xxhash64("fp"), down)                       # its block among all
+    as_other = F.transform(F.sequence(F.lit(0).cast("bigint"), across - 1),
+                           lambda h: F.struct((h * down + mine).alias("cell"), F.lit(False).alias("home")))
+    at = F.pmod(F.xxhash64("fp", F.lit(1)), across)             # its block among the homes
+    as_home = F.transform(F.sequence(F.lit(0).cast("bigint"), down - 1),
+                          lambda m: F.struct((at * down + m).alias("cell"), F.lit(True).alias("home")))
+    alone = F.array(F.struct(F.lit(0).cast("bigint").alias("cell"), F.col("home").alias("home")))
+    cells = F.when(down.isNull(), alone).when(F.col("home"), F.concat(as_home, as_other)).otherwise(as_other)
+    # a row for each large anchor: there are 2^20 + 2^18 anchors at all
+    return replicated(fps).join(F.broadcast(large), "anchor", "left").select(
+        "anchor", "fp", F.explode(cells).alias("_")).select("anchor", "_.cell", "fp", "_.home")
+
+
+def _edges(group: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int) -> pa.RecordBatch:
+    """Stars of the linked fingerprints of each group (numbered from 0, in order)."""
     x = fp.view(np.uint64)
-    begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.zeros(0, int)
-    size = np.diff(np.append(begin, len(anchor)))
+    begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, int)
+    size = np.diff(np.append(begin, len(group)))
     a, b = [], []
     small = (size > 1) & (size <= SMALL_GROUP)
     # Small groups: each home against its whole group, many groups at once.
     group = np.repeat(np.arange(len(begin)), size)
-    homes = np.flatnonzero(home & small[group]) if len(anchor) else np.zeros(0, int)
+    homes = np.flatnonzero(home & small[group]) if len(group) else np.zeros(0, int)
     width = size[group[homes]]
     cuts = np.searchsorted(np.cumsum(width), np.arange(PAIRS_AT_ONCE, int(width.sum()) + PAIRS_AT_ONCE, PAIRS_AT_ONCE))
     for lo, hi in zip([0, *(cuts + 1)[:-1]], cuts + 1):

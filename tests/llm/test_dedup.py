@@ -51,6 +51,19 @@ def test_near_duplicates_against_brute_force(spark, docs):
     assert simhash.near_duplicates(docs([])).count() == 0
 
 
+def test_near_duplicates_of_a_long_text_with_clashing_columns(spark, docs, monkeypatch):
+    """A text whose shingles come in several pieces, columns named as the operator's own, and null ids."""
+    rnd = random.Random(5)
+    long = " ".join(rnd.choices([f"w{i}" for i in range(3000)], k=60_000))
+    monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", 1 << 12)
+    rows = [(1, long), (2, long + " end"), (None, long), (3, "Short text of six words"), (4, None)]
+    df = docs(rows).selectExpr("*", "1 AS fp", "2 AS root", "'x' AS fingerprint", "3 AS component_id", "4 AS anchor", "5 AS __key")
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(df).collect()}
+    assert got == {i: (f"{_fingerprint(t):016x}", 1 if t and len(t) > 99 else i) for i, t in rows}
+    kept = simhash.deduplicated(df)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4] and kept.columns == df.columns[:-1]
+
+
 def test_deduplication_keeps_rows_without_or_with_repeated_ids(spark, docs):
     rnd = random.Random(2)
     text = [" ".join(rnd.choices([f"w{i}" for i in range(400)], k=300)) for _ in range(6)]
@@ -104,6 +117,31 @@ def test_large_groups_spread_like_small_ones():
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_anchors_of_many_fingerprints_are_cut_into_blocks(spark, monkeypatch):
+    """Fingerprints that share their first 23 bits, so one anchor, in clusters and alone: the components are
+    those of the whole anchor, and no group is much larger than two blocks."""
+    rnd = np.random.default_rng(7)
+    same = np.uint64(0x2A5A5A)
+    seeds = (rnd.integers(0, 1 << 41, 60, dtype=np.uint64) << np.uint64(23)) | same
+    flips = [s ^ (np.uint64(1) << np.uint64(b)) for s in seeds[:25] for b in rnd.choice(np.arange(23, 64), 12, replace=False)]
+    x = np.unique(np.concatenate([seeds, np.array(flips, dtype=np.uint64), rnd.integers(0, 1 << 63, 100, dtype=np.uint64)]))
+    fps = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp bigint")
+    ids = _components(list(enumerate(x.tolist())))
+    want = {}
+    for f, c in zip(x.view(np.int64).tolist(), ids):
+        want.setdefault(c, set()).add(f)
+    for block in (1 << 14, 100, 40):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        sizes = simhash.in_blocks(fps).groupBy("anchor", "cell").count()
+        largest = sizes.agg({"count": "max"}).first()[0]
+        assert largest > 300 if block > len(x) else largest <= 3 * block
+        root = {r.node: r.root for r in components(simhash.links(fps)).collect()}
+        groups = {}
+        for f in x.view(np.int64).tolist():
+            groups.setdefault(root.get(f, f), set()).add(f)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
