@@ -14,7 +14,7 @@ that the dictionaries have not seen, turns them into a score, so thresholds are
   match, and a few bytes' gain are not lost to zstandard's way of storing what hardly shrinks.
 
 Training takes a bounded sample: at most ``per_class`` labelled texts of each class, chosen by a hash
-of their ids, of at most MAX_TEXT bytes each; two thirds (by a hash of the text) train the
+of their ids, of at most MAX_TEXT bytes each and MAX_CLASS_BYTES a class; two thirds (by a hash of the text) train the
 dictionaries, one third calibrates. Scoring reads every whole text where it is stored: no shuffle.
 """
 
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm.common import columns_but, python_path
@@ -160,25 +160,35 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None) -> Mo
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, class_bytes: int = MAX_CLASS_BYTES) -> Model:
     """A model from ``labels`` (doc_id, toxic) and the texts of ``docs``. Rows with a null id, label or
-    text do not count; where an id has several labels any of them may be taken."""
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", (F.col("toxic") > 0).alias("toxic"))
+    text do not count; an id with several labels is toxic if one of them says so. See :func:`sampled` for the
+    texts that are read."""
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     counts = dict(known.groupBy("toxic").count().collect())
     if len(counts) < 2:
         return Model(b"", b"")
+    rows = sampled(docs, known, per_class, class_bytes).collect()
+    return fit([r.text.encode() for r in rows], [int(r.toxic) for r in rows], counts[True] / sum(counts.values()))
+
+
+def sampled(docs: DataFrame, known: DataFrame, per_class: int = PER_CLASS, class_bytes: int = MAX_CLASS_BYTES) -> DataFrame:
+    """(toxic, text), ordinary ones first: the training sample of ``known`` (doc_id, toxic; each id once). Of
+    each class the ``per_class`` ids of smallest hash; of an id the text of smallest hash among those of at most
+    MAX_TEXT bytes; of these texts, in the order of their CRC-32, the first ``class_bytes`` bytes a class (the
+    text that passes the bound is the last). So the driver gets at most twice ``class_bytes`` and MAX_TEXT."""
     ids = None
-    for toxic in (False, True):  # at most per_class ids each, by a hash of the id
+    for toxic in (False, True):
         some = known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = some if ids is None else ids.unionByName(some)
-    rows = docs.where(F.octet_length("text") <= MAX_TEXT).join(F.broadcast(ids), "doc_id").select("text", "toxic")
-    held: tuple[list[bytes], list[bytes]] = ([], [])
-    size = [0, 0]
-    for text, toxic in sorted(rows.collect(), key=lambda r: (zlib.crc32(r[0].encode()), r[0], r[1])):
-        if size[toxic] <= MAX_CLASS_BYTES:
-            held[toxic].append(text.encode())
-            size[toxic] += len(held[toxic][-1])
-    return fit(held[0] + held[1], [0] * len(held[0]) + [1] * len(held[1]), counts[True] / sum(counts.values()))
+    rows = docs.select("doc_id", "text").where(F.octet_length("text") <= MAX_TEXT).join(F.broadcast(ids), "doc_id")
+    least = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    texts = least.select("doc_id", "toxic", "least.text", F.crc32(F.col("least.text").cast("binary")).alias("crc"))
+    # at most per_class rows a class, each with a text of at most MAX_TEXT bytes
+    order = Window.partitionBy("toxic").orderBy("crc", "text", "doc_id")
+    before = F.coalesce(F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return texts.withColumn("before", before).where(F.col("before") <= class_bytes).orderBy(
+        "toxic", "crc", "text", "doc_id").select("toxic", "text")
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -1,12 +1,15 @@
 """Filters and classifiers: rules against brute force, learnt models on held-out rows, edge cases."""
 
 import itertools
+import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from clickflow.llm import license_scan, quality_rules, toxicity, url_filter, weak_quality
@@ -97,6 +100,55 @@ def test_toxicity_edge_cases(spark, docs):
     assert toxicity.scored(df.limit(0), model).count() == 0
 
 
+def test_toxicity_scores_against_the_written_out_rule(spark, docs):
+    """Given a model: every window compressed anew under either dictionary, the curve added up term by term."""
+    rnd = random.Random(3)
+    mild, harsh = ["a", "mild", "day", "in", "spring", "with", "rain"], ["awful", "scoundrel", "vermin", "filthy"]
+    texts = [" ".join(rnd.choices(mild, k=40)).encode() for _ in range(60)]
+    texts += [" ".join(rnd.choices(mild + harsh, k=40)).encode() for _ in range(60)]
+    model = toxicity.fit(texts, [0] * 60 + [1] * 60)
+
+    def size(content, window):
+        parameters = zstandard.ZstdCompressionParameters.from_level(
+            9, min_match=5, write_checksum=False, write_content_size=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(compression_params=parameters, dict_data=raw).compress(window))
+
+    def score(text):
+        words = (text or "").encode().lower().split()
+        windows = [toxicity.PRIMER + b" " + b" ".join(words[i:i + 6]) for i in range(0, len(words), 6)] or [toxicity.PRIMER]
+        gains = sorted((size(model.ordinary, w) - size(model.toxic, w) for w in windows), reverse=True)
+        over = [sum(g >= t for g in gains) for t in (1, 2, 3, 4)]
+        x = (gains + [0, 0])[:3] + [math.log(1 + n) for n in over] + [10 * n / len(gains) for n in over[:3]] + [math.log(len(gains)), 1]
+        odds = sum((v - m) / s * w for v, m, s, w in zip(x, model.mean, model.scale, model.weights))
+        return 1 / (1 + math.exp(-max(-30, min(30, odds))))
+
+    given = [None, "", " \n", "Awful day", *(t.decode() for t in texts[::7]), "rain in spring " * 30_000 + "vermin"]
+    df = docs(list(enumerate(given))).selectExpr("*", "'x' AS score", "1 AS toxic", "2 AS predicted")
+    found = {r.doc_id: r.score for r in toxicity.scored(df, model).collect()}
+    for i, t in enumerate(given):
+        assert found[i] == pytest.approx(score(t), abs=1e-9), t
+
+
+def test_toxicity_trains_on_one_text_of_each_id_within_its_bytes(spark, docs):
+    """Repeated ids and labels make no more rows; the bytes of a class are bounded in Spark."""
+    rows = [(i, f"text {i} {k} " * 10) for i in range(20) for k in range(30)] + [(None, "x"), (21, None), (22, "y" * (1 << 17))]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)] * 20 + [(0, 1), (None, 1), (3, None)], "doc_id bigint, toxic int")
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+    runs = []
+    for order in (rows, rows[::-1]):
+        got = [tuple(r) for r in toxicity.sampled(docs(order).repartition(3), known).collect()]
+        ids = [int(t.split()[1]) for _, t in got]
+        assert sorted(ids) == list(range(20)) and all(y == (i % 2 == 1 or i == 0) for i, (y, _) in zip(ids, got))
+        runs.append(got)
+    assert runs[0] == runs[1] and runs[0] == sorted(runs[0], key=lambda r: (r[0], zlib.crc32(r[1].encode()), r[1]))
+    cut = [tuple(r) for r in toxicity.sampled(docs(rows), known, class_bytes=300).collect()]
+    for y in (False, True):
+        mine, whole = ([t for c, t in some if c == y] for some in (cut, runs[0]))
+        assert mine == whole[:len(mine)] and sum(map(len, mine[:-1])) <= 300 < sum(map(len, mine))
+    assert toxicity.sampled(docs(rows), known.where("doc_id < 20"), per_class=4).count() == 8
+
+
 def test_licences_against_brute_force(spark, docs):
     texts = ["", None, "Released under the MIT License.", "cc by licensed cc BY-nc 4", "the GNU general PUBLIC license gnu general public license",
              "apache, license; version 2.0 alone", "x " * 5000 + "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use",
@@ -202,6 +254,63 @@ def test_expectation_maximisation_finds_the_accuracies():
     assert ((posterior[patterns] > 0.5) == good).mean() > 0.97
 
 
+def test_posteriors_against_plain_expectation_maximisation():
+    """The same rounds with a row for each text and a loop for each vote."""
+    rnd = random.Random(8)
+    m = len(weak_quality.LABELLERS)
+    texts = [[rnd.choice([0, 1, 1, 2, 2, 2]) for _ in range(m)] for _ in range(150)] + [[1] * m, [0] * m]
+    digits = lambda votes: sum(v * 3 ** (m - 1 - i) for i, v in enumerate(votes))
+    got, table_, share = weak_quality.posteriors(Counter(map(digits, texts)), rounds=7)
+    good = [0.05 if 0 in v else 0.95 for v in texts]
+    for _ in range(7):
+        part = (sum(good) + 1) / (len(texts) + 2)
+        p = [[[1.0] * 3 for _ in range(2)] for _ in range(m)]
+        for votes, g in zip(texts, good):
+            for i, v in enumerate(votes):
+                p[i][1][v] += g
+                p[i][0][v] += 1 - g
+        p = [[[x / sum(row) for x in row] for row in two] for two in p]
+        odds = [part / (1 - part) * math.prod(p[i][1][v] / p[i][0][v] for i, v in enumerate(votes)) for votes in texts]
+        good = [o / (1 + o) for o in odds]
+    assert share == pytest.approx(part) and table_.tolist() == [[pytest.approx(row) for row in two] for two in p]
+    assert [got[digits(v)] for v in texts] == pytest.approx(good, abs=1e-9)
+
+
+def test_scorer_against_plain_gradient_steps(spark, docs):
+    """Every text's words hashed, weighed and added up one by one; scores of all rows by the query's path."""
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choices(["Some", "words", "here", "ab#c", "XYZ", "12", "end."], k=rnd.randrange(1, 60))) for _ in range(25)]
+    texts += ["same " * 40_000, "é" * 300_000]
+    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    whole = weak_quality.Texts(np.concatenate(data), np.concatenate([[0], np.cumsum([len(x) for x in data])]))
+    doc, feature, size = whole.features()
+    good = np.array([rnd.random() for _ in texts])
+    scorer = weak_quality.Scorer().fit(doc, feature, size, good)
+    rows = [Counter() for _ in texts]
+    for d, f, w in zip(doc.tolist(), feature.tolist(), size.tolist()):
+        rows[d][f] += w
+    for i, t in enumerate(texts):  # a word and a shape for each word, and one for each word equal to the one before
+        words = t.split()
+        again = sum(a == b for a, b in zip(words, words[1:]))
+        assert sum(rows[i].values()) == pytest.approx(2 + again / len(words))
+    w, seen, bias, seen_bias = Counter(), Counter(), 0.0, 1e-8
+    odds = lambda row: sum(x * w[f] for f, x in row.items()) + bias
+    for _ in range(weak_quality.EPOCHS):
+        slope = [(1 / (1 + math.exp(-odds(row))) - g) / len(rows) for row, g in zip(rows, good)]
+        step = Counter()
+        for row, s in zip(rows, slope):
+            for f, x in row.items():
+                step[f] += x * s
+        for f in {f for row in rows for f in row}:
+            g = step[f] + weak_quality.DECAY * w[f]
+            seen[f] += g * g
+            w[f] -= weak_quality.RATE * g / math.sqrt(seen[f] + 1e-8)
+        seen_bias += sum(slope) ** 2
+        bias -= weak_quality.RATE * sum(slope) / math.sqrt(seen_bias)
+    want = [1 / (1 + math.exp(-odds(row))) for row in rows]
+    assert scorer.score(whole).tolist() == pytest.approx(want, abs=1e-6)
+
+
 def test_a_blocked_path_does_not_block_its_host(spark):
     """Pages beside the path are good outcomes, at any table size; where the path is most of a host, it counts."""
     def verdict(de, beside, n):
