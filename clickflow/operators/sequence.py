@@ -29,8 +29,10 @@ How groups are cut (``split``):
   (they are partition indexes, and two evaluations of a range exchange sample different bounds)
   and cuts the lineage. ``CHUNKS_PER_TASK`` chunks go to each task, dealt by ranges of the chunk
   id, so tasks are as even as the chunks are: no hashing of a few large keys. That range
-  partitioning also satisfies the window on ``(group, chunk)``. The number of tasks comes from
-  the planner's byte estimate and the advisory partition size.
+  partitioning also satisfies the window on ``(group, chunk)``. Unless ``chunks`` is given, heavy
+  groups get as many as leave a task about ``heavy_rows`` rows, from the rows counted (one number read by
+  the driver), two tasks at least, and not over ``CHUNKS_PER_TASK`` for each of ``spark.sql.shuffle.partitions``, the
+  number for ``"range"`` itself.
 - ``"time"``: fixed time buckets of ``bucket_seconds``; no sampling pass, but a burst of one
   group inside one bucket stays in one task.
 - ``None``: the plain single window, kept for comparison in tests.
@@ -40,7 +42,7 @@ Results equal the plain window exactly (ties broken by ``tie_col``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_dir, written
@@ -51,21 +53,9 @@ HEAVY_ROWS = 250_000
 CHUNKS_PER_TASK = 4
 
 
-UNKNOWN_BYTES = 1 << 60
-
-
-def tasks_for(df: DataFrame) -> int:
-    """Tasks that give each about one advisory partition size of the sources' bytes, and at least
-    the cluster's parallelism; ``spark.sql.shuffle.partitions`` where a source's size is unknown.
-    Planning only: no job runs."""
-    spark = df.sparkSession
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    if total >= UNKNOWN_BYTES:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
-    return max(spark.sparkContext.defaultParallelism, -(-total // max(1, int(advisory))))
+def chunks_for(spark: SparkSession) -> int:
+    """Chunks where the caller names no number: ``CHUNKS_PER_TASK`` for each shuffle partition."""
+    return CHUNKS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _bucket(time_col: str, bucket_seconds: int):
@@ -82,7 +72,7 @@ def _pieces(df: DataFrame, by: list[str], time_col: str, tie_col: str, split: st
     if split == "range":
         spark = df.sparkSession
         cols = [*[F.col(c) for c in by], F.col(time_col), F.col(tie_col)]
-        n = int(chunks) if chunks else CHUNKS_PER_TASK * tasks_for(df)
+        n = int(chunks) if chunks else chunks_for(spark)
         path = work_dir(spark, "sequence-chunks")
         df.repartitionByRange(n, *cols).withColumn("_tb", F.spark_partition_id().cast("bigint")).write.parquet(path)
         return spark.read.parquet(path).repartitionByRange(-(-n // CHUNKS_PER_TASK), "_tb")
@@ -90,17 +80,20 @@ def _pieces(df: DataFrame, by: list[str], time_col: str, tie_col: str, split: st
 
 
 def _heavy_groups(df: DataFrame, by: list[str], rows: int) -> DataFrame:
-    """The keys of groups of over ``rows`` rows, one row each, with columns ``_heavy_<key>``; at most one for
-    every ``rows`` rows of the input."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > int(rows))
-    return written(counts.select(*[F.col(c).alias("_heavy_" + c) for c in by]), "heavy-groups")
+    """The keys of groups of over ``rows`` rows, one row each, with columns ``_heavy_<key>`` and ``_heavy_n``, the
+    group's rows; at most one for every ``rows`` rows of the input."""
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_heavy_n")).where(F.col("_heavy_n") > int(rows))
+    return written(counts.select(*[F.col(c).alias("_heavy_" + c) for c in by], "_heavy_n"), "heavy-groups")
 
 
-def _divided(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of heavy groups, all other rows)."""
+def _divided(df: DataFrame, by: list[str], rows: int) -> tuple[DataFrame, DataFrame, int]:
+    """(rows of heavy groups, all other rows, chunks for the heavy groups)."""
     heavy = _heavy_groups(df, by, rows)
+    total = heavy.agg(F.sum("_heavy_n")).first()[0] or 0
+    wanted = -(-total * CHUNKS_PER_TASK // max(1, int(rows)))
     same = [F.col(c).eqNullSafe(F.col("_heavy_" + c)) for c in by]
-    return df.join(heavy, same, "left_semi"), df.join(heavy, same, "left_anti")
+    return (df.join(heavy, same, "left_semi"), df.join(heavy, same, "left_anti"),
+            max(2 * CHUNKS_PER_TASK, min(wanted, chunks_for(df.sparkSession))))
 
 
 def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry: list[str],
@@ -122,9 +115,10 @@ def with_next(df: DataFrame, by: list[str], time_col: str, tie_col: str, carry:
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select(*df.columns, *[F.lead(c).over(w).alias(prefix + c) for c in carry])
     if split == "heavy":
-        heavy, light = _divided(df, by, heavy_rows)
+        heavy, light, enough = _divided(df, by, heavy_rows)
         given = (by, time_col, tie_col, carry, prefix)
-        return with_next(light, *given, split=None).unionByName(with_next(heavy, *given, split="range", chunks=chunks))
+        return with_next(light, *given, split=None).unionByName(
+            with_next(heavy, *given, split="range", chunks=chunks or enough))
     keys = [*by, "_tb"]
     cols = list(dict.fromkeys([tie_col, *carry]))
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -152,9 +146,10 @@ def with_position(df: DataFrame, by: list[str], time_col: str, tie_col: str, nam
     if split is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
     if split == "heavy":
-        heavy, light = _divided(df, by, heavy_rows)
+        heavy, light, enough = _divided(df, by, heavy_rows)
         given = (by, time_col, tie_col, name)
-        return with_position(light, *given, split=None).unionByName(with_position(heavy, *given, split="range", chunks=chunks))
+        return with_position(light, *given, split=None).unionByName(
+            with_position(heavy, *given, split="range", chunks=chunks or enough))
     keys = [*by, "_tb"]
     p = _pieces(df, by, time_col, tie_col, split, bucket_seconds, chunks)
     x = p.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -132,12 +132,13 @@ def test_heavy_groups_alone_are_cut_into_chunks(spark):
     """Null keys are a group too, heavy or not; the two branches divide the rows."""
     rows = [(None if i % 3 == 0 else "hot" if i % 3 == 1 else f"s{i % 40}", i // 7, i) for i in range(900)]
     df = spark.createDataFrame(rows, "s string, t bigint, e bigint")
-    heavy, light = _divided(df, ["s"], 100)
+    heavy, light, chunks = _divided(df, ["s"], 100)
+    assert chunks == 24 and _divided(df, ["s"], 10_000)[2] == 8  # 600 rows, four chunks to 100 of them; two tasks
     assert {r.s for r in heavy.select("s").distinct().collect()} == {None, "hot"} and light.count() == 300
-    for limit in (100, 10_000):
-        got = with_next(df, ["s"], "t", "e", ["e"], heavy_rows=limit, chunks=6)
+    for limit, chunks in ((100, 6), (100, None), (10_000, 6)):
+        got = with_next(df, ["s"], "t", "e", ["e"], heavy_rows=limit, chunks=chunks)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, with_next(df, ["s"], "t", "e", ["e"], split=None).collect()))
-        got = with_position(df, ["s"], "t", "e", heavy_rows=limit, chunks=6)
+        got = with_position(df, ["s"], "t", "e", heavy_rows=limit, chunks=chunks)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, with_position(df, ["s"], "t", "e", split=None).collect()))
 
 
