@@ -27,13 +27,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import columns_but, python_path
+from clickflow.llm.common import arrow_text, columns_but, python_path, text_chunks
 
 LONG = 512
 BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128, 256, LONG)
 NONE = np.iinfo(np.int32).max
-CACHED_PIECES = 200_000
-CHUNK_CHARS = 1 << 20
+CACHED_PIECES = 100_000
+CHUNK_CHARS = 1 << 19
+#: Cells of one matrix.
+MATRIX_CELLS = 1 << 20
 
 
 class PairTable:
@@ -117,8 +119,8 @@ class Encoder:
             else:
                 rows.setdefault(next(b for b in BUCKETS if b >= len(data)), []).append((piece, data))
         for width, bucket in rows.items():
-            for lo in range(0, len(bucket), max(1, (1 << 22) // width)):
-                part = bucket[lo:lo + max(1, (1 << 22) // width)]
+            for lo in range(0, len(bucket), MATRIX_CELLS // width):
+                part = bucket[lo:lo + MATRIX_CELLS // width]
                 for (piece, _), ids in zip(part, self._by_matrix([d for _, d in part], width)):
                     self.known[piece] = ids
 
@@ -209,6 +211,14 @@ def _vocabulary(spark: SparkSession, ranks_path: str):
         return spark.sparkContext.broadcast(f.read())  # the vocabulary file: its size is fixed
 
 
+def _parts(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of whole rows of a few MB of text: a worker holds the lists of one run."""
+    for batch in batches:
+        for lo, hi, _, _ in text_chunks(arrow_text(batch.column(batch.schema.get_field_index(text_col)))):
+            yield batch.slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds no freed batches
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``ids_col`` (array of int). Every other column passes through; a column called
     ``ids_col`` is replaced. Null and empty texts have no ids; repeated rows are encoded each."""
@@ -217,7 +227,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
-        for batch in batches:
+        for batch in _parts(batches, text_col):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             ids = pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in encoder.encode(texts)],
                            pa.list_(pa.int32()))
@@ -254,7 +264,7 @@ def digest(docs: DataFrame, ranks_path: str, pattern: str, ids_col: str | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
-        for batch in batches:
+        for batch in _parts(batches, "text"):
             n, ids_hex, text_hex, kept = [], [], [], []
             for ids in encoder.encode([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(len(ids) // 4)

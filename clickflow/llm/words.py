@@ -30,13 +30,16 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return out
 
 
+#: Powers are kept in steps of this many, 16 bytes each.
+POWERS_STEP = 1 << 17
+
 _cache: dict[str, np.ndarray] = {"up": _powers(BASE, 1), "down": _powers(BASE_INVERSE, 1)}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least n of each; kept up to 4 million per process."""
     if len(_cache["up"]) < n:
-        size = 1 << max(12, (n - 1).bit_length())
+        size = -(-n // POWERS_STEP) * POWERS_STEP
         up, down = _powers(BASE, size), _powers(BASE_INVERSE, size)
         if size > 1 << 22:
             return up, down
