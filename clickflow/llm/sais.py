@@ -17,6 +17,8 @@ import numpy as np
 
 
 SHORT = 1 << 16
+#: Fewer suffixes than this are dealt one by one.
+FEW = 16
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -65,18 +67,26 @@ def _induced(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
         """Put suffixes at the next free places of their buckets, in the order given."""
         if not len(at):
             return
+        if len(at) <= FEW:
+            for i in at.tolist():
+                c = s[i]
+                if back:
+                    place[c] -= 1
+                sa[place[c]] = i
+                if not back:
+                    place[c] += 1
+            return
+        by = np.argsort(s[at], kind="stable")
+        at = at[by]
         symbol = s[at]
-        by = np.argsort(symbol, kind="stable")
-        at, symbol = at[by], symbol[by]
-        first = np.flatnonzero(np.concatenate([[True], symbol[1:] != symbol[:-1]]))
-        count = np.diff(np.append(first, len(at)))
-        step, bucket = np.arange(len(at)) - np.repeat(first, count), symbol[first]
+        count = np.bincount(symbol, minlength=len(place))
+        first, step = np.cumsum(count) - count, np.arange(len(at))
         if back:
-            sa[np.repeat(place[bucket] - 1, count) - step] = at
-            place[bucket] -= count
+            sa[(place - 1 + first)[symbol] - step] = at
+            np.subtract(place, count, out=place)
         else:
-            sa[np.repeat(place[bucket], count) + step] = at
-            place[bucket] += count
+            sa[(place - first)[symbol] + step] = at
+            np.add(place, count, out=place)
 
     seeds = lms[np.argsort(s[lms], kind="stable")]
     until = np.cumsum(np.bincount(s[lms], minlength=len(counts))).tolist()

@@ -44,6 +44,8 @@ LENGTH, GRAM = 400, 128
 SHARD_BYTES = 1 << 20
 SCAN_BYTES = 1 << 20
 PIECE = 2 << 20
+#: A window of more copies than FREQUENT is looked up by SPREAD tasks.
+FREQUENT, SPREAD = 1000, 64
 PLACE_BITS = np.uint64((1 << 24) - 1)
 RANGES = "array<struct<lo:int,hi:int>>"
 
@@ -166,7 +168,8 @@ def _in_shards(segments: DataFrame, length: int, shard_bytes: int) -> DataFrame:
 
 
 def _by_window(segments: DataFrame, length: int) -> DataFrame:
-    """The same for keys too large for a task: windows counted by 128-bit hash over all tasks."""
+    """The same for keys too large for a task: windows counted by 128-bit hash over all tasks, no task
+    getting all copies of a frequent one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,8 +182,14 @@ def _by_window(segments: DataFrame, length: int) -> DataFrame:
 
     distinct = segments.select("key", "seg", "bytes").dropDuplicates(["key", "seg"])
     windows = written(distinct.mapInArrow(run, "key bigint, seg bigint, at int, window binary"), "windows")
-    twice = windows.groupBy("window").count().where("count > 1").select("window")
-    return windows.join(twice, "window", "left_semi").groupBy("key", "seg").agg(
+    counted = written(windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1"), "twice")
+    # Copies of a frequent window are looked up over SPREAD tasks; the few left of any other by the window alone.
+    hot = counted.where(F.col("n") > FREQUENT).select(
+        "window", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"), F.lit(True).alias("hot"))
+    told = written(windows.withColumn("part", F.expr(f"CAST(pmod(xxhash64(key, seg), {SPREAD}) AS INT)")).join(
+        hot, ["window", "part"], "left"), "told")
+    rest = told.where("hot IS NULL").join(counted.where(F.col("n") <= FREQUENT), "window", "left_semi")
+    return told.where("hot").unionByName(rest).groupBy("key", "seg").agg(
         F.collect_list(F.struct(F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))).alias("ranges"))
 
 

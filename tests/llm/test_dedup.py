@@ -188,8 +188,9 @@ def _repeating(rnd):
     return texts + [texts[0], texts[1] + "!", "a" * 900, "ab" * 700, "", None, passage[0] * 2, passage[1][:399]]
 
 
-@pytest.mark.parametrize("shard_bytes", [suffix_dedup.SHARD_BYTES, 3000])
-def test_repeats_against_brute_force(spark, docs, shard_bytes, monkeypatch):
+@pytest.mark.parametrize("shard_bytes,frequent", [(suffix_dedup.SHARD_BYTES, 1000), (3000, 1000), (3000, 2)])
+def test_repeats_against_brute_force(spark, docs, shard_bytes, frequent, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", frequent)
     """Also with keys larger than a shard, which are counted window by window."""
     monkeypatch.setattr(suffix_dedup.covered, "__defaults__", (400, 128, shard_bytes))
     texts = _repeating(random.Random(8))
