@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from clickflow import session as S
@@ -299,3 +300,85 @@ def test_processing_time_run_raises_what_the_query_raises(spark):
     SA.run_until_idle(SA.counts_to_table(SA.parse_stream(landing_stream(spark, f"{root}/landing")), t, GRAIN),
                       spark, f"{root}/ckpt", "200 milliseconds", reports=1)
     assert _rows(t.current(spark).select("date", *GRAIN, "n")) == _rows(A.ad_click_counts(src.ad_log(spark, SF_SMALL)))
+
+
+class _Held:
+    """A processor's state, held here and counting each call to it."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def _called(self, found=None):
+        self.calls += 1
+        return found
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        self.listed = _Held()
+        return self.listed
+
+    def containsKey(self, key):
+        return self._called(key in self.held)
+
+    def getValue(self, key):
+        return self._called(self.held[key])
+
+    def updateValue(self, key, value):
+        self._called(self.held.update({key: value}))
+
+    def clear(self):
+        self._called(self.held.clear())
+
+    def exists(self):
+        return self._called(bool(self.held))
+
+    def update(self, value):
+        self._called(self.held.update({(): value}))
+
+
+class _Clock:
+    now = 0
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def _given(processor, clicks, clock=None):
+    rows = (Row(event_id=i, at=at, date=date, adid=adid, userid="u") for i, at, date, adid in clicks)
+    return [(r.event_id, r.lists_user) for r in processor.handleInputRows(("u",), rows, clock)]
+
+
+def test_listing_calls_the_state_by_month_and_lets_late_clicks_go():
+    days = [f"2024-{m:02d}-{d:02d}" for m in (1, 2) for d in range(1, 29)]
+    state, processor = _Held(), L.Listing(3, None)
+    processor.init(state)
+    cells = [(day, str(ad)) for day in days for ad in range(6)]
+    for part in (0, 1):                                         # twice each of 336 (day, ad)
+        clicks = [(i, i, *cell) for i, cell in enumerate(cells, part * len(cells))]
+        assert _given(processor, clicks) == [(i, False) for i, *_ in clicks]
+    assert state.calls + state.listed.calls <= 2 * (1 + 3 * 2)  # before: three calls a (day, ad)
+    # the third click of a (day, ad), among many later ones in any order
+    many = [(10_000 + (7 * i) % 50_021, 10_000 + (7 * i) % 50_021, *cells[i % 9]) for i in range(50_021)]
+    assert _given(processor, many) == [(10_000, True)]
+    assert not state.held and state.listed.held == {(): (10_000,)}
+    assert _given(processor, many) == []
+
+
+def test_listing_counts_expire_each_by_its_own_last_click():
+    state, processor, clock = _Held(), L.Listing(3, 1000), _Clock()
+    processor.init(state)
+    assert len(_given(processor, [(1, 1, "2024-01-01", "a"), (2, 2, "2024-01-01", "a"), (3, 3, "2024-01-02", "a")], clock)) == 3
+    clock.now = 600
+    assert len(_given(processor, [(4, 4, "2024-01-02", "a")], clock)) == 1
+    clock.now = 1000                                            # the first day's two clicks are gone, the second day's stay
+    assert _given(processor, [(5, 5, "2024-01-01", "a"), (6, 6, "2024-01-02", "a"), (7, 7, "2024-01-01", "a")], clock) == [
+        (5, False), (6, True)]
+
+
+def test_listing_takes_clicks_without_id_or_ad():
+    processor = L.Listing(3, None)
+    processor.init(_Held())
+    assert _given(processor, [(None, 1, "2024-01-01", None), (5, 1, "2024-01-01", None), (6, 2, "2024-01-01", None)]) == [
+        (5, False), (None, False), (6, True)]
