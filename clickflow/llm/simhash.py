@@ -37,10 +37,10 @@ from clickflow.llm.common import arrow_text, columns_but, python_path, written
 from clickflow.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
-SHINGLES_AT_ONCE = 1 << 17
+SHINGLES_AT_ONCE = 1 << 14
 SMALL_GROUP = 64
 BLOCK = 1 << 14
-PAIRS_AT_ONCE = 1 << 21
+PAIRS_AT_ONCE = 1 << 18
 
 HAMMING, RAW, EXACT = 15, 8, 18
 
@@ -118,30 +118,35 @@ def _majority(fps: np.ndarray, rows: list[int], hashes: list[int], counts: list[
     fps[row] = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
+def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(anchors, fingerprints, home) of batches of fingerprints: one home and the anchors around it, per part."""
+    for batch in batches:
+        all_ = batch.column(0).to_numpy(zero_copy_only=False)
+        for lo in range(0, len(all_), 1 << 13):
+            fp = all_[lo:lo + (1 << 13)]
+            x = fp.view(np.uint64)
+            out = [((np.int64(3) << 40) | (x >> np.uint64(46)).astype(np.int64), fp, True)]
+            for part in (0, 1):
+                bits = (x >> np.uint64(23 * part)).astype(np.int64) & ((1 << 23) - 1)
+                code, raw = bits & ((1 << HAMMING) - 1), bits >> HAMMING
+                tag = np.int64(part + 1) << 40
+                out.append((tag | (raw << HAMMING) | HOME[code], fp, True))
+                for bit in range(RAW):
+                    out.append((tag | ((raw ^ (1 << bit)) << HAMMING) | HOME[code], fp, False))
+                for k in range(NEAR.shape[1]):
+                    has = NEAR[code, k] >= 0
+                    out.append((tag | (raw[has] << HAMMING) | NEAR[code[has], k], fp[has], False))
+            yield (np.concatenate([a for a, _, _ in out]), np.concatenate([f for _, f, _ in out]),
+                   np.concatenate([np.full(len(a), h) for a, _, h in out]))
+
+
 def replicated(fps: DataFrame) -> DataFrame:
     """(anchor, fp, home) for distinct fingerprints ``fp``: one home and the anchors around it, per part."""
     python_path(fps.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            all_ = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo in range(0, len(all_), 1 << 15):
-                fp = all_[lo:lo + (1 << 15)]
-                x = fp.view(np.uint64)
-                out = [((np.int64(3) << 40) | (x >> np.uint64(46)).astype(np.int64), fp, True)]
-                for part in (0, 1):
-                    bits = (x >> np.uint64(23 * part)).astype(np.int64) & ((1 << 23) - 1)
-                    code, raw = bits & ((1 << HAMMING) - 1), bits >> HAMMING
-                    tag = np.int64(part + 1) << 40
-                    out.append((tag | (raw << HAMMING) | HOME[code], fp, True))
-                    for bit in range(RAW):
-                        out.append((tag | ((raw ^ (1 << bit)) << HAMMING) | HOME[code], fp, False))
-                    for k in range(NEAR.shape[1]):
-                        has = NEAR[code, k] >= 0
-                        out.append((tag | (raw[has] << HAMMING) | NEAR[code[has], k], fp[has], False))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([a for a, _, _ in out])), pa.array(np.concatenate([f for _, f, _ in out])),
-                    pa.array(np.concatenate([np.full(len(a), h) for a, _, h in out]))], ["anchor", "fp", "home"])
+        for sent in _sent(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in sent], ["anchor", "fp", "home"])
 
     return fps.select("fp").mapInArrow(run, "anchor bigint, fp bigint, home boolean")
 
@@ -171,18 +176,18 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def anchor_sizes(fps: DataFrame) -> DataFrame:
-    """(anchor, n, homes): fingerprints sent to each anchor, and those at home there; added up in tasks first."""
+    """(anchor, n, homes): fingerprints sent to each anchor, and those at home there; added up in the tasks that
+    send them, so a task has one Python worker."""
     python_path(fps.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            anchor, place = np.unique(batch.column(0).to_numpy(), return_inverse=True)
-            home = batch.column(1).to_numpy(zero_copy_only=False)
+        for sent, _, home in _sent(batches):
+            anchor, place = np.unique(sent, return_inverse=True)
             yield pa.RecordBatch.from_arrays([
                 pa.array(anchor), pa.array(np.bincount(place, minlength=len(anchor))),
                 pa.array(np.bincount(place, home, minlength=len(anchor)).astype(np.int64))], ["anchor", "n", "homes"])
 
-    counted = replicated(fps).select("anchor", "home").mapInArrow(run, "anchor bigint, n bigint, homes bigint")
+    counted = fps.select("fp").mapInArrow(run, "anchor bigint, n bigint, homes bigint")
     return counted.groupBy("anchor").agg(F.sum("n").alias("n"), F.sum("homes").alias("homes"))
 
 

@@ -214,3 +214,35 @@ def test_repeats_removed_from_texts(spark, docs):
     assert len(out) == len(rows) and {r.doc_id: r.text for r in out}[len(rows) - 3] is None
     assert suffix_dedup.deduplicated(df).count() == len(rows)
     assert suffix_dedup.digest(docs([])).count() == 0
+
+
+def test_anchors_are_counted_by_the_worker_that_sends_them(spark):
+    rnd = random.Random(5)
+    fps = [rnd.getrandbits(64) - (1 << 63) for _ in range(300)]
+    df = spark.createDataFrame([(x,) for x in fps], "fp bigint")
+    sizes = simhash.anchor_sizes(df)
+    # before: two Python workers a task, one after the other
+    assert sizes._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    want = {}
+    for r in simhash.replicated(df).collect():
+        n, homes = want.get(r.anchor, (0, 0))
+        want[r.anchor] = n + 1, homes + r.home
+    assert {r.anchor: (r.n, r.homes) for r in sizes.collect()} == want
+
+
+def test_fingerprints_hold_little_beside_the_texts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rnd = random.Random(6)
+    texts = pa.array([" ".join(str(rnd.random()) for _ in range(400)).encode() for _ in range(400)], pa.large_binary())
+    fps = np.zeros(len(texts), dtype=np.uint64)
+    tracemalloc.start()
+    for rows, hashes, counts in simhash._shingle_hashes(texts, 4):
+        simhash._majority(fps, rows, hashes, counts)
+        hashes = rows = counts = None
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20  # before: 83 MB
+    assert [f"{x:016x}" for x in fps[:5].tolist()] == [f"{_fingerprint(t.as_py().decode()):016x}" for t in texts[:5]]
